@@ -90,8 +90,14 @@ def flag_duplicates(df: DataFrame, key: Sequence[str], flag: str = "is_duplicate
     """
     key = _cols(key)
     dups = df.groupBy(*key).count().where(F.col("count") > 1).select(*key, F.lit(True).alias(flag))
-    joined = df.join(dups, on=null_safe_on(df, dups, key), how="left")
-    return joined.select(*[df[c] for c in df.columns], F.coalesce(dups[flag], F.lit(False)).alias(flag))
+    left, right = df.alias("__l"), dups.alias("__r")
+    cond = None
+    for k in key:
+        c = F.col(f"__l.`{k}`").eqNullSafe(F.col(f"__r.`{k}`"))
+        cond = c if cond is None else cond & c
+    joined = left.join(right, on=cond, how="left")
+    return joined.select(*[F.col(f"__l.`{c}`").alias(c) for c in df.columns],
+                         F.coalesce(F.col(f"__r.`{flag}`"), F.lit(False)).alias(flag))
 
 
 # ── PF8 / PF9 / PF10 ────────────────────────────────────────────────────────

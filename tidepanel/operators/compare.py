@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from tidepanel.functions.numeric import reduction_pct
 
 
-def period_compare(df: DataFrame, label: str, value: str, a: int, b: int, period: str = "year",
+def period_compare(df: DataFrame, label: str, value: str, a, b, period: str = "year",
                    suffixes: tuple[str, str] | None = None, zero_if_all_null: bool = True) -> DataFrame:
     """Per label, the sum of ``value`` in period ``a`` and in period ``b``.
 
     One conditional aggregation instead of a self-join: labels must occur in
-    both periods (inner-join semantics). A present slice whose values are all
+    both periods (inner-join semantics). ``a``/``b`` may be ints or Columns
+    (e.g. scalar subqueries choosing a fallback period; then pass suffixes). A present slice whose values are all
     NULL sums to 0 (groupby-sum behaviour) unless ``zero_if_all_null=False``.
     """
+    if suffixes is None and not (isinstance(a, int) and isinstance(b, int)):
+        raise ValueError("suffixes are required when periods are Columns")
     sa, sb = suffixes or (f"_{a}", f"_{b}")
     ca, cb = f"{value}{sa}", f"{value}{sb}"
     in_a, in_b = F.col(period) == a, F.col(period) == b
@@ -27,7 +30,7 @@ def period_compare(df: DataFrame, label: str, value: str, a: int, b: int, period
         return F.coalesce(s, F.lit(0.0)) if zero_if_all_null else s
 
     agg = (
-        df.where(F.col(period).isin(a, b) & F.col(label).isNotNull())
+        df.where(((F.col(period) == a) | (F.col(period) == b)) & F.col(label).isNotNull())
         .groupBy(label)
         .agg(slice_sum(in_a).alias(ca), slice_sum(in_b).alias(cb),
              F.count(F.when(in_a, 1)).alias("__na"), F.count(F.when(in_b, 1)).alias("__nb"))

@@ -27,11 +27,12 @@ def top_k(df: DataFrame, by: str, k: int, tie_break: Sequence[str] = (), partiti
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).drop("__rn")
 
 
-def share_of_total(df: DataFrame, value: str, out: str = "share_pct", digits: int | None = None) -> DataFrame:
+def share_of_total(df: DataFrame, value: str, out: str = "share_pct", digits: int | None = None,
+                   exact: bool = True) -> DataFrame:
     """value / grand total * 100. The total is a scalar subquery (no global window)."""
-    from tidepanel.functions.numeric import np_round
+    from tidepanel.functions.numeric import exact_sum, np_round
 
-    total = df.select(F.sum(value)).scalar()
+    total = df.select(exact_sum(value) if exact else F.sum(value)).scalar()
     return df.withColumn(out, np_round(F.try_divide(F.col(value), total) * F.lit(100.0), digits))
 
 

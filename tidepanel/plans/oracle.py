@@ -65,6 +65,19 @@ select {NATION_CODE} as country_code, lpad(cast(n.n_nationkey as varchar), 2, '0
        n.n_name as country_name, r.r_name as region
 from nation n join region r on n.n_regionkey = r.r_regionkey"""
 
+CTES["long_sheet"] = """
+select case when cast(substr(country_code, 2) as int) % 4 = 0 then country || ' (Rep.)' else country end
+         as reporter_area_label,
+       year,
+       case transport_mode when 'air' then 'Inbound arrivals by air' when 'sea' then 'Inbound arrivals by water'
+            else 'Inbound arrivals by land' end as indicator_label,
+       value
+from panel_transport_long
+union all
+select case when cast(substr(country_code, 2) as int) % 4 = 0 then country || ' (Rep.)' else country end,
+       year, 'Outbound departures by land', value
+from panel_transport_long where transport_mode = 'land'"""
+
 _WB = "partition by country_code order by year rows between unbounded preceding and current row"
 _WF = "partition by country_code order by year rows between current row and unbounded following"
 _WO = "partition by country_code order by year"
@@ -216,7 +229,7 @@ _DEPS = {
     "bronze_transport_wide": ["bronze_transport"], "s_tr_a": ["bronze_transport_wide"], "s_tr_b": ["s_tr_a"],
     "silver_transport": ["s_tr_b"],
     "g_a": ["silver_co2", "silver_tourism", "silver_transport"], "g_b": ["g_a"], "g_c": ["g_b"], "fact": ["g_c"],
-    "merged": ["fact", "dim_country"],
+    "merged": ["fact", "dim_country"], "long_sheet": ["panel_transport_long"],
 }
 
 

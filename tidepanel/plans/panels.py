@@ -94,12 +94,32 @@ def panel_transport_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_indicator_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transport panel as a landed long sheet (reporter, year, indicator label, value)."""
+    """The transport panel as a landed long sheet (reporter, year, indicator label, value).
+
+    Like a real landed sheet it carries raw reporter spellings (every fourth
+    nation as "<name> (Rep.)") and outbound rows that ingestion must skip.
+    """
     p = panel_transport_long(spark, sf_dir)
+    nk = F.substring(F.col("country_code"), 2, 10).cast("int")
+    reporter = F.when(nk % 4 == 0, F.concat(F.col("country"), F.lit(" (Rep.)"))).otherwise(F.col("country"))
     label = (F.when(F.col("transport_mode") == "air", "Inbound arrivals by air")
              .when(F.col("transport_mode") == "sea", "Inbound arrivals by water")
              .otherwise("Inbound arrivals by land"))
-    return p.select(F.col("country").alias("reporter_area_label"), "year", label.alias("indicator_label"), "value")
+    inbound = p.select(reporter.alias("reporter_area_label"), "year", label.alias("indicator_label"), "value")
+    outbound = p.where(F.col("transport_mode") == "land").select(
+        reporter.alias("reporter_area_label"), "year", F.lit("Outbound departures by land").alias("indicator_label"),
+        "value")
+    return inbound.unionByName(outbound)
+
+
+def reporter_aliases() -> dict[str, str]:
+    """Raw reporter spelling -> canonical nation name (rule: every fourth nation key)."""
+    return {f"NATION_{k} (Rep.)": f"NATION_{k}" for k in range(0, 25, 4)}
+
+
+def nation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """name -> code table used by code lookups."""
+    return _nation(spark, sf_dir).select("country", "country_code")
 
 
 def dim_country(spark: SparkSession, sf_dir: str) -> DataFrame:
