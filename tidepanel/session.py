@@ -33,6 +33,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
