@@ -1 +1,247 @@
-"""Registered queries (filled in below)."""
+"""Registered source/sink round trips (IO1–IO14) and the SQL API questions.
+
+Each query writes Spark-derived data to a fresh folder under the session's
+``spark.checkpoint.dir`` (the shared folder on a cluster), reads it back with
+the reader under test and returns the result; the oracle is the SQL of the
+data that was written.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidepanel.plans import panels
+from tidepanel.plans.oracle import with_ctes
+from tidepanel.plans.queries import MIN_YEAR, fact, s_co2, s_tourism
+from tidepanel.plans.queries_quality import q_quality_report
+from tidepanel.plans.registry import QUERIES, register
+from tidepanel.session import scratch_dir
+from tidepanel.sources import catalog, readers, sinks
+
+_SQL_DIR = os.path.join(os.path.dirname(__file__), "sql")
+CO2_COLS = ["country", "country_code", "year", "co2", "gdp", "population"]
+
+
+def sql_text(name: str, **params) -> str:
+    with open(os.path.join(_SQL_DIR, f"{name}.sql")) as fh:
+        return fh.read().format(min_year=MIN_YEAR, **params)
+
+
+@register("write_read_partitioned", with_ctes("select * from panel_co2", "panel_co2"))
+def q_write_read_partitioned(spark, d):
+    """IO8 + IO1: Hive-partitioned write (year=), read back with partition types forced."""
+    path = scratch_dir(spark, "bronze_co2")
+    sinks.write_bronze_partitioned(panels.panel_co2(spark, d), path)
+    return readers.read_partitioned(spark, path).select(*CO2_COLS)
+
+
+@register("write_bronze_partitioned", with_ctes("""
+select count(*) as n_partitions from (select distinct year, country_code from panel_co2)""", "panel_co2"))
+def q_write_bronze_partitioned(spark, d):
+    """IO8: two-key layout (year, country_code); returns the number of partitions written."""
+    path = scratch_dir(spark, "bronze_co2_2key")
+    n = sinks.write_bronze_partitioned(panels.panel_co2(spark, d), path, ("year", "country_code"), ())
+    return spark.range(1).select(F.lit(n).cast("bigint").alias("n_partitions"))
+
+
+@register("read_tree", with_ctes("""
+select country_code, year, co2, null::double as tourist_arrivals from silver_co2
+union all select country_code, year, null::double, tourist_arrivals from silver_tourism""",
+                                 "silver_co2", "silver_tourism"))
+def q_read_tree(spark, d):
+    """IO2: two folders with different column sets, unioned by name (missing -> NULL)."""
+    base = scratch_dir(spark, "tree")
+    sinks.write_table(s_co2(spark, d).select("country_code", "year", "co2"), f"{base}/co2/part=a")
+    sinks.write_table(s_tourism(spark, d).select("country_code", "year", "tourist_arrivals"), f"{base}/tourism")
+    return readers.read_tree(spark, [f"{base}/co2", f"{base}/tourism"])
+
+
+@register("read_single", with_ctes("select * from fact", "fact"))
+def q_read_single(spark, d):
+    """IO9 + IO3: write the fact as one table, read it back (period as nullable bigint)."""
+    path = scratch_dir(spark, "fact")
+    sinks.write_table(fact(spark, d), path, ["country_code", "year"])
+    return readers.read_single(spark, path)
+
+
+_CO2_FULL = T.StructType([
+    T.StructField("country", T.StringType()), T.StructField("country_code", T.StringType()),
+    T.StructField("year", T.LongType()), T.StructField("co2", T.DoubleType()),
+    T.StructField("gdp", T.DoubleType()), T.StructField("population", T.DoubleType()),
+    T.StructField("methane", T.DoubleType()), T.StructField("share_global_co2", T.DoubleType()),
+])
+
+
+@register("read_schema_override", with_ctes("""
+select *, null::double as methane, null::double as share_global_co2 from panel_co2""", "panel_co2"))
+def q_read_schema_override(spark, d):
+    """IO4: fixed 8-column schema over files that hold 6 columns."""
+    path = scratch_dir(spark, "co2_override")
+    sinks.write_bronze_partitioned(panels.panel_co2(spark, d), path)
+    return readers.read_schema_override(spark, path, _CO2_FULL, base_path=path)
+
+
+@register("read_csv_wide", with_ctes("select * from panel_co2", "panel_co2"))
+def q_read_csv_wide(spark, d):
+    """IO5: wide CSV with header, text -> numbers with try_cast."""
+    path = scratch_dir(spark, "co2_csv")
+    panels.panel_co2(spark, d).write.mode("overwrite").option("header", "true").csv(path)
+    return readers.read_csv_wide(spark, path, numeric=["co2", "gdp", "population"], integer=["year"])
+
+
+def _indicator_records(spark, d):
+    p = panels.panel_tourism(spark, d)
+    dim = panels.dim_country(spark, d)
+    rows = p.join(dim, "country_code").select(
+        F.struct(F.lit("ST.INT.ARVL").alias("id"), F.lit("International tourism, number of arrivals").alias("value"))
+        .alias("indicator"),
+        F.struct(F.col("country_code_iso2").alias("id"), F.col("country").alias("value")).alias("country"),
+        F.col("country_code").alias("countryiso3code"), F.col("year").cast("string").alias("date"),
+        F.col("tourist_arrivals").alias("value"))
+    # regional aggregates carry 3-character ids and must be skipped by the reader
+    agg = p.join(dim, "country_code").groupBy("region", "year").agg(F.sum("tourist_arrivals").alias("v")).select(
+        F.struct(F.lit("ST.INT.ARVL").alias("id"), F.lit("International tourism, number of arrivals").alias("value"))
+        .alias("indicator"),
+        F.struct(F.concat(F.lit("R"), F.substring("region", 1, 2)).alias("id"), F.col("region").alias("value"))
+        .alias("country"),
+        F.lit("").alias("countryiso3code"), F.col("year").cast("string").alias("date"), F.col("v").alias("value"))
+    return rows.unionByName(agg)
+
+
+@register("read_json_indicator", with_ctes("""
+select country, country_code, year, tourist_arrivals from panel_tourism where year between 1996 and 2001""",
+                                           "panel_tourism"))
+def q_read_json_indicator(spark, d):
+    """IO6: nested records -> flat rows; aggregates, unknown members and out-of-range years dropped."""
+    path = scratch_dir(spark, "wb_json")
+    _indicator_records(spark, d).write.mode("overwrite").json(path)
+    members = panels.nation_codes(spark, d).select("country")
+    return readers.read_json_indicator(spark, path, "tourist_arrivals", members, 1996, 2001)
+
+
+@register("read_long_indicators", with_ctes("select * from long_sheet", "long_sheet"))
+def q_read_long_indicators(spark, d):
+    """IO7: long indicator sheet landed as CSV."""
+    path = scratch_dir(spark, "long_csv")
+    panels.long_indicator_sheet(spark, d).write.mode("overwrite").option("header", "true").csv(path)
+    return readers.read_long_indicators(spark, path, "csv")
+
+
+@register("export_open_data", with_ctes("select count(*) as rows_parquet, count(*) as rows_csv from fact", "fact"))
+def q_export_open_data(spark, d):
+    """IO10: versioned Parquet + CSV export; both read back."""
+    out = sinks.export_open_data(fact(spark, d), scratch_dir(spark, "open-data"), "v1", "gold", "fact_tourism_emissions")
+    n_pq = spark.read.parquet(out["parquet"]).count()
+    n_csv = spark.read.option("header", "true").csv(out["csv"]).count()
+    return spark.range(1).select(F.lit(n_pq).cast("bigint").alias("rows_parquet"),
+                                 F.lit(n_csv).cast("bigint").alias("rows_csv"))
+
+
+@register("table_metadata", with_ctes("""
+select 'fact_tourism_emissions' as "table", count(*) as n_rows, 26 as n_columns, min(year) as period_min,
+       max(year) as period_max, count(distinct country_code) as n_members,
+       array_to_string(list_sort(list(distinct country_code)), ',') as members from fact""", "fact"))
+def q_table_metadata(spark, d):
+    """IO11: table metadata in one aggregation."""
+    return sinks.table_metadata(fact(spark, d), "fact_tourism_emissions")
+
+
+# Units and descriptions of the fact columns.
+FACT_DOCS = {
+    "country": ("", "entity name"),
+    "country_code": ("", "entity code"),
+    "year": ("year", "period"),
+    "co2": ("Mt", "emissions"),
+    "co2_per_capita_calc": ("t/person", "emissions per inhabitant"),
+    "co2_intensity_gdp": ("kg/USD", "emissions per unit of GDP"),
+    "gdp": ("USD", "gross domestic product"),
+    "gdp_per_capita": ("USD/person", "GDP per inhabitant"),
+    "gdp_growth_pct": ("%", "GDP growth vs previous period"),
+    "population": ("persons", "population"),
+    "tourist_arrivals": ("arrivals", "international arrivals"),
+    "tourism_receipts_usd": ("USD", "tourism receipts"),
+    "tourist_departures": ("departures", "international departures"),
+    "arrivals_growth_pct": ("%", "arrivals growth vs previous period"),
+    "receipts_per_tourist": ("USD/arrival", "receipts per arrival"),
+    "tourists_air": ("arrivals", "arrivals by air"),
+    "tourists_sea": ("arrivals", "arrivals by sea"),
+    "tourists_land": ("arrivals", "arrivals by land"),
+    "tourists_total": ("arrivals", "arrivals, all modes"),
+    "pct_air": ("%", "share of air"),
+    "pct_sea": ("%", "share of sea"),
+    "pct_land": ("%", "share of land"),
+    "dominant_transport": ("", "mode with the largest share"),
+    "co2_per_tourist": ("t/arrival", "emissions per arrival"),
+    "co2_growth_pct": ("%", "emissions growth vs previous period"),
+    "sustainability_label": ("", "growth quadrant label"),
+}
+_FACT_TYPES = {c: ("bigint" if c == "year" else "string" if c in ("country", "country_code", "dominant_transport",
+                                                                   "sustainability_label") else "double")
+               for c in FACT_DOCS}
+
+
+def _dict_sql() -> str:
+    from tidepanel.plans.oracle import rnd
+    parts = [f"""select {i} as ordinal, '{c}' as "column", '{_FACT_TYPES[c]}' as type, '{FACT_DOCS[c][0]}' as unit,
+       '{FACT_DOCS[c][1]}' as description,
+       {rnd(f"avg(case when {c} is null then 1.0 else 0.0 end) * 100.0", 1)} as null_pct from fact"""
+             for i, c in enumerate(FACT_DOCS)]
+    return with_ctes("\nunion all\n".join(parts), "fact")
+
+
+@register("data_dictionary", _dict_sql())
+def q_data_dictionary(spark, d):
+    """IO12: one row per column with type, unit, description and % NULL."""
+    return sinks.data_dictionary(fact(spark, d), FACT_DOCS)
+
+
+@register("write_report", QUERIES["quality_report"].sql)
+def q_write_report(spark, d):
+    """IO13: the silver quality report appended as JSON under run_date=, read back."""
+    rep = q_quality_report(spark, d)
+    path = scratch_dir(spark, "reports")
+    part = sinks.write_report(rep, path, "2001-12-31")
+    return spark.read.schema(rep.schema).json(part)
+
+
+def _register_gold(spark, d):
+    catalog.register_tables(spark, {"fact_tourism_emissions": fact(spark, d),
+                                    "dim_country": panels.dim_country(spark, d)})
+
+
+for _i, _name in enumerate(["q01_tourism_vs_co2", "q02_transport_impact", "q03_growth_vs_co2", "q04_evolution",
+                            "q05_sustainable"], start=1):
+    def _build(spark, d, _name=_name):
+        _register_gold(spark, d)
+        return spark.sql(sql_text(_name))
+
+    _build.__doc__ = f"IO14 + SQL API: {_name} through spark.sql over registered views."
+    register(f"sql_{_name}", QUERIES[_name].sql)(_build)
+
+
+@register("register_tables", with_ctes("""
+select f.country_code, d.region, f.year, f.co2 from fact f join dim_country d on f.country_code = d.country_code""",
+                                       "fact", "dim_country"))
+def q_register_tables(spark, d):
+    """IO14: tables written to Parquet, registered as views, joined in SQL."""
+    base = scratch_dir(spark, "gold")
+    sinks.write_table(fact(spark, d), f"{base}/fact")
+    sinks.write_table(panels.dim_country(spark, d), f"{base}/dim")
+    catalog.register_tables(spark, {"g_fact": f"{base}/fact", "g_dim": f"{base}/dim"})
+    return spark.sql("SELECT f.country_code, d.region, f.year, f.co2 FROM g_fact f "
+                     "JOIN g_dim d ON f.country_code = d.country_code")
+
+
+@register("bronze_transport_roundtrip", with_ctes("select * from bronze_transport_wide", "bronze_transport_wide"))
+def q_bronze_transport_roundtrip(spark, d):
+    """C6 end to end: sheet landed as CSV -> read -> bronze chain."""
+    from tidepanel.plans import bronze
+    path = scratch_dir(spark, "sheet")
+    panels.long_indicator_sheet(spark, d).write.mode("overwrite").option("header", "true").csv(path)
+    sheet = readers.read_long_indicators(spark, path)
+    codes = panels.nation_codes(spark, d)
+    return bronze.transport_from_sheet(sheet, panels.reporter_aliases(), codes.select("country"), codes, 1995, 2001)
+
