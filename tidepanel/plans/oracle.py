@@ -253,3 +253,45 @@ def with_ctes(sql: str, *names: str, extra: dict[str, str] | None = None) -> str
     for k, v in (extra or {}).items():
         parts.append(f"{k} as ({v})")
     return ("with " + ",\n".join(parts) + "\n" + sql) if parts else sql
+
+
+# ── large panels (entity × period) ──────────────────────────────────────────
+CTES["panel_part_month"] = """
+select entity, period,
+       case when (entity + period) % 7 = 0 then null else sum(l_quantity) end as arrivals,
+       cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as receipts,
+       cast(count(*) as double) as departures
+from (select l_partkey as entity, cast(year(l_shipdate) * 100 + month(l_shipdate) as bigint) as period,
+             l_quantity, l_extendedprice from lineitem)
+group by entity, period"""
+
+CTES["panel_user_day"] = """
+select user_id as entity, cast(strftime(ts, '%Y%m%d') as bigint) as period,
+       case when (user_id + cast(strftime(ts, '%Y%m%d') as bigint)) % 5 = 0 then null
+            else cast(sum(cast(value as decimal(18,2))) as double) end as arrivals,
+       cast(count(*) as double) as departures
+from events group by user_id, cast(strftime(ts, '%Y%m%d') as bigint)"""
+
+
+def volume_silver_sql(src: str, receipts: bool) -> str:
+    """Oracle of ``volume_silver`` over a panel CTE with (entity, period, arrivals, ...)."""
+    wb = "partition by entity order by period rows between unbounded preceding and current row"
+    wf = "partition by entity order by period rows between current row and unbounded following"
+    wo = "partition by entity order by period"
+    cols = "entity, period, arrivals, receipts, departures" if receipts else "entity, period, arrivals, departures"
+    rpu = (f", case when arrivals > 0 then {rnd('receipts / arrivals', 2)} end as receipts_per_unit"
+           if receipts else "")
+    keep = "entity, period, receipts, departures" if receipts else "entity, period, departures"
+    return f"""
+select {keep}, arrivals, {rnd(f"(pad / nullif(lag(pad) over ({wo}), 0) - 1.0) * 100.0", 2)} as arrivals_growth_pct
+       {rpu}
+from (select *, last_value(arrivals ignore nulls) over ({wb}) as pad from (
+  select {keep},
+         cast(coalesce(arrivals, case when __p is null then null when __n is null then __p
+                       else (__n - __p) / (__nr - __pr) * (__rn - __pr) + __p end) as double) as arrivals
+  from (select *, last_value(arrivals ignore nulls) over ({wb}) as __p,
+               last_value(case when arrivals is not null then __rn end ignore nulls) over ({wb}) as __pr,
+               first_value(arrivals ignore nulls) over ({wf}) as __n,
+               first_value(case when arrivals is not null then __rn end ignore nulls) over ({wf}) as __nr
+        from (select *, row_number() over ({wo}) as __rn
+              from (select {cols} from {src} where not (arrivals is null and departures is null))))))"""

@@ -173,3 +173,26 @@ def q05(spark, d):
                     "co2_per_tourist", F.col("arrivals_growth_pct").alias("arrivals_growth"),
                     F.col("co2_growth_pct").alias("co2_growth"))
             .orderBy("sustainability_label", "country", "year"))
+
+
+# ── volume panels ───────────────────────────────────────────────────────────
+from tidepanel.plans import volume  # noqa: E402
+from tidepanel.plans.oracle import volume_silver_sql  # noqa: E402
+
+
+@register("panel_part_month", with_ctes("select * from panel_part_month", "panel_part_month"))
+def q_panel_part_month(spark, d):
+    """part × ship month panel (grows with lineitem)."""
+    return panels.panel_part_month(spark, d)
+
+
+@register("volume_silver_part_month", with_ctes(volume_silver_sql("panel_part_month", True), "panel_part_month"))
+def q_volume_silver_part_month(spark, d):
+    """Silver chain (dedup, interpolate, growth, guarded ratio) on part × month."""
+    return volume.volume_silver(panels.panel_part_month(spark, d))
+
+
+@register("volume_silver_user_day", with_ctes(volume_silver_sql("panel_user_day", False), "panel_user_day"))
+def q_volume_silver_user_day(spark, d):
+    """Silver chain on user × day (events)."""
+    return volume.volume_silver(panels.panel_user_day(spark, d))

@@ -119,7 +119,7 @@ _GATES = [("panel_co2", "co2", 30.0), ("panel_tourism", "tourist_arrivals", 60.0
 
 @register("ingest_gate", with_ctes("\nunion all\n".join(
     f"""select '{t}' as source, '{c}' as "column", count(*) as n_rows,
-       avg(case when {c} is null then 1.0 else 0.0 end) * 100.0 as null_pct, {lim} as max_null_pct,
+       avg(case when {c} is null then 1.0 else 0.0 end) * 100.0 as null_pct, {lim}::DOUBLE as max_null_pct,
        count(*) > 0 and avg(case when {c} is null then 1.0 else 0.0 end) * 100.0 <= {lim} as ok from {t}"""
     for t, c, lim in _GATES), "panel_co2", "panel_tourism", "bronze_transport_wide"))
 def q_ingest_gate(spark, d):
