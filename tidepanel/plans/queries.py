@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions.numeric import exact_avg, exact_sum
 from tidepanel.operators.assemble import fact_with_dim
-from tidepanel.plans import gold, panels, silver
+from tidepanel.plans import gold, layers, panels
 from tidepanel.plans.oracle import rnd, with_ctes, xavg, xsum
 from tidepanel.plans.registry import register
 
@@ -21,24 +21,26 @@ MIN_YEAR = 1995
 
 
 # ── shared builders ─────────────────────────────────────────────────────────
+# Questions and checks read the materialized layers (see ``layers``); the
+# layer queries below (silver_*, gold_fact) derive them from the raw tables.
 def s_co2(spark, d):
-    return silver.silver_co2(panels.panel_co2(spark, d))
+    return layers.table(spark, d, "silver_co2")
 
 
 def s_tourism(spark, d):
-    return silver.silver_tourism(panels.panel_tourism(spark, d))
+    return layers.table(spark, d, "silver_tourism")
 
 
 def s_transport(spark, d):
-    return silver.silver_transport(silver.bronze_transport_wide(panels.panel_transport_long(spark, d)))
+    return layers.table(spark, d, "silver_transport")
 
 
 def fact(spark, d):
-    return gold.gold_fact(s_co2(spark, d), s_tourism(spark, d), s_transport(spark, d))
+    return layers.table(spark, d, "fact")
 
 
 def merged(spark, d):
-    return fact_with_dim(fact(spark, d), panels.dim_country(spark, d))
+    return fact_with_dim(fact(spark, d), layers.table(spark, d, "dim"))
 
 
 # ── panels ──────────────────────────────────────────────────────────────────
@@ -64,25 +66,26 @@ def q_panel_transport_long(spark, d):
 @register("silver_co2", with_ctes("select * from silver_co2", "silver_co2"))
 def q_silver_co2(spark, d):
     """Schema, dedup, drop empty, ffill/interpolate, ratios, growth."""
-    return s_co2(spark, d)
+    return layers.build_silver_co2(spark, d)
 
 
 @register("silver_tourism", with_ctes("select * from silver_tourism", "silver_tourism"))
 def q_silver_tourism(spark, d):
     """Schema, dedup, drop rows without arrivals, growth, receipts per tourist."""
-    return s_tourism(spark, d)
+    return layers.build_silver_tourism(spark, d)
 
 
 @register("silver_transport", with_ctes("select * from silver_transport", "silver_transport"))
 def q_silver_transport(spark, d):
     """Pivoted modes, total if missing, shares, dominant mode."""
-    return s_transport(spark, d)
+    return layers.build_silver_transport(spark, d)
 
 
 @register("gold_fact", with_ctes("select * from fact", "fact"))
 def q_gold_fact(spark, d):
-    """C4: outer-assembled fact with backfilled names, co2 per tourist, growth, label."""
-    return fact(spark, d)
+    """C4: outer-assembled fact with backfilled names, co2 per tourist, growth, label (from raw tables)."""
+    return gold.gold_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d),
+                          layers.build_silver_transport(spark, d))
 
 
 @register("gold_dim_country", with_ctes("select * from dim_country", "dim_country"))

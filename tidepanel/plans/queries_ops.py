@@ -199,8 +199,9 @@ def q_assemble_indicators(spark, d):
 @register("build_fact", with_ctes("select * from g_a", "g_a"))
 def q_build_fact(spark, d):
     """Full outer of the three silver slices on (country_code, year)."""
-    from tidepanel.plans.queries import s_transport
-    return assemble.build_fact(s_co2(spark, d), s_tourism(spark, d), s_transport(spark, d))
+    from tidepanel.plans import layers
+    return assemble.build_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d),
+                               layers.build_silver_transport(spark, d))
 
 
 @register("backfill_dim_attr", with_ctes("""
@@ -208,8 +209,9 @@ select country_code, year, coalesce(country, max(country) over (partition by cou
                                          "g_a"))
 def q_backfill_dim_attr(spark, d):
     """NULL names filled from the code -> name map."""
-    from tidepanel.plans.queries import s_transport
-    f = assemble.build_fact(s_co2(spark, d), s_tourism(spark, d), s_transport(spark, d))
+    from tidepanel.plans import layers
+    f = assemble.build_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d),
+                            layers.build_silver_transport(spark, d))
     return assemble.backfill_dim_attr(f, "country", "country_code").select("country_code", "year", "country")
 
 
