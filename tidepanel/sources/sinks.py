@@ -1,9 +1,9 @@
 """Writers: layered tables, open-data exports, metadata and reports (IO8–IO13).
 
 Writes go through the Hadoop FS of the cluster (no single-file collect, no
-driver-side bytes). Partitioned writes spread a hot partition value over
-several files with a *deterministic* hash salt, so a retried task after an
-executor loss rewrites exactly the same rows.
+driver-side bytes). Partitioned writes use the ``REBALANCE`` hint: rows are
+clustered by the partition keys, and AQE splits a partition value that holds
+a large share of the data into several files while merging small ones.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from tidepanel.operators.quality import null_profile
 
 
 def write_bronze_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = ("year",),
-                             sort_cols: Sequence[str] = ("country_code",), files_per_partition: int = 1,
-                             mode: str = "overwrite") -> int:
+                             sort_cols: Sequence[str] = ("country_code",), mode: str = "overwrite") -> int:
     """IO8: Hive-partitioned Snappy Parquet, replacing only the partitions present.
 
     Default layout is ``year=`` with rows clustered by entity inside the
@@ -26,9 +25,7 @@ def write_bronze_partitioned(df: DataFrame, path: str, partition_cols: Sequence[
     number of partition directories written.
     """
     keys = list(partition_cols)
-    salt = (F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % files_per_partition) if files_per_partition > 1 \
-        else F.lit(0)
-    out = df.repartition(*[F.col(k) for k in keys], salt)
+    out = df.hint("rebalance", *keys)
     sort = [c for c in sort_cols if c in df.columns and c not in keys]
     if sort:
         out = out.sortWithinPartitions(*sort)
