@@ -64,7 +64,19 @@ def outer_assemble(frames: Sequence[DataFrame], on: Sequence[str], method: str =
         raise ValueError("method must be 'union' or 'join'")
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     vals = [c for c in order if c not in on]
-    return u.groupBy(*on).agg(*[F.max(c).alias(c) for c in vals]).select(*order)
+    types = dict(u.dtypes)
+
+    def pick(c):
+        # numbers: max (hash aggregate buffer). Strings and other variable-width
+        # values: max over collect_list — a group holds at most one row per
+        # frame, so the list is bounded by len(frames) and the whole aggregate
+        # stays hash-based (ObjectHashAggregate) instead of sort-based.
+        if types[c] in ("double", "float", "bigint", "int", "smallint", "tinyint", "boolean") \
+                or types[c].startswith("decimal"):
+            return F.max(c)
+        return F.array_max(F.collect_list(c))
+
+    return u.groupBy(*on).agg(*[pick(c).alias(c) for c in vals]).select(*order)
 
 
 def assemble_indicators(frames: Sequence[DataFrame], on: Sequence[str] = ("country", "country_code", "year"),

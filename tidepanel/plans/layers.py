@@ -28,12 +28,12 @@ def build_silver_co2(spark: SparkSession, d: str) -> DataFrame:
     return silver.silver_co2(panels.panel_co2(spark, d))
 
 
-def build_silver_tourism(spark: SparkSession, d: str) -> DataFrame:
-    return silver.silver_tourism(panels.panel_tourism(spark, d))
+def build_silver_tourism(spark: SparkSession, d: str, line_agg: DataFrame | None = None) -> DataFrame:
+    return silver.silver_tourism(panels.panel_tourism(spark, d, line_agg))
 
 
-def build_silver_transport(spark: SparkSession, d: str) -> DataFrame:
-    return silver.silver_transport(silver.bronze_transport_wide(panels.panel_transport_long(spark, d)))
+def build_silver_transport(spark: SparkSession, d: str, line_agg: DataFrame | None = None) -> DataFrame:
+    return silver.silver_transport(silver.bronze_transport_wide(panels.panel_transport_long(spark, d, line_agg)))
 
 
 def lake(spark: SparkSession, d: str) -> dict[str, str]:
@@ -44,6 +44,7 @@ def lake(spark: SparkSession, d: str) -> dict[str, str]:
             return _LAKES[key]
         base = scratch_dir(spark, "lake")
         paths = {
+            "line_agg": f"{base}/bronze/line_supplier_year_flag",
             "silver_co2": f"{base}/silver/co2_emissions",
             "silver_tourism": f"{base}/silver/tourism_arrivals",
             "silver_transport": f"{base}/silver/transport_mode",
@@ -51,8 +52,11 @@ def lake(spark: SparkSession, d: str) -> dict[str, str]:
             "dim": f"{base}/gold/dim_country",
         }
         write_table(build_silver_co2(spark, d), paths["silver_co2"], SORT)
-        write_table(build_silver_tourism(spark, d), paths["silver_tourism"], SORT)
-        write_table(build_silver_transport(spark, d), paths["silver_transport"], SORT)
+        # one lineitem scan feeds both supplier-side panels
+        write_table(panels.line_supplier_agg(spark, d), paths["line_agg"])
+        la = spark.read.parquet(paths["line_agg"])
+        write_table(build_silver_tourism(spark, d, la), paths["silver_tourism"], SORT)
+        write_table(build_silver_transport(spark, d, la), paths["silver_transport"], SORT)
         s = {k: spark.read.parquet(paths[k]) for k in ("silver_co2", "silver_tourism", "silver_transport")}
         write_table(gold.gold_fact(s["silver_co2"], s["silver_tourism"], s["silver_transport"]), paths["fact"], SORT)
         write_table(panels.dim_country(spark, d), paths["dim"], ["country_code"])

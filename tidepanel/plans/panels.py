@@ -56,9 +56,14 @@ def panel_co2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _line_by_supplier(spark, sf_dir, extra=()):
+def line_supplier_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem pre-aggregated to (supplier, ship year, return flag).
+
+    Both supplier-side panels derive from this one aggregate (sums and counts
+    decompose exactly), so a pipeline that materializes it scans lineitem once.
+    """
     li = table(spark, sf_dir, "lineitem")
-    return li.groupBy("l_suppkey", F.year("l_shipdate").alias("y"), *extra).agg(
+    return li.groupBy("l_suppkey", F.year("l_shipdate").alias("y"), "l_returnflag").agg(
         F.sum("l_quantity").alias("qty"), _dec_sum("l_extendedprice").alias("amt"), F.count(F.lit(1)).alias("n"))
 
 
@@ -68,9 +73,10 @@ def _with_nation(spark, sf_dir, df):
                                                             F.col("s_nationkey") == F.col("n_nationkey"))
 
 
-def panel_tourism(spark: SparkSession, sf_dir: str) -> DataFrame:
+def panel_tourism(spark: SparkSession, sf_dir: str, line_agg: DataFrame | None = None) -> DataFrame:
     """nation (of supplier) × ship year: arrivals = quantity, receipts = value, departures = lines."""
-    j = _with_nation(spark, sf_dir, _line_by_supplier(spark, sf_dir))
+    la = line_agg if line_agg is not None else line_supplier_agg(spark, sf_dir)
+    j = _with_nation(spark, sf_dir, la)
     g = j.groupBy("country", "country_code", "n_nationkey", "y").agg(
         F.sum("qty").alias("qty"), F.sum("amt").cast("double").alias("amt"), F.sum("n").cast("double").alias("n"))
     y, nk = F.col("y"), F.col("n_nationkey")
@@ -82,9 +88,10 @@ def panel_tourism(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def panel_transport_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+def panel_transport_long(spark: SparkSession, sf_dir: str, line_agg: DataFrame | None = None) -> DataFrame:
     """Long sheet: nation × ship year × transport mode (A -> air, N -> sea, else land)."""
-    j = _with_nation(spark, sf_dir, _line_by_supplier(spark, sf_dir, extra=("l_returnflag",)))
+    la = line_agg if line_agg is not None else line_supplier_agg(spark, sf_dir)
+    j = _with_nation(spark, sf_dir, la)
     y, nk, flag = F.col("y"), F.col("n_nationkey"), F.col("l_returnflag")
     j = j.where(~((flag == "N") & ((nk + y) % 3 == 0)))
     g = j.groupBy("country", "country_code", "n_nationkey", "y", "l_returnflag").agg(F.sum("qty").alias("value"))
