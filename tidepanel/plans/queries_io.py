@@ -245,3 +245,21 @@ def q_bronze_transport_roundtrip(spark, d):
     codes = panels.nation_codes(spark, d)
     return bronze.transport_from_sheet(sheet, panels.reporter_aliases(), codes.select("country"), codes, 1995, 2001)
 
+
+
+@register("stream_landing_ingest", with_ctes("select * from panel_co2", "panel_co2"))
+def q_stream_landing_ingest(spark, d):
+    """C6 incremental: two landings of CSV files ingested by two availableNow runs into bronze."""
+    from tidepanel.operators.clean import apply_schema
+    from tidepanel.spec import CO2_SPEC
+    from tidepanel.streaming import ingest_landed
+
+    base = scratch_dir(spark, "landing")
+    landing, bronze, ckpt = f"{base}/landing", f"{base}/bronze", f"{base}/_checkpoint"
+    raw_schema = "country string, country_code string, year string, co2 string, gdp string, population string"
+    p = panels.panel_co2(spark, d)
+    for cond in (F.col("year") <= 1997, F.col("year") > 1997):
+        # a new landing (new files in the same folder), then an incremental run over the same checkpoint
+        p.where(cond).write.mode("append").option("header", "true").csv(landing)
+        ingest_landed(spark, landing, raw_schema, bronze, ckpt, transform=lambda s: apply_schema(s, CO2_SPEC))
+    return readers.read_partitioned(spark, bronze).select(*CO2_COLS)

@@ -1,0 +1,3 @@
+from tidepanel.streaming.landing import ingest_landed
+
+__all__ = ["ingest_landed"]
