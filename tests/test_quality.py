@@ -135,3 +135,28 @@ def test_iqr_outliers_matches_pandas(spark):
 def test_frame_summary(sample):
     r = quality.frame_summary(sample).collect()[0]
     assert (r.n_rows, r.n_cols, r.total_nulls, r.n_entities, r.n_periods) == (22, 4, 7, 2, 11)
+
+
+def test_exact_quantiles_distributed_selection_matches_numpy(spark):
+    import numpy as np
+    from tidepanel.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(7)
+    vals = np.concatenate([rng.normal(0, 1, 3000), np.full(2000, 5.0), rng.exponential(3, 1000)])
+    rng.shuffle(vals)
+    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = exact_quantiles(df, "v", probs, cuts=8, band=50, accuracy=100)
+    want = np.quantile(vals, probs)
+    assert got == pytest.approx(list(want), rel=0, abs=1e-12)
+
+
+def test_iqr_outliers_large_path_equals_small_path(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    data = [(i, float(x), float(y)) for i, (x, y) in enumerate(zip(rng.lognormal(0, 1, 4000), rng.normal(0, 1, 4000)))]
+    df = spark.createDataFrame(data, "i long, a double, b double")
+    small = iqr_outliers(df, {"a": 1.5, "b": 3.0}, ["i"], digits=9).orderBy("column").collect()
+    large = iqr_outliers(df, {"a": 1.5, "b": 3.0}, ["i"], digits=9, exact_limit=10).orderBy("column").collect()
+    assert [tuple(r) for r in small] == [tuple(r) for r in large]

@@ -1,10 +1,13 @@
 """IQR outlier report (A16) — flags, never removes.
 
-All columns are handled in one tall pass: unpivot -> per-column exact
-quartiles (``percentile`` keeps a value->count map, partially aggregated) ->
-bounds joined back (one row per column, a broadcast bounded by the number of
-columns) -> counts and the first ``n_samples`` outliers per column (a
-row_number limit that Spark applies per map task before the shuffle).
+Quartiles are exact. Columns whose non-NULL count is within ``exact_limit``
+(checked by a counting pass) use Spark's ``percentile`` aggregate — its
+value map is then bounded by that count. Larger columns use the distributed
+selection of ``quantiles.exact_quantiles``, so no task ever holds a whole
+column. The bounds table has one row per column (a broadcast bounded by the
+number of columns); counts and the first ``n_samples`` outliers per column
+come from one tall pass (the row_number limit is applied per map task before
+the shuffle).
 """
 
 from __future__ import annotations
@@ -15,44 +18,61 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions.numeric import np_round
+from tidepanel.operators.quantiles import exact_quantiles
+
+BOUNDS_SCHEMA = "column string, q1 double, q3 double, multiplier double, __rows bigint"
+
+
+def quartiles(df: DataFrame, cols: Sequence[str], exact_limit: int = 2_000_000) -> tuple[dict, int]:
+    """{column: (q1, q3)} with linear interpolation (NULLs skipped), and the row count."""
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
+                    *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    n_rows = counts["__rows"]
+    small = [c for i, c in enumerate(cols) if counts[f"n{i}"] <= exact_limit]
+    out: dict[str, tuple] = {}
+    if small:
+        q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")
+                     for i, c in enumerate(small)]).first()
+        for i, c in enumerate(small):
+            out[c] = tuple(q[f"q{i}"]) if q[f"q{i}"] is not None else (None, None)
+    for i, c in enumerate(cols):
+        if c not in out:
+            out[c] = tuple(exact_quantiles(df, c, [0.25, 0.75], n=counts[f"n{i}"]))
+    return out, n_rows
 
 
 def iqr_outliers(df: DataFrame, multipliers: Mapping[str, float], order_by: Sequence[str],
-                 n_samples: int = 5, digits: int | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Per column (and per ``by`` group): q1, q3 (linear interpolation, NULLs
-    skipped), iqr, bounds ``q -/+ m * iqr``, count of values strictly outside,
-    their share of *all* rows (NULLs included) and the first ``n_samples``
-    outlier values in ``order_by`` order. An all-NULL column reports 0.
+                 n_samples: int = 5, digits: int | None = None, exact_limit: int = 2_000_000) -> DataFrame:
+    """Per column: q1, q3, iqr, bounds ``q -/+ m * iqr``, count of values strictly
+    outside, their share of *all* rows (NULLs included) and the first
+    ``n_samples`` outlier values in ``order_by`` order. An all-NULL column
+    reports 0 outliers.
     """
     cols = [c for c in multipliers if c in df.columns]
-    by = list(by)
-    ids = by + [c for c in order_by if c not in by]
-    tall = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]) \
-        .unpivot(ids, cols, "column", "value")
-    mult = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(multipliers[c])))])
-    keys = by + ["column"]
-    q = F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.75)))
-    stats = (tall.groupBy(*keys).agg(q.alias("__q"), F.count(F.lit(1)).alias("__rows"))
-             .select(*keys, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"), "__rows")
-             .withColumn("multiplier", F.element_at(mult, F.col("column")))
-             .withColumn("iqr", F.col("q3") - F.col("q1"))
+    qs, n_rows = quartiles(df, cols, exact_limit)
+    spark = df.sparkSession
+    stats = spark.createDataFrame([(c, qs[c][0], qs[c][1], float(multipliers[c]), n_rows) for c in cols],
+                                  BOUNDS_SCHEMA)
+    stats = (stats.withColumn("iqr", F.col("q3") - F.col("q1"))
              .withColumn("lower_bound", F.col("q1") - F.col("multiplier") * F.col("iqr"))
              .withColumn("upper_bound", F.col("q3") + F.col("multiplier") * F.col("iqr")))
-    b = stats.select(*keys, "lower_bound", "upper_bound")
-    if not by:
-        b = F.broadcast(b)  # one row per column
-    flagged = tall.join(b, keys).where((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    ids = list(order_by)
+    tall = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(ids, cols, "column", "value")
+    b = F.broadcast(stats.select("column", "lower_bound", "upper_bound"))  # one row per column
+    flagged = tall.join(b, "column").where((F.col("value") < F.col("lower_bound"))
+                                           | (F.col("value") > F.col("upper_bound")))
+    w = Window.partitionBy("column").orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     firsts = flagged.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n_samples)
-    samples = firsts.groupBy(*keys).agg(*[F.max(F.when(F.col("__rn") == i, F.col("value"))).alias(f"sample_{i}")
-                                          for i in range(1, n_samples + 1)])
-    counts = flagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("outliers_count"))
-    out = stats.join(counts, keys, "left").join(samples, keys, "left")
+    samples = firsts.groupBy("column").agg(*[F.max(F.when(F.col("__rn") == i, F.col("value"))).alias(f"sample_{i}")
+                                             for i in range(1, n_samples + 1)])
+    counts = flagged.groupBy("column").agg(F.count(F.lit(1)).alias("outliers_count"))
+    out = stats.join(counts, "column", "left").join(samples, "column", "left")
     cnt = F.coalesce(F.col("outliers_count"), F.lit(0)).cast("bigint")
     return out.select(
-        *keys, F.lit("iqr").alias("method"),
+        "column", F.lit("iqr").alias("method"),
         *[np_round(F.col(c), digits).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
         "multiplier", cnt.alias("outliers_count"),
-        (cnt / F.col("__rows") * F.lit(100.0)).alias("outlier_percentage"),
+        F.when(F.col("__rows") > 0, cnt / F.col("__rows") * F.lit(100.0)).otherwise(F.lit(0.0))
+        .alias("outlier_percentage"),
         *[f"sample_{i}" for i in range(1, n_samples + 1)],
     )
