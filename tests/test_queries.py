@@ -57,3 +57,14 @@ def test_query_matches_oracle(spark, con, name):
         return
     opdf = con.execute(sql).df()
     assert _rows(spdf) == _rows(opdf)
+
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin",
+             "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_python_udf_or_cross_join(spark, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [b for b in FORBIDDEN if b in plan]
