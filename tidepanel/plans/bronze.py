@@ -38,3 +38,36 @@ def transport_from_sheet(sheet: DataFrame, aliases: Mapping[str, str], members,
                              for m in MODES})
     return wide.select("country", "country_code", "year", *[f"tourists_{m}" for m in (*MODES, "total")],
                        *[f"pct_{m}" for m in MODES])
+
+
+# Columns the emissions source may carry (the available ones are kept).
+CO2_SOURCE_COLS = ("country", "year", "co2", "co2_per_capita", "co2_per_gdp", "cumulative_co2", "methane",
+                   "nitrous_oxide", "gdp", "population", "energy_per_capita", "share_global_co2")
+
+
+def co2_from_wide(raw: DataFrame, aliases: Mapping[str, str], members, codes: DataFrame | Mapping,
+                  start: int, end: int) -> DataFrame:
+    """Wide landed table (text columns) -> typed bronze emissions panel.
+
+    canonical names -> member filter -> period filter -> available source
+    columns -> code lookup -> numeric coercion -> sorted, duplicates flagged.
+    """
+    from tidepanel.operators.clean import flag_duplicates, select_available
+
+    df = raw.withColumn("country", alias_lookup("country", aliases))
+    df = filter_members(df, "country", members)
+    df = df.withColumn("year", to_numeric("year", "bigint"))
+    df = filter_period(df, start, end)
+    df, _missing = select_available(df, CO2_SOURCE_COLS)
+    df = map_code(df, "country", "country_code", codes)
+    nums = [c for c in df.columns if c not in ("country", "country_code", "year")]
+    df = df.withColumns({c: to_numeric(c) for c in nums})
+    df = df.select("country", "country_code", "year", *nums)
+    return flag_duplicates(df, ["country_code", "year"])
+
+
+def tourism_from_indicators(frames) -> DataFrame:
+    """Single-indicator frames (country, country_code, year, value) -> one table (full outer)."""
+    from tidepanel.operators.assemble import assemble_indicators
+
+    return assemble_indicators(list(frames), ["country", "country_code", "year"])

@@ -263,3 +263,52 @@ def q_stream_landing_ingest(spark, d):
         p.where(cond).write.mode("append").option("header", "true").csv(landing)
         ingest_landed(spark, landing, raw_schema, bronze, ckpt, transform=lambda s: apply_schema(s, CO2_SPEC))
     return readers.read_partitioned(spark, bronze).select(*CO2_COLS)
+
+
+@register("bronze_co2_from_csv", with_ctes("""
+select country, country_code, year, co2, gdp, population from panel_co2 where year between 1996 and 2001""",
+                                           "panel_co2"))
+def q_bronze_co2_from_csv(spark, d):
+    """C6 emissions: wide CSV with raw names -> bronze chain -> gate -> partitioned write -> read back."""
+    from tidepanel.operators.quality import enforce_gate, ingest_gate
+    from tidepanel.plans import bronze
+
+    landing, out = scratch_dir(spark, "co2_landing"), scratch_dir(spark, "co2_bronze")
+    p = panels.panel_co2(spark, d)
+    nk = F.substring(F.col("country_code"), 2, 10).cast("int")
+    raw = p.select(F.when(nk % 4 == 0, F.concat(F.col("country"), F.lit(" (Rep.)"))).otherwise(F.col("country"))
+                   .alias("country"), F.lit("XXX").alias("iso_code"), "year", "co2", "gdp", "population",
+                   F.lit("").alias("notes"))
+    raw.write.mode("overwrite").option("header", "true").csv(landing)
+    codes = panels.nation_codes(spark, d)
+    df = bronze.co2_from_wide(readers.read_csv_wide(spark, landing), panels.reporter_aliases(),
+                              codes.select("country"), codes, 1996, 2001)
+    enforce_gate(ingest_gate(df, {"co2": 30.0}))
+    sinks.write_bronze_partitioned(df.drop("is_duplicate"), out)
+    return readers.read_partitioned(spark, out).select(*CO2_COLS)
+
+
+@register("bronze_tourism_from_json", with_ctes("""
+select country, country_code, year, tourist_arrivals, tourism_receipts_usd, tourist_departures
+from panel_tourism where year between 1995 and 2001""", "panel_tourism"))
+def q_bronze_tourism_from_json(spark, d):
+    """C6 tourism: three nested-JSON indicators -> flat -> full-outer assembly (J1) -> write -> read back."""
+    from tidepanel.plans import bronze
+
+    p = panels.panel_tourism(spark, d)
+    dim = panels.dim_country(spark, d)
+    members = panels.nation_codes(spark, d).select("country")
+    frames = []
+    for col, ind in (("tourist_arrivals", "ST.INT.ARVL"), ("tourism_receipts_usd", "ST.INT.RCPT.CD"),
+                     ("tourist_departures", "ST.INT.DPRT")):
+        path = scratch_dir(spark, f"wb_{ind}")
+        p.join(dim, "country_code").select(
+            F.struct(F.lit(ind).alias("id"), F.lit(col).alias("value")).alias("indicator"),
+            F.struct(F.col("country_code_iso2").alias("id"), F.col("country").alias("value")).alias("country"),
+            F.col("country_code").alias("countryiso3code"), F.col("year").cast("string").alias("date"),
+            F.col(col).alias("value")).write.mode("overwrite").json(path)
+        frames.append(readers.read_json_indicator(spark, path, col, members, 1995, 2001))
+    out = scratch_dir(spark, "tourism_bronze")
+    sinks.write_bronze_partitioned(bronze.tourism_from_indicators(frames), out)
+    return readers.read_partitioned(spark, out).select("country", "country_code", "year", "tourist_arrivals",
+                                                       "tourism_receipts_usd", "tourist_departures")
