@@ -160,3 +160,13 @@ def test_iqr_outliers_large_path_equals_small_path(spark):
     small = iqr_outliers(df, {"a": 1.5, "b": 3.0}, ["i"], digits=9).orderBy("column").collect()
     large = iqr_outliers(df, {"a": 1.5, "b": 3.0}, ["i"], digits=9, exact_limit=10).orderBy("column").collect()
     assert [tuple(r) for r in small] == [tuple(r) for r in large]
+
+
+def test_iqr_outliers_approx_method_close_to_exact(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(rng.normal(0, 1, 3000))], "i long, a double")
+    ex = iqr_outliers(df, {"a": 1.5}, ["i"]).collect()[0]
+    ap = iqr_outliers(df, {"a": 1.5}, ["i"], method="approx").collect()[0]
+    assert abs(ex.q1 - ap.q1) < 0.01 and abs(ex.q3 - ap.q3) < 0.01

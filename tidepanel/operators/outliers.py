@@ -23,13 +23,28 @@ from tidepanel.operators.quantiles import exact_quantiles
 BOUNDS_SCHEMA = "column string, q1 double, q3 double, multiplier double, __rows bigint"
 
 
-def quartiles(df: DataFrame, cols: Sequence[str], exact_limit: int = 2_000_000) -> tuple[dict, int]:
-    """{column: (q1, q3)} with linear interpolation (NULLs skipped), and the row count."""
-    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
-                    *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    n_rows = counts["__rows"]
-    small = [c for i, c in enumerate(cols) if counts[f"n{i}"] <= exact_limit]
+def quartiles(df: DataFrame, cols: Sequence[str], exact_limit: int = 2_000_000, method: str = "exact",
+              accuracy: int = 10_000) -> tuple[dict, int]:
+    """{column: (q1, q3)} with linear interpolation (NULLs skipped), and the row count.
+
+    method="approx" uses ``percentile_approx`` (one pass, rank error <= n / accuracy)
+    for dashboards that can trade exactness for a single pass.
+    """
+    n_rows = df.count()  # a Parquet scan answers this from file metadata
     out: dict[str, tuple] = {}
+    if method == "approx":
+        q = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy).alias(f"q{i}")
+                     for i, c in enumerate(cols)]).first()
+        return {c: tuple(q[f"q{i}"]) if q[f"q{i}"] is not None else (None, None) for i, c in enumerate(cols)}, n_rows
+    if n_rows <= exact_limit:
+        # every column has at most n_rows values: the exact aggregate's value map is bounded
+        q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")
+                     for i, c in enumerate(cols)]).first()
+        for i, c in enumerate(cols):
+            out[c] = tuple(q[f"q{i}"]) if q[f"q{i}"] is not None else (None, None)
+        return out, n_rows
+    counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    small = [c for i, c in enumerate(cols) if counts[f"n{i}"] <= exact_limit]
     if small:
         q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")
                      for i, c in enumerate(small)]).first()
@@ -42,14 +57,15 @@ def quartiles(df: DataFrame, cols: Sequence[str], exact_limit: int = 2_000_000)
 
 
 def iqr_outliers(df: DataFrame, multipliers: Mapping[str, float], order_by: Sequence[str],
-                 n_samples: int = 5, digits: int | None = None, exact_limit: int = 2_000_000) -> DataFrame:
+                 n_samples: int = 5, digits: int | None = None, exact_limit: int = 2_000_000,
+                 method: str = "exact") -> DataFrame:
     """Per column: q1, q3, iqr, bounds ``q -/+ m * iqr``, count of values strictly
     outside, their share of *all* rows (NULLs included) and the first
     ``n_samples`` outlier values in ``order_by`` order. An all-NULL column
     reports 0 outliers.
     """
     cols = [c for c in multipliers if c in df.columns]
-    qs, n_rows = quartiles(df, cols, exact_limit)
+    qs, n_rows = quartiles(df, cols, exact_limit, method)
     spark = df.sparkSession
     stats = spark.createDataFrame([(c, qs[c][0], qs[c][1], float(multipliers[c]), n_rows) for c in cols],
                                   BOUNDS_SCHEMA)

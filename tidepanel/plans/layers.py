@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,15 +52,23 @@ def lake(spark: SparkSession, d: str) -> dict[str, str]:
             "fact": f"{base}/gold/fact_tourism_emissions",
             "dim": f"{base}/gold/dim_country",
         }
-        write_table(build_silver_co2(spark, d), paths["silver_co2"], SORT)
-        # one lineitem scan feeds both supplier-side panels
-        write_table(panels.line_supplier_agg(spark, d), paths["line_agg"])
-        la = spark.read.parquet(paths["line_agg"])
-        write_table(build_silver_tourism(spark, d, la), paths["silver_tourism"], SORT)
-        write_table(build_silver_transport(spark, d, la), paths["silver_transport"], SORT)
+        def supplier_side():
+            # one lineitem scan feeds both supplier-side panels
+            write_table(panels.line_supplier_agg(spark, d), paths["line_agg"])
+            la = spark.read.parquet(paths["line_agg"])
+            with ThreadPoolExecutor(2) as pool:
+                list(pool.map(lambda f: f(), [
+                    lambda: write_table(build_silver_tourism(spark, d, la), paths["silver_tourism"], SORT),
+                    lambda: write_table(build_silver_transport(spark, d, la), paths["silver_transport"], SORT)]))
+
+        # independent branches run as concurrent Spark jobs (the scheduler shares the executors)
+        with ThreadPoolExecutor(3) as pool:
+            list(pool.map(lambda f: f(), [
+                lambda: write_table(build_silver_co2(spark, d), paths["silver_co2"], SORT),
+                supplier_side,
+                lambda: write_table(panels.dim_country(spark, d), paths["dim"], ["country_code"])]))
         s = {k: spark.read.parquet(paths[k]) for k in ("silver_co2", "silver_tourism", "silver_transport")}
         write_table(gold.gold_fact(s["silver_co2"], s["silver_tourism"], s["silver_transport"]), paths["fact"], SORT)
-        write_table(panels.dim_country(spark, d), paths["dim"], ["country_code"])
         _LAKES[key] = paths
         return paths
 
