@@ -196,8 +196,11 @@ SLICE_METRICS = {
 
 def custom_slice(df: DataFrame, countries: Sequence[str], metric: str, start: int, end: int,
                  entity: str = "country_code", name: str = "country", period: str = "year",
-                 metrics: Mapping[str, str] = SLICE_METRICS) -> DataFrame:
-    """Parametrised slice: members (empty = all) x metric x [start, end]."""
+                 metrics: Mapping[str, str] = SLICE_METRICS, require_rows: bool = False) -> DataFrame:
+    """Parametrised slice: members (empty = all) x metric x [start, end].
+
+    ``require_rows`` raises when the slice is empty (checked with a one-row probe).
+    """
     if start > end:
         raise ValueError("start must be <= end")
     if metric not in metrics:
@@ -206,5 +209,7 @@ def custom_slice(df: DataFrame, countries: Sequence[str], metric: str, start: in
     out = df
     if countries:
         out = out.where(F.col(entity).isin(list(countries)))
-    out = out.where(F.col(period).between(start, end))
-    return out.select(name, entity, period, F.col(col).alias("value"))
+    out = out.where(F.col(period).between(start, end)).select(name, entity, period, F.col(col).alias("value"))
+    if require_rows and not out.limit(1).collect():
+        raise ValueError("no rows for the requested slice")
+    return out

@@ -36,8 +36,12 @@ def endpoint_growth(df: DataFrame, value: str, period: str = "year", out: str =
                   np_round((F.try_divide(last, first) - F.lit(1.0)) * F.lit(100.0), digits).alias(out))
 
 
-def arg_extreme(df: DataFrame, label: str, by: str, largest: bool = True, tie_break: Sequence[str] = ()) -> DataFrame:
-    """The row with the largest (or smallest) ``by``; ties broken by ``tie_break`` then label."""
+def arg_extreme(df: DataFrame, label: str, by: str, largest: bool = True, tie_break: Sequence = ()) -> DataFrame:
+    """The row with the largest (or smallest) ``by``.
+
+    Ties follow ``tie_break`` (column names sort ascending; pass Columns such
+    as ``F.col(x).desc()`` for other directions), then ``label``.
+    """
     o = [F.col(by).desc_nulls_last() if largest else F.col(by).asc_nulls_last()]
-    o += [F.col(c).asc_nulls_last() for c in tie_break] + [F.col(label).asc()]
+    o += [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in tie_break] + [F.col(label).asc()]
     return df.where(F.col(by).isNotNull()).orderBy(*o).limit(1)

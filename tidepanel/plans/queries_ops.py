@@ -306,13 +306,15 @@ select n_countries, n_years,
        {rnd('case when total_arrivals > 100000 then total_arrivals / 1000 else total_arrivals end', 1)}
          as total_arrivals_scaled
 from (select count(distinct country_code) as n_countries, count(distinct year) as n_years,
-             {xsum('co2')} as total_co2, coalesce({xsum('tourist_arrivals')}, 0) as total_arrivals from fact)""",
+             coalesce({xsum('co2')}, 0) as total_co2, coalesce({xsum('tourist_arrivals')}, 0) as total_arrivals
+      from fact)""",
                                         "fact"))
 def q_kpi_overview_api(spark, d):
     """Counts and magnitude-scaled totals (co2 /1000 above 1000; arrivals /1000 above 100 000), r1."""
     f = fact(spark, d)
     a = f.agg(F.countDistinct("country_code").alias("n_countries"), F.countDistinct("year").alias("n_years"),
-              exact_sum("co2").alias("co2"), F.coalesce(exact_sum("tourist_arrivals"), F.lit(0.0)).alias("arr"))
+              F.coalesce(exact_sum("co2"), F.lit(0.0)).alias("co2"),
+              F.coalesce(exact_sum("tourist_arrivals"), F.lit(0.0)).alias("arr"))
     return a.select("n_countries", "n_years",
                     np_round(F.when(F.col("co2") > 1000, F.col("co2") / 1000).otherwise(F.col("co2")), 1)
                     .alias("total_co2_scaled"),
@@ -406,7 +408,7 @@ select * from (select 'max_avg_gdp_growth' as metric, country, avg_gdp_growth as
                order by avg_gdp_growth desc, avg_co2_intensity asc, country limit 1)
 union all
 select * from (select 'min_avg_co2_intensity', country, avg_co2_intensity from q3
-               order by avg_co2_intensity asc, country limit 1)""", "fact", extra=_Q3))
+               order by avg_co2_intensity asc, avg_gdp_growth desc, country limit 1)""", "fact", extra=_Q3))
 def q_argmax_argmin(spark, d):
     """Country with the highest mean growth and with the lowest mean intensity."""
     f = fact(spark, d)
@@ -417,7 +419,7 @@ def q_argmax_argmin(spark, d):
                exact_avg("co2_intensity_gdp").alias("avg_co2_intensity")))
     hi = stats.arg_extreme(q3, "country", "avg_gdp_growth", True, ["avg_co2_intensity"]) \
         .select(F.lit("max_avg_gdp_growth").alias("metric"), "country", F.col("avg_gdp_growth").alias("value"))
-    lo = stats.arg_extreme(q3, "country", "avg_co2_intensity", False) \
+    lo = stats.arg_extreme(q3, "country", "avg_co2_intensity", False, [F.col("avg_gdp_growth").desc_nulls_last()]) \
         .select(F.lit("min_avg_co2_intensity").alias("metric"), "country", F.col("avg_co2_intensity").alias("value"))
     return hi.unionByName(lo)
 
