@@ -47,13 +47,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    The shared folder is read from the session. Only when it is unset (local
-    tests) do we create one under the system temp dir and record it in the
-    session so that ``DataFrame.checkpoint()`` works too.
+    The shared folder is read from the session. Only when it is unset *and*
+    the master is local (tests, single-machine runs) do we create one under
+    the system temp dir; on a cluster an unset folder is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tidepanel-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS/S3)")
+        base = tempfile.mkdtemp(prefix="tidepanel-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)

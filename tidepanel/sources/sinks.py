@@ -49,17 +49,19 @@ def export_open_data(df: DataFrame, base: str, version: str, layer: str, table:
 
 
 def table_metadata(df: DataFrame, table: str, entity: str = "country_code", period: str = "year",
-                   list_members: bool = True) -> DataFrame:
-    """IO11: one aggregation -> rows, columns, period range, sorted member list.
+                   max_listed: int = 10_000) -> DataFrame:
+    """IO11: rows, columns, period range, member count and the sorted member list.
 
-    ``list_members=False`` reports only the member count (for entity domains
-    too large to list in one value).
+    The member list is built only when a first distinct count proves it has
+    at most ``max_listed`` entries (otherwise NULL), so no single value or
+    task ever collects an unbounded entity domain.
     """
-    members = (F.array_join(F.array_sort(F.collect_set(entity)), ",") if list_members
+    n_members = df.select(F.countDistinct(entity)).first()[0]
+    members = (F.array_join(F.array_sort(F.collect_set(entity)), ",") if n_members <= max_listed
                else F.lit(None).cast("string"))
     return df.agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("n_rows"),
                   F.lit(len(df.columns)).alias("n_columns"), F.min(period).alias("period_min"),
-                  F.max(period).alias("period_max"), F.countDistinct(entity).alias("n_members"),
+                  F.max(period).alias("period_max"), F.lit(n_members).cast("bigint").alias("n_members"),
                   members.alias("members"))
 
 
