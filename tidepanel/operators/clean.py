@@ -185,11 +185,12 @@ def latest_period(df: DataFrame, period: str = "year", valid: Column | None = No
 
 
 # ── PF15 ────────────────────────────────────────────────────────────────────
-# Public metric names of the custom slice and their columns.
+# Public metric names of the custom slice and their columns
+# (per-capita emissions are the derived column of the silver layer).
 SLICE_METRICS = {
     "co2": "co2",
     "arrivals": "tourist_arrivals",
-    "co2_per_capita": "co2_per_capita",
+    "co2_per_capita": "co2_per_capita_calc",
     "yoy": "arrivals_growth_pct",
 }
 

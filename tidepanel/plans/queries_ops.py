@@ -34,6 +34,33 @@ _WF = "partition by country_code order by year rows between current row and unbo
 _WO = "partition by country_code order by year"
 
 
+# Pre/post periods of J5 / API Q7: the requested years, falling back to the first/last year.
+_YRS = f"""select case when count(*) filter (where year = {PRE_YEAR}) > 0 then {PRE_YEAR} else min(year) end as pre,
+               case when count(*) filter (where year = {POST_YEAR}) > 0 then {POST_YEAR} else max(year) end as post
+        from merged"""
+
+
+def _pre_post(m):
+    has = lambda y: m.select(F.count(F.when(F.col("year") == y, 1)) > 0).scalar()
+    pre = F.when(has(PRE_YEAR), F.lit(PRE_YEAR)).otherwise(m.select(F.min("year")).scalar())
+    post = F.when(has(POST_YEAR), F.lit(POST_YEAR)).otherwise(m.select(F.max("year")).scalar())
+    return pre, post
+
+
+_CMP_SQL = """
+select country_name, coalesce(sum(case when year = (select pre from yrs) then tourist_arrivals end), 0) as arrivals_pre,
+       coalesce(sum(case when year = (select post from yrs) then tourist_arrivals end), 0) as arrivals_post
+from merged where country_name is not null and (year = (select pre from yrs) or year = (select post from yrs))
+group by country_name
+having count(case when year = (select pre from yrs) then 1 end) > 0
+   and count(case when year = (select post from yrs) then 1 end) > 0"""
+
+
+_PC_SQL = with_ctes(_CMP_SQL, "merged", extra={"yrs": _YRS})
+_Q7_SQL = with_ctes("select * from pc order by arrivals_post desc, country_name limit 15", "merged",
+                    extra={"yrs": _YRS, "pc": _CMP_SQL})
+
+
 # ── 2.2 projections / filters ───────────────────────────────────────────────
 @register("normalize_names", with_ctes(f"""
 select reporter_area_label, {_NORM_SQL} as country, year, indicator_label, value from long_sheet""", "long_sheet"))
@@ -221,28 +248,7 @@ def q_fact_with_dim(spark, d):
     return merged(spark, d)
 
 
-_YRS = f"""select case when count(*) filter (where year = {PRE_YEAR}) > 0 then {PRE_YEAR} else min(year) end as pre,
-               case when count(*) filter (where year = {POST_YEAR}) > 0 then {POST_YEAR} else max(year) end as post
-        from merged"""
-
-
-def _pre_post(m):
-    has = lambda y: m.select(F.count(F.when(F.col("year") == y, 1)) > 0).scalar()
-    pre = F.when(has(PRE_YEAR), F.lit(PRE_YEAR)).otherwise(m.select(F.min("year")).scalar())
-    post = F.when(has(POST_YEAR), F.lit(POST_YEAR)).otherwise(m.select(F.max("year")).scalar())
-    return pre, post
-
-
-_CMP_SQL = """
-select country_name, coalesce(sum(case when year = (select pre from yrs) then tourist_arrivals end), 0) as arrivals_pre,
-       coalesce(sum(case when year = (select post from yrs) then tourist_arrivals end), 0) as arrivals_post
-from merged where country_name is not null and (year = (select pre from yrs) or year = (select post from yrs))
-group by country_name
-having count(case when year = (select pre from yrs) then 1 end) > 0
-   and count(case when year = (select post from yrs) then 1 end) > 0"""
-
-
-@register("period_compare", None)  # oracle attached at the end of the module
+@register("period_compare", _PC_SQL)
 def q_period_compare(spark, d):
     """Per label, arrivals in the pre and the post period (both must exist)."""
     m = merged(spark, d)
@@ -587,7 +593,7 @@ def q_api_q5(spark, d):
     return q_latest_period(spark, d)
 
 
-@register("api_q7_pre_post", None)
+@register("api_q7_pre_post", _Q7_SQL)
 def q_api_q7(spark, d):
     """API Q7: pre vs post arrivals per country, top 15 by post."""
     return rank.top_k(q_period_compare(spark, d), "arrivals_post", 15, ["country_name"])
@@ -714,12 +720,3 @@ def q_bronze_transport(spark, d):
     members = panels.nation_codes(spark, d).select("country")
     return bronze.transport_from_sheet(panels.long_indicator_sheet(spark, d), _ALIASES, members,
                                        panels.nation_codes(spark, d), 1995, 2001)
-
-
-# J5 / Q7 oracles (defined after the helpers they use)
-_PC_SQL = with_ctes(_CMP_SQL, "merged", extra={"yrs": _YRS})
-from tidepanel.plans.registry import QUERIES as _Q  # noqa: E402
-
-_Q["period_compare"].sql = _PC_SQL
-_Q["api_q7_pre_post"].sql = with_ctes("select * from pc order by arrivals_post desc, country_name limit 15", "merged",
-                                      extra={"yrs": _YRS, "pc": _CMP_SQL})
