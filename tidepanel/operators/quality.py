@@ -61,7 +61,8 @@ def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds
 
     Flags: a column whose NULL % is strictly above its threshold, members of
     ``expected_members`` with no rows, periods of [start, end] with no rows;
-    "OK" when there are none.
+    "OK" when there are none. ``members_covered`` lists the expected members
+    that have rows (bounded by the expected list, never the whole domain).
     """
     cols = after.columns
     a = after.agg(
@@ -97,6 +98,8 @@ def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds
         F.lit(dataset).alias("dataset"), "rows_before", "rows_after",
         (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
         F.col("n_entities").alias("entities_covered"),
+        (F.array_join(F.array_sort(F.col("__present")), ",") if expected_members else F.lit(None).cast("string"))
+        .alias("members_covered"),
         F.array_join(F.col("__periods").cast("array<string>"), ",").alias("periods_covered"),
         F.array_join("__mm", ",").alias("missing_members"),
         F.array_join(F.col("__mp").cast("array<string>"), ",").alias("missing_periods"),

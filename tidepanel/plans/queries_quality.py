@@ -69,6 +69,8 @@ def _report_sql(name: str, src: str, before: str, cols: list[str], thresholds: d
     fl = f"list_filter([{', '.join(flags)}], lambda x: x is not null)"
     return f"""select '{name}' as dataset, (select count(*) from {before}) as rows_before, count(*) as rows_after,
        (select count(*) from {before}) - count(*) as rows_dropped, count(distinct country_code) as entities_covered,
+       array_to_string(list_sort(list_filter(list(distinct country_code), lambda m: list_contains([{_EXP_SQL}], m))),
+                       ',') as members_covered,
        array_to_string(list_sort(list(distinct year)), ',') as periods_covered, {mm} as missing_members,
        {mp} as missing_periods,
        case when len({fl}) = 0 then 'OK - no alerts' else array_to_string({fl}, ' | ') end as quality_flags
