@@ -276,3 +276,10 @@ def suite_summary(results: DataFrame) -> DataFrame:
     return g.withColumn("summary", F.when(F.col("failed") == 0,
                                           F.format_string("%d/%d checks OK", "passed", "total_checks"))
                         .otherwise(F.format_string("%d/%d checks FAILED", "failed", "total_checks")))
+
+
+def suite_report(df: DataFrame, checks: Sequence[Mapping], dataset: str, layer: str) -> DataFrame:
+    """DQ10 report row: total / passed / failed / summary plus table stats (rows, columns)."""
+    res = suite_summary(run_suite(df, checks, dataset, layer))
+    n_rows = df.select(F.count(F.lit(1))).scalar()
+    return res.withColumns({"n_rows": n_rows, "n_cols": F.lit(len(df.columns))})

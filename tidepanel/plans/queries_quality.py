@@ -238,13 +238,16 @@ _SRC = {("silver", "co2_emissions"): "silver_co2", ("silver", "tourism_arrivals"
         ("gold", "dim_country"): "dim_country"}
 
 
+def _frame_of(spark, d, layer, name):
+    return {("silver", "co2_emissions"): s_co2, ("silver", "tourism_arrivals"): s_tourism,
+            ("silver", "transport_mode"): s_transport, ("gold", "fact_tourism_emissions"): fact,
+            ("gold", "dim_country"): panels.dim_country}[(layer, name)](spark, d)
+
+
 def _suite_frames(spark, d):
-    frames = {("silver", "co2_emissions"): s_co2(spark, d), ("silver", "tourism_arrivals"): s_tourism(spark, d),
-              ("silver", "transport_mode"): s_transport(spark, d),
-              ("gold", "fact_tourism_emissions"): fact(spark, d), ("gold", "dim_country"): panels.dim_country(spark, d)}
     out = None
     for (layer, name), checks in SUITES.items():
-        r = quality.run_suite(frames[(layer, name)], checks, name, layer)
+        r = quality.run_suite(_frame_of(spark, d, layer, name), checks, name, layer)
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -260,17 +263,25 @@ def q_run_suite(spark, d):
     return _suite_frames(spark, d)
 
 
-@register("suite_summary", with_ctes("""
+_NCOLS = {"silver_co2": 10, "silver_tourism": 8, "silver_transport": 11, "fact": 26, "dim_country": 4}
+
+
+@register("suite_summary", with_ctes("\nunion all\n".join(f"""
 select dataset, layer, count(*) as total_checks, count(*) filter (where ok) as passed,
        count(*) filter (where not ok) as failed,
        case when count(*) filter (where not ok) = 0
             then printf('%d/%d checks OK', count(*) filter (where ok), count(*))
-            else printf('%d/%d checks FAILED', count(*) filter (where not ok), count(*)) end as summary
-from r group by dataset, layer""", "silver_co2", "silver_tourism", "silver_transport", "fact", "dim_country",
-                                     extra={"r": _SUITE_SQL}))
+            else printf('%d/%d checks FAILED', count(*) filter (where not ok), count(*)) end as summary,
+       (select count(*) from {_SRC[k]}) as n_rows, {_NCOLS[_SRC[k]]} as n_cols
+from ({_suite_sql(k[1], k[0], _SRC[k], checks)}) group by dataset, layer""" for k, checks in SUITES.items()),
+                                     "silver_co2", "silver_tourism", "silver_transport", "fact", "dim_country"))
 def q_suite_summary(spark, d):
-    """DQ10 report: total / passed / failed / summary per dataset."""
-    return quality.suite_summary(_suite_frames(spark, d))
+    """DQ10 report: total / passed / failed / summary and table stats per dataset."""
+    out = None
+    for (layer, name), checks in SUITES.items():
+        r = quality.suite_report(_frame_of(spark, d, layer, name), checks, name, layer)
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 def _one_check(name, layer, src_cte, check, frame_fn):
