@@ -130,16 +130,45 @@ def q_read_long_indicators(spark, d):
     return readers.read_long_indicators(spark, path, "csv")
 
 
+# Descriptive fields of the exported fact.
+FACT_INFO = {"title": "Tourism and emissions panel", "license": "CC BY 4.0",
+             "source": "Derived from the warehouse tables (orders, lineitem, customer, supplier, nation)"}
+
+
+def _export(spark, d):
+    return sinks.export_open_data(fact(spark, d), scratch_dir(spark, "open-data"), "v1", "gold",
+                                  "fact_tourism_emissions", FACT_DOCS, FACT_INFO, "2001-12-31")
+
+
 @register("export_open_data", with_ctes("select count(*) as rows_parquet, count(*) as rows_csv from fact", "fact"))
 def q_export_open_data(spark, d):
     """IO10: versioned Parquet + CSV export; both read back."""
-    out = sinks.export_open_data(fact(spark, d), scratch_dir(spark, "open-data"), "v1", "gold", "fact_tourism_emissions")
+    out = _export(spark, d)
     n_pq = spark.read.parquet(out["parquet"]).count()
     n_csv = spark.read.option("header", "true").csv(out["csv"]).count()
     return spark.range(1).select(F.lit(n_pq).cast("bigint").alias("rows_parquet"),
                                  F.lit(n_csv).cast("bigint").alias("rows_csv"))
 
 
+@register("open_data_metadata", None)  # oracle attached below (needs FACT_DOCS)
+def q_open_data_metadata(spark, d):
+    """IO11 export: metadata.json read back -> one row per column (type, unit, NULL %) plus identity/rows."""
+    out = _export(spark, d)
+    schema = ("dataset_id string, version string, license string, rows bigint, "
+              "null_pct map<string,double>, schema map<string,struct<type:string,unit:string,description:string>>")
+    m = spark.read.schema(schema).json(out["metadata"])
+    return m.select("dataset_id", "version", "license", "rows", F.explode("null_pct").alias("column", "null_pct"),
+                    "schema").select("dataset_id", "version", "license", "rows", "column", "null_pct",
+                                     F.col("schema")[F.col("column")]["type"].alias("type"),
+                                     F.col("schema")[F.col("column")]["unit"].alias("unit"))
+
+
+@register("data_dictionary_markdown", None)  # oracle attached below (needs FACT_DOCS)
+def q_data_dictionary_markdown(spark, d):
+    """IO12 export: data_dictionary.md read back as lines."""
+    return spark.read.text(_export(spark, d)["dictionary"])
+
+
 @register("table_metadata", with_ctes("""
 select 'fact_tourism_emissions' as "table", count(*) as n_rows, 26 as n_columns, min(year) as period_min,
        max(year) as period_max, count(distinct country_code) as n_members,
@@ -192,12 +221,40 @@ def _dict_sql() -> str:
     return with_ctes("\nunion all\n".join(parts), "fact")
 
 
+def _meta_sql() -> str:
+    from tidepanel.plans.oracle import rnd
+    parts = [f"""select 'fact_tourism_emissions' as dataset_id, 'v1' as version, 'CC BY 4.0' as license,
+       (select count(*) from fact) as rows, '{c}' as "column",
+       {rnd(f"avg(case when {c} is null then 1.0 else 0.0 end) * 100.0", 1)} as null_pct,
+       '{_FACT_TYPES[c]}' as type, '{FACT_DOCS[c][0]}' as unit from fact""" for c in FACT_DOCS]
+    return with_ctes("\nunion all\n".join(parts), "fact")
+
+
+def _md_sql() -> str:
+    from tidepanel.plans.oracle import rnd
+    head = [f"# Data Dictionary — fact_tourism_emissions (v1)", ""]
+    head += [f"**{k}:** {v}" for k, v in FACT_INFO.items()] + ["", "| Column | Type | Unit | Description | Null % |",
+                                                               "|--------|------|------|-------------|--------|"]
+    tail = ["", "*Generated on 2001-12-31*"]
+    lits = "\nunion all\n".join(f"select '{t}' as value" for t in head + tail)
+    body = "\nunion all\n".join(
+        f"""select printf('| `%s` | %s | %s | %s | %.1f%% |', '{c}', '{_FACT_TYPES[c]}',
+              '{FACT_DOCS[c][0] or "—"}', '{FACT_DOCS[c][1] or "—"}',
+              {rnd(f"avg(case when {c} is null then 1.0 else 0.0 end) * 100.0", 1)}) from fact"""
+        for c in FACT_DOCS)
+    return with_ctes(lits + "\nunion all\n" + body, "fact")
+
+
 @register("data_dictionary", _dict_sql())
 def q_data_dictionary(spark, d):
     """IO12: one row per column with type, unit, description and % NULL."""
     return sinks.data_dictionary(fact(spark, d), FACT_DOCS)
 
 
+QUERIES["open_data_metadata"].sql = _meta_sql()
+QUERIES["data_dictionary_markdown"].sql = _md_sql()
+
+
 @register("write_report", QUERIES["quality_report"].sql)
 def q_write_report(spark, d):
     """IO13: the silver quality report appended as JSON under run_date=, read back."""

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepanel.functions.numeric import np_round
 from tidepanel.operators.quality import null_profile
 
 
@@ -40,12 +41,66 @@ def write_table(df: DataFrame, path: str, sort_cols: Sequence[str] = ()) -> None
     out.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def export_open_data(df: DataFrame, base: str, version: str, layer: str, table: str) -> dict[str, str]:
-    """IO10: Parquet + CSV (with header) under ``<base>/<version>/<layer>/<table>/``."""
+def export_open_data(df: DataFrame, base: str, version: str, layer: str, table: str,
+                     docs: Mapping[str, tuple[str, str]] | None = None, info: Mapping[str, str] | None = None,
+                     run_date: str | None = None) -> dict[str, str]:
+    """IO10: Parquet + CSV (with header) under ``<base>/<version>/<layer>/<table>/``.
+
+    With ``docs`` (column -> (unit, description)) it also writes
+    ``metadata.json`` (IO11) and ``data_dictionary.md`` (IO12) through the
+    text sink — each is a folder holding one small part file.
+    """
     root = f"{base.rstrip('/')}/{version}/{layer}/{table}"
-    df.write.mode("overwrite").parquet(f"{root}/parquet")
-    df.write.mode("overwrite").option("header", "true").csv(f"{root}/csv")
-    return {"parquet": f"{root}/parquet", "csv": f"{root}/csv", "root": root}
+    out = {"parquet": f"{root}/parquet", "csv": f"{root}/csv", "root": root}
+    df.write.mode("overwrite").parquet(out["parquet"])
+    df.write.mode("overwrite").option("header", "true").csv(out["csv"])
+    if docs is not None:
+        info = dict(info or {})
+        out["metadata"], out["dictionary"] = f"{root}/metadata.json", f"{root}/data_dictionary.md"
+        meta = open_data_metadata(df, table, version, docs, info, {"parquet": out["parquet"], "csv": out["csv"]},
+                                  run_date)
+        meta.repartition(1).write.mode("overwrite").text(out["metadata"])
+        md = dictionary_markdown(data_dictionary(df, docs), table, version, info, run_date)
+        md.repartition(1).sortWithinPartitions("line").select("value").write.mode("overwrite").text(out["dictionary"])
+    return out
+
+
+def open_data_metadata(df: DataFrame, table: str, version: str, docs: Mapping[str, tuple[str, str]],
+                       info: Mapping[str, str], formats: Mapping[str, str], run_date: str | None) -> DataFrame:
+    """One JSON line: identity, licence, row count, formats, NULL % (r1) and schema per column (one pass)."""
+    types = dict(df.dtypes)
+    one = df.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[F.avg(F.col(c).isNull().cast("double")).alias(f"__n{i}") for i, c in enumerate(df.columns)])
+    null_pct = F.create_map(*[x for i, c in enumerate(df.columns)
+                              for x in (F.lit(c), np_round(F.coalesce(F.col(f"__n{i}"), F.lit(0.0)) * 100.0, 1))])
+    schema = F.create_map(*[x for c in df.columns
+                            for x in (F.lit(c), F.struct(F.lit(types[c]).alias("type"),
+                                                         F.lit(docs.get(c, ("", ""))[0]).alias("unit"),
+                                                         F.lit(docs.get(c, ("", ""))[1]).alias("description")))])
+    obj = F.struct(F.lit(table).alias("dataset_id"), F.lit(version).alias("version"),
+                   *[F.lit(v).alias(k) for k, v in info.items()],
+                   F.lit(run_date).alias("last_updated"), F.col("__rows").alias("rows"),
+                   F.struct(*[F.lit(v).alias(k) for k, v in formats.items()]).alias("formats"),
+                   null_pct.alias("null_pct"), schema.alias("schema"))
+    return one.select(F.to_json(obj).alias("value"))
+
+
+def dictionary_markdown(dictionary: DataFrame, table: str, version: str, info: Mapping[str, str],
+                        run_date: str | None) -> DataFrame:
+    """The data dictionary as Markdown lines (``line`` orders them)."""
+    head = [f"# Data Dictionary — {table} ({version})", ""]
+    head += [f"**{k}:** {v}" for k, v in info.items()] + ["", "| Column | Type | Unit | Description | Null % |",
+                                                          "|--------|------|------|-------------|--------|"]
+    tail = ["", f"*Generated on {run_date}*"] if run_date else []
+    spark = dictionary.sparkSession
+    lit_rows = spark.createDataFrame([(i, t) for i, t in enumerate(head)] +
+                                     [(100_000 + i, t) for i, t in enumerate(tail)], "line int, value string")
+    body = dictionary.select((F.col("ordinal") + len(head)).alias("line"),
+                             F.format_string("| `%s` | %s | %s | %s | %.1f%% |", "column", "type",
+                                             F.when(F.col("unit") == "", "—").otherwise(F.col("unit")),
+                                             F.when(F.col("description") == "", "—").otherwise(F.col("description")),
+                                             "null_pct").alias("value"))
+    return lit_rows.unionByName(body)
 
 
 def table_metadata(df: DataFrame, table: str, entity: str = "country_code", period: str = "year",
