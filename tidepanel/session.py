@@ -22,6 +22,30 @@ _DEFAULTS = {
 }
 
 
+# Settings the plans are written for on a large cluster (applied only where the
+# deployment leaves them unset, see ``apply_cluster_settings``). Shuffle width is
+# left to AQE: start wide, coalesce to ~256 MB partitions, split skewed ones.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_settings(spark: SparkSession) -> SparkSession:
+    """Fill in ``CLUSTER_SETTINGS`` that the session does not set itself."""
+    for k, v in CLUSTER_SETTINGS.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+    return spark
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tidepanel") -> SparkSession:
     """Return the active session, or build a local one for tests/bench."""
     active = SparkSession.getActiveSession()
