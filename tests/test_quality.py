@@ -170,3 +170,25 @@ def test_iqr_outliers_approx_method_close_to_exact(spark):
     ex = iqr_outliers(df, {"a": 1.5}, ["i"]).collect()[0]
     ap = iqr_outliers(df, {"a": 1.5}, ["i"], method="approx").collect()[0]
     assert abs(ex.q1 - ap.q1) < 0.01 and abs(ex.q3 - ap.q3) < 0.01
+
+
+def test_iqr_by_group_hot_group_uses_selection(spark):
+    import numpy as np
+    from tidepanel.operators.outliers import iqr_outliers_by
+
+    rng = np.random.default_rng(11)
+    rows = [("hot", float(x)) for x in rng.normal(0, 1, 3000)] + [("a", float(x)) for x in rng.normal(5, 2, 200)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    small = {r.g: r for r in iqr_outliers_by(df, "g", "v", digits=9).collect()}
+    mixed = {r.g: r for r in iqr_outliers_by(df, "g", "v", digits=9, exact_limit=500).collect()}
+    assert small == mixed
+    hot = np.array([x for g, x in rows if g == "hot"])
+    assert small["hot"].q1 == pytest.approx(np.quantile(hot, 0.25), abs=1e-9)
+
+
+def test_pct_change_zero_base_inf(spark):
+    df = spark.createDataFrame([("A", 1, 0.0), ("A", 2, 5.0), ("B", 1, 0.0), ("B", 2, 0.0)],
+                               "country_code string, year bigint, x double")
+    from tidepanel.operators.growth import pct_change
+    got = {(r.country_code, r.year): r.g for r in pct_change(df, "x", "g", zero_base="inf").collect()}
+    assert got[("A", 2)] == float("inf") and got[("B", 2)] is None

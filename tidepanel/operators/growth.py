@@ -12,13 +12,14 @@ DEFAULT_KEY = PanelKey(("country_code",), "year")
 
 
 def pct_change(df: DataFrame, col: str, out: str, key: PanelKey = DEFAULT_KEY, fill: str = "pad",
-               digits: int | None = 2, periods: int = 1) -> DataFrame:
+               digits: int | None = 2, periods: int = 1, zero_base: str = "null") -> DataFrame:
     """``(x / previous row - 1) * 100`` per entity in period order, rounded.
 
     fill="pad" first carries the last non-NULL value forward (a NULL row then
     shows 0 % and the next row compares with the last known value); "none"
     compares raw neighbours. "Previous" is the previous *row*, not period - 1.
-    A zero base gives NULL (never +-inf).
+    A zero base gives NULL by default; ``zero_base="inf"`` reproduces the
+    float result instead (+-inf, and NULL for 0 / 0).
     """
     w = Window.partitionBy(*key.entity).orderBy(key.period)
     if fill == "pad":
@@ -30,4 +31,11 @@ def pct_change(df: DataFrame, col: str, out: str, key: PanelKey = DEFAULT_KEY, f
     tmp = "__pc_base"
     df = df.withColumn(tmp, base)
     prev = F.lag(tmp, periods).over(w)
-    return df.withColumn(out, np_round((F.try_divide(F.col(tmp), prev) - F.lit(1.0)) * F.lit(100.0), digits)).drop(tmp)
+    value = np_round((F.try_divide(F.col(tmp), prev) - F.lit(1.0)) * F.lit(100.0), digits)
+    if zero_base == "inf":
+        cur = F.col(tmp)
+        value = F.when((prev == 0) & (cur > 0), F.lit(float("inf"))) \
+            .when((prev == 0) & (cur < 0), F.lit(float("-inf"))).otherwise(value)
+    elif zero_base != "null":
+        raise ValueError("zero_base must be 'null' or 'inf'")
+    return df.withColumn(out, value).drop(tmp)

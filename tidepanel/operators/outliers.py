@@ -56,6 +56,45 @@ def quartiles(df: DataFrame, cols: Sequence[str], exact_limit: int = 2_000_000,
     return out, n_rows
 
 
+def grouped_quartiles(df: DataFrame, by: str, col: str, exact_limit: int = 2_000_000) -> DataFrame:
+    """Per group of ``by``: exact (q1, q3) of ``col`` and the group's row count.
+
+    Group sizes are counted first. Groups within ``exact_limit`` values use a
+    grouped ``percentile`` (its value map is bounded by that size); a group
+    above it — a hot key — is resolved by the distributed selection, so no
+    task holds an unbounded group.
+    """
+    spark = df.sparkSession
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("__rows"), F.count(F.col(col)).alias("__n"))
+    big = [r[by] for r in sizes.where(F.col("__n") > exact_limit).select(by).collect()]
+    small_df = df.where(~F.col(by).isin(big)) if big else df
+    q = (small_df.groupBy(by).agg(F.percentile(F.col(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
+                                  .alias("__q"))
+         .select(by, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3")))
+    if big:
+        rows = [(g, *exact_quantiles(df.where(F.col(by) == g), col, [0.25, 0.75])) for g in big]
+        q = q.unionByName(spark.createDataFrame(rows, q.schema))
+    return sizes.join(q, by, "left").select(by, "q1", "q3", "__rows")
+
+
+def iqr_outliers_by(df: DataFrame, by: str, col: str, multiplier: float = 1.5, digits: int | None = None,
+                    exact_limit: int = 2_000_000) -> DataFrame:
+    """A16 per group: q1, q3, bounds, outlier count and share of the group's rows."""
+    q = grouped_quartiles(df, by, col, exact_limit)
+    b = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
+         .withColumn("lower_bound", F.col("q1") - F.lit(float(multiplier)) * F.col("iqr"))
+         .withColumn("upper_bound", F.col("q3") + F.lit(float(multiplier)) * F.col("iqr")))
+    v = F.col(col).cast("double")
+    flagged = df.select(by, v.alias("__v")).join(b.select(by, "lower_bound", "upper_bound"), by) \
+        .where((F.col("__v") < F.col("lower_bound")) | (F.col("__v") > F.col("upper_bound"))) \
+        .groupBy(by).agg(F.count(F.lit(1)).alias("outliers_count"))
+    cnt = F.coalesce(F.col("outliers_count"), F.lit(0)).cast("bigint")
+    return b.join(flagged, by, "left").select(
+        by, *[np_round(F.col(c), digits).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
+        F.lit(float(multiplier)).alias("multiplier"), cnt.alias("outliers_count"),
+        (cnt / F.col("__rows") * F.lit(100.0)).alias("outlier_percentage"))
+
+
 def iqr_outliers(df: DataFrame, multipliers: Mapping[str, float], order_by: Sequence[str],
                  n_samples: int = 5, digits: int | None = None, exact_limit: int = 2_000_000,
                  method: str = "exact") -> DataFrame:

@@ -363,3 +363,24 @@ def q_iqr_outliers_lineitem(spark, d):
     """A16 at volume: IQR outliers over every line item."""
     li = panels.table(spark, d, "lineitem")
     return iqr_outliers(li, _LI_OUT, ["l_orderkey", "l_linenumber"], digits=6)
+
+
+@register("iqr_outliers_by_region", with_ctes(f"""
+select region, {rnd('q1', 6)} as q1, {rnd('q3', 6)} as q3, {rnd('q3 - q1', 6)} as iqr,
+       {rnd('q1 - 1.5::DOUBLE * (q3 - q1)', 6)} as lower_bound, {rnd('q3 + 1.5::DOUBLE * (q3 - q1)', 6)} as upper_bound,
+       1.5::DOUBLE as multiplier,
+       (select count(*) from j where j.region = s.region
+          and (j.co2 < s.q1 - 1.5::DOUBLE * (s.q3 - s.q1) or j.co2 > s.q3 + 1.5::DOUBLE * (s.q3 - s.q1)))
+         as outliers_count,
+       (select count(*) from j where j.region = s.region
+          and (j.co2 < s.q1 - 1.5::DOUBLE * (s.q3 - s.q1) or j.co2 > s.q3 + 1.5::DOUBLE * (s.q3 - s.q1)))
+         / n_rows * 100.0 as outlier_percentage
+from s""", "silver_co2", "dim_country", extra={
+    "j": "select d.region, c.co2 from silver_co2 c join dim_country d on c.country_code = d.country_code",
+    "s": "select region, quantile_cont(co2, 0.25) as q1, quantile_cont(co2, 0.75) as q3, count(*) as n_rows "
+         "from j group by region"}))
+def q_iqr_outliers_by_region(spark, d):
+    """A16 per group: emissions outliers within each region (group sizes checked first)."""
+    from tidepanel.operators.outliers import iqr_outliers_by
+    j = s_co2(spark, d).join(panels.dim_country(spark, d).select("country_code", "region"), "country_code")
+    return iqr_outliers_by(j, "region", "co2", 1.5, digits=6)
