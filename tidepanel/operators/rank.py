@@ -36,7 +36,12 @@ def share_of_total(df: DataFrame, value: str, out: str = "share_pct", digits: in
     return df.withColumn(out, np_round(F.try_divide(F.col(value), total) * F.lit(100.0), digits))
 
 
-def top_k_with_others(df: DataFrame, label: str, value: str, k: int = 10, others_label: str = "Otros",
+# Label of the folded remainder row and the default number of kept labels.
+OTHERS_LABEL = "Otros"
+TOP_K_SHARE = 10
+
+
+def top_k_with_others(df: DataFrame, label: str, value: str, k: int = TOP_K_SHARE, others_label: str = OTHERS_LABEL,
                       exact_sum: bool = True) -> DataFrame:
     """Sum per label, keep the top k, and fold the rest into one ``others`` row.
 

@@ -348,6 +348,7 @@ from b left join c on b."column" = c."column"
     })
 
 
+# IQR multipliers of the emissions panel columns.
 _CO2_OUT = {"co2": 1.5, "gdp": 1.5, "population": 2.0}
 _LI_OUT = {"l_extendedprice": 1.5, "l_quantity": 1.5, "l_discount": 3.0}
 
