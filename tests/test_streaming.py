@@ -7,9 +7,21 @@ def test_incremental_runs_exactly_once(spark, tmp_path):
     landing, bronze, ckpt = str(tmp_path / "landing"), str(tmp_path / "bronze"), str(tmp_path / "ckpt")
     schema = "country_code string, year bigint, v double"
     spark.createDataFrame([("A", 2020, 1.0), ("B", 2020, 2.0)], schema).write.option("header", "true").csv(landing)
-    assert ingest_landed(spark, landing, schema, bronze, ckpt) == 2
-    assert ingest_landed(spark, landing, schema, bronze, ckpt) == 0  # nothing new
+    assert ingest_landed(spark, landing, schema, bronze, ckpt).rows == 2
+    assert ingest_landed(spark, landing, schema, bronze, ckpt).rows == 0  # nothing new
     spark.createDataFrame([("C", 2021, 3.0)], schema).write.mode("append").option("header", "true").csv(landing)
-    assert ingest_landed(spark, landing, schema, bronze, ckpt) == 1
+    assert ingest_landed(spark, landing, schema, bronze, ckpt).rows == 1
     back = spark.read.parquet(bronze)
     assert sorted((r.country_code, r.year) for r in back.collect()) == [("A", 2020), ("B", 2020), ("C", 2021)]
+
+
+def test_observed_gate_reports_null_heavy_batch(spark, tmp_path):
+    landing, bronze, ckpt = str(tmp_path / "l"), str(tmp_path / "b"), str(tmp_path / "c")
+    schema = "country_code string, year bigint, v double"
+    spark.createDataFrame([("A", 2020, None), ("B", 2020, None), ("C", 2020, 1.0)], schema) \
+        .write.option("header", "true").csv(landing)
+    res = ingest_landed(spark, landing, schema, bronze, ckpt, gate={"v": 30.0})
+    assert res.rows == 3 and len(res.violations) == 1 and res.violations[0][1] == ["v"]
+    spark.createDataFrame([("D", 2021, 2.0)], schema).write.mode("append").option("header", "true").csv(landing)
+    res = ingest_landed(spark, landing, schema, bronze, ckpt, gate={"v": 30.0})
+    assert res.rows == 1 and res.violations == []

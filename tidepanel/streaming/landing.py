@@ -11,18 +11,43 @@ folder (``spark.read.parquet``) only see committed files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class IngestResult(NamedTuple):
+    rows: int
+    violations: list  # [(batch_id, [column, ...]), ...]
+
+
+def gate_metrics(df: DataFrame, cols: Sequence[str], name: str = "gate") -> DataFrame:
+    """Attach observed metrics (rows, NULLs per column) computed inside the job that writes ``df``."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"),
+                      *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}") for c in cols])
+
+
+def gate_violations(metrics: Mapping[str, int], max_null_pct: Mapping[str, float]) -> list[str]:
+    """Columns whose NULL share in ``metrics`` exceeds the limit ("__rows" when empty)."""
+    rows = int(metrics.get("rows", 0))
+    if rows == 0:
+        return ["__rows"]
+    return [c for c, lim in max_null_pct.items() if int(metrics.get(f"nulls_{c}", 0)) / rows * 100.0 > lim]
+
+
 def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType | str, bronze_path: str,
                   checkpoint: str, fmt: str = "csv", transform: Callable[[DataFrame], DataFrame] | None = None,
-                  partition_cols: Sequence[str] = ("year",), max_files_per_trigger: int | None = None) -> int:
+                  partition_cols: Sequence[str] = ("year",), max_files_per_trigger: int | None = None,
+                  gate: Mapping[str, float] | None = None) -> IngestResult:
     """Process every not-yet-ingested file of ``landing_dir`` and stop.
 
-    Returns the number of input rows processed by this run.
+    With ``gate`` (column -> max NULL %), each micro-batch carries observed
+    metrics computed in its own write job; batches over a limit are reported
+    in ``IngestResult.violations`` (the data is committed — the report is
+    the monitoring signal for the next layer, which can refuse the batch).
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -31,7 +56,17 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType |
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_dir)
     out = transform(stream) if transform else stream
+    if gate:
+        out = gate_metrics(out, list(gate))
     query = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
              .partitionBy(*partition_cols).outputMode("append").trigger(availableNow=True).start(bronze_path))
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    progress = [p for p in query.recentProgress if int(p.get("numInputRows", 0)) > 0]
+    violations = []
+    if gate:
+        for p in progress:
+            m = (p.get("observedMetrics") or {}).get("gate")
+            bad = gate_violations(m.asDict() if m is not None else {}, gate)
+            if bad:
+                violations.append((int(p["batchId"]), bad))
+    return IngestResult(sum(int(p["numInputRows"]) for p in progress), violations)
