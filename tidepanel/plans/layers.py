@@ -37,13 +37,17 @@ def build_silver_transport(spark: SparkSession, d: str, line_agg: DataFrame | No
     return silver.silver_transport(silver.bronze_transport_wide(panels.panel_transport_long(spark, d, line_agg)))
 
 
-def lake(spark: SparkSession, d: str) -> dict[str, str]:
-    """Paths of the materialized layers for ``d`` (built on first use)."""
+def lake(spark: SparkSession, d: str, base: str | None = None) -> dict[str, str]:
+    """Paths of the materialized layers for ``d`` (built on first use).
+
+    ``base`` chooses the output folder (default: a fresh folder under the
+    session's ``spark.checkpoint.dir``).
+    """
     key = (spark.sparkContext.applicationId, os.path.abspath(d))
     with _LOCK:
-        if key in _LAKES:
+        if key in _LAKES and base is None:
             return _LAKES[key]
-        base = scratch_dir(spark, "lake")
+        base = base or scratch_dir(spark, "lake")
         paths = {
             "line_agg": f"{base}/bronze/line_supplier_year_flag",
             "silver_co2": f"{base}/silver/co2_emissions",
