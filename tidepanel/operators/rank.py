@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.operators.assemble import sized_broadcast
+from tidepanel.session import checkpointed
 
 
 def top_k(df: DataFrame, by: str, k: int, tie_break: Sequence[str] = (), partition: Sequence[str] = (),
@@ -52,7 +53,10 @@ def top_k_with_others(df: DataFrame, label: str, value: str, k: int = TOP_K_SHAR
     def s(c):
         return F.sum(F.col(c).cast("decimal(38,10)")).cast("double") if exact_sum else F.sum(c)
 
-    agg = df.where(F.col(value).isNotNull() & F.col(label).isNotNull()).groupBy(label).agg(s(value).alias(value))
+    # one row per label, materialized once: the top list, the remainder and any
+    # share computed on the result all read it instead of re-aggregating
+    agg = checkpointed(df.where(F.col(value).isNotNull() & F.col(label).isNotNull())
+                       .groupBy(label).agg(s(value).alias(value)))
     top = agg.orderBy(F.col(value).desc_nulls_last(), F.col(label).asc()).limit(k)
     rest = (agg.join(sized_broadcast(top.select(label), k), on=label, how="left_anti")
             .agg(F.lit(others_label).alias(label), s(value).alias(value), F.count(F.lit(1)).alias("__n"))

@@ -40,11 +40,23 @@ _YRS = f"""select case when count(*) filter (where year = {PRE_YEAR}) > 0 then {
         from merged"""
 
 
-def _pre_post(m):
-    has = lambda y: m.select(F.count(F.when(F.col("year") == y, 1)) > 0).scalar()
-    pre = F.when(has(PRE_YEAR), F.lit(PRE_YEAR)).otherwise(m.select(F.min("year")).scalar())
-    post = F.when(has(POST_YEAR), F.lit(POST_YEAR)).otherwise(m.select(F.max("year")).scalar())
-    return pre, post
+def _periods(spark, d):
+    """First/last period and the pre/post periods (with fallback) of the gold fact: one small aggregate.
+
+    The questions then filter with literals, which reach the Parquet scan as
+    pushed filters instead of repeating a subquery over the fact ⋈ dim join.
+    """
+    r = fact(spark, d).agg(F.min("year").alias("y0"), F.max("year").alias("y1"),
+                           F.count(F.when(F.col("year") == PRE_YEAR, 1)).alias("npre"),
+                           F.count(F.when(F.col("year") == POST_YEAR, 1)).alias("npost")).first()
+    pre = PRE_YEAR if r["npre"] > 0 else r["y0"]
+    post = POST_YEAR if r["npost"] > 0 else r["y1"]
+    return {"first": r["y0"], "last": r["y1"], "pre": pre, "post": post}
+
+
+def _pre_post(spark, d):
+    p = _periods(spark, d)
+    return p["pre"], p["post"]
 
 
 _CMP_SQL = """
@@ -252,7 +264,7 @@ def q_fact_with_dim(spark, d):
 def q_period_compare(spark, d):
     """Per label, arrivals in the pre and the post period (both must exist)."""
     m = merged(spark, d)
-    pre, post = _pre_post(m)
+    pre, post = _pre_post(spark, d)
     return compare.period_compare(m.withColumnRenamed("tourist_arrivals", "arrivals"), "country_name", "arrivals",
                                   pre, post, suffixes=("_pre", "_post"))
 
@@ -451,8 +463,7 @@ select country_name, co2, {rnd(f"co2 / (select {xsum('co2')} from u) * 100.0", 6
     "u": "select country_name, co2 from top union all select country_name, co2 from rest where n > 0"}))
 def q_api_q6(spark, d):
     """A18 + W7 / API Q6: top-10 emitters of the latest year + 'Otros', with % share."""
-    m = merged(spark, d)
-    latest = clean.latest_period(m, "year")
+    latest = merged(spark, d).where(F.col("year") == _periods(spark, d)["last"])
     t = rank.top_k_with_others(latest, "country_name", "co2", 10)
     return rank.share_of_total(t, "co2", "share_pct", digits=6)
 
@@ -530,7 +541,7 @@ select country_name, country_code, year, co2 from merged where {_LATEST} and co2
 order by co2 desc, country_code limit 10""", "merged"))
 def q_api_q1(spark, d):
     """W6 / API Q1: top 10 emitters of the latest year (ties keep key order)."""
-    m = clean.latest_period(merged(spark, d), "year").where(F.col("co2").isNotNull())
+    m = merged(spark, d).where((F.col("year") == _periods(spark, d)["last"]) & F.col("co2").isNotNull())
     return rank.top_k(m.select("country_name", "country_code", "year", "co2"), "co2", 10, ["country_code"])
 
 
@@ -565,7 +576,7 @@ select country_name, country_code, co2_per_capita_calc from merged
 where {_LATEST} and co2_per_capita_calc is not null order by co2_per_capita_calc desc""", "merged"))
 def q_api_q3(spark, d):
     """SL3 / API Q3: per-capita emissions of the latest year, descending."""
-    m = clean.latest_period(merged(spark, d), "year")
+    m = merged(spark, d).where(F.col("year") == _periods(spark, d)["last"])
     return (clean.drop_any_null(m, ["co2_per_capita_calc"])
             .select("country_name", "country_code", "co2_per_capita_calc")
             .orderBy(F.col("co2_per_capita_calc").desc_nulls_last()))
@@ -612,9 +623,9 @@ from c where co2_first > 0 order by reduction_pct desc""", "merged", extra={
          and count(case when year = (select y1 from fl) then 1 end) > 0"""}))
 def q_api_q8(spark, d):
     """F7 / API Q8: emission reduction between the first and the last year."""
-    m = merged(spark, d)
-    y0, y1 = m.select(F.min("year")).scalar(), m.select(F.max("year")).scalar()
-    m = m.withColumn("co2", F.col("co2").cast("decimal(38,10)"))
+    p = _periods(spark, d)
+    y0, y1 = p["first"], p["last"]
+    m = merged(spark, d).withColumn("co2", F.col("co2").cast("decimal(38,10)"))
     cmp = compare.period_compare(m, "country_name", "co2", y0, y1, suffixes=("_first", "_last"),
                                  zero_if_all_null=True)
     cmp = cmp.withColumns({"co2_first": F.col("co2_first").cast("double"), "co2_last": F.col("co2_last").cast("double")})

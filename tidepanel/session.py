@@ -84,3 +84,14 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df):
+    """Materialize ``df`` once with a reliable ``checkpoint()`` into the shared
+    checkpoint folder (never ``localCheckpoint``), so several branches of a
+    plan read it instead of recomputing it, and an executor loss does not
+    recompute it either."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        scratch_dir(spark, "ckpt")  # resolves / validates the shared folder and registers it
+    return df.checkpoint(eager=True)
