@@ -1,4 +1,4 @@
-"""Medallion materialization: silver and gold written once, then queried.
+"""Medallion materialization: bronze, silver and gold written once, then queried.
 
 Questions and checks read the written gold/silver tables instead of
 re-deriving them from the warehouse tables each time (one derivation per
@@ -50,25 +50,35 @@ def lake(spark: SparkSession, d: str, base: str | None = None) -> dict[str, str]
         base = base or scratch_dir(spark, "lake")
         paths = {
             "line_agg": f"{base}/bronze/line_supplier_year_flag",
+            "bronze_co2": f"{base}/bronze/co2_emissions",
+            "bronze_tourism": f"{base}/bronze/tourism_arrivals",
+            "bronze_transport": f"{base}/bronze/transport_mode",
             "silver_co2": f"{base}/silver/co2_emissions",
             "silver_tourism": f"{base}/silver/tourism_arrivals",
             "silver_transport": f"{base}/silver/transport_mode",
             "fact": f"{base}/gold/fact_tourism_emissions",
             "dim": f"{base}/gold/dim_country",
         }
+
+        def layer(bronze_df, bronze_key, silver_fn, silver_key):
+            write_table(bronze_df, paths[bronze_key], SORT)
+            write_table(silver_fn(spark.read.parquet(paths[bronze_key])), paths[silver_key], SORT)
+
         def supplier_side():
             # one lineitem scan feeds both supplier-side panels
             write_table(panels.line_supplier_agg(spark, d), paths["line_agg"])
             la = spark.read.parquet(paths["line_agg"])
             with ThreadPoolExecutor(2) as pool:
                 list(pool.map(lambda f: f(), [
-                    lambda: write_table(build_silver_tourism(spark, d, la), paths["silver_tourism"], SORT),
-                    lambda: write_table(build_silver_transport(spark, d, la), paths["silver_transport"], SORT)]))
+                    lambda: layer(panels.panel_tourism(spark, d, la), "bronze_tourism", silver.silver_tourism,
+                                  "silver_tourism"),
+                    lambda: layer(silver.bronze_transport_wide(panels.panel_transport_long(spark, d, la)),
+                                  "bronze_transport", silver.silver_transport, "silver_transport")]))
 
         # independent branches run as concurrent Spark jobs (the scheduler shares the executors)
         with ThreadPoolExecutor(3) as pool:
             list(pool.map(lambda f: f(), [
-                lambda: write_table(build_silver_co2(spark, d), paths["silver_co2"], SORT),
+                lambda: layer(panels.panel_co2(spark, d), "bronze_co2", silver.silver_co2, "silver_co2"),
                 supplier_side,
                 lambda: write_table(panels.dim_country(spark, d), paths["dim"], ["country_code"])]))
         s = {k: spark.read.parquet(paths[k]) for k in ("silver_co2", "silver_tourism", "silver_transport")}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators import quality
 from tidepanel.operators.outliers import iqr_outliers
-from tidepanel.plans import panels, silver
+from tidepanel.plans import panels
 from tidepanel.plans.oracle import rnd, with_ctes
 from tidepanel.plans.queries import fact, s_co2, s_tourism, s_transport
 from tidepanel.plans.registry import register
@@ -90,13 +90,14 @@ _TR_COLS = ["country", "country_code", "year", "tourists_air", "tourists_sea", "
                 TRANSPORT_SPEC.null_thresholds)]), "silver_co2", "silver_tourism", "silver_transport"))
 def q_quality_report(spark, d):
     """DQ1: before/after rows, coverage, NULL-threshold flags, missing members/periods per silver dataset."""
-    co2 = quality.quality_report(panels.panel_co2(spark, d), s_co2(spark, d), "co2_emissions",
+    from tidepanel.plans import layers
+    bronze = {k: layers.table(spark, d, k) for k in ("bronze_co2", "bronze_tourism", "bronze_transport")}
+    co2 = quality.quality_report(bronze["bronze_co2"], s_co2(spark, d), "co2_emissions",
                                  CO2_SPEC.null_thresholds, EXPECTED, START, END)
-    tour = quality.quality_report(panels.panel_tourism(spark, d), s_tourism(spark, d), "tourism_arrivals",
+    tour = quality.quality_report(bronze["bronze_tourism"], s_tourism(spark, d), "tourism_arrivals",
                                   TOURISM_SPEC.null_thresholds, EXPECTED, START, END)
-    tr_b = silver.bronze_transport_wide(panels.panel_transport_long(spark, d))
-    tr = quality.quality_report(tr_b, s_transport(spark, d), "transport_mode", TRANSPORT_SPEC.null_thresholds,
-                                EXPECTED, START, END)
+    tr = quality.quality_report(bronze["bronze_transport"], s_transport(spark, d), "transport_mode",
+                                TRANSPORT_SPEC.null_thresholds, EXPECTED, START, END)
     return co2.unionByName(tour).unionByName(tr)
 
 
@@ -126,8 +127,9 @@ _GATES = [("panel_co2", "co2", 30.0), ("panel_tourism", "tourist_arrivals", 60.0
     for t, c, lim in _GATES), "panel_co2", "panel_tourism", "bronze_transport_wide"))
 def q_ingest_gate(spark, d):
     """DQ11: abort thresholds on NULL share (and emptiness) of the landed sources."""
-    srcs = {"panel_co2": panels.panel_co2(spark, d), "panel_tourism": panels.panel_tourism(spark, d),
-            "bronze_transport_wide": silver.bronze_transport_wide(panels.panel_transport_long(spark, d))}
+    from tidepanel.plans import layers
+    srcs = {"panel_co2": layers.table(spark, d, "bronze_co2"), "panel_tourism": layers.table(spark, d, "bronze_tourism"),
+            "bronze_transport_wide": layers.table(spark, d, "bronze_transport")}
     out = None
     for t, c, lim in _GATES:
         g = quality.ingest_gate(srcs[t], {c: lim})
