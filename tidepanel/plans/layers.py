@@ -43,7 +43,7 @@ def lake(spark: SparkSession, d: str, base: str | None = None) -> dict[str, str]
     ``base`` chooses the output folder (default: a fresh folder under the
     session's ``spark.checkpoint.dir``).
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(d))
+    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(d))
     with _LOCK:
         if key in _LAKES and base is None:
             return _LAKES[key]

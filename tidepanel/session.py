@@ -77,12 +77,11 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS/S3)")
         base = tempfile.mkdtemp(prefix="tidepanel-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    _register_checkpoint_dir(spark, base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -91,7 +90,15 @@ def checkpointed(df):
     checkpoint folder (never ``localCheckpoint``), so several branches of a
     plan read it instead of recomputing it, and an executor loss does not
     recompute it either."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        scratch_dir(spark, "ckpt")  # resolves / validates the shared folder and registers it
+    scratch_dir(df.sparkSession, "ckpt")  # resolves / validates the shared folder and registers it
     return df.checkpoint(eager=True)
+
+
+def _register_checkpoint_dir(spark: SparkSession, base: str) -> None:
+    """Classic sessions need the folder on the SparkContext; Spark Connect reads the conf."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect has no SparkContext)
+        return
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
