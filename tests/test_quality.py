@@ -83,7 +83,7 @@ def test_suite_and_summary(sample):
     res = quality.run_suite(sample, [{"type": "table_row_count", "expected_value": 22},
                                      {"type": "column_values_to_not_be_null", "column": "value"}], "ds", "silver")
     s = quality.suite_summary(res).collect()[0]
-    assert (s.total_checks, s.passed, s.failed, s.summary) == (2, 1, 1, "1/2 checks FAILED")
+    assert (s.total_checks, s.passed, s.failed, s.summary) == (2, 1, 1, "⚠️ 1/2 checks FAILED")
 
 
 def test_null_profile_one_pass(sample):

@@ -28,6 +28,8 @@ REASONS = {
     "missing_col": "Column '{col}' not found",
     "type": "{n} values not parseable as {t}",
     "unknown": "Unknown check type",
+    "summary_ok": "{passed}/{total} checks OK",
+    "summary_failed": "⚠️ {failed}/{total} checks FAILED",
 }
 
 RESULT_SCHEMA = "dataset string, layer string, check_no int, `check` string, `column` string, ok boolean, reason string"
@@ -275,7 +277,7 @@ def suite_summary(results: DataFrame) -> DataFrame:
                                                 F.count(F.when(~F.col("ok"), 1)).alias("failed"))
     return g.withColumn("summary", F.when(F.col("failed") == 0,
                                           F.format_string("%d/%d checks OK", "passed", "total_checks"))
-                        .otherwise(F.format_string("%d/%d checks FAILED", "failed", "total_checks")))
+                        .otherwise(F.format_string("⚠️ %d/%d checks FAILED", "failed", "total_checks")))
 
 
 def suite_report(df: DataFrame, checks: Sequence[Mapping], dataset: str, layer: str) -> DataFrame:

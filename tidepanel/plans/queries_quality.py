@@ -273,7 +273,7 @@ select dataset, layer, count(*) as total_checks, count(*) filter (where ok) as p
        count(*) filter (where not ok) as failed,
        case when count(*) filter (where not ok) = 0
             then printf('%d/%d checks OK', count(*) filter (where ok), count(*))
-            else printf('%d/%d checks FAILED', count(*) filter (where not ok), count(*)) end as summary,
+            else printf('⚠️ %d/%d checks FAILED', count(*) filter (where not ok), count(*)) end as summary,
        (select count(*) from {_SRC[k]}) as n_rows, {_NCOLS[_SRC[k]]} as n_cols
 from ({_suite_sql(k[1], k[0], _SRC[k], checks)}) group by dataset, layer""" for k, checks in SUITES.items()),
                                      "silver_co2", "silver_tourism", "silver_transport", "fact", "dim_country"))
