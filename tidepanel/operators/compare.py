@@ -55,13 +55,14 @@ def missing_periods_by_entity(df: DataFrame, entity: str, start: int, end: int,
                               min_rows: int | None = None) -> DataFrame:
     """Per entity: row count and the periods of [start, end] it lacks.
 
-    No grid cross-join: each entity's distinct periods (bounded by the range
-    length) are set-subtracted from ``sequence(start, end)``. Entities with
+    No grid cross-join: each entity's distinct periods inside the range (a set
+    bounded by the range length) are subtracted from ``sequence(start, end)``. Entities with
     fewer than ``min_rows`` rows (default: the full range) are reported.
     """
     need = (end - start + 1) if min_rows is None else min_rows
+    in_range = F.col(period).between(start, end)
     agg = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n_rows"),
-                                 F.collect_set(F.col(period).cast("bigint")).alias("__have"))
+                                 F.collect_set(F.when(in_range, F.col(period).cast("bigint"))).alias("__have"))
     full = F.sequence(F.lit(start).cast("bigint"), F.lit(end).cast("bigint"))
     return (agg.where(F.col("n_rows") < need)
             .select(entity, "n_rows", F.array_sort(F.array_except(full, F.col("__have"))).alias("missing_periods")))
