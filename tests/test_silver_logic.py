@@ -201,3 +201,21 @@ def test_custom_key_panel(spark):
     out = interpolate_linear(df, ["v"], key).orderBy("period").collect()
     assert [r.v for r in out] == [1.0, 2.0, 3.0]
     assert not any(math.isnan(r.v) for r in out)
+
+
+def test_dedup_first_in_read_order(spark, tmp_path):
+    from tidepanel.operators.clean import READ_ORDER
+    rows = [("ARG", 2020, 180.5), ("BRA", 2020, 1.0), ("ARG", 2020, 9999.0), ("ARG", 2020, 5.0)]
+    spark.createDataFrame(rows, "country_code string, year bigint, co2 double").coalesce(1) \
+        .write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    out = dedup_first(df, ["country_code", "year"], order_by=READ_ORDER)
+    assert sorted(map(tuple, out.collect())) == [("ARG", 2020, 180.5), ("BRA", 2020, 1.0)]
+    assert out.columns == df.columns
+
+
+def test_apply_schema_period_from_text_and_float(spark):
+    df = spark.createDataFrame([("A", "x", "2020.0", 1.0), ("B", "y", "2021", 1.0), ("C", "z", "2021.5", 1.0)],
+                               "country string, country_code string, year string, co2 double")
+    out = apply_schema(df, CO2_SPEC, on_null_period="drop").orderBy("year").collect()
+    assert [r.year for r in out] == [2020, 2021]

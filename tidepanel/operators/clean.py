@@ -43,7 +43,8 @@ def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, n
         if c in spec.numeric:
             e = to_numeric(c)
         elif c == key.period:
-            e = F.col(c).try_cast("bigint")
+            d = F.col(c).cast("string").try_cast("double")
+            e = F.when(d == F.floor(d), d.cast("bigint"))  # "2020", 2020.0 -> 2020; 2020.5, "x" -> NULL
             if on_null_period == "raise":
                 e = F.when(e.isNull(), F.raise_error(F.lit(f"NULL or non-integer {c}"))).otherwise(e)
         elif c in key.entity:
@@ -60,6 +61,10 @@ def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, n
 
 
 # ── W1 ──────────────────────────────────────────────────────────────────────
+# Order of rows as read from files: the hidden file-source metadata columns.
+READ_ORDER = ("_metadata.file_path", "_metadata.row_index")
+
+
 def dedup_first(df: DataFrame, key: Sequence[str], order_by: str | Sequence[str] | None = None) -> DataFrame:
     """One row per key: the row with the smallest ``order_by`` value.
 
@@ -67,7 +72,8 @@ def dedup_first(df: DataFrame, key: Sequence[str], order_by: str | Sequence[str]
     map-side before the shuffle — a duplicate group holding a large share of
     the rows never lands in one task. Without ``order_by`` the smallest row
     (by all columns) is kept, which is deterministic but not "read order";
-    pass ``_metadata.row_index``-derived or source order columns for that.
+    ``order_by=READ_ORDER`` keeps the first row in file order for DataFrames
+    read straight from files (Parquet/CSV/JSON file sources).
     """
     key = _cols(key)
     others = [c for c in df.columns if c not in key]
