@@ -39,12 +39,18 @@ def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, n
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     exprs = []
+    types = dict(df.dtypes)
     for c in df.columns:
         if c in spec.numeric:
             e = to_numeric(c)
         elif c == key.period:
-            d = F.col(c).cast("string").try_cast("double")
-            e = F.when(d == F.floor(d), d.cast("bigint"))  # "2020", 2020.0 -> 2020; 2020.5, "x" -> NULL
+            t = types[c]
+            if t in ("bigint", "int", "smallint", "tinyint"):
+                e = F.col(c).cast("bigint")
+            else:  # "2020", 2020.0 -> 2020; 2020.5, "x" -> NULL
+                d = F.col(c).try_cast("double") if t in ("double", "float") or t.startswith("decimal") \
+                    else F.col(c).cast("string").try_cast("double")
+                e = F.when(d == F.floor(d), d.cast("bigint"))
             if on_null_period == "raise":
                 e = F.when(e.isNull(), F.raise_error(F.lit(f"NULL or non-integer {c}"))).otherwise(e)
         elif c in key.entity:
