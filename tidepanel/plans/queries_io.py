@@ -366,3 +366,19 @@ def q_bronze_tourism_from_json(spark, d):
     sinks.write_bronze_partitioned(bronze.tourism_from_indicators(frames), out)
     return readers.read_partitioned(spark, out).select("country", "country_code", "year", "tourist_arrivals",
                                                        "tourism_receipts_usd", "tourist_departures")
+
+
+@register("read_json_pages", with_ctes("""
+select country, country_code, year, tourist_arrivals from panel_tourism where year between 1996 and 2001""",
+                                       "panel_tourism"))
+def q_read_json_pages(spark, d):
+    """IO6 raw layout: API pages [metadata, [records]] (one page per year, one per line) -> flat rows."""
+    recs = _indicator_records(spark, d)
+    page = recs.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct(*recs.columns)).alias("r"))
+    text = page.select(F.concat(F.lit("["), F.to_json(F.struct(F.lit(1).alias("page"), F.lit(1).alias("pages"),
+                                                                F.col("n").alias("per_page"), F.col("n").alias("total"))),
+                                F.lit(","), F.to_json(F.col("r")), F.lit("]")).alias("value"))
+    path = scratch_dir(spark, "wb_pages")
+    text.write.mode("overwrite").text(path)
+    members = panels.nation_codes(spark, d).select("country")
+    return readers.read_json_indicator(spark, path, "tourist_arrivals", members, 1996, 2001, layout="pages")

@@ -87,17 +87,36 @@ INDICATOR_SCHEMA = T.StructType([
 ])
 
 
+def read_json_pages(spark: SparkSession, path: str, whole_file: bool = False,
+                    schema: T.StructType = INDICATOR_SCHEMA) -> DataFrame:
+    """Raw API pages ``[ {page metadata}, [record, ...] ]`` -> one row per record.
+
+    Each page (one per line, or one per file with ``whole_file``) is parsed
+    with ``from_json``; the second element holds the records, which are
+    exploded. Pages are independent, so the work spreads over files/lines.
+    """
+    raw = spark.read.option("wholetext", str(whole_file).lower()).text(path)
+    page = F.from_json(F.col("value"), "array<string>")
+    recs = F.from_json(F.element_at(page, 2), T.ArrayType(schema))
+    return raw.select(F.explode(recs).alias("r")).select("r.*")
+
+
 def read_json_indicator(spark: SparkSession, path: str, value_col: str, members, start: int, end: int,
                         aliases: Mapping[str, str] | None = None, codes: Mapping[str, str] | None = None,
-                        multiline: bool = False) -> DataFrame:
+                        multiline: bool = False, layout: str = "lines") -> DataFrame:
     """IO6: nested indicator records -> (country, country_code, year, value_col).
 
+    ``layout="lines"``: one record per JSON line (or ``multiline`` documents);
+    ``layout="pages"``: raw API pages (see ``read_json_pages``).
     Drops aggregates (country id length != 2), members not in ``members``,
     unparsable or out-of-range years; a NULL value is kept. ``codes`` maps the
     canonical name to a code (fallback: the record's own iso3 code).
     ``members`` may be a list or a one-column DataFrame (left-semi join).
     """
-    raw = spark.read.schema(INDICATOR_SCHEMA).option("multiLine", str(multiline).lower()).json(path)
+    if layout == "pages":
+        raw = read_json_pages(spark, path, whole_file=multiline)
+    else:
+        raw = spark.read.schema(INDICATOR_SCHEMA).option("multiLine", str(multiline).lower()).json(path)
     name = alias_lookup(F.col("country.value"), aliases or {})
     df = raw.select(F.col("country.id").alias("__iso2"), name.alias("country"),
                     F.col("countryiso3code").alias("__iso3"), to_numeric("date", "int").alias("year"),
