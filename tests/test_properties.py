@@ -74,3 +74,71 @@ def test_np_round_matches_numpy(spark, xs, n):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = [r[0] for r in df.select(np_round("x", n)).collect()]
     assert got == [float(np.round(x, n)) for x in xs]
+
+
+modes = st.sampled_from(["air", "sea", "land"])
+long_rows = st.lists(st.tuples(st.sampled_from(["E0", "E1", "E2"]), st.integers(2000, 2003), modes,
+                               st.one_of(st.none(), st.integers(0, 1000).map(float))), max_size=25)
+
+
+@SETTINGS
+@given(long_rows)
+def test_pivot_matches_pandas_pivot_table(spark, rows):
+    from tidepanel.operators.assemble import pivot_modes
+    if not rows:
+        return
+    sdf = spark.createDataFrame(rows, "e string, year bigint, m string, v double")
+    got = {(r.e, r.year): r for r in pivot_modes(sdf, ["e", "year"], "m", "v", ["air", "sea", "land"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["e", "year", "m", "v"])
+    want = pdf.pivot_table(index=["e", "year"], columns="m", values="v", aggfunc="sum", dropna=False)
+    for (e, y), r in got.items():
+        for m in ("air", "sea", "land"):
+            present = ((pdf.e == e) & (pdf.year == y) & (pdf.m == m)).any()
+            w = want.loc[(e, y), m] if (m in want.columns and (e, y) in want.index) else float("nan")
+            g = r[m]
+            assert (g is None and not present) or (present and g == (0.0 if math.isnan(w) else w))
+
+
+shares = st.lists(st.tuples(*[st.one_of(st.none(), st.integers(0, 5).map(float))] * 3), min_size=1, max_size=20)
+
+
+@SETTINGS
+@given(shares)
+def test_dominant_matches_idxmax(spark, rows):
+    from tidepanel.functions.categorize import dominant_category
+    sdf = spark.createDataFrame(rows, "pct_air double, pct_sea double, pct_land double")
+    got = [r[0] for r in sdf.select(dominant_category({"air": "pct_air", "sea": "pct_sea", "land": "pct_land"}))
+           .collect()]
+    pdf = pd.DataFrame(rows, columns=["pct_air", "pct_sea", "pct_land"], dtype="float64")
+    for g, (_, row) in zip(got, pdf.iterrows()):
+        want = None if row.isna().all() else {"pct_air": "air", "pct_sea": "sea", "pct_land": "land"}[row.idxmax()]
+        assert g == want
+
+
+keyed = st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(1, 4),
+                           st.one_of(st.none(), st.integers(0, 9).map(float))), max_size=10) \
+    .map(lambda rs: list({(k, y): (k, y, v) for k, y, v in rs}.values()))
+
+
+@SETTINGS
+@given(keyed, keyed, keyed)
+def test_union_assembly_equals_outer_joins(spark, a, b, c):
+    from tidepanel.operators.assemble import outer_assemble
+    frames = [spark.createDataFrame(rows, f"k string, y bigint, v{i} double") for i, rows in enumerate((a, b, c))]
+    u = outer_assemble(frames, ["k", "y"], "union")
+    j = outer_assemble(frames, ["k", "y"], "join")
+    assert sorted(map(tuple, u.collect()), key=repr) == sorted(map(tuple, j.collect()), key=repr)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C", None]), st.integers(2000, 2003),
+                          st.one_of(st.none(), st.integers(0, 9).map(float))), max_size=20))
+def test_period_compare_matches_pandas_merge(spark, rows):
+    from tidepanel.operators.compare import period_compare
+    sdf = spark.createDataFrame(rows, "label string, year bigint, v double")
+    got = {r.label: (r.v_2000, r.v_2003) for r in period_compare(sdf, "label", "v", 2000, 2003).collect()}
+    pdf = pd.DataFrame(rows, columns=["label", "year", "v"]).astype({"v": "float64"})
+    pre = pdf[pdf.year == 2000].groupby("label")["v"].sum().reset_index()
+    post = pdf[pdf.year == 2003].groupby("label")["v"].sum().reset_index()
+    want = {r.label: (r.v_2000, r.v_2003) for r in pre.merge(post, on="label", suffixes=("_2000", "_2003")).itertuples()}
+    assert got == want
