@@ -98,3 +98,11 @@ def test_register_tables(spark, tmp_path):
     df.write.parquet(str(tmp_path / "p"))
     catalog.register_tables(spark, {"t_path": str(tmp_path / "p"), "t_df": df})
     assert spark.sql("select count(*) from t_path join t_df using (k)").collect()[0][0] == 1
+
+
+def test_register_tables_in_catalog_database(spark, tmp_path):
+    df = spark.createDataFrame([("ARG", 2020, 1.0), ("BRA", 2020, 2.0)], "country_code string, year bigint, v double")
+    df.write.parquet(str(tmp_path / "fact"))
+    names = catalog.register_tables(spark, {"fact_t": str(tmp_path / "fact")}, database="panel_db")
+    assert names == ["panel_db.fact_t"]
+    assert spark.sql("select sum(v) from panel_db.fact_t where year = 2020").collect()[0][0] == 3.0
