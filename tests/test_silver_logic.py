@@ -219,3 +219,11 @@ def test_apply_schema_period_from_text_and_float(spark):
                                "country string, country_code string, year string, co2 double")
     out = apply_schema(df, CO2_SPEC, on_null_period="drop").orderBy("year").collect()
     assert [r.year for r in out] == [2020, 2021]
+
+
+def test_to_numeric_nan_is_missing(spark):
+    from tidepanel.functions.numeric import to_numeric
+    df = spark.createDataFrame([("NaN",), ("nan",), ("1.5",), ("x",), (None,)], "v string")
+    assert [r[0] for r in df.select(to_numeric("v")).collect()] == [None, None, 1.5, None, None]
+    d = spark.createDataFrame([(float("nan"),), (2.0,)], "v double")
+    assert [r[0] for r in d.select(to_numeric("v")).collect()] == [None, 2.0]

@@ -24,8 +24,14 @@ def np_round(c, digits: int | None) -> Column:
 
 
 def to_numeric(c, dtype: str = "double") -> Column:
-    """Coerce to a number; unparsable values become NULL (ANSI-safe)."""
-    return as_col(c).try_cast(dtype)
+    """Coerce to a number; unparsable values become NULL (ANSI-safe).
+
+    NaN means "missing" in the sources, so a NaN double becomes NULL too.
+    """
+    v = as_col(c).try_cast(dtype)
+    if dtype in ("double", "float"):
+        v = F.nanvl(v, F.lit(None).cast(dtype))
+    return v
 
 
 def safe_ratio(num, den, scale: float = 1.0, digits: int | None = None, scale_after: bool = False,
