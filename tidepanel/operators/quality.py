@@ -105,6 +105,9 @@ def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds
         F.array_join(F.col("__periods").cast("array<string>"), ",").alias("periods_covered"),
         F.array_join("__mm", ",").alias("missing_members"),
         F.array_join(F.col("__mp").cast("array<string>"), ",").alias("missing_periods"),
+        F.to_json(F.create_map(*[x for i, c in enumerate(cols) for x in (
+            F.lit(c), np_round(F.coalesce(F.col(f"__n{i}"), F.lit(0.0)) * F.lit(100.0), 2))]))
+        .alias("null_pct_by_column"),
         F.when(F.size(flag_arr) == 0, F.lit("OK - no alerts")).otherwise(F.array_join(flag_arr, " | "))
         .alias("quality_flags"),
     )

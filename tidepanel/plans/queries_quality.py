@@ -73,6 +73,8 @@ def _report_sql(name: str, src: str, before: str, cols: list[str], thresholds: d
                        ',') as members_covered,
        array_to_string(list_sort(list(distinct year)), ',') as periods_covered, {mm} as missing_members,
        {mp} as missing_periods,
+       to_json(map([{", ".join(f"'{c}'" for c in cols)}], [{", ".join(_npct_sql(c) for c in cols)}]))::VARCHAR
+         as null_pct_by_column,
        case when len({fl}) = 0 then 'OK - no alerts' else array_to_string({fl}, ' | ') end as quality_flags
 from {src}"""
 
