@@ -46,9 +46,13 @@ def period_reduction(df: DataFrame, label: str, value: str, first: int, last: in
 
 
 def missing_members(expected: DataFrame, present: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Expected keys that are absent (left anti join)."""
+    """Expected keys that are absent (left anti join).
+
+    The present keys are de-duplicated first: partial aggregation collapses
+    a hot key per map task, so the anti join shuffles distinct keys only.
+    """
     on = [on] if isinstance(on, str) else list(on)
-    return expected.select(*on).distinct().join(present.select(*on), on=on, how="left_anti")
+    return expected.select(*on).distinct().join(present.select(*on).distinct(), on=on, how="left_anti")
 
 
 def missing_periods_by_entity(df: DataFrame, entity: str, start: int, end: int, period: str = "year",
