@@ -163,12 +163,14 @@ def select_available(df: DataFrame, wanted: Sequence[str]) -> tuple[DataFrame, l
 def map_code(df: DataFrame, col: str, out: str, codes: Mapping[str, str] | DataFrame) -> DataFrame:
     """Look up ``col`` in a name -> code table; unmatched -> NULL.
 
-    A small dict becomes a literal map (no join); a DataFrame table is joined
-    left (Spark broadcasts it when its size is under the threshold).
+    A small dict becomes a literal map (no join); a DataFrame table is reduced
+    to one code per name and joined left (Spark broadcasts it when its size is
+    under the threshold).
     """
     if isinstance(codes, DataFrame):
         k, v = codes.columns[:2]
-        t = codes.select(F.col(k).alias("__k"), F.col(v).alias(out))
+        # one code per name (a lookup never multiplies rows); deterministic on duplicates
+        t = codes.groupBy(F.col(k).alias("__k")).agg(F.max(v).alias(out))
         return df.join(t, df[col] == t["__k"], "left").drop("__k")
     m = F.create_map(*[x for a, b in codes.items() for x in (F.lit(a), F.lit(b))])
     return df.withColumn(out, F.try_element_at(m, F.col(col)))
