@@ -82,10 +82,10 @@ def exact_sum(c, scale: int = 10) -> Column:
     return F.sum(as_col(c).cast(f"decimal(38,{scale})")).cast("double")
 
 
-def exact_avg(c, digits: int | None = 6) -> Column:
-    """Mean from an exact (decimal) sum, then rounded half-even to ``digits``.
+def exact_avg(c, digits: int | None = None) -> Column:
+    """Mean from an exact (decimal) sum divided by the count (optionally rounded).
 
-    The sum does not depend on row order, so the result is identical for any
-    partitioning (and for the SQL oracle)."""
+    The sum does not depend on row order, so the mean is bit-identical for any
+    partitioning (and for the SQL oracle) without any rounding."""
     c = as_col(c)
     return np_round(exact_sum(c) / F.count(c), digits)

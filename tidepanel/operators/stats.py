@@ -28,7 +28,7 @@ def corr_ols(df: DataFrame, x: str, y: str, digits: int | None = 9) -> DataFrame
 
 
 def endpoint_growth(df: DataFrame, value: str, period: str = "year", out: str = "growth_pct",
-                    digits: int | None = 6) -> DataFrame:
+                    digits: int | None = None) -> DataFrame:
     """last / first - 1 (in %) over the period order: ``max_by`` / ``min_by``, one pass."""
     first = F.min_by(value, period)
     last = F.max_by(value, period)

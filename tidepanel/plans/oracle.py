@@ -14,13 +14,26 @@ def rnd(expr: str, n: int) -> str:
     return f"(round_even(({expr}) * {s}, 0) / {s})"
 
 
-def xavg(col: str, n: int = 6) -> str:
-    """Exact-sum mean rounded half-even (same steps as ``exact_avg``)."""
-    return rnd(f"cast(sum(cast({col} as decimal(38,10))) as double) / count({col})", n)
+def _dec_to_double(e: str) -> str:
+    # correctly rounded DECIMAL -> DOUBLE: through the exact decimal text (a direct cast
+    # divides a 128-bit integer by 10^scale in floating point and may round twice)
+    return f"cast(cast({e} as varchar) as double)"
+
+
+def _to_dec(col: str) -> str:
+    # DOUBLE -> DECIMAL from the shortest decimal text of the double (how Spark converts),
+    # not from value * 10^scale in floating point
+    return f"cast(cast({col} as varchar) as decimal(38,10))"
+
+
+def xavg(col: str, n: int | None = None) -> str:
+    """Exact-sum mean (same steps as ``exact_avg``), optionally rounded half-even."""
+    e = f"{_dec_to_double(f'sum({_to_dec(col)})')} / count({col})"
+    return rnd(e, n) if n is not None else f"({e})"
 
 
 def xsum(col: str) -> str:
-    return f"cast(sum(cast({col} as decimal(38,10))) as double)"
+    return _dec_to_double(f"sum({_to_dec(col)})")
 
 
 NATION_CODE = "replace(n.n_name, 'NATION_', 'N')"

@@ -407,8 +407,7 @@ def q_ols_trend(spark, d):
 
 @register("endpoint_growth", with_ctes(f"""
 select arg_min(total_arrivals, year) as total_arrivals_first, arg_max(total_arrivals, year) as total_arrivals_last,
-       {rnd('(arg_max(total_arrivals, year) / nullif(arg_min(total_arrivals, year), 0) - 1.0) * 100.0', 6)}
-         as growth_pct
+       (arg_max(total_arrivals, year) / nullif(arg_min(total_arrivals, year), 0) - 1.0) * 100.0 as growth_pct
 from yearly""", "fact", extra=_YEARLY))
 def q_endpoint_growth(spark, d):
     """Last / first - 1 over the ordered yearly totals."""
@@ -453,7 +452,7 @@ _LATEST = "year = (select max(year) from merged)"
 
 
 @register("api_q6_share", with_ctes(f"""
-select country_name, co2, {rnd(f"co2 / (select {xsum('co2')} from u) * 100.0", 6)} as share_pct from u""",
+select country_name, co2, co2 / (select {xsum('co2')} from u) * 100.0 as share_pct from u""",
                                     "merged", extra={
     "agg": f"""select country_name, {xsum('co2')} as co2 from merged
                where {_LATEST} and co2 is not null and country_name is not null group by country_name""",
@@ -465,7 +464,7 @@ def q_api_q6(spark, d):
     """A18 + W7 / API Q6: top-10 emitters of the latest year + 'Otros', with % share."""
     latest = merged(spark, d).where(F.col("year") == _periods(spark, d)["last"])
     t = rank.top_k_with_others(latest, "country_name", "co2", 10)
-    return rank.share_of_total(t, "co2", "share_pct", digits=6)
+    return rank.share_of_total(t, "co2", "share_pct")
 
 
 # ── 2.5 windows ─────────────────────────────────────────────────────────────
@@ -555,13 +554,13 @@ def q_top_k_per_period(spark, d):
 
 
 @register("share_of_total", with_ctes(f"""
-select country_code, co2, {rnd(f"co2 / (select {xsum('co2')} from fact where year = (select max(year) from fact)) * 100.0", 6)}
-       as share_pct
+select country_code, co2,
+       co2 / (select {xsum('co2')} from fact where year = (select max(year) from fact)) * 100.0 as share_pct
 from fact where year = (select max(year) from fact)""", "fact"))
 def q_share_of_total(spark, d):
     """Share of the latest year's total per country."""
     f = clean.latest_period(fact(spark, d), "year").select("country_code", "co2")
-    return rank.share_of_total(f, "co2", "share_pct", digits=6)
+    return rank.share_of_total(f, "co2", "share_pct")
 
 
 # ── 2.6 sorts ───────────────────────────────────────────────────────────────

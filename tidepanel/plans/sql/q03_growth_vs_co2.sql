@@ -1,9 +1,9 @@
 -- Mean GDP growth, emission intensity, per-capita emissions and GDP by country.
 SELECT country, country_code,
-       rint(CAST(SUM(CAST(gdp_growth_pct AS DECIMAL(38,10))) AS DOUBLE) / COUNT(gdp_growth_pct) * 1e6) / 1e6 AS avg_gdp_growth,
-       rint(CAST(SUM(CAST(co2_intensity_gdp AS DECIMAL(38,10))) AS DOUBLE) / COUNT(co2_intensity_gdp) * 1e6) / 1e6 AS avg_co2_intensity,
-       rint(CAST(SUM(CAST(co2_per_capita_calc AS DECIMAL(38,10))) AS DOUBLE) / COUNT(co2_per_capita_calc) * 1e6) / 1e6 AS avg_co2_per_capita,
-       rint(CAST(SUM(CAST(gdp_per_capita AS DECIMAL(38,10))) AS DOUBLE) / COUNT(gdp_per_capita) * 1e6) / 1e6 AS avg_gdp_per_capita
+       CAST(SUM(CAST(gdp_growth_pct AS DECIMAL(38,10))) AS DOUBLE) / COUNT(gdp_growth_pct) AS avg_gdp_growth,
+       CAST(SUM(CAST(co2_intensity_gdp AS DECIMAL(38,10))) AS DOUBLE) / COUNT(co2_intensity_gdp) AS avg_co2_intensity,
+       CAST(SUM(CAST(co2_per_capita_calc AS DECIMAL(38,10))) AS DOUBLE) / COUNT(co2_per_capita_calc) AS avg_co2_per_capita,
+       CAST(SUM(CAST(gdp_per_capita AS DECIMAL(38,10))) AS DOUBLE) / COUNT(gdp_per_capita) AS avg_gdp_per_capita
 FROM fact_tourism_emissions
 WHERE gdp_growth_pct IS NOT NULL AND co2_intensity_gdp IS NOT NULL AND year >= {min_year}
 GROUP BY country, country_code
