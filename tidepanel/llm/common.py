@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +33,25 @@ def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark context, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if any(str(f).startswith("tidepanel-") for f in context._python_includes):
+        return
+    top = Path(__file__).resolve().parent.parent
+    path = os.path.join(tempfile.mkdtemp(), "tidepanel-package.zip")  # on the driver, which serves it to the executors
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    context.addPyFile(path)
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` of a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often the body names it."""
     return F.transform(F.array(value), body)[0]

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, saved
+from .common import chunks, map_arrow, saved
 from .tokens import default_tokenizer, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -65,7 +65,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names[:len(cols)])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(pieces, schema)
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), pieces, schema)
 
 
 class Bins:
@@ -139,15 +139,14 @@ def pack(items: DataFrame, size_col: str = "length", capacity: int = 2048, open_
     order = F.xxhash64(*[F.col(c) for c in items.columns])
     dealt = items.withColumn("_h", order).repartition("_h").sortWithinPartitions("_h", *items.columns).drop("_h")
     # written once: a retried task must not place items anew after others have read its bins
-    first = saved(dealt.mapInArrow(_packer(capacity, open_bins, size_col, 0), kinds + placed_by), "pack-0")
+    first = saved(map_arrow(dealt, _packer(capacity, open_bins, size_col, 0), kinds + placed_by), "pack-0")
 
     left = first.filter("held is not null and place = 0").select("bin", "held")
     turn, maps = 0, None
     while True:
         parts, turn = max(1, -(-left.count() // (FAN_IN * open_bins))), turn + 1
-        packed = saved(left.coalesce(parts).withColumnsRenamed({"bin": "was", "held": "size"})
-                       .sortWithinPartitions(F.desc("size"), "was")
-                       .mapInArrow(_packer(capacity, open_bins, "size", turn), "was long, size long" + placed_by), f"pack-{turn}")
+        largest_first = left.coalesce(parts).withColumnsRenamed({"bin": "was", "held": "size"}).sortWithinPartitions(F.desc("size"), "was")
+        packed = saved(map_arrow(largest_first, _packer(capacity, open_bins, "size", turn), "was long, size long" + placed_by), f"pack-{turn}")
         maps = packed if maps is None else saved(
             maps.select("was", F.col("bin").alias("_b"), F.col("place").alias("_p"))
             .join(packed.select(F.col("was").alias("_b"), "bin", "place"), "_b", "left")

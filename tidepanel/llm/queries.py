@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .packing import pack_documents
+from .simhash import simhash_components
 from .token_files import token_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,9 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op10_simhash_golay")
+def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents (3-word shingles) and their components at 3 or fewer differing bits."""
+    return simhash_components(table(spark, sf_dir, "documents"), width=3, most=3)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.session import scratch_dir
 
-from .common import chunks
+from .common import chunks, map_arrow
 from .tokens import default_tokenizer, encoder
 
 LOW = np.uint64(1 << 31)  # states are in [2^31, 2^63)
@@ -178,7 +178,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # dealing by ranges reads the ids once more, for the bounds; the texts are shuffled once
     ordered = rows.repartitionByRange(width, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ordered.mapInArrow(shards, SHARD).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
+    map_arrow(ordered, shards, SHARD).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 
 
 def read_token_files(spark, path: str, with_ids: bool = False) -> DataFrame:
@@ -214,7 +214,7 @@ def read_token_files(spark, path: str, with_ids: bool = False) -> DataFrame:
                     cols.append(pa.array([bytes(x) for x in own], pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:len(cols)])
 
-    return data.mapInArrow(documents, schema)
+    return map_arrow(data, documents, schema)
 
 
 def token_round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
