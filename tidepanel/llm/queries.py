@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import fold, table
+from .language import predict, train
 from .packing import pack_documents
+from .quality import quality_scores
 from .simhash import simhash_components
 from .token_files import token_round_trip
 
@@ -41,3 +44,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of all documents (3-word shingles) and their components at 3 or fewer differing bits."""
     return simhash_components(table(spark, sf_dir, "documents"), width=3, most=3)
+
+
+@_query("op4_language_codes")
+def op4_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from those whose fold of 4 is not 2."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
+    return predict(docs, train(docs, ~F.col("held_out")), ["doc_id", "held_out"])
+
+
+@_query("op9_quality_trees")
+def op9_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from labels of those whose fold of 5 is not 0."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    return quality_scores(docs, table(spark, sf_dir, "labels"), ~F.col("held_out"), keep=["doc_id", "held_out"])
