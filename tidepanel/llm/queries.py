@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, table
+from .embeddings import near_duplicate_vectors
 from .language import predict, train
+from .lines import remove_shared_lines, remove_shared_lines_sql
 from .packing import pack_documents
 from .quality import quality_scores
 from .simhash import simhash_components
@@ -58,3 +60,16 @@ def op9_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents, learnt from labels of those whose fold of 5 is not 0."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
     return quality_scores(docs, table(spark, sf_dir, "labels"), ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
+@_query("op5_vector_neighbours")
+def op5_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at a cosine of 0.95 or more, and their components."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@_query("op7_line_spread", remove_shared_lines_sql())
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that stand on five or more sources, except where they stand first."""
+    docs = remove_shared_lines(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
