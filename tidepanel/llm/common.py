@@ -57,6 +57,42 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def prefix_sums(values: Column, block: int = 128) -> Column:
+    """Running totals of an array of longs, 0 first, in time linear in its size but for one copy per block.
+
+    Totals of blocks come first, then the totals within each block.
+    """
+    zero = F.lit(0).cast("long")
+
+    def places(xs: Column, b: Column) -> Column:
+        return F.sequence(b * block, F.least(b * block + block, F.size(xs)) - 1)
+
+    def by_block(xs: Column) -> Column:  # never empty
+        blocks = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int"))
+        sums = F.transform(blocks, lambda b: F.aggregate(places(xs, b), zero, lambda x, j: x + F.get(xs, j)))
+        firsts = F.aggregate(sums, F.array(zero), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        return let(firsts, lambda fs: F.flatten(F.transform(blocks, lambda b: F.aggregate(
+            F.filter(places(xs, b), lambda j: j > b * block), F.array(F.get(fs, b)), lambda acc, j: F.concat(acc, F.array(F.element_at(acc, -1) + F.get(xs, j - 1)))))))
+
+    return let(F.concat(values, F.array(zero)), by_block)
+
+
+def without(docs: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` (never NULL) is not in the one column of ``keys``.
+
+    Up to a million keys (8 MB) are sent to the rows; more are joined by a shuffle.
+    """
+    found = saved(keys.toDF("_gone").distinct(), "gone")
+    if found.count() <= 1_000_000:
+        found = F.broadcast(found)
+    return docs.withColumn("_key", key).join(found, F.col("_key") == F.col("_gone"), "left_anti").drop("_key")
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """Tells rows apart also where ids are missing or repeated: rows alike in id and text share it."""
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
 def fold(id_col: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus`` (NULL ids: fold of the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import row_key, saved
 
 MIN_SITES = 5
 LG_K = 10  # 1,024 registers
@@ -43,10 +43,9 @@ def remove_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str
     dropped, a text may become empty. Rows alike in id and text are cleaned
     alike. An empty table gives an empty result.
     """
-    # the digest of id and text tells rows apart where ids are missing or repeated
-    key = F.xxhash64(F.col(id_col), F.col(text_col))
+    key = row_key(id_col, text_col)
     parts = F.split(F.col(text_col), "\n")
-    rows = docs.select(key.alias("key"), F.col(id_col).alias("doc_id"), F.col(site_col).cast("string").alias("site"), F.posexplode(parts).alias("pos", "line"))
+    rows = docs.select(key.alias("key"), F.col(id_col).alias("doc_id"), F.col(site_col).cast("string").alias("site"), F.posexplode_outer(parts).alias("pos", "line"))
     lines = saved(rows.withColumn("line", F.trim("line")).filter("line != ''")
                   .select("key", "doc_id", "site", "pos", F.xxhash64("line").alias("hash")), "lines")
     shared = shared_lines(lines, min_sites)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, table
+from .decontamination import contaminated
 from .embeddings import near_duplicate_vectors
 from .language import predict, train
 from .lines import remove_shared_lines, remove_shared_lines_sql
@@ -73,3 +74,9 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that stand on five or more sources, except where they stand first."""
     docs = remove_shared_lines(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@_query("op3_template_matches")
+def op3_template_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that hold benchmark items, also with other numbers, names and units."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc_key")
