@@ -61,20 +61,21 @@ class Forest:
     def __init__(self, trees: int = 60, depth: int = 4, rate: float = 0.2, bins: int = 64, leaf: float = 1.0):
         self.trees, self.depth, self.rate, self.bins, self.leaf = trees, depth, rate, bins, leaf
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Forest:
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Forest:
         n, width = x.shape
+        weight = np.ones(n) if weight is None else weight
         self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(width)]
         binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)], axis=1)
         inner = (1 << self.depth) - 1
         self.feature = np.zeros((self.trees, inner), dtype=np.int32)
         self.split = np.full((self.trees, inner), np.inf)
         self.value = np.zeros((self.trees, 1 << self.depth))
-        p = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+        p = np.clip(np.average(y, weights=weight), 1e-3, 1 - 1e-3)
         self.start = float(np.log(p / (1 - p)))
         f = np.full(n, self.start)
         for t in range(self.trees):
             prob = 1 / (1 + np.exp(-f))
-            grad, hess = prob - y, prob * (1 - prob)
+            grad, hess = weight * (prob - y), weight * prob * (1 - prob)
             node = np.zeros(n, dtype=np.int64)
             for level in range(self.depth):
                 base, wide = (1 << level) - 1, 1 << level

@@ -13,6 +13,7 @@ from .embeddings import near_duplicate_vectors
 from .language import predict, train
 from .lines import remove_shared_lines, remove_shared_lines_sql
 from .packing import pack_documents
+from .pii import digest, personal_data
 from .quality import quality_scores
 from .simhash import simhash_components
 from .token_files import token_round_trip
@@ -80,3 +81,9 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_template_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents that hold benchmark items, also with other numbers, names and units."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc_key")
+
+
+@_query("op1_personal_data")
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents."""
+    return digest(personal_data(table(spark, sf_dir, "documents")))
