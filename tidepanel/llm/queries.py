@@ -11,6 +11,7 @@ from .common import fold, table
 from .decontamination import contaminated
 from .embeddings import near_duplicate_vectors
 from .language import predict, train
+from .language_model import score_texts
 from .lines import remove_shared_lines, remove_shared_lines_sql
 from .packing import pack_documents
 from .pii import digest, personal_data
@@ -87,3 +88,9 @@ def op3_template_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return digest(personal_data(table(spark, sf_dir, "documents")))
+
+
+@_query("op6_elias_fano_lm")
+def op6_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of all documents, learnt from those whose fold of 7 is not 2."""
+    return score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
