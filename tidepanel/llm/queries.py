@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,3 +95,6 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of all documents, learnt from those whose fold of 7 is not 2."""
     return score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
+_query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
