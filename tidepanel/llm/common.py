@@ -77,15 +77,24 @@ def prefix_sums(values: Column, block: int = 128) -> Column:
     return let(F.concat(values, F.array(zero)), by_block)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it new to ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def without(docs: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     """Rows of ``docs`` whose ``key`` (never NULL) is not in the one column of ``keys``.
 
     Up to a million keys (8 MB) are sent to the rows; more are joined by a shuffle.
     """
-    found = saved(keys.toDF("_gone").distinct(), "gone")
+    gone, own = free(docs, "_gone"), free(docs, "_key")
+    found = saved(keys.toDF(gone).distinct(), "gone")
     if found.count() <= 1_000_000:
         found = F.broadcast(found)
-    return docs.withColumn("_key", key).join(found, F.col("_key") == F.col("_gone"), "left_anti").drop("_key")
+    return docs.withColumn(own, key).join(found, F.col(own) == F.col(gone), "left_anti").drop(own)
 
 
 def row_key(id_col: str, text_col: str) -> Column:

@@ -5,7 +5,8 @@ within a sentence are replaced by typed placeholders, the rest is lower case
 without punctuation. Windows of ``WIDTH`` template words are hashed and joined
 with those of the benchmark. Windows of one alignment (place in the document
 less place in the item) belong together; they count if their slots are
-consistent: one value in the item always stands for one value in the document.
+consistent: a value of the item stands for the same value of the document in
+all of them. Windows with another value than the most frequent do not count.
 
 The documents' windows never travel: blocks of at most ``BLOCK`` benchmark
 windows are sent to them, one block after the other.
@@ -72,6 +73,22 @@ def slots() -> Column:
     return F.when(F.col("t.values").isNull(), F.array().cast("array<int>")).otherwise(found)
 
 
+def _consistent(found: Column) -> Column:
+    """How many windows of one alignment have only values that the item's value most often stands for."""
+
+    def count(tally: Column) -> Column:
+        def outvoted(p: Column) -> Column:
+            mine = F.filter(tally, lambda t: t["pair"] == p)[0]["n"]
+            return F.exists(tally, lambda t: (t["pair"]["i"] == p["i"]) & (t["n"] > mine))
+
+        return F.size(F.filter(found, lambda w: ~F.exists(w["pairs"], outvoted)))
+
+    def tallied(pairs: Column) -> Column:
+        return F.transform(F.array_distinct(pairs), lambda p: F.struct(p.alias("pair"), F.size(F.filter(pairs, lambda q: q == p)).alias("n")))
+
+    return let(let(F.flatten(F.transform(found, lambda w: w["pairs"])), tallied), count)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                  block: int = BLOCK) -> DataFrame:
     """doc_id, item_id, windows, verbatim, doc_key: one row per document and benchmark item found in it.
@@ -95,9 +112,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
            for b in range(blocks)]
     # windows of one alignment: at most as many as the item has words
     lined = (reduce(DataFrame.unionByName, met).groupBy("doc_id", "doc_key", "item_id", "shift")
-             .agg(F.count_distinct("pos").alias("windows"), F.max("n_windows").alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
-             .filter(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))))
-             .withColumn("same", F.forall("pairs", lambda p: p["i"] == p["d"])))
+             .agg(F.collect_set(F.struct("pos", "pairs")).alias("found"), F.max("n_windows").alias("n_windows"))
+             .withColumn("windows", _consistent(F.col("found")))
+             .withColumn("same", F.forall("found", lambda w: F.forall(w["pairs"], lambda p: p["i"] == p["d"]))))
     return (lined.groupBy("doc_id", "doc_key", "item_id")
             .agg(F.max("windows").alias("windows"), F.sum("windows").alias("_all"), F.max("n_windows").alias("_n"), F.max_by("same", "windows").alias("verbatim"))
             .filter(F.col("_all") >= F.least(F.lit(WINDOWS), F.col("_n"))).select("doc_id", "item_id", "windows", "verbatim", "doc_key"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, saved
+from .common import free, row_key, saved
 
 MIN_SITES = 5
 LG_K = 10  # 1,024 registers
@@ -41,7 +41,7 @@ def remove_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str
     A line counts without the blanks around it; blank lines are neither
     counted nor removed. NULL texts stay NULL with no lines. No row is
     dropped, a text may become empty. Rows alike in id and text are cleaned
-    alike. An empty table gives an empty result.
+    alike. Columns n_lines and n_removed of ``docs`` are replaced. An empty table gives an empty result.
     """
     key = row_key(id_col, text_col)
     parts = F.split(F.col(text_col), "\n")
@@ -53,13 +53,14 @@ def remove_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str
             .filter(~F.struct("doc_id", "key", "pos").eqNullSafe(F.col("first"))).select("key", "pos").distinct())
     # 64 places to a number, so that finding a line's mark in a long text stays cheap
     words = hits.groupBy("key", (F.floor(F.col("pos") / 64)).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
-    marks = saved(words.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("_marks"), F.sum(F.bit_count("bits")).alias("_gone")), "line-marks")
-    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*own, key.alias("_key")).join(marks.withColumnRenamed("key", "_key"), "_key", "left")
-    kept = F.filter(parts, lambda line, i: F.bit_get(F.coalesce(F.col("_marks")[F.floor(i / 64).cast("int")], F.lit(0).cast("long")), (i % 64).cast("int")) == 0)
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in own],
-                         F.coalesce(F.size(F.filter(parts, lambda x: F.trim(x) != "")), F.lit(0)).alias("n_lines"), F.coalesce("_gone", F.lit(0)).cast("int").alias("n_removed"))
+    own, marked, gone = free(docs, "_key"), free(docs, "_marks"), free(docs, "_gone")
+    marks = saved(words.groupBy(F.col("key").alias(own)).agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias(marked), F.sum(F.bit_count("bits")).alias(gone)), "line-marks")
+    stay = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")]
+    joined = docs.select(*stay, key.alias(own)).join(marks, own, "left")
+    kept = F.filter(parts, lambda line, i: F.bit_get(F.coalesce(F.col(marked)[F.floor(i / 64).cast("int")], F.lit(0).cast("long")), (i % 64).cast("int")) == 0)
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col)
+    return joined.select(*[text if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")],
+                         F.coalesce(F.size(F.filter(parts, lambda x: F.trim(x) != "")), F.lit(0)).alias("n_lines"), F.coalesce(gone, F.lit(0)).cast("int").alias("n_removed"))
 
 
 def remove_shared_lines_sql(min_sites: int = MIN_SITES) -> str:
