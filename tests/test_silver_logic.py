@@ -57,8 +57,8 @@ def test_dedup_keeps_first_by_order(spark, co2):
 
 def test_dedup_without_order_is_deterministic(spark, co2):
     dup = co2.unionByName(co2.withColumn("co2", F.col("co2") + 1))
-    a = sorted(rows(dedup_first(dup, ["country_code", "year"])))
-    b = sorted(rows(dedup_first(dup.repartition(3), ["country_code", "year"])))
+    a = sorted(rows(dedup_first(dup, ["country_code", "year"], ["co2"])))
+    b = sorted(rows(dedup_first(dup.repartition(3), ["country_code", "year"], ["co2"])))
     assert a == b and len(a) == 4
 
 
@@ -134,18 +134,18 @@ def test_safe_ratio_zero_and_null_denominator(spark):
 
 
 def test_silver_co2_derived_metrics(spark, co2):
-    out = silver.silver_co2(co2).where("country_code = 'ARG'").orderBy("year").collect()
+    out = silver.silver_co2(co2, "year").where("country_code = 'ARG'").orderBy("year").collect()
     assert out[0].co2_per_capita_calc == round(180.5 * 1e6 / 45e6, 4)
     assert out[0].gdp_per_capita == round(4.0e11 / 45e6, 2)
     assert out[0].gdp_growth_pct is None and out[1].gdp_growth_pct == 10.0
-    assert list(silver.silver_co2(co2).columns[:3]) == ["country", "country_code", "year"]
+    assert list(silver.silver_co2(co2, "year").columns[:3]) == ["country", "country_code", "year"]
 
 
 def test_silver_co2_all_null_row_dropped_and_zero_population(spark):
     data = [("A", "AAA", 2020, None, None, None), ("B", "BBB", 2020, 5.0, 0.0, 0.0)]
     df = spark.createDataFrame(data, "country string, country_code string, year bigint, co2 double, gdp double, "
                                      "population double")
-    out = silver.silver_co2(df).collect()
+    out = silver.silver_co2(df, "year").collect()
     assert len(out) == 1
     assert (out[0].co2_per_capita_calc, out[0].co2_intensity_gdp, out[0].gdp_per_capita) == (None, None, None)
 
@@ -155,7 +155,7 @@ def test_silver_tourism(spark):
             ("Chile", "CHL", 2019, None, 1.0e9, None), ("Chile", "CHL", 2020, 0.0, 1.0e9, None)]
     df = spark.createDataFrame(data, "country string, country_code string, year bigint, tourist_arrivals double, "
                                      "tourism_receipts_usd double, tourist_departures double")
-    out = {(r.country_code, r.year): r for r in silver.silver_tourism(df).collect()}
+    out = {(r.country_code, r.year): r for r in silver.silver_tourism(df, "year").collect()}
     assert len(out) == 3
     assert out[("MEX", 2020)].arrivals_growth_pct == -46.67
     assert out[("MEX", 2019)].receipts_per_tourist == 497.78
@@ -167,7 +167,7 @@ def test_transport_totals_pcts_and_dominant(spark):
             ("Colombia", "COL", 2018, 1.0, 1.0, 0.0, None), ("Colombia", "COL", 2019, 0.0, 0.0, 0.0, None)]
     df = spark.createDataFrame(data, "country string, country_code string, year bigint, tourists_air double, "
                                      "tourists_sea double, tourists_land double, tourists_total double")
-    out = {(r.country_code, r.year): r for r in silver.silver_transport(df).collect()}
+    out = {(r.country_code, r.year): r for r in silver.silver_transport(df, "year").collect()}
     assert len(out) == 3  # all-null row dropped
     per = out[("PER", 2018)]
     assert (per.tourists_total, per.pct_air, per.dominant_transport) == (4.0e6, 75.0, "air")
@@ -227,3 +227,45 @@ def test_to_numeric_nan_is_missing(spark):
     assert [r[0] for r in df.select(to_numeric("v")).collect()] == [None, None, 1.5, None, None]
     d = spark.createDataFrame([(float("nan"),), (2.0,)], "v double")
     assert [r[0] for r in d.select(to_numeric("v")).collect()] == [None, 2.0]
+
+
+def test_long_entities_are_filled_span_by_span_alike(spark):
+    import random
+
+    from tidepanel.operators.fill import interpolate_long
+    from tidepanel.spec import PanelKey
+
+    rng = random.Random(8)
+    rows = [(e, t, rng.random() if rng.random() < 0.3 else None, float(t) if t == 500 else None) for e in ("a", "b", None) for t in sorted(rng.sample(range(1000), 300))]
+    df = spark.createDataFrame(rows, "e string, t long, v double, w double").repartition(5)
+    key = PanelKey(("e",), "t")
+    for extrapolate in (True, False):
+        want = {(r.e, r.t): (r.v, r.w) for r in interpolate_linear(df, ["v", "w"], key, mode="time", extrapolate=extrapolate).collect()}
+        for span in (7, 100, 5000):
+            got = {(r.e, r.t): (r.v, r.w) for r in interpolate_long(df, ["v", "w"], span, key, extrapolate).collect()}
+            assert got == want
+
+
+def test_interpolation_time_is_linear_in_an_entitys_rows(spark):
+    import time
+
+    def seconds(n):
+        df = spark.range(n).selectExpr("'one' as country_code", "id as year", "case when id % 1000 = 0 then id * 1.0 end as v")
+        start = time.time()
+        interpolate_linear(df, ["v"]).write.format("noop").mode("overwrite").save()
+        return time.time() - start
+
+    seconds(1000)
+    assert seconds(160_000) < 12 * max(1.0, seconds(20_000))  # a quadratic plan takes 64 times as long
+
+
+def test_sorted_output_has_nulls_last(spark):
+    from tidepanel.plans.queries_ops import q_api_q3, q_sort_key
+
+    codes = [(r.country_code, r.year) for r in q_sort_key(spark, "/root/testdata/sf0.001").collect()]
+    assert codes == sorted(codes)
+    values = [r.co2_per_capita_calc for r in q_api_q3(spark, "/root/testdata/sf0.001").collect()]
+    assert values == sorted(values, reverse=True)
+    from tidepanel.operators.rank import top_k
+    df = spark.createDataFrame([("a", None), ("b", 2.0), ("c", 5.0), ("d", None), ("e", 2.0)], "k string, v double")
+    assert [r.k for r in top_k(df, "v", 5, ["k"]).collect()] == ["c", "b", "e", "a", "d"]

@@ -1,17 +1,17 @@
 """Per-entity gap filling over the period order.
 
-All columns filled in one call share one WindowSpec, so Spark plans a single
-exchange (by entity) and a single sort for the whole family. After
-de-duplication the key (entity, period) is unique, so one window partition
-holds at most one row per period — its size is bounded by the calendar, not
-by the data volume, even for a hot entity.
+All columns filled in one call share one exchange (by entity) and one sort per
+direction. After de-duplication the key (entity, period) is unique, so one
+window partition holds at most one row per period; entities with very many
+periods are filled span by span (``interpolate_long``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.spec import PanelKey
@@ -45,28 +45,60 @@ def interpolate_linear(df: DataFrame, cols: Iterable[str], key: PanelKey = DEFAU
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    w = _w(key)
-    pos = "__pos"
-    if mode == "position":
-        df = df.withColumn(pos, F.row_number().over(w))
-    elif mode == "time":
-        df = df.withColumn(pos, F.col(key.period))
-    else:
+    if mode not in ("position", "time"):
         raise ValueError("mode must be 'position' or 'time'")
-    back = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fwd = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    x = F.col(pos)
-    filled = {}
-    for c in cols:
-        v = F.col(c)
-        p = F.last(v, ignorenulls=True).over(back)
-        pr = F.last(F.when(v.isNotNull(), x), ignorenulls=True).over(back)
-        n = F.first(v, ignorenulls=True).over(fwd)
-        nr = F.first(F.when(v.isNotNull(), x), ignorenulls=True).over(fwd)
-        inner = (n - p) / (nr - pr) * (x - pr) + p
-        filled[c] = F.coalesce(v, F.when(p.isNull(), F.lit(None)).when(n.isNull(), p if extrapolate else F.lit(None))
-                               .otherwise(inner)).cast("double")
-    return df.withColumns(filled).drop(pos)
+    w = _w(key)
+    df = df.withColumn(_ROW, F.row_number().over(w))
+    x = F.col(_ROW if mode == "position" else key.period)
+    # both frames only grow, one along each direction, so a partition takes time linear in its rows
+    until = (Window.unboundedPreceding, Window.currentRow)
+    back = w.rowsBetween(*until)
+    ahead = Window.partitionBy(*key.entity).orderBy(F.desc(_ROW)).rowsBetween(*until)
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), x.alias("x"))) for c in cols}
+    df = df.withColumns({f"__p_{c}": F.last(k, ignorenulls=True).over(back) for c, k in known.items()})
+    df = df.withColumns({f"__n_{c}": F.last(k, ignorenulls=True).over(ahead) for c, k in known.items()})
+    filled = {c: _between(F.col(c), F.col(f"__p_{c}"), F.col(f"__n_{c}"), x, extrapolate) for c in cols}
+    return df.withColumns(filled).drop(_ROW, *[f"__{s}_{c}" for c in cols for s in "pn"])
+
+
+_ROW = "__row"
+
+
+def _between(v: Column, p: Column, n: Column, x: Column, extrapolate: bool) -> Column:
+    """``v``, or the line between the known (v, x) before and after it."""
+    inner = (n["v"] - p["v"]) / (n["x"] - p["x"]) * (x - p["x"]) + p["v"]
+    return F.coalesce(v.cast("double"), F.when(p.isNull(), F.lit(None)).when(n.isNull(), p["v"] if extrapolate else F.lit(None)).otherwise(inner))
+
+
+def interpolate_long(df: DataFrame, cols: Iterable[str], span: int, key: PanelKey = DEFAULT_KEY, extrapolate: bool = True) -> DataFrame:
+    """``interpolate_linear(mode="time")`` for entities of any length.
+
+    An entity's periods (integers) are cut in spans; a span is filled on its
+    own, with the last known value before it and the first after it, which
+    come from one row per (entity, span). So no task holds more of an entity
+    than one span and one row for each of the others.
+    """
+    cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df
+    ent, x = list(key.entity), F.col(key.period)
+    df = df.withColumn("__span", F.floor(x / F.lit(span)))
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), x.alias("x"))) for c in cols}
+    edges = df.groupBy(*ent, "__span").agg(*[f(known[c], F.when(F.col(c).isNotNull(), x)).alias(f"__{s}_{c}") for c in cols for s, f in (("first", F.min_by), ("last", F.max_by))])
+    spans = Window.partitionBy(*ent)
+    before = spans.orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    after = spans.orderBy(F.desc("__span")).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(*ent, "__span", *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__before_{c}") for c in cols],
+                         *[F.last(f"__first_{c}", ignorenulls=True).over(after).alias(f"__after_{c}") for c in cols])
+    both = df.join(edges.withColumnsRenamed({e: f"__e_{e}" for e in [*ent, "__span"]}),
+                   reduce(lambda a, b: a & b, [F.col(e).eqNullSafe(F.col(f"__e_{e}")) for e in [*ent, "__span"]]))
+    until = (Window.unboundedPreceding, Window.currentRow)
+    own = Window.partitionBy(*ent, "__span")
+    back, ahead = own.orderBy(x).rowsBetween(*until), own.orderBy(x.desc()).rowsBetween(*until)
+    both = both.withColumns({f"__p_{c}": F.coalesce(F.last(known[c], ignorenulls=True).over(back), F.col(f"__before_{c}")) for c in cols})
+    both = both.withColumns({f"__n_{c}": F.coalesce(F.last(known[c], ignorenulls=True).over(ahead), F.col(f"__after_{c}")) for c in cols})
+    filled = {c: _between(F.col(c), F.col(f"__p_{c}"), F.col(f"__n_{c}"), x, extrapolate) for c in cols}
+    return both.withColumns(filled).select(*[c for c in df.columns if c != "__span"])
 
 
 def fill_gaps(df: DataFrame, fill_forward: Iterable[str] = (), interpolate: Iterable[str] = (),
