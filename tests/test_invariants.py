@@ -57,13 +57,13 @@ def test_empty_frames_flow_through(spark):
                                            "tourist_departures double")
     empty_tr = spark.createDataFrame([], "country string, country_code string, year bigint, tourists_air double, "
                                          "tourists_sea double, tourists_land double, tourists_total double")
-    fact = gold.gold_fact(silver.silver_co2(empty_co2), silver.silver_tourism(empty_tour),
-                          silver.silver_transport(empty_tr))
+    fact = gold.gold_fact(silver.silver_co2(empty_co2, "year"), silver.silver_tourism(empty_tour, "year"),
+                          silver.silver_transport(empty_tr, "year"))
     assert fact.count() == 0 and "sustainability_label" in fact.columns
 
 
 def test_single_row_panel(spark):
     one = spark.createDataFrame([("A", "AAA", 2020, 1.0, None, 5.0)], "country string, country_code string, "
                                 "year bigint, co2 double, gdp double, population double")
-    r = silver.silver_co2(one).collect()[0]
+    r = silver.silver_co2(one, "year").collect()[0]
     assert (r.gdp, r.gdp_growth_pct, r.co2_per_capita_calc) == (None, None, 200000.0)

@@ -137,29 +137,47 @@ def test_frame_summary(sample):
     assert (r.n_rows, r.n_cols, r.total_nulls, r.n_entities, r.n_periods) == (22, 4, 7, 2, 11)
 
 
-def test_exact_quantiles_distributed_selection_matches_numpy(spark):
+def test_exact_quantiles_match_numpy(spark):
     import numpy as np
     from tidepanel.operators.quantiles import exact_quantiles
 
     rng = np.random.default_rng(7)
     vals = np.concatenate([rng.normal(0, 1, 3000), np.full(2000, 5.0), rng.exponential(3, 1000)])
     rng.shuffle(vals)
-    df = spark.createDataFrame([(float(v),) for v in vals] + [(None,)], "v double")
+    rows = [(float(v), float(i % 5), None) for i, v in enumerate(vals)] + [(None, None, None), (float("nan"), 1e9, None)]
+    df = spark.createDataFrame(rows, "v double, w double, nothing double").repartition(3)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = exact_quantiles(df, "v", probs, cuts=8, band=50, accuracy=100)
-    want = np.quantile(vals, probs)
-    assert got == pytest.approx(list(want), rel=0, abs=1e-12)
+    other = np.array([r[1] for r in rows if r[1] is not None])
+    for accuracy in (20, 10_000):  # wide brackets, and narrow ones
+        got = exact_quantiles(df, ["v", "nothing", "w"], probs, accuracy)
+        assert got["v"] == pytest.approx(list(np.quantile(vals, probs)), rel=0, abs=1e-12)
+        assert got["w"] == pytest.approx(list(np.quantile(other, probs)), rel=0, abs=1e-12) and got["nothing"] == [None] * 7
 
 
-def test_iqr_outliers_large_path_equals_small_path(spark):
+def test_group_quantiles_of_hot_and_null_groups(spark):
     import numpy as np
+    from tidepanel.operators.outliers import iqr_outliers_by
+    from tidepanel.operators.quantiles import group_quantiles
 
-    rng = np.random.default_rng(3)
-    data = [(i, float(x), float(y)) for i, (x, y) in enumerate(zip(rng.lognormal(0, 1, 4000), rng.normal(0, 1, 4000)))]
-    df = spark.createDataFrame(data, "i long, a double, b double")
-    small = iqr_outliers(df, {"a": 1.5, "b": 3.0}, ["i"], digits=9).orderBy("column").collect()
-    large = iqr_outliers(df, {"a": 1.5, "b": 3.0}, ["i"], digits=9, exact_limit=10).orderBy("column").collect()
-    assert [tuple(r) for r in small] == [tuple(r) for r in large]
+    rng = np.random.default_rng(11)
+    groups = {"hot": rng.normal(0, 1, 3000), "a": rng.normal(5, 2, 200), None: rng.normal(-3, 1, 50), "same": np.full(500, 2.0)}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("empty", None), ("empty", float("nan")), (None, None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    got = {r.g: r for r in group_quantiles(df, ["g"], "v", [0.25, 0.6]).collect()}
+    for g, xs in groups.items():
+        assert (got[g].q0, got[g].q1) == pytest.approx(tuple(np.quantile(xs, [0.25, 0.6])), abs=1e-12) and got[g].n == len(xs)
+    assert (got["empty"].n, got["empty"].q0) == (0, None)
+    by = {r.g: r for r in iqr_outliers_by(df, "g", "v").collect()}
+    for g, xs in groups.items():
+        q1, q3 = np.quantile(xs, [0.25, 0.75])
+        assert by[g].outliers_count == int(((xs < q1 - 1.5 * (q3 - q1)) | (xs > q3 + 1.5 * (q3 - q1))).sum())
+    assert by["empty"].outliers_count == 0 and by[None].q1 is not None
+
+
+def test_iqr_outliers_skip_nan(spark):
+    rows = [(i, float(i) if i % 4 else float("nan")) for i in range(1000)] + [(1000, 1e6)]
+    r = iqr_outliers(spark.createDataFrame(rows, "i long, a double"), {"a": 1.5}, ["i"]).collect()[0]
+    assert (r.outliers_count, r.sample_1) == (1, 1e6) and 240 < r.q1 < 260
 
 
 def test_iqr_outliers_approx_method_close_to_exact(spark):
@@ -172,20 +190,6 @@ def test_iqr_outliers_approx_method_close_to_exact(spark):
     assert abs(ex.q1 - ap.q1) < 0.01 and abs(ex.q3 - ap.q3) < 0.01
 
 
-def test_iqr_by_group_hot_group_uses_selection(spark):
-    import numpy as np
-    from tidepanel.operators.outliers import iqr_outliers_by
-
-    rng = np.random.default_rng(11)
-    rows = [("hot", float(x)) for x in rng.normal(0, 1, 3000)] + [("a", float(x)) for x in rng.normal(5, 2, 200)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    small = {r.g: r for r in iqr_outliers_by(df, "g", "v", digits=9).collect()}
-    mixed = {r.g: r for r in iqr_outliers_by(df, "g", "v", digits=9, exact_limit=500).collect()}
-    assert small == mixed
-    hot = np.array([x for g, x in rows if g == "hot"])
-    assert small["hot"].q1 == pytest.approx(np.quantile(hot, 0.25), abs=1e-9)
-
-
 def test_pct_change_zero_base_inf(spark):
     df = spark.createDataFrame([("A", 1, 0.0), ("A", 2, 5.0), ("B", 1, 0.0), ("B", 2, 0.0)],
                                "country_code string, year bigint, x double")

@@ -27,11 +27,15 @@ def to_numeric(c, dtype: str = "double") -> Column:
     """Coerce to a number; unparsable values become NULL (ANSI-safe).
 
     NaN means "missing" in the sources, so a NaN double becomes NULL too.
+    Integers are also read from their decimal form, as sheets write years
+    ("2020.0" -> 2020); a value with a fraction is not an integer -> NULL.
     """
-    v = as_col(c).try_cast(dtype)
+    c = as_col(c)
     if dtype in ("double", "float"):
-        v = F.nanvl(v, F.lit(None).cast(dtype))
-    return v
+        return F.nanvl(c.try_cast(dtype), F.lit(None).cast(dtype))
+    v = c.cast("string").try_cast("double")
+    # the direct cast keeps integers that a double cannot hold
+    return F.coalesce(c.cast("string").try_cast(dtype), F.when(v == F.floor(v), v.try_cast(dtype)))
 
 
 def safe_ratio(num, den, scale: float = 1.0, digits: int | None = None, scale_after: bool = False,
@@ -65,11 +69,6 @@ def row_sum_min_count(cols: Iterable) -> Column:
     return F.when(any_present, total)
 
 
-def pct_delta(cur, prev, digits: int | None = 2) -> Column:
-    """(cur / prev - 1) * 100, NULL when prev is 0 or NULL."""
-    return np_round((F.try_divide(as_col(cur), as_col(prev)) - F.lit(1.0)) * F.lit(100.0), digits)
-
-
 def reduction_pct(first, last) -> Column:
     """(first - last) / first * 100, only where first > 0."""
     first, last = as_col(first), as_col(last)
@@ -78,7 +77,11 @@ def reduction_pct(first, last) -> Column:
 
 def exact_sum(c, scale: int = 10) -> Column:
     """Sum through DECIMAL(38, scale): order-independent, so every engine and
-    every partitioning returns the same double."""
+    every partitioning returns the same double.
+
+    Opt-in, for results that are compared bit by bit: digits beyond ``scale``
+    decimal places are cut and sums of 10^(38 - scale) or more fail. A plain
+    ``sum`` / ``avg`` has neither limit."""
     return F.sum(as_col(c).cast(f"decimal(38,{scale})")).cast("double")
 
 

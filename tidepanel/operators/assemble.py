@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -47,9 +47,11 @@ def outer_assemble(frames: Sequence[DataFrame], on: Sequence[str], method: str =
 
     method="union": ``unionByName`` + one ``groupBy(on)`` — a single shuffle
     for any number of frames, partially aggregated map-side (a hot key never
-    concentrates raw rows). Equal to chained full outer joins when every
-    frame is unique on the key (the no-duplicates invariant of the layer).
-    method="join": chained ``full_outer`` joins (one exchange per join).
+    concentrates raw rows). Equal to chained full outer joins as long as every
+    frame is unique on the key; the aggregate counts each frame's rows and the
+    query fails on a key that a frame has twice.
+    method="join": chained ``full_outer`` joins (one exchange per join), which
+    keep repeated keys.
     Columns keep first-seen order (the first frame's columns, then each
     later frame's new columns) — the column order of chained merges.
     """
@@ -62,8 +64,9 @@ def outer_assemble(frames: Sequence[DataFrame], on: Sequence[str], method: str =
         return out.select(*order)
     if method != "union":
         raise ValueError("method must be 'union' or 'join'")
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     vals = [c for c in order if c not in on]
+    frames = [f.withColumn("__frame", F.lit(i)) for i, f in enumerate(frames)]
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     types = dict(u.dtypes)
 
     def pick(c):
@@ -76,7 +79,12 @@ def outer_assemble(frames: Sequence[DataFrame], on: Sequence[str], method: str =
             return F.max(c)
         return F.array_max(F.collect_list(c))
 
-    return u.groupBy(*on).agg(*[pick(c).alias(c) for c in vals]).select(*order)
+    seen = [F.count(F.when(F.col("__frame") == i, 1)).alias(f"__seen{i}") for i in range(len(frames))]
+    g = u.groupBy(*on).agg(*[pick(c).alias(c) for c in vals], *seen)
+    twice = reduce(lambda a, b: a | b, [F.col(f"__seen{i}") > 1 for i in range(len(frames))])
+    fail = F.raise_error(F.concat(F.lit(f"a frame has several rows for one key of {on}: "), F.to_json(F.struct(*on))))
+    # on a key column, which no later projection of values can prune away
+    return g.withColumn(on[0], F.when(twice, fail.cast(types[on[0]])).otherwise(F.col(on[0]))).select(*order)
 
 
 def assemble_indicators(frames: Sequence[DataFrame], on: Sequence[str] = ("country", "country_code", "year"),
@@ -123,18 +131,12 @@ JOIN_CANDIDATES = (
 )
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def fact_with_dim(fact: DataFrame, dim: DataFrame, candidates: Sequence[tuple[str, str]] = JOIN_CANDIDATES,
-                  suffix: str = "_dim", broadcast_max_rows: int = 100_000) -> DataFrame:
+                  suffix: str = "_dim") -> DataFrame:
     """LEFT join fact -> dim on the first candidate key pair present in both.
 
-    Overlapping dim columns get ``suffix``. The dim is broadcast only after a
-    bounded row-count check; otherwise Spark picks a shuffle join.
+    Overlapping dim columns get ``suffix``. Spark's own size threshold decides
+    between a broadcast and a shuffle join.
     """
     pair = next(((fc, dc) for fc, dc in candidates if fc in fact.columns and dc in dim.columns), None)
     if pair is None:
@@ -150,11 +152,6 @@ def fact_with_dim(fact: DataFrame, dim: DataFrame, candidates: Sequence[tuple[st
             renamed[c] = c
     d = dim.select(*[F.col(c).alias(renamed[c]) for c in dim.columns])
     dkey = renamed[dc]
-    d = sized_broadcast(d, broadcast_max_rows)
     out = fact.join(d, fact[fc] == d[dkey], "left")
     keep = [fact[c] for c in fact.columns] + [d[renamed[c]] for c in dim.columns if renamed[c] != "__dimkey"]
     return out.select(*keep)
-
-
-def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})

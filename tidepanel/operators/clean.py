@@ -18,14 +18,6 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
-    cond = None
-    for k in key:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 # ── PF7 ─────────────────────────────────────────────────────────────────────
 def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, name_col: str = "country",
                  on_null_period: str = "raise") -> DataFrame:
@@ -44,13 +36,8 @@ def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, n
         if c in spec.numeric:
             e = to_numeric(c)
         elif c == key.period:
-            t = types[c]
-            if t in ("bigint", "int", "smallint", "tinyint"):
-                e = F.col(c).cast("bigint")
-            else:  # "2020", 2020.0 -> 2020; 2020.5, "x" -> NULL
-                d = F.col(c).try_cast("double") if t in ("double", "float") or t.startswith("decimal") \
-                    else F.col(c).cast("string").try_cast("double")
-                e = F.when(d == F.floor(d), d.cast("bigint"))
+            # "2020", 2020.0 -> 2020; 2020.5, "x" -> NULL
+            e = F.col(c).cast("bigint") if types[c] in ("bigint", "int", "smallint", "tinyint") else to_numeric(c, "bigint")
             if on_null_period == "raise":
                 e = F.when(e.isNull(), F.raise_error(F.lit(f"NULL or non-integer {c}"))).otherwise(e)
         elif c in key.entity:
@@ -71,25 +58,21 @@ def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, n
 READ_ORDER = ("_metadata.file_path", "_metadata.row_index")
 
 
-def dedup_first(df: DataFrame, key: Sequence[str], order_by: str | Sequence[str] | None = None) -> DataFrame:
+def dedup_first(df: DataFrame, key: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """One row per key: the row with the smallest ``order_by`` value.
 
     Implemented as a hash aggregate (``min_by`` of a struct), which combines
     map-side before the shuffle — a duplicate group holding a large share of
-    the rows never lands in one task. Without ``order_by`` the smallest row
-    (by all columns) is kept, which is deterministic but not "read order";
-    ``order_by=READ_ORDER`` keeps the first row in file order for DataFrames
-    read straight from files (Parquet/CSV/JSON file sources).
+    the rows never lands in one task. The order must be named, as rows have
+    none of their own: a column that numbers them, or ``READ_ORDER`` for
+    DataFrames read straight from files (Parquet/CSV/JSON file sources).
     """
     key = _cols(key)
     others = [c for c in df.columns if c not in key]
     if not others:
         return df.select(*key).distinct()
     payload = F.struct(*[F.col(c) for c in others])
-    if order_by is None:
-        pick = F.min(payload)
-    else:
-        pick = F.min_by(payload, F.struct(*[F.col(c) for c in _cols(order_by)]))
+    pick = F.min_by(payload, F.struct(*[F.col(c) for c in _cols(order_by)]))
     return df.groupBy(*key).agg(pick.alias("__first")).select(*key, "__first.*").select(*df.columns)
 
 

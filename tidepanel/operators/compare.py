@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepanel.functions.numeric import reduction_pct
-
 
 def period_compare(df: DataFrame, label: str, value: str, a, b, period: str = "year",
                    suffixes: tuple[str, str] | None = None, zero_if_all_null: bool = True) -> DataFrame:
@@ -38,13 +36,6 @@ def period_compare(df: DataFrame, label: str, value: str, a, b, period: str = "y
     return agg.where((F.col("__na") > 0) & (F.col("__nb") > 0)).drop("__na", "__nb")
 
 
-def period_reduction(df: DataFrame, label: str, value: str, first: int, last: int, period: str = "year") -> DataFrame:
-    """(first - last) / first * 100 per label, keeping labels with first > 0."""
-    cmp = period_compare(df, label, value, first, last, period, suffixes=("_first", "_last"))
-    f, la = f"{value}_first", f"{value}_last"
-    return cmp.where(F.col(f) > 0).withColumn("reduction_pct", reduction_pct(f, la))
-
-
 def missing_members(expected: DataFrame, present: DataFrame, on: Sequence[str]) -> DataFrame:
     """Expected keys that are absent (left anti join).
 

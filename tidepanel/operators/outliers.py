@@ -1,13 +1,9 @@
 """IQR outlier report (A16) — flags, never removes.
 
-Quartiles are exact. Columns whose non-NULL count is within ``exact_limit``
-(checked by a counting pass) use Spark's ``percentile`` aggregate — its
-value map is then bounded by that count. Larger columns use the distributed
-selection of ``quantiles.exact_quantiles``, so no task ever holds a whole
-column. The bounds table has one row per column (a broadcast bounded by the
-number of columns); counts and the first ``n_samples`` outliers per column
-come from one tall pass (the row_number limit is applied per map task before
-the shuffle).
+Quartiles are exact at every size (``quantiles``). Counts come from one
+aggregate of conditions over the columns as they are; only values outside
+their bounds become rows, for the samples (the row_number limit is applied per
+map task before the shuffle). NULL and NaN are not values.
 """
 
 from __future__ import annotations
@@ -17,117 +13,84 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepanel.functions.numeric import np_round
-from tidepanel.operators.quantiles import exact_quantiles
+from tidepanel.functions.numeric import np_round, to_numeric
+from tidepanel.operators.quantiles import exact_quantiles, group_quantiles
 
-BOUNDS_SCHEMA = "column string, q1 double, q3 double, multiplier double, __rows bigint"
+QUARTILES = [0.25, 0.75]
+BOUNDS_SCHEMA = "column string, q1 double, q3 double, multiplier double, outliers_count bigint, __rows bigint"
 
 
-def quartiles(df: DataFrame, cols: Sequence[str], exact_limit: int = 2_000_000, method: str = "exact",
-              accuracy: int = 10_000) -> tuple[dict, int]:
-    """{column: (q1, q3)} with linear interpolation (NULLs skipped), and the row count.
+def quartiles(df: DataFrame, cols: Sequence[str], method: str = "exact", accuracy: int = 10_000) -> dict[str, tuple]:
+    """{column: (q1, q3)} with linear interpolation (NULLs skipped).
 
     method="approx" uses ``percentile_approx`` (one pass, rank error <= n / accuracy)
     for dashboards that can trade exactness for a single pass.
     """
-    n_rows = df.count()  # a Parquet scan answers this from file metadata
-    out: dict[str, tuple] = {}
     if method == "approx":
-        q = df.agg(*[F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], accuracy).alias(f"q{i}")
-                     for i, c in enumerate(cols)]).first()
-        return {c: tuple(q[f"q{i}"]) if q[f"q{i}"] is not None else (None, None) for i, c in enumerate(cols)}, n_rows
-    if n_rows <= exact_limit:
-        # every column has at most n_rows values: the exact aggregate's value map is bounded
-        q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")
-                     for i, c in enumerate(cols)]).first()
-        for i, c in enumerate(cols):
-            out[c] = tuple(q[f"q{i}"]) if q[f"q{i}"] is not None else (None, None)
-        return out, n_rows
-    counts = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    small = [c for i, c in enumerate(cols) if counts[f"n{i}"] <= exact_limit]
-    if small:
-        q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")
-                     for i, c in enumerate(small)]).first()
-        for i, c in enumerate(small):
-            out[c] = tuple(q[f"q{i}"]) if q[f"q{i}"] is not None else (None, None)
-    for i, c in enumerate(cols):
-        if c not in out:
-            out[c] = tuple(exact_quantiles(df, c, [0.25, 0.75], n=counts[f"n{i}"]))
-    return out, n_rows
-
-
-def grouped_quartiles(df: DataFrame, by: str, col: str, exact_limit: int = 2_000_000) -> DataFrame:
-    """Per group of ``by``: exact (q1, q3) of ``col`` and the group's row count.
-
-    Group sizes are counted first. Groups within ``exact_limit`` values use a
-    grouped ``percentile`` (its value map is bounded by that size); a group
-    above it — a hot key — is resolved by the distributed selection, so no
-    task holds an unbounded group.
-    """
-    spark = df.sparkSession
-    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("__rows"), F.count(F.col(col)).alias("__n"))
-    big = [r[by] for r in sizes.where(F.col("__n") > exact_limit).select(by).collect()]
-    small_df = df.where(~F.col(by).isin(big)) if big else df
-    q = (small_df.groupBy(by).agg(F.percentile(F.col(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
-                                  .alias("__q"))
-         .select(by, F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3")))
-    if big:
-        rows = [(g, *exact_quantiles(df.where(F.col(by) == g), col, [0.25, 0.75])) for g in big]
-        q = q.unionByName(spark.createDataFrame(rows, q.schema))
-    return sizes.join(q, by, "left").select(by, "q1", "q3", "__rows")
-
-
-def iqr_outliers_by(df: DataFrame, by: str, col: str, multiplier: float = 1.5, digits: int | None = None,
-                    exact_limit: int = 2_000_000) -> DataFrame:
+        q = df.agg(*[F.percentile_approx(to_numeric(F.col(c)), QUARTILES, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+        return {c: tuple(q[f"q{i}"]) if q[f"q{i}"] is not None else (None, None) for i, c in enumerate(cols)}
+    return {c: tuple(q) for c, q in exact_quantiles(df, cols, QUARTILES).items()}
+
+
+def grouped_quartiles(df: DataFrame, by: str, col: str) -> DataFrame:
+    """Per group of ``by`` (NULL is one): exact (q1, q3) of ``col`` and the group's row count."""
+    q = group_quantiles(df, [by], col, QUARTILES).select(F.col(by).alias("__by"), "q0", "q1")
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("__rows"))
+    return sizes.join(q, F.col(by).eqNullSafe(F.col("__by")), "left").select(by, F.col("q0").alias("q1"), F.col("q1").alias("q3"), "__rows")
+
+
+def iqr_outliers_by(df: DataFrame, by: str, col: str, multiplier: float = 1.5, digits: int | None = None) -> DataFrame:
     """A16 per group: q1, q3, bounds, outlier count and share of the group's rows."""
-    q = grouped_quartiles(df, by, col, exact_limit)
+    q = grouped_quartiles(df, by, col)
     b = (q.withColumn("iqr", F.col("q3") - F.col("q1"))
          .withColumn("lower_bound", F.col("q1") - F.lit(float(multiplier)) * F.col("iqr"))
          .withColumn("upper_bound", F.col("q3") + F.lit(float(multiplier)) * F.col("iqr")))
-    v = F.col(col).cast("double")
-    flagged = df.select(by, v.alias("__v")).join(b.select(by, "lower_bound", "upper_bound"), by) \
-        .where((F.col("__v") < F.col("lower_bound")) | (F.col("__v") > F.col("upper_bound"))) \
-        .groupBy(by).agg(F.count(F.lit(1)).alias("outliers_count"))
+    limits = b.select(F.col(by).alias("__by"), "lower_bound", "upper_bound")
+    flagged = (df.select(by, to_numeric(F.col(col)).alias("__v")).join(limits, F.col(by).eqNullSafe(F.col("__by")))
+               .where((F.col("__v") < F.col("lower_bound")) | (F.col("__v") > F.col("upper_bound")))
+               .groupBy(F.col(by).alias("__g")).agg(F.count(F.lit(1)).alias("outliers_count")))
     cnt = F.coalesce(F.col("outliers_count"), F.lit(0)).cast("bigint")
-    return b.join(flagged, by, "left").select(
+    return b.join(flagged, F.col(by).eqNullSafe(F.col("__g")), "left").select(
         by, *[np_round(F.col(c), digits).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
         F.lit(float(multiplier)).alias("multiplier"), cnt.alias("outliers_count"),
         (cnt / F.col("__rows") * F.lit(100.0)).alias("outlier_percentage"))
 
 
 def iqr_outliers(df: DataFrame, multipliers: Mapping[str, float], order_by: Sequence[str],
-                 n_samples: int = 5, digits: int | None = None, exact_limit: int = 2_000_000,
-                 method: str = "exact") -> DataFrame:
+                 n_samples: int = 5, digits: int | None = None, method: str = "exact") -> DataFrame:
     """Per column: q1, q3, iqr, bounds ``q -/+ m * iqr``, count of values strictly
     outside, their share of *all* rows (NULLs included) and the first
     ``n_samples`` outlier values in ``order_by`` order. An all-NULL column
     reports 0 outliers.
     """
     cols = [c for c in multipliers if c in df.columns]
-    qs, n_rows = quartiles(df, cols, exact_limit, method)
-    spark = df.sparkSession
-    stats = spark.createDataFrame([(c, qs[c][0], qs[c][1], float(multipliers[c]), n_rows) for c in cols],
-                                  BOUNDS_SCHEMA)
+    qs = quartiles(df, cols, method)
+    spark, ids = df.sparkSession, list(order_by)
+
+    def outside(c: str):
+        q1, q3 = qs[c]
+        if q1 is None:
+            return F.lit(False)
+        m = float(multipliers[c])
+        v = to_numeric(F.col(c))
+        return F.coalesce((v < q1 - m * (q3 - q1)) | (v > q3 + m * (q3 - q1)), F.lit(False))
+
+    n = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(outside(c), 1)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    stats = spark.createDataFrame([(c, *qs[c], float(multipliers[c]), n[f"n{i}"], n["rows"]) for i, c in enumerate(cols)], BOUNDS_SCHEMA)
     stats = (stats.withColumn("iqr", F.col("q3") - F.col("q1"))
              .withColumn("lower_bound", F.col("q1") - F.col("multiplier") * F.col("iqr"))
              .withColumn("upper_bound", F.col("q3") + F.col("multiplier") * F.col("iqr")))
-    ids = list(order_by)
-    tall = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(ids, cols, "column", "value")
-    b = F.broadcast(stats.select("column", "lower_bound", "upper_bound"))  # one row per column
-    flagged = tall.join(b, "column").where((F.col("value") < F.col("lower_bound"))
-                                           | (F.col("value") > F.col("upper_bound")))
+    found = F.filter(F.array(*[F.when(outside(c), F.struct(F.lit(c).alias("column"), to_numeric(F.col(c)).alias("value"))) for c in cols]), lambda x: x.isNotNull())
+    flagged = df.select(*ids, F.explode(found).alias("f")).select(*ids, "f.*")
     w = Window.partitionBy("column").orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
     firsts = flagged.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n_samples)
     samples = firsts.groupBy("column").agg(*[F.max(F.when(F.col("__rn") == i, F.col("value"))).alias(f"sample_{i}")
                                              for i in range(1, n_samples + 1)])
-    counts = flagged.groupBy("column").agg(F.count(F.lit(1)).alias("outliers_count"))
-    out = stats.join(counts, "column", "left").join(samples, "column", "left")
-    cnt = F.coalesce(F.col("outliers_count"), F.lit(0)).cast("bigint")
-    return out.select(
+    return stats.join(samples, "column", "left").select(
         "column", F.lit("iqr").alias("method"),
         *[np_round(F.col(c), digits).alias(c) for c in ("q1", "q3", "iqr", "lower_bound", "upper_bound")],
-        "multiplier", cnt.alias("outliers_count"),
-        F.when(F.col("__rows") > 0, cnt / F.col("__rows") * F.lit(100.0)).otherwise(F.lit(0.0))
+        "multiplier", "outliers_count",
+        F.when(F.col("__rows") > 0, F.col("outliers_count") / F.col("__rows") * F.lit(100.0)).otherwise(F.lit(0.0))
         .alias("outlier_percentage"),
         *[f"sample_{i}" for i in range(1, n_samples + 1)],
     )

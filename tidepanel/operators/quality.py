@@ -15,21 +15,12 @@ from pyspark.sql import functions as F
 
 from tidepanel.functions.numeric import np_round
 
-# Reason formats of the checks.
+# Reason formats of the checks whose outcome is known without a scan.
 REASONS = {
-    "rows_exact": "Expected {expected} rows, got {actual}",
-    "rows_min": "Expected min {expected} rows, got {actual}",
     "cols_exact": "Expected {expected} cols, got {actual}",
-    "not_null": "{n} nulls ({pct}%) exceeds threshold {thr}%",
-    "duplicates": "{n} duplicate rows found",
     "dup_missing": "Columns not found: {cols}",
-    "in_set": "Invalid values: {values}",
-    "between": "{n} values outside [{lo}, {hi}]",
     "missing_col": "Column '{col}' not found",
-    "type": "{n} values not parseable as {t}",
     "unknown": "Unknown check type",
-    "summary_ok": "{passed}/{total} checks OK",
-    "summary_failed": "⚠️ {failed}/{total} checks FAILED",
 }
 
 RESULT_SCHEMA = "dataset string, layer string, check_no int, `check` string, `column` string, ok boolean, reason string"
@@ -63,17 +54,19 @@ def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds
 
     Flags: a column whose NULL % is strictly above its threshold, members of
     ``expected_members`` with no rows, periods of [start, end] with no rows;
-    "OK" when there are none. ``members_covered`` lists the expected members
-    that have rows (bounded by the expected list, never the whole domain).
+    "OK" when there are none. ``members_covered`` lists all members that have
+    rows, expected or not: the report is for panels whose entities fit a cell
+    (``coverage_report`` has a row per entity). ``periods_covered`` lists the
+    periods, those of [start, end] if given.
     """
     cols = after.columns
     a = after.agg(
         F.count(F.lit(1)).alias("rows_after"),
         F.countDistinct(entity).alias("n_entities"),
-        F.array_sort(F.collect_set(F.col(period).cast("bigint"))).alias("__periods"),
+        F.array_sort(F.collect_set(F.when(F.col(period).between(start, end) if start is not None and end is not None else F.lit(True),
+                                          F.col(period).cast("bigint")))).alias("__periods"),
         *[F.avg(F.col(c).isNull().cast("double")).alias(f"__n{i}") for i, c in enumerate(cols)],
-        *([F.collect_set(F.when(F.col(entity).isin(list(expected_members)), F.col(entity))).alias("__present")]
-          if expected_members else []),
+        F.collect_set(entity).alias("__present"),
     )
     r = a.withColumn("rows_before", before.select(F.count(F.lit(1))).scalar())
     flags = []
@@ -100,8 +93,7 @@ def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds
         F.lit(dataset).alias("dataset"), "rows_before", "rows_after",
         (F.col("rows_before") - F.col("rows_after")).alias("rows_dropped"),
         F.col("n_entities").alias("entities_covered"),
-        (F.array_join(F.array_sort(F.col("__present")), ",") if expected_members else F.lit(None).cast("string"))
-        .alias("members_covered"),
+        F.array_join(F.array_sort(F.col("__present")), ",").alias("members_covered"),
         F.array_join(F.col("__periods").cast("array<string>"), ",").alias("periods_covered"),
         F.array_join("__mm", ",").alias("missing_members"),
         F.array_join(F.col("__mp").cast("array<string>"), ",").alias("missing_periods"),
@@ -142,20 +134,28 @@ def row_count_by_entity(df: DataFrame, entity: str = "country_code") -> DataFram
 
 # ── DQ11 ────────────────────────────────────────────────────────────────────
 def ingest_gate(df: DataFrame, max_null_pct: Mapping[str, float]) -> DataFrame:
-    """One row per gated column: NULL %, limit, ok (plus a ``__rows`` row: non-empty)."""
-    prof = null_profile(df, [c for c in max_null_pct if c in df.columns], digits=None)
-    lim = F.create_map(*[x for c, v in max_null_pct.items() for x in (F.lit(c), F.lit(float(v)))])
-    rows = df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(-1).alias("ordinal"), F.lit("__rows").alias("column"), F.lit(None).cast("double").alias("null_pct"),
-        F.lit(None).cast("double").alias("max_null_pct"), (F.col("n") > 0).alias("ok"))
-    cols = prof.select("ordinal", "column", "null_pct", F.element_at(lim, F.col("column")).alias("max_null_pct")) \
-        .withColumn("ok", F.col("null_pct") <= F.col("max_null_pct"))
-    return rows.unionByName(cols)
+    """One row per gated column: NULL %, limit, ok (plus a ``__rows`` row: non-empty).
+
+    One aggregate. A gated column that the frame lacks fails, and so do all
+    columns of an empty frame (their NULL % is NULL).
+    """
+    here = [c for c in max_null_pct if c in df.columns]
+    one = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col(c).isNull().cast("double")).alias(f"n{i}") for i, c in enumerate(here)])
+
+    def row(i: int, name: str, pct: Column, limit: float | None, ok: Column) -> Column:
+        return F.struct(F.lit(i).alias("ordinal"), F.lit(name).alias("column"), pct.cast("double").alias("null_pct"),
+                        F.lit(limit).cast("double").alias("max_null_pct"), F.coalesce(ok, F.lit(False)).alias("ok"))
+
+    out = [row(-1, "__rows", F.lit(None), None, F.col("n") > 0)]
+    for i, (c, limit) in enumerate(max_null_pct.items()):
+        pct = F.col(f"n{here.index(c)}") * 100.0 if c in here else F.lit(None)
+        out.append(row(i, c, pct, float(limit), pct <= F.lit(float(limit)) if c in here else F.lit(False)))
+    return one.select(F.inline(F.array(*out)))
 
 
 def enforce_gate(gate: DataFrame) -> None:
     """Raise on the driver if any gate row failed (the gate frame has one row per column)."""
-    bad = [r["column"] for r in gate.where(~F.col("ok")).select("column").collect()]
+    bad = [r["column"] for r in gate.where(~F.coalesce("ok", F.lit(False))).select("column").collect()]
     if bad:
         raise ValueError(f"ingest gate failed for: {bad}")
 
