@@ -12,8 +12,7 @@ def test_partition_writer_two_keys(spark, tmp_path):
     df = spark.createDataFrame([(2020, "ARG", 1.0), (2021, "BRA", 2.0), (2020, "ARG", 3.0)],
                                "year bigint, country_code string, value double")
     path = str(tmp_path / "bronze")
-    n = sinks.write_bronze_partitioned(df, path, ("year", "country_code"), ())
-    assert n == 2
+    sinks.write_bronze_partitioned(df, path, ("year", "country_code"), ())
     assert sorted(p for p in os.listdir(path) if p.startswith("year=")) == ["year=2020", "year=2021"]
     back = readers.read_partitioned(spark, path)
     assert dict(back.dtypes)["year"] == "bigint" and dict(back.dtypes)["country_code"] == "string"
@@ -33,7 +32,7 @@ def test_partition_overwrite_is_dynamic(spark, tmp_path):
 def test_rebalanced_partition_write_keeps_every_row(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") % 3 == 0).cast("bigint").alias("year"), F.col("id").alias("v"))
     path = str(tmp_path / "rebalanced")
-    assert sinks.write_bronze_partitioned(df, path, ("year",), ()) == 2
+    sinks.write_bronze_partitioned(df, path, ("year",), ())
     back = readers.read_partitioned(spark, path, entity=None)
     assert back.count() == 1000 and back.agg(F.sum("v")).collect()[0][0] == sum(range(1000))
 
@@ -86,11 +85,14 @@ def test_export_metadata_dictionary_report(spark, tmp_path):
     out = sinks.export_open_data(df, str(tmp_path / "od"), "v1", "gold", "t")
     assert spark.read.option("header", "true").csv(out["csv"]).count() == 2
     md = sinks.table_metadata(df, "t").collect()[0]
-    assert (md.n_rows, md.n_columns, md.period_min, md.period_max, md.members) == (2, 3, 2020, 2021, "ARG,BRA")
+    assert (md.n_rows, md.n_columns, md.period_min, md.period_max, md.n_members) == (2, 3, 2020, 2021, 2)
+    assert sorted(r.member for r in sinks.table_members(df, "t").collect()) == ["ARG", "BRA"]
     dd = {r.column: r for r in sinks.data_dictionary(df, {"v": ("Mt", "value")}).collect()}
     assert dd["v"].unit == "Mt" and dd["v"].null_pct == 50.0 and dd["year"].type == "bigint"
-    part = sinks.write_report(df, str(tmp_path / "rep"), "2024-01-31")
-    assert spark.read.json(part).count() == 2
+    for _ in range(2):  # the second run of a date replaces the first
+        part = sinks.write_report(df, str(tmp_path / "rep"), "2024-01-31")
+    sinks.write_report(df, str(tmp_path / "rep"), "2024-02-29")
+    assert spark.read.json(part).count() == 2 and spark.read.json(str(tmp_path / "rep")).count() == 4
 
 
 def test_register_tables(spark, tmp_path):
@@ -106,3 +108,57 @@ def test_register_tables_in_catalog_database(spark, tmp_path):
     names = catalog.register_tables(spark, {"fact_t": str(tmp_path / "fact")}, database="panel_db")
     assert names == ["panel_db.fact_t"]
     assert spark.sql("select sum(v) from panel_db.fact_t where year = 2020").collect()[0][0] == 3.0
+
+
+def test_files_are_sorted_by_entity(spark, tmp_path):
+    rows = [(2020 + i % 2, f"E{(i * 37) % 50:02d}", float(i)) for i in range(200)]
+    sinks.write_bronze_partitioned(spark.createDataFrame(rows, "year bigint, country_code string, v double").repartition(4), str(tmp_path / "b"))
+    for y in (2020, 2021):
+        for f in os.listdir(tmp_path / "b" / f"year={y}"):
+            if f.endswith(".parquet"):
+                codes = [r.country_code for r in spark.read.parquet(str(tmp_path / "b" / f"year={y}" / f)).collect()]
+                assert codes == sorted(codes)
+
+
+def test_export_runs_its_source_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame([("ARG", 2020, 1.0)], "country_code string, year bigint, v double")
+    counted = spark.createDataFrame(df.rdd.map(lambda r: (runs.add(1), tuple(r))[1]), df.schema)
+    out = sinks.export_open_data(counted, str(tmp_path / "od"), "v1", "gold", "t", {"v": ("Mt", "value")}, {"license": "x"}, "2024-01-31")
+    assert runs.value == 1
+    meta = json.loads(spark.read.text(out["metadata"]).first()[0])
+    assert meta["coverage"] == {"countries": ["ARG"], "year_start": 2020, "year_end": 2020, "rows": 1, "columns": 3}
+
+
+def test_catalog_tables_follow_their_place_and_have_their_partitions(spark, tmp_path):
+    for name, v in (("a", 1.0), ("b", 2.0)):
+        spark.createDataFrame([("ARG", v, 2020)], "k string, v double, year int").write.partitionBy("year").parquet(str(tmp_path / name))
+        catalog.register_tables(spark, {"moved": str(tmp_path / name)}, database="panel_db")
+        assert [(r.v, r.year) for r in spark.sql("select * from panel_db.moved").collect()] == [(v, 2020)]
+
+
+def test_sheet_years_with_a_decimal_point(spark, tmp_path):
+    p = tmp_path / "sheet.csv"
+    p.write_text("reporter_area_label,year,indicator_label,value\nA,2020.0,Inbound by air,5\nA,2020.5,Inbound by air,6\nA,1e3,Inbound by air,7\n")
+    assert sorted((r.year or 0, r.value) for r in readers.read_long_indicators(spark, str(p)).collect()) == [(0, 6.0), (1000, 7.0), (2020, 5.0)]
+
+
+def test_layers_are_made_once_and_again_when_their_inputs_change(spark, tmp_path):
+    import shutil
+
+    from tidepanel.plans import layers
+
+    src = tmp_path / "in"
+    src.mkdir()
+    for t in ("region", "nation", "customer", "supplier", "orders", "lineitem"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", src / f"{t}.parquet")
+        os.chmod(src / f"{t}.parquet", 0o644)
+    base = str(tmp_path / "store")
+    first = layers.lake(spark, str(src), base)
+    stamps = {k: os.stat(p).st_mtime_ns for k, p in first.items()}
+    again = layers.lake(spark, str(src), base)
+    assert again == first and {k: os.stat(p).st_mtime_ns for k, p in again.items()} == stamps
+    os.utime(src / "orders.parquet", (1, 1))
+    third = layers.lake(spark, str(src), base)
+    assert {k for k in third if third[k] != first[k]} == {"bronze_co2", "silver_co2", "fact"}
+    assert spark.read.parquet(third["fact"]).count() == spark.read.parquet(first["fact"]).count()

@@ -22,9 +22,8 @@ _DEFAULTS = {
 }
 
 
-# Settings the plans are written for on a large cluster (applied only where the
-# deployment leaves them unset, see ``apply_cluster_settings``). Shuffle width is
-# left to AQE: start wide, coalesce to ~256 MB partitions, split skewed ones.
+# Settings the plans are written for on a large cluster, for a deployment to copy.
+# Shuffle width is left to AQE: start wide, coalesce to ~256 MB partitions, split skewed ones.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -38,14 +37,6 @@ CLUSTER_SETTINGS = {
 }
 
 
-def apply_cluster_settings(spark: SparkSession) -> SparkSession:
-    """Fill in ``CLUSTER_SETTINGS`` that the session does not set itself."""
-    for k, v in CLUSTER_SETTINGS.items():
-        if spark.conf.get(k, None) in (None, ""):
-            spark.conf.set(k, v)
-    return spark
-
-
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "tidepanel") -> SparkSession:
     """Return the active session, or build a local one for tests/bench."""
     active = SparkSession.getActiveSession()
@@ -77,12 +68,33 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS/S3)")
         base = tempfile.mkdtemp(prefix="tidepanel-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", base)
     _register_checkpoint_dir(spark, base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of ``path``, wherever it is stored."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this process. DataFrames that read them can no longer be used."""
+    n = 0
+    while _SCRATCH:
+        fs, p = file_system(spark, _SCRATCH.pop())
+        n += bool(fs.delete(p, True))
+    return n
 
 
 def checkpointed(df):

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 def register_tables(spark: SparkSession, tables: Mapping[str, str | DataFrame], database: str | None = None) -> list[str]:
     """Register each table for ``spark.sql``.
 
-    Paths become temp views over Parquet (or, with ``database``, catalog
-    tables ``USING parquet LOCATION``); DataFrames become temp views.
+    Paths become temp views over Parquet (or, with ``database``, external
+    catalog tables at that place: one of the same name is registered anew, its
+    files stay, and partition folders are recovered); DataFrames become temp
+    views.
     """
     names = []
     if database:
@@ -20,7 +22,11 @@ def register_tables(spark: SparkSession, tables: Mapping[str, str | DataFrame],
         if isinstance(src, DataFrame):
             src.createOrReplaceTempView(name)
         elif database:
-            spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` USING parquet LOCATION '{src}'")
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+            spark.catalog.createTable(f"`{database}`.`{name}`", path=src, source="parquet")
+            spark.catalog.refreshTable(f"`{database}`.`{name}`")
+            if spark.sql(f"DESCRIBE EXTENDED `{database}`.`{name}`").where("col_name = '# Partition Information'").count():
+                spark.catalog.recoverPartitions(f"`{database}`.`{name}`")
         else:
             spark.read.parquet(src).createOrReplaceTempView(name)
         names.append(f"{database}.{name}" if database else name)

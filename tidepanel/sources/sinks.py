@@ -18,21 +18,20 @@ from tidepanel.operators.quality import null_profile
 
 
 def write_bronze_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = ("year",),
-                             sort_cols: Sequence[str] = ("country_code",), mode: str = "overwrite") -> int:
+                             sort_cols: Sequence[str] = ("country_code",), mode: str = "overwrite") -> None:
     """IO8: Hive-partitioned Snappy Parquet, replacing only the partitions present.
 
-    Default layout is ``year=`` with rows clustered by entity inside the
-    files (entity × year directories make tiny files at scale). Returns the
-    number of partition directories written.
+    Default layout is ``year=`` with rows sorted by entity inside the files
+    (entity × year directories make tiny files at scale).
     """
     keys = list(partition_cols)
     out = df.hint("rebalance", *keys)
     sort = [c for c in sort_cols if c in df.columns and c not in keys]
     if sort:
-        out = out.sortWithinPartitions(*sort)
+        # the writer wants rows in the order of its folders and sorts anew, losing ours, unless that comes first
+        out = out.sortWithinPartitions(*keys, *sort)
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
      .partitionBy(*keys).parquet(path))
-    return df.select(*keys).distinct().count()
 
 
 def write_table(df: DataFrame, path: str, sort_cols: Sequence[str] = ()) -> None:
@@ -48,11 +47,13 @@ def export_open_data(df: DataFrame, base: str, version: str, layer: str, table:
 
     With ``docs`` (column -> (unit, description)) it also writes
     ``metadata.json`` (IO11) and ``data_dictionary.md`` (IO12) through the
-    text sink — each is a folder holding one small part file.
+    text sink — each is a folder holding one small part file. ``df`` runs
+    once: all but the Parquet files are made from these.
     """
     root = f"{base.rstrip('/')}/{version}/{layer}/{table}"
     out = {"parquet": f"{root}/parquet", "csv": f"{root}/csv", "root": root}
     df.write.mode("overwrite").parquet(out["parquet"])
+    df = df.sparkSession.read.schema(df.schema).parquet(out["parquet"])
     df.write.mode("overwrite").option("header", "true").csv(out["csv"])
     if docs is not None:
         info = dict(info or {})
@@ -66,10 +67,18 @@ def export_open_data(df: DataFrame, base: str, version: str, layer: str, table:
 
 
 def open_data_metadata(df: DataFrame, table: str, version: str, docs: Mapping[str, tuple[str, str]],
-                       info: Mapping[str, str], formats: Mapping[str, str], run_date: str | None) -> DataFrame:
-    """One JSON line: identity, licence, row count, formats, NULL % (r1) and schema per column (one pass)."""
+                       info: Mapping[str, str], formats: Mapping[str, str], run_date: str | None,
+                       entity: str = "country_code", period: str = "year") -> DataFrame:
+    """One JSON line: identity, licence, coverage, formats, NULL % (r1) and schema per column (one pass).
+
+    Coverage: members, first and last period (where the table has such
+    columns), rows and columns.
+    """
     types = dict(df.dtypes)
-    one = df.agg(F.count(F.lit(1)).alias("__rows"),
+    where = [F.array_sort(F.collect_set(entity)).alias("__members")] if entity in types else [F.lit(None).cast("array<string>").alias("__members")]
+    when = [f(period).cast("bigint").alias(f"__{n}") for f, n in ((F.min, "first"), (F.max, "last"))] if period in types \
+        else [F.lit(None).cast("bigint").alias(f"__{n}") for n in ("first", "last")]
+    one = df.agg(F.count(F.lit(1)).alias("__rows"), *where, *when,
                  *[F.avg(F.col(c).isNull().cast("double")).alias(f"__n{i}") for i, c in enumerate(df.columns)])
     null_pct = F.create_map(*[x for i, c in enumerate(df.columns)
                               for x in (F.lit(c), np_round(F.coalesce(F.col(f"__n{i}"), F.lit(0.0)) * 100.0, 1))])
@@ -80,6 +89,8 @@ def open_data_metadata(df: DataFrame, table: str, version: str, docs: Mapping[st
     obj = F.struct(F.lit(table).alias("dataset_id"), F.lit(version).alias("version"),
                    *[F.lit(v).alias(k) for k, v in info.items()],
                    F.lit(run_date).alias("last_updated"), F.col("__rows").alias("rows"),
+                   F.struct(F.col("__members").alias("countries"), F.col("__first").alias("year_start"), F.col("__last").alias("year_end"),
+                            F.col("__rows").alias("rows"), F.lit(len(df.columns)).alias("columns")).alias("coverage"),
                    F.struct(*[F.lit(v).alias(k) for k, v in formats.items()]).alias("formats"),
                    null_pct.alias("null_pct"), schema.alias("schema"))
     return one.select(F.to_json(obj).alias("value"))
@@ -103,21 +114,16 @@ def dictionary_markdown(dictionary: DataFrame, table: str, version: str, info: M
     return lit_rows.unionByName(body)
 
 
-def table_metadata(df: DataFrame, table: str, entity: str = "country_code", period: str = "year",
-                   max_listed: int = 10_000) -> DataFrame:
-    """IO11: rows, columns, period range, member count and the sorted member list.
-
-    The member list is built only when a first distinct count proves it has
-    at most ``max_listed`` entries (otherwise NULL), so no single value or
-    task ever collects an unbounded entity domain.
-    """
-    n_members = df.select(F.countDistinct(entity)).first()[0]
-    members = (F.array_join(F.array_sort(F.collect_set(entity)), ",") if n_members <= max_listed
-               else F.lit(None).cast("string"))
+def table_metadata(df: DataFrame, table: str, entity: str = "country_code", period: str = "year") -> DataFrame:
+    """IO11: rows, columns, period range and member count; ``table_members`` has the members, as rows."""
     return df.agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("n_rows"),
                   F.lit(len(df.columns)).alias("n_columns"), F.min(period).alias("period_min"),
-                  F.max(period).alias("period_max"), F.lit(n_members).cast("bigint").alias("n_members"),
-                  members.alias("members"))
+                  F.max(period).alias("period_max"), F.countDistinct(entity).alias("n_members"))
+
+
+def table_members(df: DataFrame, table: str, entity: str = "country_code") -> DataFrame:
+    """IO11: the members of a table, however many, one row each."""
+    return df.where(F.col(entity).isNotNull()).select(F.lit(table).alias("table"), F.col(entity).alias("member")).distinct()
 
 
 def data_dictionary(df: DataFrame, docs: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -134,6 +140,7 @@ def data_dictionary(df: DataFrame, docs: Mapping[str, tuple[str, str]]) -> DataF
 
 
 def write_report(report: DataFrame, path: str, run_date: str) -> str:
-    """IO13: append a report (any DataFrame) as JSON lines under ``run_date=<d>/``."""
-    report.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date").json(path)
+    """IO13: a report (any DataFrame) as JSON lines under ``run_date=<d>/``; a report of that date is replaced."""
+    (report.withColumn("run_date", F.lit(run_date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_date").json(path))
     return f"{path.rstrip('/')}/run_date={run_date}"

@@ -1,3 +1,3 @@
-from tidepanel.streaming.landing import IngestResult, gate_metrics, gate_violations, ingest_landed
+from tidepanel.streaming.landing import IngestResult, gate_violations, ingest_landed
 
-__all__ = ["IngestResult", "gate_metrics", "gate_violations", "ingest_landed"]
+__all__ = ["IngestResult", "gate_violations", "ingest_landed"]

@@ -1,12 +1,11 @@
 """Incremental ingestion of landed files into bronze (Structured Streaming).
 
-The reference re-ingests its landed sources on a monthly schedule. The Spark
-form of that is a file-source stream run with ``trigger(availableNow=True)``:
-each run picks up only the files that landed since the previous run (the
-checkpoint remembers what was read), applies the stateless bronze typing and
-filtering, and commits through the file sink's transaction log — exactly
-once, even when a run dies half-way and is restarted. Readers of the bronze
-folder (``spark.read.parquet``) only see committed files.
+Landed sources are ingested on a schedule. The Spark form of that is a
+file-source stream run with ``trigger(availableNow=True)``: each run picks up
+only the files that landed since the previous run (the checkpoint remembers
+what was read), applies the stateless bronze typing and filtering, and commits
+batch by batch. A batch has a folder of its own that it overwrites, so a run
+that dies half-way and is restarted leaves its rows once.
 """
 
 from __future__ import annotations
@@ -24,18 +23,12 @@ class IngestResult(NamedTuple):
     violations: list  # [(batch_id, [column, ...]), ...]
 
 
-def gate_metrics(df: DataFrame, cols: Sequence[str], name: str = "gate") -> DataFrame:
-    """Attach observed metrics (rows, NULLs per column) computed inside the job that writes ``df``."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"),
-                      *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}") for c in cols])
-
-
 def gate_violations(metrics: Mapping[str, int], max_null_pct: Mapping[str, float]) -> list[str]:
-    """Columns whose NULL share in ``metrics`` exceeds the limit ("__rows" when empty)."""
+    """Columns whose NULL share in ``metrics`` exceeds the limit or that it lacks ("__rows" when empty)."""
     rows = int(metrics.get("rows", 0))
     if rows == 0:
         return ["__rows"]
-    return [c for c, lim in max_null_pct.items() if int(metrics.get(f"nulls_{c}", 0)) / rows * 100.0 > lim]
+    return [c for c, lim in max_null_pct.items() if int(metrics.get(f"nulls_{c}", rows)) / rows * 100.0 > lim]
 
 
 def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType | str, bronze_path: str,
@@ -44,10 +37,13 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType |
                   gate: Mapping[str, float] | None = None) -> IngestResult:
     """Process every not-yet-ingested file of ``landing_dir`` and stop.
 
-    With ``gate`` (column -> max NULL %), each micro-batch carries observed
-    metrics computed in its own write job; batches over a limit are reported
-    in ``IngestResult.violations`` (the data is committed — the report is
-    the monitoring signal for the next layer, which can refuse the batch).
+    Each micro-batch is written to ``bronze_path`` under ``batch_id=<n>/``; a
+    batch that runs again after a failure replaces what it had written. With
+    ``gate`` (column -> max NULL %; a missing column fails) a batch is first
+    written to a staging folder next to the checkpoint, its NULL shares are
+    measured there, and only then is it written to bronze. A batch that fails
+    stays in staging (a batch without rows is none) and is named in ``IngestResult.violations``. Every batch
+    reports its own row, however many there are.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -56,17 +52,19 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType |
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing_dir)
     out = transform(stream) if transform else stream
-    if gate:
-        out = gate_metrics(out, list(gate))
-    query = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-             .partitionBy(*partition_cols).outputMode("append").trigger(availableNow=True).start(bronze_path))
-    query.awaitTermination()
-    progress = [p for p in query.recentProgress if int(p.get("numInputRows", 0)) > 0]
-    violations = []
-    if gate:
-        for p in progress:
-            m = (p.get("observedMetrics") or {}).get("gate")
-            bad = gate_violations(m.asDict() if m is not None else {}, gate)
-            if bad:
-                violations.append((int(p["batchId"]), bad))
-    return IngestResult(sum(int(p["numInputRows"]) for p in progress), violations)
+    results: list[tuple[int, int, list[str]]] = []
+
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        staged = f"{checkpoint.rstrip('/')}-staged/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(staged)
+        rows = spark.read.schema(batch.schema).parquet(staged)
+        cols = [c for c in gate or {} if c in batch.columns]
+        metrics = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}") for c in cols]).first().asDict()
+        bad = gate_violations(metrics, gate) if gate and metrics["rows"] else []
+        if metrics["rows"] and not bad:
+            (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id", *partition_cols).parquet(bronze_path))
+        results.append((batch_id, metrics["rows"], bad))
+
+    out.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(commit).start().awaitTermination()
+    return IngestResult(sum(n for _, n, _ in results), [(b, bad) for b, _, bad in results if bad])
