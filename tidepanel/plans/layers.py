@@ -1,90 +1,118 @@
-"""Medallion materialization: bronze, silver and gold written once, then queried.
-
-Questions and checks read the written gold/silver tables instead of
-re-deriving them from the warehouse tables each time (one derivation per
-session and input folder). The tables live in a fresh folder under the
-session's shared ``spark.checkpoint.dir``; each layer is read back before
-the next is built, so lineage is cut at every layer and a lost executor only
-recomputes from the last written layer.
+"""Stored layers: bronze, silver and gold tables that any later session reads.
+
+Each table lies under ``<store>/<layer>/<name>/<version>``. The version is a
+digest of the files the table was made from (path, size, time of change) or of
+the versions of the tables before it, so a table is made anew only if its
+inputs have changed, and a table that is there is complete: it is written to
+a folder of its own and renamed. The store is the folder in
+``spark.tidepanel.store`` of the session, else ``lakes`` in its
+``spark.checkpoint.dir``; without either it is a scratch folder (local
+sessions only).
 """
 
 from __future__ import annotations
 
-import os
-import threading
+import hashlib
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidepanel.plans import gold, panels, silver
-from tidepanel.session import scratch_dir
+from tidepanel.session import file_system, scratch_dir
 from tidepanel.sources.sinks import write_table
 
-_LAKES: dict[tuple[str, str], dict[str, str]] = {}
-_LOCK = threading.Lock()
 SORT = ["country_code", "year"]
+LAYOUT = "2"  # of the stored tables; raised when what is stored changes
+KEY = ["country_code", "year"]
+ROW = "source_row"  # numbers the rows of a bronze table in the order they were landed
+_SCRATCH_STORE: dict[str, str] = {}
 
 
 def build_silver_co2(spark: SparkSession, d: str) -> DataFrame:
-    return silver.silver_co2(panels.panel_co2(spark, d))
+    return silver.silver_co2(panels.panel_co2(spark, d), KEY)  # the panels have one row per key: any order does
 
 
 def build_silver_tourism(spark: SparkSession, d: str, line_agg: DataFrame | None = None) -> DataFrame:
-    return silver.silver_tourism(panels.panel_tourism(spark, d, line_agg))
+    return silver.silver_tourism(panels.panel_tourism(spark, d, line_agg), KEY)
 
 
 def build_silver_transport(spark: SparkSession, d: str, line_agg: DataFrame | None = None) -> DataFrame:
-    return silver.silver_transport(silver.bronze_transport_wide(panels.panel_transport_long(spark, d, line_agg)))
+    return silver.silver_transport(silver.bronze_transport_wide(panels.panel_transport_long(spark, d, line_agg)), KEY)
+
+
+def store_dir(spark: SparkSession) -> str:
+    """The session's folder for stored layers."""
+    own = spark.conf.get("spark.tidepanel.store", None)
+    if own:
+        return own.rstrip("/")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/lakes"
+    return _SCRATCH_STORE.setdefault(spark.sparkContext.applicationId, scratch_dir(spark, "lakes"))
+
+
+def _digest(*parts: str) -> str:
+    return hashlib.sha256("\n".join((LAYOUT, *parts)).encode()).hexdigest()[:20]
+
+
+def _input_version(spark: SparkSession, d: str, table: str) -> str:
+    fs, path = file_system(spark, f"{d.rstrip('/')}/{table}.parquet")
+    top = fs.getFileStatus(path)
+    files = [top] if top.isFile() else list(fs.listStatus(path))
+    return _digest(*sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files))
+
+
+def _stored(spark: SparkSession, folder: str, version: str, build: Callable[[], DataFrame], sort=SORT) -> str:
+    """Path of the table of this version, made if it is not there."""
+    done = f"{folder}/{version}"
+    fs, path = file_system(spark, done)
+    if not fs.exists(path):
+        making = f"{folder}/.making-{uuid.uuid4().hex[:12]}"
+        _, temp = file_system(spark, making)
+        try:
+            write_table(build(), making, sort)
+            # another session may have been faster: then its table is the one
+            if not fs.exists(path):
+                fs.rename(temp, path)
+        finally:
+            fs.delete(temp, True)
+    return done
 
 
 def lake(spark: SparkSession, d: str, base: str | None = None) -> dict[str, str]:
-    """Paths of the materialized layers for ``d`` (built on first use).
-
-    ``base`` chooses the output folder (default: a fresh folder under the
-    session's ``spark.checkpoint.dir``).
-    """
-    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(d))
-    with _LOCK:
-        if key in _LAKES and base is None:
-            return _LAKES[key]
-        base = base or scratch_dir(spark, "lake")
-        paths = {
-            "line_agg": f"{base}/bronze/line_supplier_year_flag",
-            "bronze_co2": f"{base}/bronze/co2_emissions",
-            "bronze_tourism": f"{base}/bronze/tourism_arrivals",
-            "bronze_transport": f"{base}/bronze/transport_mode",
-            "silver_co2": f"{base}/silver/co2_emissions",
-            "silver_tourism": f"{base}/silver/tourism_arrivals",
-            "silver_transport": f"{base}/silver/transport_mode",
-            "fact": f"{base}/gold/fact_tourism_emissions",
-            "dim": f"{base}/gold/dim_country",
-        }
-
-        def layer(bronze_df, bronze_key, silver_fn, silver_key):
-            write_table(bronze_df, paths[bronze_key], SORT)
-            write_table(silver_fn(spark.read.parquet(paths[bronze_key])), paths[silver_key], SORT)
-
-        def supplier_side():
-            # one lineitem scan feeds both supplier-side panels
-            write_table(panels.line_supplier_agg(spark, d), paths["line_agg"])
-            la = spark.read.parquet(paths["line_agg"])
-            with ThreadPoolExecutor(2) as pool:
-                list(pool.map(lambda f: f(), [
-                    lambda: layer(panels.panel_tourism(spark, d, la), "bronze_tourism", silver.silver_tourism,
-                                  "silver_tourism"),
-                    lambda: layer(silver.bronze_transport_wide(panels.panel_transport_long(spark, d, la)),
-                                  "bronze_transport", silver.silver_transport, "silver_transport")]))
-
-        # independent branches run as concurrent Spark jobs (the scheduler shares the executors)
-        with ThreadPoolExecutor(3) as pool:
-            list(pool.map(lambda f: f(), [
-                lambda: layer(panels.panel_co2(spark, d), "bronze_co2", silver.silver_co2, "silver_co2"),
-                supplier_side,
-                lambda: write_table(panels.dim_country(spark, d), paths["dim"], ["country_code"])]))
-        s = {k: spark.read.parquet(paths[k]) for k in ("silver_co2", "silver_tourism", "silver_transport")}
-        write_table(gold.gold_fact(s["silver_co2"], s["silver_tourism"], s["silver_transport"]), paths["fact"], SORT)
-        _LAKES[key] = paths
-        return paths
+    """Paths of the stored tables for the inputs in ``d``, made where they are missing or out of date."""
+    base = (base or store_dir(spark)).rstrip("/")
+    v = {t: _input_version(spark, d, t) for t in ("orders", "customer", "nation", "region", "lineitem", "supplier")}
+    read = lambda p: spark.read.parquet(p)
+
+    def layer(name: str, version: str, bronze: Callable[[], DataFrame], to_silver) -> dict[str, str]:
+        b = _stored(spark, f"{base}/bronze/{name}", version, lambda: bronze().withColumn(ROW, F.monotonically_increasing_id()))
+        return {"bronze": b, "silver": _stored(spark, f"{base}/silver/{name}", _digest(version), lambda: to_silver(read(b), ROW))}
+
+    def supplier_side() -> dict[str, str]:
+        # one lineitem scan feeds both supplier-side panels
+        by_line = _digest(v["lineitem"])
+        lines = _stored(spark, f"{base}/bronze/line_supplier_year_flag", by_line, lambda: panels.line_supplier_agg(spark, d), ())
+        version = _digest(by_line, v["supplier"], v["nation"])
+        with ThreadPoolExecutor(2) as pool:
+            t, m = pool.map(lambda f: f(), [
+                lambda: layer("tourism_arrivals", version, lambda: panels.panel_tourism(spark, d, read(lines)), silver.silver_tourism),
+                lambda: layer("transport_mode", version, lambda: silver.bronze_transport_wide(panels.panel_transport_long(spark, d, read(lines))), silver.silver_transport)])
+        return {"line_agg": lines, "bronze_tourism": t["bronze"], "silver_tourism": t["silver"], "bronze_transport": m["bronze"], "silver_transport": m["silver"]}
+
+    # independent branches run as concurrent Spark jobs (the scheduler shares the executors)
+    with ThreadPoolExecutor(3) as pool:
+        co2, sides, dim = pool.map(lambda f: f(), [
+            lambda: layer("co2_emissions", _digest(v["orders"], v["customer"], v["nation"]), lambda: panels.panel_co2(spark, d), silver.silver_co2),
+            supplier_side,
+            lambda: _stored(spark, f"{base}/gold/dim_country", _digest(v["nation"], v["region"]), lambda: panels.dim_country(spark, d), ["country_code"])])
+    paths = {"bronze_co2": co2["bronze"], "silver_co2": co2["silver"], **sides, "dim": dim}
+    paths["fact"] = _stored(spark, f"{base}/gold/fact_tourism_emissions", _digest(*[paths[f"silver_{n}"] for n in ("co2", "tourism", "transport")]),
+                            lambda: gold.gold_fact(*[read(paths[f"silver_{n}"]) for n in ("co2", "tourism", "transport")]))
+    return paths
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:

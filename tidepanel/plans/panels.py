@@ -28,14 +28,8 @@ def _dec_sum(c) -> F.Column:
     return F.sum(F.col(c).cast("decimal(18,2)"))
 
 
-NATION_MAX_ROWS = 10_000  # a nation dimension; the check below proves the bound before broadcasting
-
-
 def _nation(spark, sf_dir):
-    from tidepanel.operators.assemble import sized_broadcast
-
-    n = sized_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS)
-    return n.select(
+    return table(spark, sf_dir, "nation").select(
         "n_nationkey",
         F.col("n_name").alias("country"),
         F.replace(F.col("n_name"), F.lit("NATION_"), F.lit("N")).alias("country_code"),
@@ -45,27 +39,14 @@ def _nation(spark, sf_dir):
 def panel_co2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation × order year: co2 = order value / 1e6, gdp = value × 10, population = distinct customers.
 
-    Orders are aggregated once *per customer*, with one conditional sum/count
-    per year (the year list comes from a one-column min/max pass and is
-    bounded by the calendar). That aggregate is hash-partitioned on the
-    customer key, so the join with ``customer`` needs no second exchange of
-    the orders side, and a customer's years come back as rows after the join.
+    Orders are aggregated per customer and year before they meet their
+    customer; the plan does not depend on the years there are.
     """
     orders = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("y"), "o_totalprice")
-    y0, y1 = orders.agg(F.min("y"), F.max("y")).first()
-    years = list(range(y0, y1 + 1)) if y0 is not None else []
-    amt = F.col("o_totalprice").cast("decimal(18,2)")
-    per_cust = orders.groupBy("o_custkey").agg(
-        *[F.sum(F.when(F.col("y") == yr, amt)).alias(f"a{yr}") for yr in years],
-        *[F.count(F.when(F.col("y") == yr, 1)).alias(f"n{yr}") for yr in years])
+    per = orders.groupBy("o_custkey", "y").agg(_dec_sum("o_totalprice").alias("amt"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = per_cust.join(cust, per_cust.o_custkey == cust.c_custkey).join(_nation(spark, sf_dir),
-                                                                       F.col("c_nationkey") == F.col("n_nationkey"))
-    by_year = F.explode(F.array(*[F.struct(F.lit(yr).alias("y"), F.col(f"a{yr}").alias("amt"),
-                                           F.col(f"n{yr}").alias("n")) for yr in years])).alias("e")
-    rows = j.select("country", "country_code", "n_nationkey", by_year).select(
-        "country", "country_code", "n_nationkey", "e.*").where(F.col("n") > 0)
-    g = rows.groupBy("country", "country_code", "n_nationkey", "y").agg(
+    j = per.where(F.col("y").isNotNull()).join(cust, per.o_custkey == cust.c_custkey).join(_nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    g = j.groupBy("country", "country_code", "n_nationkey", "y").agg(
         F.sum("amt").cast("double").alias("amt"), F.count(F.lit(1)).cast("double").alias("ncust"))
     y = F.col("y")
     nk = F.col("n_nationkey")

@@ -14,6 +14,7 @@ from tidepanel.operators.assemble import fact_with_dim
 from tidepanel.plans import gold, layers, panels
 from tidepanel.plans.oracle import rnd, with_ctes, xavg, xsum
 from tidepanel.plans.registry import register
+from tidepanel.session import checkpointed
 
 # The panels span 1995–2001; the reference's year floor plays the same role
 # (keep every year of the panel).
@@ -84,8 +85,9 @@ def q_silver_transport(spark, d):
 @register("gold_fact", with_ctes("select * from fact", "fact"))
 def q_gold_fact(spark, d):
     """C4: outer-assembled fact with backfilled names, co2 per tourist, growth, label (from raw tables)."""
-    return gold.gold_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d),
-                          layers.build_silver_transport(spark, d))
+    lines = checkpointed(panels.line_supplier_agg(spark, d))  # lineitem is read once for both supplier-side panels
+    return gold.gold_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d, lines),
+                          layers.build_silver_transport(spark, d, lines))
 
 
 @register("gold_dim_country", with_ctes("select * from dim_country", "dim_country"))
@@ -163,6 +165,20 @@ def q04(spark, d):
             .orderBy("country", "year"))
 
 
+SLICE = ("NATION_1", "NATION_2", "NATION_7")
+SLICE_PERIODS = (1996, 2000)
+
+
+@register("q04_slice", with_ctes(f"""
+select year, country, co2_per_tourist as value from fact
+where year >= {MIN_YEAR} and tourist_arrivals is not null and co2 is not null
+  and country in ({", ".join(f"'{c}'" for c in SLICE)}) and year between {SLICE_PERIODS[0]} and {SLICE_PERIODS[1]}
+order by country, year""", "fact"))
+def q04_slice(spark, d):
+    """SL6 page slice: chosen members, years and one metric of the evolution rows."""
+    return q04(spark, d).where(F.col("country").isin(*SLICE) & F.col("year").between(*SLICE_PERIODS)).select("year", "country", F.col("co2_per_tourist").alias("value"))
+
+
 @register("q05_sustainable", with_ctes(f"""
 select country, country_code, year, sustainability_label, tourist_arrivals, co2_per_tourist,
        arrivals_growth_pct as arrivals_growth, co2_growth_pct as co2_growth

@@ -39,12 +39,13 @@ def q_write_read_partitioned(spark, d):
 
 
 @register("write_bronze_partitioned", with_ctes("""
-select count(*) as n_partitions from (select distinct year, country_code from panel_co2)""", "panel_co2"))
+select year, country_code, count(*) as n_rows from panel_co2 group by year, country_code""", "panel_co2"))
 def q_write_bronze_partitioned(spark, d):
-    """IO8: two-key layout (year, country_code); returns the number of partitions written."""
+    """IO8: two-key layout (year, country_code); the written partitions and their rows."""
     path = scratch_dir(spark, "bronze_co2_2key")
-    n = sinks.write_bronze_partitioned(panels.panel_co2(spark, d), path, ("year", "country_code"), ())
-    return spark.range(1).select(F.lit(n).cast("bigint").alias("n_partitions"))
+    sinks.write_bronze_partitioned(panels.panel_co2(spark, d), path, ("year", "country_code"), ())
+    back = spark.read.parquet(path)
+    return back.groupBy(F.col("year").cast("bigint").alias("year"), "country_code").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("read_tree", with_ctes("""
@@ -198,14 +199,16 @@ def _export(spark, d):
                                   "fact_tourism_emissions", FACT_DOCS, FACT_INFO, "2001-12-31")
 
 
-@register("export_open_data", with_ctes("select count(*) as rows_parquet, count(*) as rows_csv from fact", "fact"))
+@register("export_open_data", with_ctes("""
+select 'parquet' as format, country_code, year, co2, dominant_transport from fact
+union all select 'csv', country_code, year, co2, dominant_transport from fact""", "fact"))
 def q_export_open_data(spark, d):
     """IO10: versioned Parquet + CSV export; both read back."""
     out = _export(spark, d)
-    n_pq = spark.read.parquet(out["parquet"]).count()
-    n_csv = spark.read.option("header", "true").csv(out["csv"]).count()
-    return spark.range(1).select(F.lit(n_pq).cast("bigint").alias("rows_parquet"),
-                                 F.lit(n_csv).cast("bigint").alias("rows_csv"))
+    cols = ["country_code", "year", "co2", "dominant_transport"]
+    rows = spark.read.parquet(out["parquet"]).select(F.lit("parquet").alias("format"), *cols)
+    text = spark.read.option("header", "true").csv(out["csv"])
+    return rows.unionByName(text.select(F.lit("csv").alias("format"), *[F.col(c).cast(t) for c, t in rows.dtypes if c != "format"]))
 
 
 @register("open_data_metadata", _meta_sql())
@@ -229,13 +232,33 @@ def q_data_dictionary_markdown(spark, d):
 
 @register("table_metadata", with_ctes("""
 select 'fact_tourism_emissions' as "table", count(*) as n_rows, 26 as n_columns, min(year) as period_min,
-       max(year) as period_max, count(distinct country_code) as n_members,
-       array_to_string(list_sort(list(distinct country_code)), ',') as members from fact""", "fact"))
+       max(year) as period_max, count(distinct country_code) as n_members from fact""", "fact"))
 def q_table_metadata(spark, d):
     """IO11: table metadata in one aggregation."""
     return sinks.table_metadata(fact(spark, d), "fact_tourism_emissions")
 
 
+@register("table_members", with_ctes("""
+select distinct 'fact_tourism_emissions' as "table", country_code as member from fact where country_code is not null""", "fact"))
+def q_table_members(spark, d):
+    """IO11: the members of a table as rows."""
+    return sinks.table_members(fact(spark, d), "fact_tourism_emissions")
+
+
+@register("export_coverage", with_ctes("""
+select 'tourism_arrivals' as dataset_id, unnest(list_sort(list(distinct country_code))) as country, min(year) as year_start, max(year) as year_end,
+       count(*) as n_rows, 8 as n_columns from silver_tourism""", "silver_tourism"))
+def q_export_coverage(spark, d):
+    """IO10 + IO11 of a silver table: the coverage block of its written metadata."""
+    t = s_tourism(spark, d)
+    out = sinks.export_open_data(t, scratch_dir(spark, "open-data-silver"), "v1", "silver", "tourism_arrivals",
+                                 {c: ("", "") for c in t.columns}, FACT_INFO, "2001-12-31")
+    schema = "dataset_id string, coverage struct<countries:array<string>,year_start:bigint,year_end:bigint,rows:bigint,columns:int>"
+    return spark.read.schema(schema).json(out["metadata"]).select(
+        "dataset_id", F.explode("coverage.countries").alias("country"), "coverage.year_start", "coverage.year_end", F.col("coverage.rows").alias("n_rows"),
+        F.col("coverage.columns").alias("n_columns"))
+
+
 def _dict_sql() -> str:
     from tidepanel.plans.oracle import rnd
     parts = [f"""select {i} as ordinal, '{c}' as "column", '{_FACT_TYPES[c]}' as type, '{FACT_DOCS[c][0]}' as unit,

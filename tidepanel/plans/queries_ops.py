@@ -13,7 +13,8 @@ from tidepanel.plans import bronze, panels, silver
 from tidepanel.plans.oracle import rnd, with_ctes, xavg, xsum
 from tidepanel.plans.queries import MIN_YEAR, fact, merged, s_co2, s_tourism
 from tidepanel.plans.registry import register
-from tidepanel.spec import CO2_SPEC
+from tidepanel.session import checkpointed
+from tidepanel.spec import CO2_SPEC, PanelKey
 
 # Fixed parameters of the registered questions on the 1995–2001 panels.
 PRE_YEAR, POST_YEAR = 1996, 2000   # pre/post comparison (falls back to min/max year when absent)
@@ -41,17 +42,15 @@ _YRS = f"""select case when count(*) filter (where year = {PRE_YEAR}) > 0 then {
 
 
 def _periods(spark, d):
-    """First/last period and the pre/post periods (with fallback) of the gold fact: one small aggregate.
+    """First/last period and the pre/post periods (with fallback) of the gold fact, as scalar subqueries.
 
-    The questions then filter with literals, which reach the Parquet scan as
-    pushed filters instead of repeating a subquery over the fact ⋈ dim join.
+    Nothing runs until the question does; Spark evaluates each once and pushes it to the scan as a filter.
     """
-    r = fact(spark, d).agg(F.min("year").alias("y0"), F.max("year").alias("y1"),
-                           F.count(F.when(F.col("year") == PRE_YEAR, 1)).alias("npre"),
-                           F.count(F.when(F.col("year") == POST_YEAR, 1)).alias("npost")).first()
-    pre = PRE_YEAR if r["npre"] > 0 else r["y0"]
-    post = POST_YEAR if r["npost"] > 0 else r["y1"]
-    return {"first": r["y0"], "last": r["y1"], "pre": pre, "post": post}
+    y = fact(spark, d).select("year")
+    y0, y1 = y.select(F.min("year")).scalar(), y.select(F.max("year")).scalar()
+    pre = F.coalesce(y.where(F.col("year") == PRE_YEAR).select(F.min("year")).scalar(), y0)
+    post = F.coalesce(y.where(F.col("year") == POST_YEAR).select(F.min("year")).scalar(), y1)
+    return {"first": y0, "last": y1, "pre": pre, "post": post}
 
 
 def _pre_post(spark, d):
@@ -235,12 +234,34 @@ def q_assemble_indicators(spark, d):
     return assemble.assemble_indicators([a, r, dp])
 
 
+_TWICE = {
+    "left2": "select country_code, year, co2 as v, 10.0::double as w from panel_co2 union all "
+             "select country_code, year, co2 + 1.0 as v, 9.0::double as w from panel_co2 where year = 1998",
+    "right2": "select country_code, year, tourist_departures as z from panel_tourism where year >= 1998 union all "
+              "select country_code, year, tourist_departures + 1.0 as z from panel_tourism where year = 1999"}
+
+
+@register("assemble_repeated_keys", with_ctes("""
+select coalesce(l.country_code, r.country_code) as country_code, coalesce(l.year, r.year) as year, l.v, l.w, r.z
+from left2 l full outer join right2 r on l.country_code = r.country_code and l.year = r.year""", "panel_co2", "panel_tourism", extra=_TWICE))
+def q_assemble_repeated_keys(spark, d):
+    """J1 on keys that come several times: every combination, as chained full outer joins have it."""
+    co2, tour = panels.panel_co2(spark, d), panels.panel_tourism(spark, d)
+    key = ["country_code", "year"]
+    left = co2.select(*key, F.col("co2").alias("v"), F.lit(10.0).alias("w")).unionByName(
+        co2.where(F.col("year") == 1998).select(*key, (F.col("co2") + 1.0).alias("v"), F.lit(9.0).alias("w")))
+    right = tour.where(F.col("year") >= 1998).select(*key, F.col("tourist_departures").alias("z")).unionByName(
+        tour.where(F.col("year") == 1999).select(*key, (F.col("tourist_departures") + 1.0).alias("z")))
+    return assemble.outer_assemble([left, right], key, method="join")
+
+
 @register("build_fact", with_ctes("select * from g_a", "g_a"))
 def q_build_fact(spark, d):
     """Full outer of the three silver slices on (country_code, year)."""
     from tidepanel.plans import layers
-    return assemble.build_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d),
-                               layers.build_silver_transport(spark, d))
+    lines = checkpointed(panels.line_supplier_agg(spark, d))
+    return assemble.build_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d, lines),
+                               layers.build_silver_transport(spark, d, lines))
 
 
 @register("backfill_dim_attr", with_ctes("""
@@ -249,14 +270,15 @@ select country_code, year, coalesce(country, max(country) over (partition by cou
 def q_backfill_dim_attr(spark, d):
     """NULL names filled from the code -> name map."""
     from tidepanel.plans import layers
-    f = assemble.build_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d),
-                            layers.build_silver_transport(spark, d))
+    lines = checkpointed(panels.line_supplier_agg(spark, d))
+    f = assemble.build_fact(layers.build_silver_co2(spark, d), layers.build_silver_tourism(spark, d, lines),
+                            layers.build_silver_transport(spark, d, lines))
     return assemble.backfill_dim_attr(f, "country", "country_code").select("country_code", "year", "country")
 
 
 @register("fact_with_dim", with_ctes("select * from merged", "merged"))
 def q_fact_with_dim(spark, d):
-    """LEFT join fact -> dim (broadcast after a size check)."""
+    """LEFT join fact -> dim (Spark picks the join by size)."""
     return merged(spark, d)
 
 
@@ -463,8 +485,8 @@ select country_name, co2, co2 / (select {xsum('co2')} from u) * 100.0 as share_p
 def q_api_q6(spark, d):
     """A18 + W7 / API Q6: top-10 emitters of the latest year + 'Otros', with % share."""
     latest = merged(spark, d).where(F.col("year") == _periods(spark, d)["last"])
-    t = rank.top_k_with_others(latest, "country_name", "co2", 10)
-    return rank.share_of_total(t, "co2", "share_pct")
+    t = rank.top_k_with_others(latest, "country_name", "co2", 10, exact_sum=True)
+    return rank.share_of_total(t, "co2", "share_pct", exact=True)
 
 
 # ── 2.5 windows ─────────────────────────────────────────────────────────────
@@ -483,6 +505,17 @@ def q_dedup_first(spark, d):
     return clean.dedup_first(_dups(spark, d), ["country_code", "year"], order_by="ord")
 
 
+@register("silver_co2_first_row", with_ctes("""
+select country_code, year, co2, gdp, population from silver_co2""", "silver_co2"))
+def q_silver_co2_first_row(spark, d):
+    """W1 in C1: each key comes three times, the later rows empty or doubled; the first landed row counts."""
+    p = panels.panel_co2(spark, d)
+    empty = p.withColumns({c: F.lit(None).cast("double") for c in ("co2", "gdp", "population")})
+    landed = (p.withColumn("landed", F.lit(1)).unionByName(empty.withColumn("landed", F.lit(2)))
+              .unionByName(p.withColumn("co2", F.col("co2") * 2).withColumn("landed", F.lit(3))))
+    return silver.silver_co2(landed, "landed").select("country_code", "year", "co2", "gdp", "population")
+
+
 @register("flag_duplicates", with_ctes("""
 select *, count(*) over (partition by country_code, year) > 1 as is_duplicate from dups""", "panel_co2",
                                        extra={"dups": """select country_code, year, co2 from panel_co2 union all
@@ -523,6 +556,28 @@ def q_interpolate_linear(spark, d):
     return fill.interpolate_linear(panels.panel_co2(spark, d), ["gdp", "population"])
 
 
+_MINUTE = "date_diff('day', date '1970-01-01', cast(ts as date)) * 1440 + hour(ts) * 60 + minute(ts)"
+_TB = "order by minute rows between unbounded preceding and current row"
+_TF = "order by minute rows between current row and unbounded following"
+
+
+@register("interpolate_timeline", f"""
+with panel as (
+  select cast({_MINUTE} as bigint) as minute, case when ({_MINUTE}) % 5 <> 0 then cast(sum(cast(value as decimal(18,2))) as double) end as value
+  from events group by 1, ({_MINUTE})),
+near as (
+  select *, last_value(value ignore nulls) over ({_TB}) as p, last_value(case when value is not null then minute end ignore nulls) over ({_TB}) as pm,
+         first_value(value ignore nulls) over ({_TF}) as n, first_value(case when value is not null then minute end ignore nulls) over ({_TF}) as nm from panel)
+select minute, cast(coalesce(value, case when p is null then null when n is null then p else (n - p) / (nm - pm) * (minute - pm) + p end) as double) as value from near""")
+def q_interpolate_timeline(spark, d):
+    """W4 on one long entity: all events by minute, every fifth minute unknown, filled day by day."""
+    ts = F.col("ts")
+    minute = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    panel = (panels.table(spark, d, "events").groupBy(minute.alias("minute")).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"))
+             .select(F.lit("all").alias("entity"), "minute", F.when(F.col("minute") % 5 != 0, F.col("value")).alias("value")))
+    return fill.interpolate_long(panel, ["value"], 1440, PanelKey(("entity",), "minute")).drop("entity")
+
+
 @register("pct_change", with_ctes(f"""
 select country_code, year, gdp,
        {rnd(f"(pad / nullif(lag(pad) over ({_WO}), 0) - 1.0) * 100.0", 2)} as gdp_growth_pad,
@@ -540,10 +595,29 @@ select country_name, country_code, year, co2 from merged where {_LATEST} and co2
 order by co2 desc, country_code limit 10""", "merged"))
 def q_api_q1(spark, d):
     """W6 / API Q1: top 10 emitters of the latest year (ties keep key order)."""
-    m = merged(spark, d).where((F.col("year") == _periods(spark, d)["last"]) & F.col("co2").isNotNull())
+    return top10_co2(spark, d)
+
+
+def top10_co2(spark, d, year=None):
+    """The ten largest emitters of ``year`` (default: the latest)."""
+    m = merged(spark, d).where((F.col("year") == (_periods(spark, d)["last"] if year is None else year)) & F.col("co2").isNotNull())
     return rank.top_k(m.select("country_name", "country_code", "year", "co2"), "co2", 10, ["country_code"])
 
 
+@register("api_q1_chosen_year", with_ctes(f"""
+select country_name, country_code, year, co2 from merged where year = {YOY_YEAR} and co2 is not null
+order by co2 desc, country_code limit 10""", "merged"))
+def q_api_q1_chosen_year(spark, d):
+    """API Q1 with a year: top 10 emitters of that year."""
+    return top10_co2(spark, d, YOY_YEAR)
+
+
+@register("api_q1_available_years", with_ctes("select distinct year from merged where year is not null order by year", "merged"))
+def q_api_q1_available_years(spark, d):
+    """API Q1: the years that can be chosen."""
+    return fact(spark, d).where(F.col("year").isNotNull()).select("year").distinct().orderBy("year")
+
+
 @register("top_k_per_period", with_ctes("""
 select country_code, year, co2 from panel_co2
 qualify row_number() over (partition by year order by co2 desc, country_code) <= 3""", "panel_co2"))
@@ -560,7 +634,7 @@ from fact where year = (select max(year) from fact)""", "fact"))
 def q_share_of_total(spark, d):
     """Share of the latest year's total per country."""
     f = clean.latest_period(fact(spark, d), "year").select("country_code", "co2")
-    return rank.share_of_total(f, "co2", "share_pct")
+    return rank.share_of_total(f, "co2", "share_pct", exact=True)
 
 
 # ── 2.6 sorts ───────────────────────────────────────────────────────────────
@@ -588,19 +662,47 @@ from merged where year = {YOY_YEAR} and arrivals_growth_pct is not null order by
                                   "merged"))
 def q_api_q4(spark, d):
     """SL4 / API Q4: growth ranking of a fixed year with a sign flag."""
-    m = merged(spark, d).where(F.col("year") == YOY_YEAR)
-    return (clean.drop_any_null(m, ["arrivals_growth_pct"])
+    return yoy_growth(merged(spark, d))
+
+
+def yoy_growth(m, year=YOY_YEAR):
+    """Growth of arrivals in ``year`` per country; from the arrivals themselves if the table has no growth column."""
+    if "arrivals_growth_pct" not in m.columns:
+        m = (m.groupBy("country_name", "country_code", "year").agg(F.sum("tourist_arrivals").alias("tourist_arrivals")))
+        m = growth.pct_change(m, "tourist_arrivals", "arrivals_growth_pct", digits=None)
+    return (clean.drop_any_null(m.where(F.col("year") == year), ["arrivals_growth_pct"])
             .select("country_name", "country_code", "arrivals_growth_pct",
                     sign_flag("arrivals_growth_pct").alias("direction"))
             .orderBy(F.col("arrivals_growth_pct").desc_nulls_last()))
 
 
+@register("api_q4_runtime", with_ctes(f"""
+select country_name, country_code, g as arrivals_growth_pct, case when g >= 0 then 'up' else 'down' end as direction from (
+  select *, (pad / nullif(lag(pad) over (partition by country_code order by year), 0) - 1.0) * 100.0 as g from (
+    select *, last_value(tourist_arrivals ignore nulls) over ({_WB}) as pad from merged))
+where year = {YOY_YEAR} and g is not null order by g desc""", "merged"))
+def q_api_q4_runtime(spark, d):
+    """API Q4 without the stored growth column: growth from the arrivals."""
+    return yoy_growth(merged(spark, d).drop("arrivals_growth_pct"))
+
+
 @register("api_q5_arrivals_vs_co2", with_ctes(f"""
 select country_name, country_code, year, tourist_arrivals, co2 from merged
-where {_VALID} and year = (select max(year) from merged where {_VALID})""", "merged"))
+where {_VALID} and ((year = (select max(year) from merged) and country_name is not null)
+  or (year = (select max(year) from merged where {_VALID})
+      and not exists (select 1 from merged where {_VALID} and country_name is not null and year = (select max(year) from merged))))""", "merged"))
 def q_api_q5(spark, d):
-    """API Q5: arrivals vs emissions in the latest year with valid data."""
-    return q_latest_period(spark, d)
+    """API Q5: named countries of the latest year with both values; if it has none, the latest year that has any."""
+    return arrivals_vs_co2(merged(spark, d))
+
+
+def arrivals_vs_co2(m):
+    valid = m.where((F.col("co2") > 0) & (F.col("tourist_arrivals") > 0))
+    last = m.select(F.max("year")).scalar()
+    named = valid.where((F.col("year") == last) & F.col("country_name").isNotNull())
+    any_named = F.coalesce(named.select(F.count(F.lit(1))).scalar(), F.lit(0)) > 0
+    chosen = F.when(any_named, (F.col("year") == last) & F.col("country_name").isNotNull()).otherwise(F.col("year") == valid.select(F.max("year")).scalar())
+    return valid.where(chosen).select("country_name", "country_code", "year", "tourist_arrivals", "co2")
 
 
 @register("api_q7_pre_post", _Q7_SQL)
@@ -622,11 +724,15 @@ from c where co2_first > 0 order by reduction_pct desc""", "merged", extra={
          and count(case when year = (select y1 from fl) then 1 end) > 0"""}))
 def q_api_q8(spark, d):
     """F7 / API Q8: emission reduction between the first and the last year."""
-    p = _periods(spark, d)
-    y0, y1 = p["first"], p["last"]
-    m = merged(spark, d).withColumn("co2", F.col("co2").cast("decimal(38,10)"))
-    cmp = compare.period_compare(m, "country_name", "co2", y0, y1, suffixes=("_first", "_last"),
-                                 zero_if_all_null=True)
+    return emission_reduction(merged(spark, d), fact(spark, d))
+
+
+def emission_reduction(m, f):
+    """Reduction per country from the first to the last year of ``f``; fails when it has fewer than two."""
+    y0, y1 = f.select(F.min("year")).scalar(), f.select(F.max("year")).scalar()
+    enough = F.when(F.coalesce(y0 < y1, F.lit(False)), y0).otherwise(F.raise_error(F.lit("at least two years of data are needed")).cast("bigint"))
+    m = m.withColumn("co2", F.col("co2").cast("decimal(38,10)"))
+    cmp = compare.period_compare(m, "country_name", "co2", enough, y1, suffixes=("_first", "_last"), zero_if_all_null=True)
     cmp = cmp.withColumns({"co2_first": F.col("co2_first").cast("double"), "co2_last": F.col("co2_last").cast("double")})
     from tidepanel.functions.numeric import reduction_pct
     return (cmp.where(F.col("co2_first") > 0).withColumn("reduction_pct", reduction_pct("co2_first", "co2_last"))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tidepanel.operators import quality
 from tidepanel.operators.outliers import iqr_outliers
-from tidepanel.plans import panels
+from tidepanel.plans import layers, panels
 from tidepanel.plans.oracle import rnd, with_ctes
 from tidepanel.plans.queries import fact, s_co2, s_tourism, s_transport
 from tidepanel.plans.registry import register
+from tidepanel.session import scratch_dir
 from tidepanel.spec import CO2_SPEC, TOURISM_SPEC, TRANSPORT_SPEC
 
 # Expected members: the 25 nation codes (rule-built); expected periods 1995–2001.
@@ -18,6 +19,11 @@ START, END = 1995, 2001
 _EXP_SQL = ", ".join(f"'{m}'" for m in EXPECTED)
 
 
+def bronze_table(spark, d, name):
+    """A stored bronze table without the column that numbers its rows."""
+    return layers.table(spark, d, name).drop(layers.ROW)
+
+
 def _npct_sql(col: str) -> str:
     return rnd(f"avg(case when {col} is null then 1.0 else 0.0 end) * 100.0", 2)
 
@@ -92,8 +98,7 @@ _TR_COLS = ["country", "country_code", "year", "tourists_air", "tourists_sea", "
                 TRANSPORT_SPEC.null_thresholds)]), "silver_co2", "silver_tourism", "silver_transport"))
 def q_quality_report(spark, d):
     """DQ1: before/after rows, coverage, NULL-threshold flags, missing members/periods per silver dataset."""
-    from tidepanel.plans import layers
-    bronze = {k: layers.table(spark, d, k) for k in ("bronze_co2", "bronze_tourism", "bronze_transport")}
+    bronze = {k: bronze_table(spark, d, k) for k in ("bronze_co2", "bronze_tourism", "bronze_transport")}
     co2 = quality.quality_report(bronze["bronze_co2"], s_co2(spark, d), "co2_emissions",
                                  CO2_SPEC.null_thresholds, EXPECTED, START, END)
     tour = quality.quality_report(bronze["bronze_tourism"], s_tourism(spark, d), "tourism_arrivals",
@@ -129,9 +134,8 @@ _GATES = [("panel_co2", "co2", 30.0), ("panel_tourism", "tourist_arrivals", 60.0
     for t, c, lim in _GATES), "panel_co2", "panel_tourism", "bronze_transport_wide"))
 def q_ingest_gate(spark, d):
     """DQ11: abort thresholds on NULL share (and emptiness) of the landed sources."""
-    from tidepanel.plans import layers
-    srcs = {"panel_co2": layers.table(spark, d, "bronze_co2"), "panel_tourism": layers.table(spark, d, "bronze_tourism"),
-            "bronze_transport_wide": layers.table(spark, d, "bronze_transport")}
+    srcs = {"panel_co2": bronze_table(spark, d, "bronze_co2"), "panel_tourism": bronze_table(spark, d, "bronze_tourism"),
+            "bronze_transport_wide": bronze_table(spark, d, "bronze_transport")}
     out = None
     for t, c, lim in _GATES:
         g = quality.ingest_gate(srcs[t], {c: lim})
@@ -196,7 +200,9 @@ def _suite_sql(dataset, layer, src, checks) -> str:
             parts.append(_res(dataset, layer, i, t, ",".join(ch["columns"]), "n = 0",
                               "cast(n as varchar) || ' duplicate rows found'") + f" from {sub}")
         elif t == "column_count":
-            raise ValueError("column_count oracle is built by the caller")
+            n = f"(select max(json_array_length(json_keys(to_json(p)))) as n from {src} p)"
+            exp = ch["expected_value"]
+            parts.append(_res(dataset, layer, i, t, None, f"n = {exp}", f"'Expected {exp} cols, got ' || n") + f" from {n}")
     return "\nunion all\n".join(parts)
 
 
@@ -204,6 +210,22 @@ def _suite_sql(dataset, layer, src, checks) -> str:
 # NULL threshold replaces "no NULL at all" where the outer join makes NULLs
 # legitimate).
 SUITES = {
+    ("bronze", "co2_emissions"): [
+        {"type": "table_row_count", "min_value": 100},
+        {"type": "column_count", "expected_value": 8},
+        {"type": "column_values_to_not_be_null", "column": "country_code"},
+        {"type": "column_values_to_not_be_null", "column": "year"},
+        {"type": "column_values_in_set", "column": "country_code", "value_set": [f"N{k}" for k in range(20)]},
+        {"type": "column_values_type", "column": "year", "expected_type": "int"},
+        {"type": "column_values_type", "column": "co2", "expected_type": "float"},
+    ],
+    ("bronze", "tourism_arrivals"): [
+        {"type": "table_row_count", "min_value": 50},
+        {"type": "column_values_to_not_be_null", "column": "country_code"},
+    ],
+    ("bronze", "transport_mode"): [
+        {"type": "table_row_count", "min_value": 50},
+    ],
     ("silver", "co2_emissions"): [
         {"type": "table_row_count", "expected_value": 175},
         {"type": "column_values_to_not_be_null", "column": "co2"},
@@ -237,12 +259,15 @@ SUITES = {
         {"type": "column_values_in_set", "column": "region", "value_set": ["AFRICA", "AMERICA", "ASIA", "EUROPE"]},
     ],
 }
-_SRC = {("silver", "co2_emissions"): "silver_co2", ("silver", "tourism_arrivals"): "silver_tourism",
+_SRC = {("bronze", "co2_emissions"): "panel_co2", ("bronze", "tourism_arrivals"): "panel_tourism",
+        ("bronze", "transport_mode"): "bronze_transport_wide", ("silver", "co2_emissions"): "silver_co2", ("silver", "tourism_arrivals"): "silver_tourism",
         ("silver", "transport_mode"): "silver_transport", ("gold", "fact_tourism_emissions"): "fact",
         ("gold", "dim_country"): "dim_country"}
 
 
 def _frame_of(spark, d, layer, name):
+    if layer == "bronze":
+        return bronze_table(spark, d, {"co2_emissions": "bronze_co2", "tourism_arrivals": "bronze_tourism", "transport_mode": "bronze_transport"}[name])
     return {("silver", "co2_emissions"): s_co2, ("silver", "tourism_arrivals"): s_tourism,
             ("silver", "transport_mode"): s_transport, ("gold", "fact_tourism_emissions"): fact,
             ("gold", "dim_country"): panels.dim_country}[(layer, name)](spark, d)
@@ -260,14 +285,14 @@ _SUITE_SQL = "\nunion all\n".join(_suite_sql(name, layer, _SRC[(layer, name)], c
                                   for (layer, name), checks in SUITES.items())
 
 
-@register("run_suite", with_ctes(_SUITE_SQL, "silver_co2", "silver_tourism", "silver_transport", "fact",
+@register("run_suite", with_ctes(_SUITE_SQL, "panel_co2", "panel_tourism", "bronze_transport_wide", "silver_co2", "silver_tourism", "silver_transport", "fact",
                                  "dim_country"))
 def q_run_suite(spark, d):
-    """DQ10: declarative suites over silver and gold, one result row per check."""
+    """DQ10: declarative suites over bronze, silver and gold, one result row per check."""
     return _suite_frames(spark, d)
 
 
-_NCOLS = {"silver_co2": 10, "silver_tourism": 8, "silver_transport": 11, "fact": 26, "dim_country": 4}
+_NCOLS = {"panel_co2": 6, "panel_tourism": 6, "bronze_transport_wide": 10, "silver_co2": 10, "silver_tourism": 8, "silver_transport": 11, "fact": 26, "dim_country": 4}
 
 
 @register("suite_summary", with_ctes("\nunion all\n".join(f"""
@@ -278,7 +303,8 @@ select dataset, layer, count(*) as total_checks, count(*) filter (where ok) as p
             else printf('⚠️ %d/%d checks FAILED', count(*) filter (where not ok), count(*)) end as summary,
        (select count(*) from {_SRC[k]}) as n_rows, {_NCOLS[_SRC[k]]} as n_cols
 from ({_suite_sql(k[1], k[0], _SRC[k], checks)}) group by dataset, layer""" for k, checks in SUITES.items()),
-                                     "silver_co2", "silver_tourism", "silver_transport", "fact", "dim_country"))
+                                     "panel_co2", "panel_tourism", "bronze_transport_wide", "silver_co2", "silver_tourism", "silver_transport",
+                                     "fact", "dim_country"))
 def q_suite_summary(spark, d):
     """DQ10 report: total / passed / failed / summary and table stats per dataset."""
     out = None
@@ -317,9 +343,10 @@ for _qname, _layer, _ds, _cte, _check, _fn in [
     register(_qname, _sql)(_build)
 
 
-@register("check_column_count", """
-select 'co2_emissions' as dataset, 'bronze' as layer, 0 as check_no, 'column_count' as "check",
-       null::VARCHAR as "column", false as ok, 'Expected 8 cols, got 6' as reason""")
+@register("check_column_count", with_ctes("""
+select 'co2_emissions' as dataset, 'bronze' as layer, 0 as check_no, 'column_count' as "check", null::VARCHAR as "column",
+       n = 8 as ok, case when n <> 8 then 'Expected 8 cols, got ' || n end as reason
+from (select max(json_array_length(json_keys(to_json(p)))) as n from panel_co2 p)""", "panel_co2"))
 def q_check_column_count(spark, d):
     """DQ9: exact number of columns (driver-side schema check, reported as a row)."""
     return quality.run_suite(panels.panel_co2(spark, d), [{"type": "column_count", "expected_value": 8}],
@@ -363,6 +390,39 @@ def q_iqr_outliers(spark, d):
     return iqr_outliers(s_co2(spark, d), _CO2_OUT, ["country_code", "year"], digits=6)
 
 
+# IQR multipliers of the other two silver panels.
+_TOURISM_OUT = {"tourist_arrivals": 1.5, "tourism_receipts_usd": 1.5}
+_TRANSPORT_OUT = {"tourists_air": 1.5, "tourists_sea": 2.0, "tourists_land": 1.5}
+_OUT = (("co2_emissions", "silver_co2", _CO2_OUT), ("tourism_arrivals", "silver_tourism", _TOURISM_OUT), ("transport_mode", "silver_transport", _TRANSPORT_OUT))
+
+for _name, _src, _mult in _OUT[1:]:
+    def _iqr(spark, d, _src=_src, _mult=_mult):
+        return iqr_outliers({"silver_tourism": s_tourism, "silver_transport": s_transport}[_src](spark, d), _mult, ["country_code", "year"], digits=6)
+
+    _iqr.__doc__ = f"A16: IQR outliers of the silver table {_name}."
+    register(f"iqr_outliers_{_name}", _iqr_sql(_src, _mult, ["country_code", "year"], deps=(_src,)))(_iqr)
+
+
+@register("outlier_report", "\nunion all\n".join(f"select '{n}' as dataset, \"column\", outliers_count, lower_bound, upper_bound from ({_iqr_sql(src, m, ['country_code', 'year'], deps=(src,))})"
+                                                  for n, src, m in _OUT))
+def q_outlier_report_written(spark, d):
+    """A16 + IO13: the outlier report of the three silver tables, written by date (twice: the second replaces the first) and read back."""
+    from tidepanel.sources import sinks
+    report, path = q_outlier_report(spark, d), scratch_dir(spark, "outliers")
+    for _ in range(2):
+        part = sinks.write_report(report, path, "2001-12-31")
+    return spark.read.schema(report.schema).json(part).select("dataset", "column", "outliers_count", "lower_bound", "upper_bound")
+
+
+def q_outlier_report(spark, d):
+    """IQR outliers of the three silver tables."""
+    out = None
+    for (name, _, multipliers), frame in zip(_OUT, (s_co2, s_tourism, s_transport)):
+        r = iqr_outliers(frame(spark, d), multipliers, ["country_code", "year"], digits=6).select(F.lit(name).alias("dataset"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 @register("iqr_outliers_lineitem", _iqr_sql("lineitem", _LI_OUT, ["l_orderkey", "l_linenumber"]))
 def q_iqr_outliers_lineitem(spark, d):
     """A16 at volume: IQR outliers over every line item."""
@@ -385,7 +445,7 @@ from s""", "silver_co2", "dim_country", extra={
     "s": "select region, quantile_cont(co2, 0.25) as q1, quantile_cont(co2, 0.75) as q3, count(*) as n_rows "
          "from j group by region"}))
 def q_iqr_outliers_by_region(spark, d):
-    """A16 per group: emissions outliers within each region (group sizes checked first)."""
+    """A16 per group: emissions outliers within each region (one plan for groups of any size)."""
     from tidepanel.operators.outliers import iqr_outliers_by
     j = s_co2(spark, d).join(panels.dim_country(spark, d).select("country_code", "region"), "country_code")
     return iqr_outliers_by(j, "region", "co2", 1.5, digits=6)

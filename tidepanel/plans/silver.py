@@ -28,10 +28,16 @@ def co2_derived(df: DataFrame, key: PanelKey = KEY) -> DataFrame:
     return pct_change(df, "gdp", "gdp_growth_pct", key)
 
 
-def silver_co2(bronze: DataFrame, order_by=None, key: PanelKey = KEY) -> DataFrame:
-    """Schema -> dedup -> drop empty -> ffill population / interpolate gdp -> derived."""
+def _first_rows(df: DataFrame, key: PanelKey, order_by) -> DataFrame:
+    """The first row per key; a column that only numbers the rows goes."""
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    return dedup_first(df, key.cols, order).drop(*[c for c in order if c not in key.cols])
+
+
+def silver_co2(bronze: DataFrame, order_by, key: PanelKey = KEY) -> DataFrame:
+    """Schema -> first row per key in ``order_by`` order -> drop empty -> ffill population / interpolate gdp -> derived."""
     df = apply_schema(bronze, CO2_SPEC, key)
-    df = dedup_first(df, key.cols, order_by)
+    df = _first_rows(df, key, order_by)
     df = drop_empty_rows(df, CO2_SPEC.drop_null_if_all)
     df = fill_gaps(df, CO2_SPEC.fill_forward, CO2_SPEC.interpolate, key)
     df = co2_derived(df, key)
@@ -39,10 +45,10 @@ def silver_co2(bronze: DataFrame, order_by=None, key: PanelKey = KEY) -> DataFra
                            ["co2_per_capita_calc", "co2_intensity_gdp", "gdp_per_capita", "gdp_growth_pct"])
 
 
-def silver_tourism(bronze: DataFrame, order_by=None, key: PanelKey = KEY) -> DataFrame:
-    """Schema -> dedup -> drop rows without arrivals -> growth, receipts per tourist."""
+def silver_tourism(bronze: DataFrame, order_by, key: PanelKey = KEY) -> DataFrame:
+    """Schema -> first row per key -> drop rows without arrivals -> growth, receipts per tourist."""
     df = apply_schema(bronze, TOURISM_SPEC, key)
-    df = dedup_first(df, key.cols, order_by)
+    df = _first_rows(df, key, order_by)
     df = drop_empty_rows(df, TOURISM_SPEC.drop_null_if_all)
     df = pct_change(df, "tourist_arrivals", "arrivals_growth_pct", key)
     df = df.withColumn("receipts_per_tourist", safe_ratio("tourism_receipts_usd", "tourist_arrivals", 1.0, 2))
@@ -67,10 +73,10 @@ def bronze_transport_wide(long_df: DataFrame) -> DataFrame:
     return wide
 
 
-def silver_transport(bronze: DataFrame, order_by=None, key: PanelKey = KEY) -> DataFrame:
-    """Schema -> dedup -> drop empty -> total if missing -> shares -> dominant mode."""
+def silver_transport(bronze: DataFrame, order_by, key: PanelKey = KEY) -> DataFrame:
+    """Schema -> first row per key -> drop empty -> total if missing -> shares -> dominant mode."""
     df = apply_schema(bronze, TRANSPORT_SPEC, key)
-    df = dedup_first(df, key.cols, order_by)
+    df = _first_rows(df, key, order_by)
     df = drop_empty_rows(df, TRANSPORT_SPEC.drop_null_if_all)
     df = total_if_missing(df, "tourists_total", [f"tourists_{m}" for m in MODES])
     df = mode_shares(df)

@@ -20,7 +20,7 @@ VKEY = PanelKey(("entity",), "period")
 
 def volume_silver(panel: DataFrame, key: PanelKey = VKEY) -> DataFrame:
     """dedup -> drop empty -> interpolate arrivals -> growth -> receipts per unit."""
-    df = dedup_first(panel, key.cols)
+    df = dedup_first(panel, key.cols, key.period)  # the panels are unique on the key
     df = drop_empty_rows(df, ["arrivals", "departures"])
     df = fill_gaps(df, interpolate=["arrivals"], key=key)
     df = pct_change(df, "arrivals", "arrivals_growth_pct", key)
