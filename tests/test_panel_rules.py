@@ -197,3 +197,21 @@ def test_questions_outside_the_usual(spark, gold_inputs):
         queries_ops.emission_reduction(fact.where("year = 2001"), fact.where("year = 2001")).collect()
     # 2004 has no arrivals: the latest year that has both
     assert {r.year for r in queries_ops.arrivals_vs_co2(fact).collect()} <= {2003} and not math.isnan(fact.count())
+
+
+def test_landed_sheets_keep_and_flag_repeated_keys(spark):
+    from tidepanel.plans import bronze
+
+    key = "country string, country_code string, year bigint, "
+    a = spark.createDataFrame([("Isle", "Q0", 2001, 4.0), ("Isle", "Q0", 2001, 5.0), ("Rock", "Q1", 2001, 6.0)], key + "tourist_arrivals double")
+    b = spark.createDataFrame([("Isle", "Q0", 2001, 7.0), ("Rock", "Q1", 2030, 8.0)], key + "tourism_receipts_usd double")
+    out = bronze.tourism_from_indicators([a, b])
+    assert sorted((r.country_code, r.year, r.tourist_arrivals or 0, r.is_duplicate) for r in out.collect()) == [
+        ("Q0", 2001, 4.0, True), ("Q0", 2001, 5.0, True), ("Q1", 2001, 6.0, False), ("Q1", 2030, 0, False)]
+    with pytest.raises(ValueError, match="tourist_arrivals"):
+        bronze.gated(out.drop("tourist_arrivals"), "tourism_arrivals")
+    sheet = spark.createDataFrame([("Isle", "2001.0", "Inbound by air", "3"), ("Isle", "2044", "Inbound by land", "1"), ("Isle", "x", "Inbound by air", "9")],
+                                  "reporter_area_label string, year string, indicator_label string, value string")
+    wide = bronze.transport_from_sheet(sheet, {}, ["Isle"], {"Isle": "Q0"})
+    assert sorted((r.year, r.tourists_total, r.is_duplicate) for r in wide.collect()) == [(2001, 3.0, False), (2044, 1.0, False)]
+    assert [r.year for r in bronze.transport_from_sheet(sheet, {}, ["Isle"], {"Isle": "Q0"}, end=2010).collect()] == [2001]

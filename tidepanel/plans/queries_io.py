@@ -320,7 +320,8 @@ def q_bronze_transport_roundtrip(spark, d):
     panels.long_indicator_sheet(spark, d).write.mode("overwrite").option("header", "true").csv(path)
     sheet = readers.read_long_indicators(spark, path)
     codes = panels.nation_codes(spark, d)
-    return bronze.transport_from_sheet(sheet, panels.reporter_aliases(), codes.select("country"), codes, 1995, 2001)
+    wide = bronze.transport_from_sheet(sheet, panels.reporter_aliases(), codes.select("country"), codes)
+    return bronze.gated(wide, "transport_mode").drop("is_duplicate")
 
 
 
@@ -347,7 +348,6 @@ select country, country_code, year, co2, gdp, population from panel_co2 where ye
                                            "panel_co2"))
 def q_bronze_co2_from_csv(spark, d):
     """C6 emissions: wide CSV with raw names -> bronze chain -> gate -> partitioned write -> read back."""
-    from tidepanel.operators.quality import enforce_gate, ingest_gate
     from tidepanel.plans import bronze
 
     landing, out = scratch_dir(spark, "co2_landing"), scratch_dir(spark, "co2_bronze")
@@ -360,14 +360,13 @@ def q_bronze_co2_from_csv(spark, d):
     codes = panels.nation_codes(spark, d)
     df = bronze.co2_from_wide(readers.read_csv_wide(spark, landing), panels.reporter_aliases(),
                               codes.select("country"), codes, 1996, 2001)
-    enforce_gate(ingest_gate(df, {"co2": 30.0}))
-    sinks.write_bronze_partitioned(df.drop("is_duplicate"), out)
+    sinks.write_bronze_partitioned(bronze.gated(df, "co2_emissions").drop("is_duplicate"), out)
     return readers.read_partitioned(spark, out).select(*CO2_COLS)
 
 
 @register("bronze_tourism_from_json", with_ctes("""
 select country, country_code, year, tourist_arrivals, tourism_receipts_usd, tourist_departures
-from panel_tourism where year between 1995 and 2001""", "panel_tourism"))
+from panel_tourism""", "panel_tourism"))
 def q_bronze_tourism_from_json(spark, d):
     """C6 tourism: three nested-JSON indicators -> flat -> full-outer assembly (J1) -> write -> read back."""
     from tidepanel.plans import bronze
@@ -384,9 +383,9 @@ def q_bronze_tourism_from_json(spark, d):
             F.struct(F.col("country_code_iso2").alias("id"), F.col("country").alias("value")).alias("country"),
             F.col("country_code").alias("countryiso3code"), F.col("year").cast("string").alias("date"),
             F.col(col).alias("value")).write.mode("overwrite").json(path)
-        frames.append(readers.read_json_indicator(spark, path, col, members, 1995, 2001))
+        frames.append(readers.read_json_indicator(spark, path, col, members))
     out = scratch_dir(spark, "tourism_bronze")
-    sinks.write_bronze_partitioned(bronze.tourism_from_indicators(frames), out)
+    sinks.write_bronze_partitioned(bronze.gated(bronze.tourism_from_indicators(frames), "tourism_arrivals").drop("is_duplicate"), out)
     return readers.read_partitioned(spark, out).select("country", "country_code", "year", "tourist_arrivals",
                                                        "tourism_receipts_usd", "tourist_departures")
 

@@ -835,4 +835,4 @@ def q_bronze_transport(spark, d):
     """Landed long sheet -> wide transport panel (inbound, keywords, aliases, members, pivot, codes)."""
     members = panels.nation_codes(spark, d).select("country")
     return bronze.transport_from_sheet(panels.long_indicator_sheet(spark, d), _ALIASES, members,
-                                       panels.nation_codes(spark, d), 1995, 2001)
+                                       panels.nation_codes(spark, d)).drop("is_duplicate")

@@ -101,7 +101,7 @@ def read_json_pages(spark: SparkSession, path: str, whole_file: bool = False,
     return raw.select(F.explode(recs).alias("r")).select("r.*")
 
 
-def read_json_indicator(spark: SparkSession, path: str, value_col: str, members, start: int, end: int,
+def read_json_indicator(spark: SparkSession, path: str, value_col: str, members, start: int | None = None, end: int | None = None,
                         aliases: Mapping[str, str] | None = None, codes: Mapping[str, str] | None = None,
                         multiline: bool = False, layout: str = "lines") -> DataFrame:
     """IO6: nested indicator records -> (country, country_code, year, value_col).
@@ -109,7 +109,7 @@ def read_json_indicator(spark: SparkSession, path: str, value_col: str, members,
     ``layout="lines"``: one record per JSON line (or ``multiline`` documents);
     ``layout="pages"``: raw API pages (see ``read_json_pages``).
     Drops aggregates (country id length != 2), members not in ``members``,
-    unparsable or out-of-range years; a NULL value is kept. ``codes`` maps the
+    unparsable or out-of-range years (without ``start`` / ``end``: no range); a NULL value is kept. ``codes`` maps the
     canonical name to a code (fallback: the record's own iso3 code).
     ``members`` may be a list or a one-column DataFrame (left-semi join).
     """
@@ -121,7 +121,9 @@ def read_json_indicator(spark: SparkSession, path: str, value_col: str, members,
     df = raw.select(F.col("country.id").alias("__iso2"), name.alias("country"),
                     F.col("countryiso3code").alias("__iso3"), to_numeric("date", "int").alias("year"),
                     F.col("value").cast("double").alias(value_col))
-    df = df.where((F.length("__iso2") == 2) & F.col("year").between(start, end))
+    df = df.where((F.length("__iso2") == 2) & F.col("year").isNotNull())
+    df = df if start is None else df.where(F.col("year") >= start)
+    df = df if end is None else df.where(F.col("year") <= end)
     if isinstance(members, DataFrame):
         df = df.join(members.select(F.col(members.columns[0]).alias("country")).distinct(), "country", "left_semi")
     else:
