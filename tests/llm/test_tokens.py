@@ -1,5 +1,6 @@
 """Token files and packing against the tokenizer itself."""
 
+import random
 import zlib
 
 import numpy as np
@@ -37,6 +38,15 @@ def test_encoder_gives_the_tokenizers_ids(plain, enc, texts):
     assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(plain, t) for t in texts]
 
 
+def test_encoder_on_many_random_texts(plain):
+    enc, rng = Encoder(default_tokenizer()), random.Random(5)
+    signs = [*" \n\t\r.,'!ab1é漢\u00a0\u2003\x1c\x85\0\x0b", "'s", "  ", " a", "word", "\n\n", "|%", "<|endoftext|>", " 12"]
+    for _ in range(500):
+        texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(6)]
+        flat, at = enc.encode(pa.array(texts, pa.string()))
+        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(plain, t) for t in texts]
+
+
 def test_encoder_odd_texts(plain, enc):
     texts = [t for _, t in ODD]
     flat, at = enc.encode(pa.array(texts, pa.string()))

@@ -25,7 +25,7 @@ from .common import map_arrow
 
 WIDTH = 1 << 14  # hashed trigrams
 EVIDENCE = 60.0  # trigrams after which a text's evidence counts as saturated
-SURE = 0.6  # below this score a decision is ambiguous
+SURE = 0.5  # below this score no language has the better half: ambiguous
 
 _FOLD = np.full(256, 0x20, dtype=np.uint8)  # letters in lower case, bytes of other scripts as they are, else blank
 _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)

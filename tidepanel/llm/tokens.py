@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 # white space other than single blanks or line feeds between other characters (RE2)
 _UNEVEN = r"[\s\x0b][\s\x0b]|^[\s\x0b]|[\s\x0b]$|[\t\r\x0b\f\x1c-\x1f]|[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _BEFORE_WORD = re.compile(r"(?= \S)")
+_PLAIN = re.compile(r" ?\S+")  # nothing that could join with a line feed beside it
 _TAIL = re.compile(r"(.*[^\W_])([.,;:!?|%*$#&]+)", re.DOTALL)
 
 
@@ -56,8 +57,8 @@ class Encoder:
                 need.update(x for x in (head, tail) if x not in cache)
             else:
                 need.add(p)
-        plain = [p for p in need if "\n" not in p] if self.feed is not None else []
-        for p in need if self.feed is None else [p for p in need if "\n" in p]:
+        plain = [p for p in need if _PLAIN.fullmatch(p)] if self.feed is not None else []
+        for p in need.difference(plain):
             cache[p] = np.array(self._whole(p), dtype="<u4").tobytes()
         groups = [plain[i:i + self.joined] for i in range(0, len(plain), self.joined)]
         for group, enc in zip(groups, self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)):
