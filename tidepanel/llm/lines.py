@@ -56,7 +56,8 @@ def remove_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str
     own, marked, gone = free(docs, "_key"), free(docs, "_marks"), free(docs, "_gone")
     marks = saved(words.groupBy(F.col("key").alias(own)).agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias(marked), F.sum(F.bit_count("bits")).alias(gone)), "line-marks")
     stay = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*stay, key.alias(own)).join(marks, own, "left")
+    # merged at every size: with few marks Spark would send them to the texts, with more shuffle these
+    joined = docs.select(*stay, key.alias(own)).join(marks.hint("merge"), own, "left")
     kept = F.filter(parts, lambda line, i: F.bit_get(F.coalesce(F.col(marked)[F.floor(i / 64).cast("int")], F.lit(0).cast("long")), (i % 64).cast("int")) == 0)
     text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")).alias(text_col)
     return joined.select(*[text if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")],
