@@ -36,21 +36,22 @@ def plan_tables(n: int, threshold: float, recall: float, per_key: int = 512) ->
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - same)))
 
 
-def _usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, vec): bytes of doubles; NULL for vectors that cannot link."""
+def _usable(vectors: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
+    """(vec_id, vec): bytes of numbers of ``kind``; NULL for vectors that cannot link."""
+    width = "float" if kind == "<f4" else "double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for v in batch.column(1):
-                values = np.array(v.values.to_numpy(zero_copy_only=False), dtype="<f8") if v.is_valid and v.values.null_count == 0 else np.zeros(0)
+                values = np.array(v.values.to_numpy(zero_copy_only=False), dtype=kind) if v.is_valid and v.values.null_count == 0 else np.zeros(0)
                 out.append(values.tobytes() if len(values) and np.isfinite(values).all() and values.any() else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["vec_id", "vec"])
 
-    return map_arrow(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")), run, "vec_id long, vec binary")
+    return map_arrow(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{width}>").alias("v")), run, "vec_id long, vec binary")
 
 
-def _signed(distinct: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
+def _signed(distinct: DataFrame, kind: str, bits: int, tables: int, seed: int) -> DataFrame:
     """(uid, n, vec, signs): a key per table, packed as little-endian uint32 each (bits <= 32)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +60,7 @@ def _signed(distinct: DataFrame, bits: int, tables: int, seed: int) -> DataFrame
         for batch in batches:
             signs = []
             for raw in batch.column("vec").to_pylist():
-                v = np.frombuffer(raw, "<f8")
+                v = np.frombuffer(raw, kind).astype(np.float64)
                 if len(v) not in planes:
                     planes[len(v)] = np.random.default_rng([seed, len(v)]).standard_normal((tables * bits, len(v)))
                 signs.append((((planes[len(v)] @ v) >= 0).reshape(tables, bits) @ weight).astype("<u4").tobytes())
@@ -68,15 +69,14 @@ def _signed(distinct: DataFrame, bits: int, tables: int, seed: int) -> DataFrame
     return map_arrow(distinct.select("uid", "n", "vec"), run, "uid long, n long, vec binary, signs binary")
 
 
-def _compare(threshold: float, tables: int):
+def _compare(threshold: float, kind: str, tables: int):
     """Rows sorted by (tab, key, block), entries first -> (a, b) edges and (a, links) counts."""
 
     class Rows:
         def __init__(self, batch: pa.RecordBatch):
             self.uid, self.n = batch.column("uid").to_numpy(), batch.column("n").to_numpy()
             self.signs = np.array([np.frombuffer(s, "<u4") for s in batch.column("signs").to_pylist()]).reshape(-1, tables)
-            vec = [np.frombuffer(v, "<f8") for v in batch.column("vec").to_pylist()]
-            self.vec = np.array(vec)
+            self.vec = np.array([np.frombuffer(v, kind) for v in batch.column("vec").to_pylist()], dtype=np.float64)
             with np.errstate(over="ignore"):
                 scale = np.abs(self.vec).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
             self.vec = self.vec / scale
@@ -145,11 +145,13 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, recall:
     with nothing, nor do vectors of different length. Each row is a vector of
     its own, also if rows repeat; a component's id is its smallest non-NULL id.
     """
-    base = saved(_usable(vectors, id_col, vec_col), "vectors")
+    # floats travel as floats and are compared as doubles
+    kind = "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"
+    base = saved(_usable(vectors, id_col, vec_col, kind), "vectors")
     distinct = saved(base.filter("vec is not null").groupBy("vec").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"))
                      .select(F.monotonically_increasing_id().alias("uid"), "vec", "least", "n"), "vectors-distinct")
     bits, tables = plan_tables(distinct.count(), threshold, recall)
-    signed = saved(_signed(distinct, bits, tables, seed), "vectors-signed")
+    signed = saved(_signed(distinct, kind, bits, tables, seed), "vectors-signed")
     dim, word = F.length("vec"), lambda t: F.reverse(F.substring("signs", 1 + 4 * t, 4))
     keys = F.array(*[F.struct(F.lit(t).alias("tab"), F.conv(F.hex(word(t)), 16, 10).cast("long").alias("key")) for t in range(tables)])
     dealt = signed.select("*", dim.alias("dim"), F.explode(keys).alias("k")).select("uid", "n", "vec", "signs", "dim", "k.tab", "k.key")
@@ -161,7 +163,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, recall:
             .select("tab", "dim", "key", "block", "entry", "uid", "n", "vec", "signs"))
     order = ["tab", "dim", "key", "block"]
     met = rows.repartition(*order).sortWithinPartitions(*order, F.desc("entry"))
-    found = saved(map_arrow(met, _compare(threshold, tables), "a long, b long, links long"), "vectors-found")
+    found = saved(map_arrow(met, _compare(threshold, kind, tables), "a long, b long, links long"), "vectors-found")
     roots = connected_components(found.filter("links = 0"))
     links = found.filter("links > 0").groupBy(F.col("a").alias("uid")).agg(F.sum("links").alias("links"))
     known = saved(distinct.join(links, "uid", "left").join(roots.select(F.col("id").alias("uid"), F.col("component_id").alias("root")), "uid", "left")
