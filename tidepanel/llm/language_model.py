@@ -36,8 +36,8 @@ from .common import map_arrow, row_key, saved
 
 DISCOUNT = 0.75
 KEY = np.uint64((1 << 40) - 1)  # successors are known by 40 bits of their hash
-CHUNK = 16 << 20  # bytes of text packed together
-PART = 48 << 20  # bytes of text a part stands for, at most
+CHUNK = 6 << 20  # bytes of text packed together
+PART = 12 << 20  # bytes of text a part stands for, at most
 SAMPLE = 5_000  # documents looked at to find frequent words; they are only dealt differently, results do not depend on them
 
 
@@ -138,7 +138,7 @@ def _pack(*arrays: np.ndarray) -> bytes:
     import zstandard
 
     head = np.array([len(arrays), *[x for a in arrays for x in (a.dtype.itemsize, len(a))]], dtype="<u4").tobytes()
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays]  # bytes of one rank together compress better
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]  # bytes of one rank together compress better
     return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
@@ -158,7 +158,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word, 42)
         return h
@@ -168,7 +168,7 @@ _hashes = _Hashes()
 
 
 def _pairs_of_chunk(rows: list[tuple[int, int | None, bool, bytes]], hot: np.ndarray, labels: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """(part label, kind, payload): kind 0 documents, kind 1 pairs."""
+    """(part label, kind, payload): kind 0 documents with their frequent words, kind 1 pairs."""
     start, end, look = _mark(b"start"), _mark(b"end"), _hashes.__getitem__
     streams, lengths = [], []
     for _, _, _, text in rows:
@@ -184,9 +184,12 @@ def _pairs_of_chunk(rows: list[tuple[int, int | None, bool, bytes]], hot: np.nda
     doc = np.repeat(np.arange(len(rows)), n)
     key, train = np.array([r[0] for r in rows], dtype=np.int64).view("<u8"), np.array([r[2] for r in rows], dtype=np.uint8)
     ids, known = np.array([r[1] or 0 for r in rows], dtype=np.int64).view("<u8"), np.array([r[1] is not None for r in rows], dtype=np.uint8)
-    parts = np.uint64(len(labels))
-    yield int(labels[int(key[0] % parts)]), 0, _pack(key, ids, known, train, n.astype("<u8"))
-    mixed = np.where(np.isin(context, hot), context ^ (word * np.uint64(0x9E3779B97F4A7C15)), context)
+    parts, frequent = np.uint64(len(labels)), np.isin(context, hot)
+    # the document's row has how often each frequent word stands in it, so their totals can be applied there
+    which, times = np.unique(doc[frequent] * len(hot) + np.searchsorted(hot, context[frequent]), return_counts=True)
+    yield (int(labels[int(key[0] % parts)]), 0, _pack(key, ids, known, train, n.astype("<u8"), np.bincount(which // max(1, len(hot)), minlength=len(rows)).astype("<u4"),
+                                                      (which % max(1, len(hot))).astype("<u4"), times.astype("<u4")))
+    mixed = np.where(frequent, context ^ (word * np.uint64(0x9E3779B97F4A7C15)), context)
     part = ((mixed >> np.uint64(20)) % parts).astype(np.int64)
     order = np.lexsort((word & KEY, context, part))
     context, word, doc, part = context[order], word[order] & KEY, doc[order], part[order]
@@ -202,69 +205,82 @@ def _pairs_of_chunk(rows: list[tuple[int, int | None, bool, bytes]], hot: np.nda
                runs(new_w).astype("<u4"), d.astype("<u2" if len(used) < 65536 else "<u4"), key[used], train[used]))
 
 
-RESULT = "kind int, key long, word long, model double, base double, n1 long, n2 long, n3 long, doc_id long, held_out boolean"
+RESULT = "kind int, key long, word long, model double, base double, n1 long, n2 long, doc_id long, held_out boolean, frequent array<int>, times array<int>"
 _NAMES = [c.split()[0] for c in RESULT.split(", ")]
-_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32())]
 DOCUMENT, SUMS, FREQUENT, OWN, WORD, TOTAL, STATISTICS = range(7)
 
 
 def _rows(kind: int, n: int, **cols) -> pa.RecordBatch:
     cols["kind"] = np.full(n, kind, dtype=np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(cols[c], t) if c in cols else pa.nulls(n, t) for c, t in zip(_NAMES, _TYPES)], names=_NAMES)
+    return pa.RecordBatch.from_arrays([(cols[c] if isinstance(cols[c], pa.Array) else pa.array(cols[c], t)) if c in cols else pa.nulls(n, t) for c, t in zip(_NAMES, _TYPES)], names=_NAMES)
 
 
 def _answer(payloads: list[bytes], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Build one part's trie, answer its pairs, sum by document."""
-    contexts, words, docs, keys, trains, at = [], [], [], [], [], 0
+    # by pair of a payload: its context, word and number of places; by place only the document
+    names, pairs, sizes, docs, keys, trains, at = [], [], [], [], [], [], 0
     for data in payloads:
         c, c_n, low, high, w_n, d, key, train = _unpack(data)
-        contexts.append(np.repeat(c, c_n))
-        words.append(np.repeat((high.astype(np.uint64) << np.uint64(32)) | low, w_n))
-        docs.append(d.astype(np.int64) + at)
+        of = np.searchsorted(np.cumsum(c_n), np.cumsum(w_n) - w_n, side="right")
+        pairs.append((of, (high.astype(np.uint64) << np.uint64(32)) | low))
+        names.append(c)
+        sizes.append(w_n)
+        docs.append((d + np.uint32(at)).astype(np.uint32))
         keys.append(key.view(np.int64))
         trains.append(train.astype(bool))
         at += len(key)
-    context, word, doc, key, train = (np.concatenate(x) for x in (contexts, words, docs, keys, trains))
-    del contexts, words, docs, payloads
-    names, place = np.unique(context, return_inverse=True)
-    pair = (place.astype(np.uint64) << np.uint64(40)) | word
-    learnt = train[doc]
-    counts = np.bincount(place[learnt], minlength=len(names))
-    known_pairs, pair_counts = np.unique(pair[learnt], return_counts=True)
-    trie = Trie(names, counts, (known_pairs >> np.uint64(40)).astype(np.int64), known_pairs & KEY, pair_counts)
-    distinct = trie.ranges()
-    asked, back = np.unique(pair, return_inverse=True)
+    payloads.clear()
+    ends = np.cumsum([0] + [len(c) for c in names])
+    names, own = np.unique(np.concatenate(names), return_inverse=True)
+    place = np.concatenate([own[start:][of] for start, (of, _) in zip(ends.tolist(), pairs)])
+    word = np.concatenate([w for _, w in pairs])
+    size, doc, key, train = (np.concatenate(x) for x in (sizes, docs, keys, trains))
+    del pairs, sizes, docs
+    first = np.cumsum(size, dtype=np.int64) - size
+    learnt = np.add.reduceat(train[doc].astype(np.int32), first)
+    asked, back = np.unique((place.astype(np.uint64) << np.uint64(40)) | word, return_inverse=True)
     of = (asked >> np.uint64(40)).astype(np.int64)
+    pair_counts = np.bincount(back, learnt, len(asked)).astype(np.int64)
+    counts = np.bincount(of, pair_counts, len(names)).astype(np.int64)
+    known = pair_counts > 0
+    trie = Trie(names, counts, of[known], asked[known] & KEY, pair_counts[known])
+    distinct = trie.ranges()
     log = trie.find(of, asked & KEY)
     seen = ~np.isnan(log)
     split, begin = np.isin(names, hot), names == np.uint64(_mark(b"start"))
     with np.errstate(divide="ignore"):
         share = np.where(seen, log, np.log10(DISCOUNT) + np.log10(distinct[of])) - np.log10(counts[of])
     share[counts[of] == 0] = 0.0  # an unknown context adds nothing of its own
-    share[split[of]] = np.where(seen, log, 0.0)[split[of]]  # its totals are added at the end
+    share[split[of]] = np.where(seen, log, 0.0)[split[of]]  # its totals are added to the document's row
     n = len(key)
-    whole = ~split[place]
-    own = np.where(begin, 0.0, np.log10(counts + 1.0))
+    whole = ~split[of]
+    base = np.where(begin, 0.0, np.log10(counts + 1.0))
     has = (counts > 0) & ~begin
-    yield _rows(SUMS, n, key=key, model=np.bincount(doc[whole], share[back][whole], n), base=np.bincount(doc[whole], own[place][whole], n),
-                n1=np.bincount(doc[whole], has[place][whole], n).astype(np.int64))
+
+    def by_document(values: np.ndarray) -> np.ndarray:
+        """Sum over places of what their pair (of ``asked``) has."""
+        return np.bincount(doc, np.repeat(values[back], size), n)
+
+    yield _rows(SUMS, n, key=key, model=by_document(share), base=by_document(np.where(whole, base[of], 0.0)),
+                n1=by_document(np.where(whole, has[of], 0.0)).astype(np.int64))
     if split.any():
-        some = np.flatnonzero(~whole)
-        both, inv = np.unique(doc[some] * len(names) + place[some], return_inverse=True)
-        hit = seen[back][some]
-        yield _rows(FREQUENT, len(both), key=key[both // len(names)], word=names[both % len(names)].view(np.int64), model=np.bincount(inv, share[back][some], len(both)),
-                    n1=np.bincount(inv, hit, len(both)).astype(np.int64), n2=np.bincount(inv, ~hit, len(both)).astype(np.int64), n3=np.bincount(inv, minlength=len(both)))
+        some = np.flatnonzero(np.repeat(~whole[back] & ~seen[back], size))  # after a frequent word, but not seen after it
+        which = np.repeat(back, size)[some]
+        both, times = np.unique(doc[some].astype(np.int64) * len(names) + of[which], return_counts=True)
+        yield _rows(FREQUENT, len(both), key=key[both // len(names)], word=names[both % len(names)].view(np.int64), n1=times)
         mine = np.flatnonzero(split)
         yield _rows(TOTAL, len(mine), word=names[mine].view(np.int64), n1=counts[mine], n2=distinct[mine])
-    missing = np.flatnonzero(~seen[back])
+    missing = np.flatnonzero(np.repeat(~seen[back], size))
     if len(missing):
-        order = missing[np.lexsort((word[missing], doc[missing]))]
-        new = np.concatenate([[True], (doc[order][1:] != doc[order][:-1]) | (word[order][1:] != word[order][:-1])])
-        head = order[new]
-        yield _rows(OWN, len(head), key=key[doc[head]], word=word[head].astype(np.int64), n1=np.diff(np.concatenate([np.flatnonzero(new), [len(order)]])))
+        lacking = (asked & KEY)[np.repeat(back, size)[missing]]
+        order = np.lexsort((lacking, doc[missing]))
+        w, d = lacking[order], doc[missing][order]
+        new = np.concatenate([[True], (d[1:] != d[:-1]) | (w[1:] != w[:-1])])
+        yield _rows(OWN, int(new.sum()), key=key[d[new]], word=w[new].astype(np.int64), n1=np.diff(np.concatenate([np.flatnonzero(new), [len(order)]])))
     learnt_words = np.flatnonzero(has)
     yield _rows(WORD, len(learnt_words), word=(names[learnt_words] & KEY).astype(np.int64), n1=counts[learnt_words])
-    yield _rows(STATISTICS, 1, n1=[int((has & ~split).sum())], n2=[int(learnt.sum())])
+    yield _rows(STATISTICS, 1, n1=[int((has & ~split).sum())], n2=[int(pair_counts.sum())])
 
 
 def _even_labels(spark, parts: int) -> np.ndarray:
@@ -287,13 +303,13 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size["bytes"] or 0) // PART))
     labels = _even_labels(spark, parts)
-    # words with more than a quarter of a part's share of all words
+    # words with more than a part's share of all words: fewer than there are parts
     low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     looked = docs.filter(F.pmod(row_key(id_col, text_col), F.lit(max(1, size["n"] // SAMPLE))) == 0).select(F.split(low, r"[ \t\n\x0B\f\r]+").alias("w"))
     tally = looked.select(F.explode_outer("w").alias("w")).filter("w != ''").groupBy("w").count()
     total = tally.agg(F.sum("count")).first()[0] or 0
-    frequent = tally.filter(F.col("count") > max(20.0, total / (4 * parts))).select(F.xxhash64("w").alias("h")).collect()  # fewer than 4 per part
-    hot = np.array([r["h"] for r in frequent], dtype=np.int64).view(np.uint64)
+    frequent = tally.filter(F.col("count") > max(20.0, total / parts)).select(F.xxhash64("w").alias("h")).collect()
+    hot = np.sort(np.array([r["h"] for r in frequent], dtype=np.int64).view(np.uint64))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -319,8 +335,10 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                 if kind:
                     payloads.append(data)
                 else:
-                    key, ids, known, train, n = _unpack(data)
-                    yield _rows(DOCUMENT, len(key), key=key.view(np.int64), doc_id=pa.array(ids.view(np.int64), pa.int64(), mask=known == 0), held_out=train == 0, n1=n.astype(np.int64))
+                    key, ids, known, train, n, kinds, which, times = _unpack(data)
+                    at = pa.array(np.concatenate([[0], np.cumsum(kinds)]), pa.int32())
+                    yield _rows(DOCUMENT, len(key), key=key.view(np.int64), doc_id=pa.array(ids.view(np.int64), pa.int64(), mask=known == 0), held_out=train == 0, n1=n.astype(np.int64),
+                                frequent=pa.ListArray.from_arrays(at, pa.array(which, pa.int32())), times=pa.ListArray.from_arrays(at, pa.array(times, pa.int32())))
         if payloads:
             yield from _answer(payloads, hot)
 
@@ -337,10 +355,26 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     scale = float(np.log10(tokens + distinct + 1))
 
     sums = of(SUMS).select("key", "model", "base", "n1")
-    c, d = F.col("c"), F.col("distinct")
-    split = (of(FREQUENT).join(F.broadcast(totals), "word")
-             .select("key", F.when(c > 0, F.col("model") + F.col("n2") * (float(np.log10(DISCOUNT)) + F.log10(d)) - (F.col("n1") + F.col("n2")) * F.log10(c)).otherwise(F.lit(0.0)).alias("model"),
-                     (F.col("n3") * F.log10(c + 1)).alias("base"), F.when(c > 0, F.col("n3")).otherwise(F.lit(0)).alias("n1")))
+    split = (of(FREQUENT).select("key", "word", "n1").join(F.broadcast(totals), "word").filter("c > 0")
+             .select("key", (F.col("n1") * (float(np.log10(DISCOUNT)) + F.log10("distinct"))).alias("model"), F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("n1")))
+    # of each frequent word, in the order of their places: its count; fewer words than parts
+    count_of = {int(np.int64(r["word"]).view(np.uint64)): r["c"] for r in totals.collect()}
+    counts = np.array([count_of.get(int(h), 0) for h in hot], dtype=np.float64)
+
+    def own_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(divide="ignore"):
+            less, more = np.where(counts > 0, -np.log10(counts), 0.0), np.log10(counts + 1)
+        for batch in batches:
+            at = batch.column("frequent").offsets.to_numpy().astype(np.int64)
+            at, lo = at - at[0], int(at[0])
+            which, times = (batch.column(c).values.to_numpy()[lo:lo + at[-1]] for c in ("frequent", "times"))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(at))
+            add = lambda v: np.bincount(row, times * v[which], batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(add(less)), pa.array(add(more)), pa.array(add((counts > 0).astype(float)).astype(np.int64))],
+                                             names=["key", "model", "base", "n1"])
+
+    if len(hot):
+        sums = sums.unionByName(map_arrow(of(DOCUMENT).select("key", "frequent", "times"), own_totals, "key long, model double, base double, n1 long"))
     end = spark.range(1).select(F.lit(int(np.uint64(_mark(b"end")) & KEY)).cast("long").alias("word"), F.lit(learnt_docs).cast("long").alias("n1"))
     words = saved(of(WORD).select("word", "n1").unionByName(end).groupBy("word").agg(F.sum("n1").alias("c")), "lm-words")
     own = (of(OWN).select("key", "word", "n1").join(words, "word", "left")
