@@ -139,3 +139,15 @@ def test_every_operator_is_registered(n):
     import __spark_entry__ as entry
 
     assert sum(q.startswith(f"op{n}_") for q in entry.queries()) == 1 and "pipeline" in entry.queries()
+
+
+def found(spark, docs, items, **how):
+    got = contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"), **how).collect()
+    return {(r.doc_id, r.item_id): r for r in got}
+
+
+def test_decontamination_finds_short_and_dense_items(spark):
+    a, b = prose(50, 60), prose(51, 60)
+    items = [(1, "What is 12 + 7 * 3 - 4?"), (2, "What is the capital of France?"), (3, "Add 1 2 3 4 5 6 7 8 9 10 11 and 12"), (4, "Take 4 of 9, 3 of 8, 2 of 7 and 1 of 6")]
+    docs = [(10 * i, f"{a} {t} {b}") for i, t in items] + [(11, f"{a} What is 12 + 7 * 3 - 5? {b}"), (21, f"{a} what is the CAPITAL of all {b}"), (31, f"{a} Add 2 2 4 4 6 6 8 8 9 11 11 and 13 {b}"), (32, "1 2 3 4 5 6 7 8 " + a)]
+    assert set(found(spark, docs, items)) == {(10, 1), (20, 2), (30, 3), (40, 4)}

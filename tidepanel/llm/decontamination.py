@@ -2,11 +2,15 @@
 
 Texts become templates: numbers, units after a number and capitalised words
 within a sentence are replaced by typed placeholders, the rest is lower case
-without punctuation. Windows of ``WIDTH`` template words are hashed and joined
-with those of the benchmark. Windows of one alignment (place in the document
-less place in the item) belong together; they count if their slots are
-consistent: a value of the item stands for the same value of the document in
-all of them. Windows with another value than the most frequent do not count.
+without punctuation. Windows of ``WIDTH``
+template words (items of fewer words: of all their words) are hashed and
+joined with those of the benchmark. Where an item has fewer than ``WINDOWS``
+windows with ``LITERAL`` literals, all its windows are looked for verbatim too
+and most must match.
+
+Windows of one alignment (place in the document less place in the item) belong
+together; they count if their slots are consistent: a value of the item stands
+for the same value of the document in all of them.
 
 The documents' windows never travel: blocks of at most ``BLOCK`` benchmark
 windows are sent to them, one block after the other.
@@ -22,8 +26,9 @@ from pyspark.sql import functions as F
 from .common import let, row_key, saved
 
 WIDTH = 8  # words of a window
-LITERAL = 5  # of them not placeholders; benchmark windows with fewer say too little
-WINDOWS = 4  # matching windows of an item (all, if it has fewer)
+LITERAL = 5  # of them not placeholders; benchmark windows with fewer say too little by themselves
+WINDOWS = 4  # matching windows of an item (all, if it has fewer; most, if fewer have enough literals)
+SUPPORT = 2  # literals of windows that count beside one that says enough, in items with fewer than WINDOWS of these
 BLOCK = 1_000_000  # benchmark windows sent to all tasks at a time
 
 # Units of measure that may follow a number
@@ -34,10 +39,12 @@ NUMBER, NAME, UNIT = "0", "1", "2"  # placeholders: a template has no other digi
 _APART = r"[^\p{L}\p{N}]+"
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] .)\p{Ll}\p{L}*"  # after a word or comma: not where a sentence begins
 _UNIT = "0( ?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
+VERBATIM = "verbatim"
 
 
 def template(text: Column) -> Column:
-    """struct<words, values>: template words, and the words they stand for (NULL if there is no placeholder)."""
+    """struct<words, names, values>: template words; those with all capitalised words as names (NULL if alike);
+    the words they stand for (NULL if there is no placeholder)."""
 
     def parts(t: Column) -> Column:
         return F.array_remove(F.split(t, _APART), "")
@@ -46,75 +53,125 @@ def template(text: Column) -> Column:
         return F.regexp_replace(F.regexp_replace(t, "[0-9]+", NUMBER), _UNIT, "0$1" + UNIT)
 
     def typed(whole: Column) -> Column:  # numbers are in one piece
-        low = F.lower(F.regexp_replace(F.when(whole.rlike("[0-9]"), numbered(whole)).otherwise(whole), _NAME, NAME))
-        return let(low, lambda t: F.struct(parts(t).alias("words"), F.when(t.rlike("[012]"), parts(F.lower(whole))).alias("values")))
+        sure = F.regexp_replace(F.when(whole.rlike("[0-9]"), numbered(whole)).otherwise(whole), _NAME, NAME)
+        return let(sure, lambda s: let(s, lambda a: F.struct(
+            parts(F.lower(s)).alias("words"), F.lit(None).cast("array<string>").alias("names"), F.when(a.rlike("[012]"), parts(F.lower(whole))).alias("values"))))
 
     return let(F.when(text.rlike("[0-9][.,:/][0-9]"), F.regexp_replace(text, "(?<=[0-9])[.,:/](?=[0-9])", "")).otherwise(text), typed)
 
 
-def windows(rows: DataFrame) -> DataFrame:
+def _names() -> Column:
+    return F.coalesce("t.names", "t.words")
+
+
+def _values() -> Column:
+    return F.coalesce("t.values", "t.words")
+
+
+def windows(rows: DataFrame, forms: list[tuple[int, bool]]) -> DataFrame:
     """Columns of ``rows`` without ``text``; ``t`` (its template), ``pos`` and ``hash`` of each window.
 
-    A text of fewer words than a window is one window; one without words has a NULL one.
+    ``forms``: widths, and whether the words themselves are hashed or the
+    template in both readings. Hashes are NULL where a text has no such window.
     """
     split = rows.select(*[c for c in rows.columns if c != "text"], template(F.col("text")).alias("t"))
+    ways = [(w, v, c) for w, v in forms for c in ((_values(),) if v else (F.col("t.words"), F.col("t.names")))]
+
     # by get(), which ends in NULL beyond the text: slice() copies the whole array each time
-    hashes = let(F.col("t.words"), lambda words: F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - WIDTH, F.lit(0))), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(WIDTH)])))
+    def hashed(width: int, verbatim: bool, words: Column) -> Column:
+        salt = [F.lit(VERBATIM)] if verbatim else []
+        return let(words, lambda ws: F.transform(F.sequence(F.lit(0), F.size(ws) - width), lambda i: F.xxhash64(*salt, *[F.get(ws, i + j) for j in range(width)])))
+
     # a column of its own, so that exploding it compiles and passes ``t`` on by reference; "outer", as for a plain
     # explode the optimizer puts a filter on the array's size below the scan, which computes it all twice
-    hashed = split.withColumn("hashes", F.when(F.size("t.words") > 0, hashes).otherwise(F.array().cast("array<bigint>")))
-    return hashed.select(*split.columns, F.posexplode_outer("hashes").alias("pos", "hash"))
+    none = F.array().cast("array<bigint>")
+    out = [F.when(F.size(c) >= w, hashed(w, v, c)).otherwise(none) for w, v, c in ways]
+    return (split.withColumn("hashes", F.arrays_zip(*[h.alias(f"h{k}") for k, h in enumerate(out)])).select(*split.columns, F.posexplode_outer("hashes").alias("pos", "at"))
+            .select(*split.columns, "pos", F.explode(F.array(*[F.col(f"at.h{k}") for k in range(len(out))])).alias("hash")))
 
 
-def slots() -> Column:
-    """Hashes of the values in the window at ``pos``, in order."""
-    places = F.sequence(F.col("pos"), F.least(F.col("pos") + WIDTH, F.size("t.words")) - 1)
-    found = F.transform(F.filter(places, lambda j: F.get(F.col("t.words"), j).rlike("[012]")), lambda j: F.hash(F.get(F.col("t.values"), j)))
-    return F.when(F.col("t.values").isNull(), F.array().cast("array<int>")).otherwise(found)
+def _wanted(items: DataFrame) -> DataFrame:
+    """Windows of the items: item, item_id, item_pos, hash, width, verbatim, strong, need, item_slots.
+
+    ``strong``: 2 with ``LITERAL`` literals, 1 if verbatim, else 0; ``need``:
+    windows that must match unless ``WINDOWS`` with enough literals do;
+    ``item_slots``: offset and value of each placeholder.
+    """
+    cut = (items.select(row_key("item_id", "text").alias("item"), "item_id", template(F.col("text")).alias("t")).dropDuplicates(["item"]).filter(F.size("t.words") > 0)
+           .withColumn("width", F.least(F.lit(WIDTH), F.size("t.words"))).withColumn("item_pos", F.explode(F.sequence(F.lit(0), F.size("t.words") - F.col("width")))))
+
+    def part(words: Column) -> Column:
+        return F.slice(words, F.col("item_pos") + 1, F.col("width"))
+
+    def literals(words: Column) -> Column:
+        return F.size(F.filter(words, lambda w: ~w.rlike("[012]")))
+
+    cut = cut.select("item", "item_id", "item_pos", "width", part(F.col("t.words")).alias("ws"), part(_names()).alias("ns"), part(_values()).alias("vs"))
+    cut = cut.withColumn("rich", literals(F.col("ws")) >= LITERAL).withColumn("renamed", literals(F.col("ns")) >= LITERAL)
+    per = cut.groupBy("item").agg(F.count(F.lit(1)).cast("int").alias("n"), F.count_if("rich").alias("rich_n"), F.count_if("renamed").alias("renamed_n"))
+    few = F.col("renamed_n") < WINDOWS
+    slots = F.filter(F.transform("ns", lambda n, o: F.when(n.rlike("[012]"), F.struct(o.alias("o"), F.hash(F.get("vs", o)).alias("i")))), lambda x: x.isNotNull())
+
+    def way(words: str, verbatim: bool, kept: Column) -> Column:
+        strong = F.lit(1) if verbatim else F.when(literals(F.col(words)) >= LITERAL, 2).otherwise(0)
+        return F.when(kept, F.struct(F.xxhash64(*([F.lit(VERBATIM)] if verbatim else []), words).alias("hash"), F.lit(verbatim).alias("verbatim"), strong.alias("strong")))
+
+    def template_way(words: str) -> Column:
+        return literals(F.col(words)) >= F.when(few & (F.col("rich_n") > 0), F.lit(SUPPORT)).otherwise(LITERAL)
+
+    ways = F.array(way("ws", False, template_way("ws")), way("ns", False, template_way("ns") & (F.col("ns") != F.col("ws"))), way("vs", True, few))
+    need = F.when(few, F.greatest(F.least(F.lit(WINDOWS), F.col("n")), F.floor(F.col("n") / 2).cast("int") + 1)).otherwise(WINDOWS)
+    cut = cut.drop("rich", "renamed")
+    return (cut.join(per, "item").select("item", "item_id", "item_pos", "width", need.alias("need"), slots.alias("item_slots"), F.explode(ways).alias("way"))
+            .filter("way is not null").select("*", "way.*").drop("way"))
 
 
 def _consistent(found: Column) -> Column:
-    """How many windows of one alignment have only values that the item's value most often stands for."""
+    """Windows of one passage that have only values which the item's value most often stands for there."""
 
-    def count(tally: Column) -> Column:
+    def kept(tally: Column) -> Column:
         def outvoted(p: Column) -> Column:
             mine = F.filter(tally, lambda t: t["pair"] == p)[0]["n"]
             return F.exists(tally, lambda t: (t["pair"]["i"] == p["i"]) & (t["n"] > mine))
 
-        return F.size(F.filter(found, lambda w: ~F.exists(w["pairs"], outvoted)))
+        return F.filter(found, lambda w: ~F.exists(w["pairs"], outvoted))
 
     def tallied(pairs: Column) -> Column:
         return F.transform(F.array_distinct(pairs), lambda p: F.struct(p.alias("pair"), F.size(F.filter(pairs, lambda q: q == p)).alias("n")))
 
-    return let(let(F.flatten(F.transform(found, lambda w: w["pairs"])), tallied), count)
+    return let(let(F.flatten(F.transform(found, lambda w: w["pairs"])), tallied), kept)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                  block: int = BLOCK) -> DataFrame:
     """doc_id, item_id, windows, verbatim, doc_key: one row per document and benchmark item found in it.
 
-    ``windows`` is the most matching windows of one alignment whose slots are
-    consistent; ``verbatim`` tells that it has the item's own values. Items of
-    fewer words than a window match only documents of just these words. NULL
-    texts and texts without words match nothing. ``doc_key`` is ``row_key`` of
-    the document; rows that share it give one row per item.
+    ``windows`` is the most windows of the item that one passage has with
+    consistent slots; ``verbatim`` tells that it has the item's own values.
+    Items with too few literals are found verbatim only. NULL texts and texts
+    without words match nothing. ``doc_key`` is ``row_key`` of the document;
+    rows that share it give one row per item.
     """
     items = benchmark.filter(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
-    wanted = (windows(items).select("item_id", F.col("pos").alias("item_pos"), "hash", slots().alias("item_slots"))
-              .filter(F.col("hash").isNotNull() & (F.size("item_slots") <= WIDTH - LITERAL)))
-    wanted = wanted.join(wanted.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows")), "item_id")
-    wanted = saved(wanted, "benchmark-windows")
-    blocks = max(1, -(-wanted.count() // (block * 4 // 5)))  # by hash, so a little uneven
+    wanted = saved(_wanted(items), "benchmark-windows")
+    forms = sorted((r["width"], r["verbatim"]) for r in wanted.select("width", "verbatim").distinct().collect()) or [(WIDTH, False)]
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("doc_key"), F.col(text_col).alias("text"))
-    cut = windows(rows)
-    met = [cut.join(F.broadcast(wanted.filter(F.pmod("hash", F.lit(blocks)) == b)), "hash")
-           .select("doc_id", "doc_key", "item_id", "n_windows", "pos", (F.col("pos") - F.col("item_pos")).alias("shift"), F.arrays_zip(F.col("item_slots").alias("i"), slots().alias("d")).alias("pairs"))
-           for b in range(blocks)]
-    # windows of one alignment: at most as many as the item has words
-    lined = (reduce(DataFrame.unionByName, met).groupBy("doc_id", "doc_key", "item_id", "shift")
-             .agg(F.collect_set(F.struct("pos", "pairs")).alias("found"), F.max("n_windows").alias("n_windows"))
-             .withColumn("windows", _consistent(F.col("found")))
-             .withColumn("same", F.forall("found", lambda w: F.forall(w["pairs"], lambda p: p["i"] == p["d"]))))
-    return (lined.groupBy("doc_id", "doc_key", "item_id")
-            .agg(F.max("windows").alias("windows"), F.sum("windows").alias("_all"), F.max("n_windows").alias("_n"), F.max_by("same", "windows").alias("verbatim"))
-            .filter(F.col("_all") >= F.least(F.lit(WINDOWS), F.col("_n"))).select("doc_id", "item_id", "windows", "verbatim", "doc_key"))
+    cut = windows(rows, forms)
+    own = let(_values(), lambda vs: F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda j: F.hash(F.get(vs, F.col("pos") + j))))
+    blocks = max(1, -(-wanted.count() // (block * 4 // 5)))  # by hash, so a little uneven
+    met = [cut.join(F.broadcast(wanted.filter(F.pmod("hash", F.lit(blocks)) == b)), "hash").withColumn("own", own) for b in range(blocks)]
+    met = (reduce(DataFrame.unionByName, met)
+           .withColumn("pairs", F.transform("item_slots", lambda s: F.struct(s["i"].alias("i"), F.get("own", s["o"]).alias("d"))))
+           .withColumn("shift", F.col("pos") - F.col("item_pos")))
+    grids = F.array("shift")
+    places = lambda ws, c="item_pos": F.size(F.array_distinct(F.transform(ws, lambda w: w[c])))
+    distinct = lambda ws: F.least(places(ws), places(ws, "pos"))
+    found = (met.select("doc_id", "doc_key", "item", "item_id", "need", F.explode(grids).alias("at"), F.struct("item_pos", "pos", "pairs", "strong").alias("w"))
+             .groupBy("doc_id", "doc_key", "item", "item_id", "at").agg(F.collect_set("w").alias("found"), F.max("need").alias("need"))
+             .withColumn("kept", _consistent(F.col("found")))
+             .withColumn("windows", distinct(F.col("kept")))
+             .withColumn("same", places(F.filter("found", lambda w: F.forall(w["pairs"], lambda p: p["i"] == p["d"]))) == places(F.col("found")))
+             .withColumn("strong", distinct(F.filter("kept", lambda w: w["strong"] == 2))).withColumn("any", F.exists("kept", lambda w: w["strong"] > 0)))
+    return (found.groupBy("doc_id", "doc_key", "item_id").agg(F.max("windows").alias("windows"), F.max_by("same", F.struct("windows", "same")).alias("verbatim"),
+                                                              F.sum("windows").alias("_all"), F.sum("strong").alias("_strong"), F.max("any").alias("_any"), F.max("need").alias("_need"))
+            .filter((F.col("_strong") >= WINDOWS) | ((F.col("_all") >= F.col("_need")) & F.col("_any"))).select("doc_id", "item_id", "windows", "verbatim", "doc_key"))
