@@ -151,3 +151,11 @@ def test_decontamination_finds_short_and_dense_items(spark):
     items = [(1, "What is 12 + 7 * 3 - 4?"), (2, "What is the capital of France?"), (3, "Add 1 2 3 4 5 6 7 8 9 10 11 and 12"), (4, "Take 4 of 9, 3 of 8, 2 of 7 and 1 of 6")]
     docs = [(10 * i, f"{a} {t} {b}") for i, t in items] + [(11, f"{a} What is 12 + 7 * 3 - 5? {b}"), (21, f"{a} what is the CAPITAL of all {b}"), (31, f"{a} Add 2 2 4 4 6 6 8 8 9 11 11 and 13 {b}"), (32, "1 2 3 4 5 6 7 8 " + a)]
     assert set(found(spark, docs, items)) == {(10, 1), (20, 2), (30, 3), (40, 4)}
+
+
+def test_decontamination_finds_renamed_sentence_starts(spark):
+    items = [(1, "Alice has 3 red apples. Bob has 5 green pears. Carol eats 2 plums."), (2, "Then the \"Anna\" sails home with wind from the north and all hands on deck")]
+    docs = [(10, prose(50, 60) + ' "Dave has 7 red apples.\nErin has 9 green pears.\n(Frank eats 4 plums.'), (20, "so then the Berta sails home with wind from the north and all hands on deck"),
+            (30, "Dave has 7 red apples. Erin has 9 green pears"), (40, items[0][1].lower())]
+    got = found(spark, docs, items)
+    assert set(got) == {(10, 1), (20, 2), (40, 1)} and got[40, 1].verbatim and not got[10, 1].verbatim

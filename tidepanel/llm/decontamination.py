@@ -1,8 +1,9 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
 Texts become templates: numbers, units after a number and capitalised words
-within a sentence are replaced by typed placeholders, the rest is lower case
-without punctuation. Windows of ``WIDTH``
+are replaced by typed placeholders, the rest is lower case without
+punctuation. A capitalised word where a sentence may begin is a name or not:
+windows that hold one are hashed in both readings. Windows of ``WIDTH``
 template words (items of fewer words: of all their words) are hashed and
 joined with those of the benchmark. Where an item has fewer than ``WINDOWS``
 windows with ``LITERAL`` literals, all its windows are looked for verbatim too
@@ -38,6 +39,7 @@ UNITS = ("kg", "g", "mg", "lb", "lbs", "oz", "km", "m", "cm", "mm", "mi", "ft",
 NUMBER, NAME, UNIT = "0", "1", "2"  # placeholders: a template has no other digits
 _APART = r"[^\p{L}\p{N}]+"
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] .)\p{Ll}\p{L}*"  # after a word or comma: not where a sentence begins
+_CAPITAL = r"\p{Lu}(?<![\p{L}\p{N}].)\p{Ll}\p{L}*"  # anywhere: a name or the first word of a sentence
 _UNIT = "0( ?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"
 VERBATIM = "verbatim"
 
@@ -54,8 +56,8 @@ def template(text: Column) -> Column:
 
     def typed(whole: Column) -> Column:  # numbers are in one piece
         sure = F.regexp_replace(F.when(whole.rlike("[0-9]"), numbered(whole)).otherwise(whole), _NAME, NAME)
-        return let(sure, lambda s: let(s, lambda a: F.struct(
-            parts(F.lower(s)).alias("words"), F.lit(None).cast("array<string>").alias("names"), F.when(a.rlike("[012]"), parts(F.lower(whole))).alias("values"))))
+        return let(sure, lambda s: let(F.regexp_replace(s, _CAPITAL, NAME), lambda a: F.struct(
+            parts(F.lower(s)).alias("words"), F.when(a != s, parts(F.lower(a))).alias("names"), F.when(a.rlike("[012]"), parts(F.lower(whole))).alias("values"))))
 
     return let(F.when(text.rlike("[0-9][.,:/][0-9]"), F.regexp_replace(text, "(?<=[0-9])[.,:/](?=[0-9])", "")).otherwise(text), typed)
 
