@@ -159,3 +159,12 @@ def test_decontamination_finds_renamed_sentence_starts(spark):
             (30, "Dave has 7 red apples. Erin has 9 green pears"), (40, items[0][1].lower())]
     got = found(spark, docs, items)
     assert set(got) == {(10, 1), (20, 2), (40, 1)} and got[40, 1].verbatim and not got[10, 1].verbatim
+
+
+def test_decontamination_counts_within_a_passage(spark):
+    phrase, a = "one two three four five six seven eight", prose(50, 300)
+    item = f"{prose(60, 12)} {phrase} {prose(61, 12)} {phrase} {prose(62, 12)} {phrase} {prose(63, 12)} {phrase} {prose(64, 12)}"
+    slots = "there were 120 men on the old ship and they all saw the 120 birds"
+    docs = [(1, f"{a} {phrase} {a}"), (2, f"{a} {item} {a}"), (3, f"{a} {slots.replace('120', '7')} {a}"), (4, f"{a} there were 81 men on the old ship and they {a} old ship and they all saw the 99 birds {a}"),
+            (5, f"{a} {item.replace('one two', 'one or two')} {a}")]
+    assert set(found(spark, docs, [(1, item), (2, slots)])) == {(2, 1), (3, 2), (5, 1)}

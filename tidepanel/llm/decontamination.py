@@ -9,9 +9,10 @@ joined with those of the benchmark. Where an item has fewer than ``WINDOWS``
 windows with ``LITERAL`` literals, all its windows are looked for verbatim too
 and most must match.
 
-Windows of one alignment (place in the document less place in the item) belong
-together; they count if their slots are consistent: a value of the item stands
-for the same value of the document in all of them.
+Windows of one passage (places in the document less places in the item differ
+by little) belong together; a window of the item counts once, and only if its
+slots are consistent: a value of the item stands for the same value of the
+document in all windows that count.
 
 The documents' windows never travel: blocks of at most ``BLOCK`` benchmark
 windows are sent to them, one block after the other.
@@ -30,6 +31,7 @@ WIDTH = 8  # words of a window
 LITERAL = 5  # of them not placeholders; benchmark windows with fewer say too little by themselves
 WINDOWS = 4  # matching windows of an item (all, if it has fewer; most, if fewer have enough literals)
 SUPPORT = 2  # literals of windows that count beside one that says enough, in items with fewer than WINDOWS of these
+DRIFT = WIDTH  # words that may be put in or left out between two windows of a passage
 BLOCK = 1_000_000  # benchmark windows sent to all tasks at a time
 
 # Units of measure that may follow a number
@@ -134,7 +136,9 @@ def _consistent(found: Column) -> Column:
     def kept(tally: Column) -> Column:
         def outvoted(p: Column) -> Column:
             mine = F.filter(tally, lambda t: t["pair"] == p)[0]["n"]
-            return F.exists(tally, lambda t: (t["pair"]["i"] == p["i"]) & (t["n"] > mine))
+            # of equal votes the item's own value counts, else the smaller one
+            first = lambda t: (p["i"] != p["d"]) & ((t["pair"]["d"] == p["i"]) | (t["pair"]["d"] < p["d"]))
+            return F.exists(tally, lambda t: (t["pair"]["i"] == p["i"]) & ((t["n"] > mine) | ((t["n"] == mine) & first(t))))
 
         return F.filter(found, lambda w: ~F.exists(w["pairs"], outvoted))
 
@@ -165,7 +169,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     met = (reduce(DataFrame.unionByName, met)
            .withColumn("pairs", F.transform("item_slots", lambda s: F.struct(s["i"].alias("i"), F.get("own", s["o"]).alias("d"))))
            .withColumn("shift", F.col("pos") - F.col("item_pos")))
-    grids = F.array("shift")
+    # two grids of passages: places that differ by at most DRIFT are together in one of them
+    grids = F.array(*[F.struct(F.lit(g).alias("grid"), F.floor((F.col("shift") + g * DRIFT) / (2 * DRIFT)).alias("passage")) for g in range(2)])
     places = lambda ws, c="item_pos": F.size(F.array_distinct(F.transform(ws, lambda w: w[c])))
     distinct = lambda ws: F.least(places(ws), places(ws, "pos"))
     found = (met.select("doc_id", "doc_key", "item", "item_id", "need", F.explode(grids).alias("at"), F.struct("item_pos", "pos", "pairs", "strong").alias("w"))
@@ -173,7 +178,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
              .withColumn("kept", _consistent(F.col("found")))
              .withColumn("windows", distinct(F.col("kept")))
              .withColumn("same", places(F.filter("found", lambda w: F.forall(w["pairs"], lambda p: p["i"] == p["d"]))) == places(F.col("found")))
-             .withColumn("strong", distinct(F.filter("kept", lambda w: w["strong"] == 2))).withColumn("any", F.exists("kept", lambda w: w["strong"] > 0)))
-    return (found.groupBy("doc_id", "doc_key", "item_id").agg(F.max("windows").alias("windows"), F.max_by("same", F.struct("windows", "same")).alias("verbatim"),
-                                                              F.sum("windows").alias("_all"), F.sum("strong").alias("_strong"), F.max("any").alias("_any"), F.max("need").alias("_need"))
-            .filter((F.col("_strong") >= WINDOWS) | ((F.col("_all") >= F.col("_need")) & F.col("_any"))).select("doc_id", "item_id", "windows", "verbatim", "doc_key"))
+             .filter((distinct(F.filter("kept", lambda w: w["strong"] == 2)) >= WINDOWS) | ((F.col("windows") >= F.col("need")) & F.exists("kept", lambda w: w["strong"] > 0))))
+    return (found.groupBy("doc_id", "doc_key", "item_id").agg(F.max("windows").alias("windows"), F.max_by("same", F.struct("windows", "same")).alias("verbatim"))
+            .select("doc_id", "item_id", "windows", "verbatim", "doc_key"))
