@@ -168,3 +168,14 @@ def test_decontamination_counts_within_a_passage(spark):
     docs = [(1, f"{a} {phrase} {a}"), (2, f"{a} {item} {a}"), (3, f"{a} {slots.replace('120', '7')} {a}"), (4, f"{a} there were 81 men on the old ship and they {a} old ship and they all saw the 99 birds {a}"),
             (5, f"{a} {item.replace('one two', 'one or two')} {a}")]
     assert set(found(spark, docs, [(1, item), (2, slots)])) == {(2, 1), (3, 2), (5, 1)}
+
+
+def test_decontamination_sends_only_hashes_of_large_benchmarks(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = spark.createDataFrame([(i, f"the same prompt stands before each of all these items {prose(i, 9)}") for i in range(9)], "item_id long, text string")
+        docs = frame(spark, [(1, "now " + items.first()["text"])])
+        large, small = (contaminated(docs, items, block=b) for b in (50, 1000))
+        assert "SortMergeJoin" in large._jdf.queryExecution().sparkPlan().toString() and sorted(large.collect()) == sorted(small.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

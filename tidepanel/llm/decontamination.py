@@ -14,8 +14,9 @@ by little) belong together; a window of the item counts once, and only if its
 slots are consistent: a value of the item stands for the same value of the
 document in all windows that count.
 
-The documents' windows never travel: blocks of at most ``BLOCK`` benchmark
-windows are sent to them, one block after the other.
+The documents' windows never travel: the distinct hashes of the benchmark are
+sent to them in blocks of at most about ``BLOCK``; what they hit is joined with
+the items, which are sent only if they are at most ``BLOCK`` windows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ LITERAL = 5  # of them not placeholders; benchmark windows with fewer say too li
 WINDOWS = 4  # matching windows of an item (all, if it has fewer; most, if fewer have enough literals)
 SUPPORT = 2  # literals of windows that count beside one that says enough, in items with fewer than WINDOWS of these
 DRIFT = WIDTH  # words that may be put in or left out between two windows of a passage
-BLOCK = 1_000_000  # benchmark windows sent to all tasks at a time
+BLOCK = 1_000_000  # hashes of benchmark windows, or such windows, sent to all tasks at a time
 
 # Units of measure that may follow a number
 UNITS = ("kg", "g", "mg", "lb", "lbs", "oz", "km", "m", "cm", "mm", "mi", "ft", "in", "miles", "mile", "meters", "metres", "feet", "inches", "l", "ml", "liters", "litres",
@@ -160,13 +161,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     items = benchmark.filter(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     wanted = saved(_wanted(items), "benchmark-windows")
+    hashes = saved(wanted.select("hash").distinct(), "benchmark-hashes")
     forms = sorted((r["width"], r["verbatim"]) for r in wanted.select("width", "verbatim").distinct().collect()) or [(WIDTH, False)]
+    blocks = max(1, -(-hashes.count() // (block * 4 // 5)))  # by hash, so a little uneven
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("doc_key"), F.col(text_col).alias("text"))
     cut = windows(rows, forms)
     own = let(_values(), lambda vs: F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda j: F.hash(F.get(vs, F.col("pos") + j))))
-    blocks = max(1, -(-wanted.count() // (block * 4 // 5)))  # by hash, so a little uneven
-    met = [cut.join(F.broadcast(wanted.filter(F.pmod("hash", F.lit(blocks)) == b)), "hash").withColumn("own", own) for b in range(blocks)]
-    met = (reduce(DataFrame.unionByName, met)
+    hits = [cut.join(F.broadcast(hashes.filter(F.pmod("hash", F.lit(blocks)) == b)), "hash").select("doc_id", "doc_key", "pos", "hash", own.alias("own")) for b in range(blocks)]
+    many = wanted.count() > block
+    met = (reduce(DataFrame.unionByName, hits).join(wanted if many else F.broadcast(wanted), "hash")
            .withColumn("pairs", F.transform("item_slots", lambda s: F.struct(s["i"].alias("i"), F.get("own", s["o"]).alias("d"))))
            .withColumn("shift", F.col("pos") - F.col("item_pos")))
     # two grids of passages: places that differ by at most DRIFT are together in one of them
