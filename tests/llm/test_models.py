@@ -95,6 +95,18 @@ def test_language_model_against_plain_counts(spark, learn):
     assert sorted(got) == sorted(want)
 
 
+def test_language_model_deals_start_marks_and_words_of_few_documents(spark, monkeypatch):
+    monkeypatch.setattr(lm, "COUNTED", 60)
+    rows = [(i, ["yes", "no", "a b", f"w{i}"][i % 4]) for i in range(6000)] + [(7000, "long " * 9000 + prose(1, 200))]
+    docs, held = frame(spark, rows), F.pmod("doc_id", F.lit(7)) == 2
+    hot = lm.frequent_contexts(docs.select(F.col("text").cast("binary").alias("text")), 8).tolist()
+    assert sorted(hot) == sorted([lm._mark(b"start"), lm._hashes[b"long"]])
+    key = lambda r: (r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
+    got = sorted(map(key, lm.score_texts(docs, held).collect()))
+    monkeypatch.setattr(lm, "frequent_contexts", lambda texts, parts: np.zeros(0, np.uint64))
+    assert got == sorted(map(key, lm.score_texts(docs, held).collect()))
+
+
 def test_language_model_of_nothing(spark):
     assert lm.score_texts(frame(spark, []).limit(0), F.lit(False)).count() == 0
 

@@ -38,7 +38,7 @@ DISCOUNT = 0.75
 KEY = np.uint64((1 << 40) - 1)  # successors are known by 40 bits of their hash
 CHUNK = 6 << 20  # bytes of text packed together
 PART = 12 << 20  # bytes of text a part stands for, at most
-SAMPLE = 5_000  # documents looked at to find frequent words; they are only dealt differently, results do not depend on them
+COUNTED = 100_000  # words counted at a time when frequent ones are sought
 
 
 def _mark(name: bytes) -> int:
@@ -283,6 +283,42 @@ def _answer(payloads: list[bytes], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     yield _rows(STATISTICS, 1, n1=[int((has & ~split).sum())], n2=[int(pair_counts.sum())])
 
 
+def _tally(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """(word, n): words, and the start mark, with over 1 / (16 parts) of a task's places; their number under a NULL word.
+
+    Counters are bounded: beyond that many words, the count that half of them
+    exceed is taken off all. A count lacks at most 1 / (32 parts) of the places.
+    """
+    from collections import Counter
+
+    counts, places, lacking, most = Counter(), 0, 0, max(COUNTED, 64 * parts)
+    for batch in batches:
+        for text in batch.column(0):
+            words = text.as_py().lower().split()
+            counts.update(words)
+            counts[b"\nstart"] += 1  # its hash is the mark's
+            places += len(words) + 1
+            if len(counts) > most:
+                cut = int(np.partition(np.fromiter(counts.values(), np.int64, len(counts)), len(counts) - most // 2)[len(counts) - most // 2])
+                lacking += cut
+                counts = Counter({w: n - cut for w, n in counts.items() if n > cut})
+    kept = [(w, n) for w, n in counts.items() if n + lacking > places / (16 * parts)]
+    yield pa.RecordBatch.from_arrays([pa.array([None, *[int(np.uint64(_hashes[w]).view(np.int64)) for w, _ in kept]], pa.int64()), pa.array([places, *[n for _, n in kept]], pa.int64())], names=["word", "n"])
+
+
+def frequent_contexts(texts: DataFrame, parts: int) -> np.ndarray:
+    """Hashes of all words, or the start mark, that are more than one ``parts``-th of all contexts, in order.
+
+    Counted over all texts (one binary column). What tasks leave out and lack
+    is less than a tenth of that share, so nothing is missed; what is a little
+    below it may be there too, which only deals its pairs differently.
+    """
+    tally = saved(map_arrow(texts, lambda batches: _tally(batches, parts), "word long, n long"), "lm-tally")
+    places = tally.filter("word is null").agg(F.sum("n")).first()[0] or 0
+    found = tally.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") > max(20.0, 0.9 * places / parts)).select("word").collect()
+    return np.sort(np.array([r["word"] for r in found], dtype=np.int64).view(np.uint64))
+
+
 def _even_labels(spark, parts: int) -> np.ndarray:
     """For each of ``parts`` partitions a number that Spark's hash partitioning sends there."""
     rows = (spark.range(parts * 40 + 200).select(F.col("id").cast("int").alias("id")).groupBy(F.pmod(F.hash("id"), F.lit(parts)).alias("p")).agg(F.min("id").alias("id")).collect())
@@ -300,16 +336,11 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     held = F.coalesce(held_out, F.lit(False))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("bytes")).first()
+    size = docs.agg(F.sum(F.octet_length(text)).alias("bytes")).first()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size["bytes"] or 0) // PART))
     labels = _even_labels(spark, parts)
-    # words with more than a part's share of all words: fewer than there are parts
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    looked = docs.filter(F.pmod(row_key(id_col, text_col), F.lit(max(1, size["n"] // SAMPLE))) == 0).select(F.split(low, r"[ \t\n\x0B\f\r]+").alias("w"))
-    tally = looked.select(F.explode_outer("w").alias("w")).filter("w != ''").groupBy("w").count()
-    total = tally.agg(F.sum("count")).first()[0] or 0
-    frequent = tally.filter(F.col("count") > max(20.0, total / parts)).select(F.xxhash64("w").alias("h")).collect()
-    hot = np.sort(np.array([r["h"] for r in frequent], dtype=np.int64).view(np.uint64))
+    # with more than a part's share of all places: hardly more than there are parts
+    hot = frequent_contexts(docs.select(text.cast("binary").alias("text")), parts)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -351,26 +382,28 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     totals = saved(of(TOTAL).groupBy("word").agg(F.sum("n1").alias("c"), F.sum("n2").alias("distinct")), "lm-totals")  # one row per frequent word
     learnt_docs = of(DOCUMENT).filter("not held_out").count()
     tokens = int(statistics["tokens"] or 0)
-    distinct = int(statistics["words"] or 0) + totals.filter("c > 0").count() + (learnt_docs > 0)
+    start = int(np.uint64(_mark(b"start")).view(np.int64))  # a context, but no word
+    distinct = int(statistics["words"] or 0) + totals.filter((F.col("c") > 0) & (F.col("word") != start)).count() + (learnt_docs > 0)
     scale = float(np.log10(tokens + distinct + 1))
 
     sums = of(SUMS).select("key", "model", "base", "n1")
     split = (of(FREQUENT).select("key", "word", "n1").join(F.broadcast(totals), "word").filter("c > 0")
              .select("key", (F.col("n1") * (float(np.log10(DISCOUNT)) + F.log10("distinct"))).alias("model"), F.lit(0.0).alias("base"), F.lit(0).cast("long").alias("n1")))
-    # of each frequent word, in the order of their places: its count; fewer words than parts
+    # of each frequent word, in the order of their places: its count
     count_of = {int(np.int64(r["word"]).view(np.uint64)): r["c"] for r in totals.collect()}
     counts = np.array([count_of.get(int(h), 0) for h in hot], dtype=np.float64)
+    a_word = hot != np.uint64(_mark(b"start"))
 
     def own_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(divide="ignore"):
-            less, more = np.where(counts > 0, -np.log10(counts), 0.0), np.log10(counts + 1)
+            less, more = np.where(counts > 0, -np.log10(counts), 0.0), np.where(a_word, np.log10(counts + 1), 0.0)
         for batch in batches:
             at = batch.column("frequent").offsets.to_numpy().astype(np.int64)
             at, lo = at - at[0], int(at[0])
             which, times = (batch.column(c).values.to_numpy()[lo:lo + at[-1]] for c in ("frequent", "times"))
             row = np.repeat(np.arange(batch.num_rows), np.diff(at))
             add = lambda v: np.bincount(row, times * v[which], batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(add(less)), pa.array(add(more)), pa.array(add((counts > 0).astype(float)).astype(np.int64))],
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(add(less)), pa.array(add(more)), pa.array(add(((counts > 0) & a_word).astype(float)).astype(np.int64))],
                                              names=["key", "model", "base", "n1"])
 
     if len(hot):
