@@ -6,7 +6,8 @@ count and the sorted range of its successors. Pointers to the ranges and the
 successors (relative to their context, so that all of a part are one rising
 sequence) are Elias-Fano coded; the discounted log probabilities are 8-bit
 codes into a table of the part. Levels are written to a file that is mapped
-into memory; a query is a successor search within its context's range.
+into memory; a query is a successor search for (context, word) in the part's
+whole sequence, the pointers give the number of distinct successors.
 
 Probabilities. Seen after a context: (c(context, word) - D) / c(context). Not
 seen: D * distinct successors / c(context) times the word's own probability,
