@@ -39,13 +39,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id.
+    """One row of each group of near duplicates: one of the smallest doc_id.
 
-    Documents without an id stay, as do all rows of an id that stays.
+    Documents without an id stay. Rows are told apart by id and text.
     """
-    groups = simhash_components(docs.select("doc_id", "text"), width=3, most=3)
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.xxhash64("doc_id"))
-    return without(docs.select(*COLUMNS), gone, F.xxhash64("doc_id"))
+    own, key = docs.select(*COLUMNS), row_key("doc_id", "text")
+    groups = saved(simhash_components(docs.select("doc_id", "text"), width=3, most=3, keyed=True), "simhash-groups")
+    least = groups.filter(F.col("doc_id") == F.col("component_id"))
+    repeated = saved(least.groupBy("doc_id").agg(F.min("doc_key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "first"), "simhash-repeated")
+    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_key")
+    if repeated.isEmpty():
+        return without(own, gone, key)
+    left = without(own, gone.unionByName(least.join(repeated, "doc_id").filter(F.col("doc_key") != F.col("first")).select("doc_key")), key)
+    alike = repeated.select(F.col("first").alias("_row"))
+    one = left.withColumn("_row", key).join(alike, "_row").groupBy("_row").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return without(left, alike, key).unionByName(one.select("row.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -134,6 +134,15 @@ def test_pipeline_stages(spark, tmp_path):
     assert [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().orderBy("doc_id").collect()] == sorted(left["packing"])
 
 
+def test_simhash_dedup_keeps_one_row_of_repeated_ids(spark):
+    a, b, c, d = (prose(i, 200) for i in (71, 72, 73, 74))
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (3, c + " end"), (4, d), (None, a)]
+    got = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.simhash_dedup(spark, frame(spark, rows), "").collect())
+    texts = [t for i, t in got if i == 3]
+    assert len(texts) == 1 and texts[0].startswith(c)
+    assert [x for x in got if x[0] != 3] == sorted([(0, a), (1, a), (2, b), (4, d)])
+
+
 @pytest.mark.parametrize("n", range(1, 11))
 def test_every_operator_is_registered(n):
     import __spark_entry__ as entry

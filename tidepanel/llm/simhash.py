@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, saved
+from .common import map_arrow, row_key, saved
 from .components import connected_components
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
@@ -109,16 +109,16 @@ def fingerprint(text: bytes, width: int) -> int:
     return int.from_bytes(np.packbits((set_bits * 2 > len(hashes)).reshape(-1), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, print): ``print`` as a signed long. NULL and blank texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """(doc_id, print[, doc_key]): ``print`` as a signed long. NULL and blank texts have fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t.as_py() or b"", width) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64)), *batch.columns[2:]], names=["doc_id", "print", *batch.schema.names[2:]])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return map_arrow(rows, run, "doc_id long, print long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), *([row_key(id_col, text_col).alias("doc_key")] if keyed else []))
+    return map_arrow(rows, run, "doc_id long, print long" + (", doc_key long" if keyed else ""))
 
 
 def _keys(prints: DataFrame, filed: bool) -> DataFrame:
@@ -229,16 +229,16 @@ def fingerprint_links(prints: DataFrame, most: int = 3, block: int = BLOCK) -> D
     return map_arrow(met, run, "a long, b long")
 
 
-def simhash_components(docs: DataFrame, width: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links).
+def simhash_components(docs: DataFrame, width: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text", keyed: bool = False) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links); ``keyed``: also doc_key, ``row_key`` of the document.
 
     NULL ids get the component of their fingerprint; a component of NULL ids
     only has a NULL component_id. An empty table gives an empty result.
     """
-    prints = saved(fingerprints(docs, width, id_col, text_col), "simhash-docs")
+    prints = saved(fingerprints(docs, width, id_col, text_col, keyed), "simhash-docs")
     joined = saved(connected_components(fingerprint_links(prints, most)).select(F.col("id").alias("print"), F.col("component_id").alias("root")), "simhash-cc")
     least = prints.groupBy("print").agg(F.min("doc_id").alias("least")).join(joined, "print", "left").withColumn("root", F.coalesce("root", "print"))
     least = saved(least, "simhash-least")
     ids = least.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = saved(least.select("print", "root").join(ids, "root").select("print", "component_id"), "simhash-ids")
-    return prints.join(by_print, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(by_print, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id", *(["doc_key"] if keyed else []))
