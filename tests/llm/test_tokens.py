@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidepanel.llm import token_files as tf
-from tidepanel.llm.packing import Bins, cut, pack, pack_documents, token_pieces
+from tidepanel.llm.packing import Bins, cuts, pack, pack_documents, token_pieces
 from tidepanel.llm.tokens import Encoder, default_tokenizer
 
 from .helpers import ODD, frame, prose
@@ -90,8 +90,17 @@ def test_damaged_block_is_found(spark, tmp_path):
         tf.read_token_files(spark, str(tmp_path / "bad")).collect()
 
 
-def test_cut():
-    assert cut(5, 4) == [(0, 1), (1, 4)] and cut(8, 4) == [(0, 4), (4, 4)] and cut(3, 4) == [(0, 3)]
+def cut(n, most):
+    """(start, length) of the pieces of one text, one after the other."""
+    first = n % most or most
+    return [(0, first)] + [(s, most) for s in range(first, n, most)]
+
+
+def test_cuts():
+    sizes = [5, 8, 3, 1, 4, 9]
+    doc, piece, start, length = (x.tolist() for x in cuts(np.array(sizes), 4))
+    assert list(zip(start, length)) == [p for n in sizes for p in cut(n, 4)]
+    assert doc == [i for i, n in enumerate(sizes) for _ in cut(n, 4)] and piece == [k for n in sizes for k in range(len(cut(n, 4)))]
 
 
 def test_best_fit_and_fullest_first():

@@ -18,15 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def saved(df: DataFrame, name: str, partition_by: str | None = None, rows_at_once: int | None = None) -> DataFrame:
     """Write ``df`` once into the cluster's shared folder and read it back.
 
     Cuts the lineage: what follows reads files that outlive any executor, and
     a stage that is not deterministic under retry is computed only once.
+    ``rows_at_once`` bounds how many rows a writer holds, for rows of megabytes.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     writer = df.write.mode("overwrite")
+    if rows_at_once:
+        writer = writer.option("parquet.block.row.count.limit", rows_at_once)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
@@ -52,6 +55,21 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def met_by_block(blocks: DataFrame, queries: DataFrame, n_blocks: int, fn, schema: str) -> DataFrame:
+    """``fn`` over every row of ``queries`` with every block, as an Arrow stream.
+
+    ``blocks`` has a row for each (or some) of the numbers 0 to ``n_blocks`` - 1
+    in its column ``block``; all columns of both tables are in the stream, where
+    a block's rows (``first`` is true) come before the queries it meets. A task
+    holds one block; queries pass by. Blocks are bounded, so what is sent is a
+    query a block: a small part of the work of meeting it.
+    """
+    sent = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).withColumn("first", F.lit(False))
+    rows = blocks.withColumn("first", F.lit(True)).unionByName(sent, allowMissingColumns=True)
+    # a number of its own: the work of a partition does not show in its bytes, so small ones must not be joined
+    return map_arrow(rows.repartition(min(2 * n_blocks, 8192), "block").sortWithinPartitions("block", F.desc("first")), fn, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often the body names it."""
     return F.transform(F.array(value), body)[0]

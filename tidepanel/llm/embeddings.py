@@ -36,8 +36,8 @@ def plan_tables(n: int, threshold: float, recall: float, per_key: int = 512) ->
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - same)))
 
 
-def _usable(vectors: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFrame:
-    """(vec_id, vec): bytes of numbers of ``kind``; NULL for vectors that cannot link."""
+def _usable(vectors: DataFrame, id_col: str, vec_col: str, kind: str, *flags: str) -> DataFrame:
+    """(vec_id, vec, flags): bytes of numbers of ``kind``; NULL for vectors that cannot link. ``flags`` are boolean columns."""
     width = "float" if kind == "<f4" else "double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,9 +46,9 @@ def _usable(vectors: DataFrame, id_col: str, vec_col: str, kind: str) -> DataFra
             for v in batch.column(1):
                 values = np.array(v.values.to_numpy(zero_copy_only=False), dtype=kind) if v.is_valid and v.values.null_count == 0 else np.zeros(0)
                 out.append(values.tobytes() if len(values) and np.isfinite(values).all() and values.any() else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["vec_id", "vec"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), *batch.columns[2:]], names=["vec_id", "vec", *flags])
 
-    return map_arrow(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{width}>").alias("v")), run, "vec_id long, vec binary")
+    return map_arrow(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{width}>").alias("v"), *flags), run, "vec_id long, vec binary" + "".join(f", {c} boolean" for c in flags))
 
 
 def _signed(distinct: DataFrame, kind: str, bits: int, tables: int, seed: int) -> DataFrame:

@@ -25,16 +25,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, map_arrow, saved
-from .tokens import default_tokenizer, encoder
+from .tokens import default_tokenizer, encoder, with_end
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 FAN_IN = 16
 
 
-def cut(n: int, most: int) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of ``n`` tokens; of several, the first may be shorter."""
-    first = n % most or most
-    return [(0, first)] + [(s, most) for s in range(first, n, most)]
+def cuts(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, piece, start, length) of the pieces of texts of ``sizes`` tokens; of several, the first may be shorter."""
+    first = (sizes - 1) % most + 1
+    n = 1 + (sizes - first) // most
+    doc = np.repeat(np.arange(len(sizes)), n)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+    return doc, piece, np.where(piece > 0, first[doc] + (piece - 1) * most, 0), np.where(piece > 0, most, first[doc])
 
 
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = 2048, end_id: int = 0,
@@ -49,21 +52,17 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in chunks(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist(), 8 << 20):
-                flat, at = enc.encode(texts.slice(a, b - a))
-                raw, at, rows = memoryview(flat).cast("B"), (at * 4).tolist(), []
-                for i in range(b - a):
-                    own = bytes(raw[at[i]:at[i + 1]]) + end
-                    for k, (start, n) in enumerate(cut(len(own) // 4, max_tokens)):
-                        part = own[4 * start:4 * (start + n)]
-                        rows.append((ids[a + i], k, start, n, zlib.crc32(part), part) if with_ids else (ids[a + i], k, start, n, zlib.crc32(part)))
-                cols = list(zip(*rows))
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names[:len(cols)])
+            ids, texts = batch.column(0), batch.column(1)
+            for a, b in chunks(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist(), 4 << 20):
+                flat, at = with_end(*enc.encode(texts.slice(a, b - a)), end_id)
+                doc, piece, start, length = cuts(np.diff(at), max_tokens)
+                raw, begins = memoryview(flat).cast("B"), (at[doc] + start) * 4
+                parts = [raw[x:y] for x, y in zip(begins.tolist(), (begins + length * 4).tolist())]
+                cols = [ids.slice(a, b - a).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array([zlib.crc32(x) for x in parts], pa.int64())]
+                if with_ids:
+                    cols.append(pa.array([bytes(x) for x in parts], pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(cols)])
 
     return map_arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), pieces, schema)
 
@@ -109,21 +108,31 @@ class Bins:
         return {b: self.capacity - free for free, held in enumerate(self.by_free) for b in held}
 
 
-def _packer(capacity: int, open_bins: int, size_col: str, turn: int):
-    """Stream of items -> the same with bin, place, and for bins left open what they hold (else NULL)."""
+def _packer(capacity: int, open_bins: int, size_col: str, turn: int, items: list[str]):
+    """Stream of items -> the same with bin, place, and for bins left open what they hold (else NULL).
+
+    A task holds one batch and the items of its open bins, at most ``open_bins`` x ``capacity``.
+    """
+
+    def told(rows: pa.Table, held: pa.Array) -> Iterator[pa.RecordBatch]:
+        if rows.num_rows:
+            yield from pa.Table.from_arrays([*rows.columns, held], names=[*items, "bin", "place", "held"]).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # bin numbers: round, partition and a counter; unique without coordination
         bins = Bins(capacity, open_bins, (turn << 58) + (TaskContext.get().partitionId() << 34))
-        seen: list[tuple[pa.RecordBatch, list[int], list[int]]] = []
-        for batch in batches:  # small rows: the pieces of one partition, without their tokens
-            placed = [bins.put(int(s)) for s in batch.column(size_col).to_pylist()]
-            seen.append((batch, [p[0] for p in placed], [p[1] for p in placed]))
-        left = bins.open_bins()
-        for batch, at, offset in seen:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(at, pa.int64()), pa.array(offset, pa.int64()), pa.array([left.get(b) for b in at], pa.int64())],
-                names=[*batch.schema.names, "bin", "place", "held"])
+        names = [*items, "bin", "place", "held"]
+        waiting = None  # the items of open bins; what a closed bin holds goes out at once
+        for batch in batches:
+            placed = np.array([bins.put(int(s)) for s in batch.column(size_col).to_pylist()], dtype=np.int64).reshape(-1, 2)
+            rows = pa.Table.from_arrays([*batch.columns, pa.array(placed[:, 0]), pa.array(placed[:, 1])], names=names[:-1])
+            rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+            is_open = np.isin(rows["bin"].to_numpy(), np.fromiter(bins.open_bins(), dtype=np.int64))
+            waiting = rows.filter(pa.array(is_open)).combine_chunks()
+            yield from told(rows.filter(pa.array(~is_open)), pa.nulls(int((~is_open).sum()), pa.int64()))
+        if waiting is not None:
+            left = bins.open_bins()
+            yield from told(waiting, pa.array([left[b] for b in waiting["bin"].to_pylist()], pa.int64()))
 
     return run
 
@@ -139,14 +148,14 @@ def pack(items: DataFrame, size_col: str = "length", capacity: int = 2048, open_
     order = F.xxhash64(*[F.col(c) for c in items.columns])
     dealt = items.withColumn("_h", order).repartition("_h").sortWithinPartitions("_h", *items.columns).drop("_h")
     # written once: a retried task must not place items anew after others have read its bins
-    first = saved(map_arrow(dealt, _packer(capacity, open_bins, size_col, 0), kinds + placed_by), "pack-0")
+    first = saved(map_arrow(dealt, _packer(capacity, open_bins, size_col, 0, dealt.columns), kinds + placed_by), "pack-0")
 
     left = first.filter("held is not null and place = 0").select("bin", "held")
     turn, maps = 0, None
     while True:
         parts, turn = max(1, -(-left.count() // (FAN_IN * open_bins))), turn + 1
         largest_first = left.coalesce(parts).withColumnsRenamed({"bin": "was", "held": "size"}).sortWithinPartitions(F.desc("size"), "was")
-        packed = saved(map_arrow(largest_first, _packer(capacity, open_bins, "size", turn), "was long, size long" + placed_by), f"pack-{turn}")
+        packed = saved(map_arrow(largest_first, _packer(capacity, open_bins, "size", turn, ["was", "size"]), "was long, size long" + placed_by), f"pack-{turn}")
         maps = packed if maps is None else saved(
             maps.select("was", F.col("bin").alias("_b"), F.col("place").alias("_p"))
             .join(packed.select(F.col("was").alias("_b"), "bin", "place"), "_b", "left")

@@ -8,9 +8,12 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_tokenizers
 from .common import fold, table
 from .decontamination import contaminated
 from .embeddings import near_duplicate_vectors
+from .graph_search import nearest_neighbours
+from .hard_negatives import hard_negatives, hard_negatives_sql
 from .language import predict, train
 from .language_model import score_texts
 from .lines import remove_shared_lines, remove_shared_lines_sql
@@ -97,4 +100,24 @@ def op6_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
 
 
+@_query("op11_bond_negatives", hard_negatives_sql())
+def op11_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has the next label."""
+    vectors, vec_id = table(spark, sf_dir, "embeddings"), F.col("vec_id")
+    moved = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), vec_id % 100 == 0)
+
+
+@_query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the byte-level BPE and the sentence pieces cut all documents."""
+    return align_tokenizers(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_graph_neighbours")
+def op13_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 _query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

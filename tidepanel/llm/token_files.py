@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidepanel.session import scratch_dir
 
 from .common import chunks, map_arrow
-from .tokens import default_tokenizer, encoder
+from .tokens import default_tokenizer, encoder, with_end
 
 LOW = np.uint64(1 << 31)  # states are in [2^31, 2^63)
 SHARD = ("part int, shard int, first long, doc_ids array<long>, lengths array<long>, scale_bits int, symbols binary, freqs binary, "
@@ -162,10 +162,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         held, size, number, first = [], 0, 0, 0
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in chunks(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist(), 8 << 20):
-                flat, at = enc.encode(texts.slice(a, b - a))
+            for a, b in chunks(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist(), 4 << 20):
+                flat, at = with_end(*enc.encode(texts.slice(a, b - a)), end_id)
                 for i in range(b - a):
-                    own = np.append(flat[at[i]:at[i + 1]], np.uint32(end_id))
+                    own = flat[at[i]:at[i + 1]]
                     if held and size + len(own) > shard_tokens:
                         yield _shard(part, number, first, held, lanes, block_steps, checkpoint_steps)
                         held, size, number, first = [], 0, number + 1, first + size
