@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm import language_model as lm
 from tidepanel.llm.common import fold
-from tidepanel.llm.language import codewords, predict, train
+from tidepanel.llm.language import EVIDENCE, WIDTH, Decoder, codewords, has_letter, predict, train
 from tidepanel.llm.quality import Forest, quality_scores
 
 from .helpers import ODD, frame, prose
@@ -23,6 +23,39 @@ def test_codewords_keep_apart():
         assert len(code) == n and (not far or min(far) >= max(1, code.shape[1] // 4))
 
 
+def test_decoding_against_a_plain_one():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 4, 7):
+        counts = rng.integers(0, 50, (n, WIDTH))
+        model = Decoder([f"l{i}" for i in range(n)], counts)
+        for text in (b"the cat", "é ü 漢".encode(), prose(n, 200).encode(), b" x"):
+            folded = [32] + [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text] + [32]
+            grams = [(x << 16 | y << 8 | z) * 2654435761 % 2 ** 32 >> 18 for x, y, z in zip(folded, folded[1:], folded[2:]) if not (y == 32 and 32 in (x, z))]
+            share = [[(c + 0.5) / sum(k + 0.5 for k in row) for c in row] for row in counts.tolist()]
+            loss = [0.0] * n
+            for bit in model.code.T.tolist():
+                sides = [[i for i in range(n) if bit[i] == side] for side in (1, -1)]
+                odds = sum(math.log(sum(share[i][g] for i in sides[0]) / len(sides[0]) / (sum(share[i][g] for i in sides[1]) / len(sides[1]))) for g in grams) if all(sides) else 0.0
+                odds *= EVIDENCE / (len(grams) + EVIDENCE)
+                for i in range(n):
+                    loss[i] += math.log1p(math.exp(-bit[i] * odds))
+            near = [math.exp(min(loss) - x) for x in loss]
+            lang, score = model.decide(text)
+            assert lang == f"l{loss.index(min(loss))}" and score == pytest.approx(max(near) / sum(near), abs=1e-3)
+
+
+def test_letters_are_of_category_l():
+    assert not any(has_letter(t.encode()) for t in ("½ ② 5", "12 _", "", "\u0301", "!")) and all(has_letter(t.encode()) for t in ("½a", "漢", "ª", "É"))
+
+
+def test_language_says_und_without_letters_and_takes_clashing_names(spark):
+    rows = [(1, "½ ② 5", "en"), (2, prose(1, 40), "en"), (3, prose(2, 40, "de"), "de"), (3, prose(2, 40, "de"), "de")]
+    docs = frame(spark, rows).withColumn("lang_pred", F.lit("x")).withColumn("ambiguous", F.lit(True))
+    got = predict(docs, train(docs, F.col("doc_id") > 1), ["doc_id", "lang_pred", "score", "ambiguous", "key"])
+    assert got.columns == ["doc_id", "key", "lang_pred", "score", "ambiguous"]
+    assert sorted((r.doc_id, r.lang_pred) for r in got.collect()) == [(1, "und"), (2, "en"), (3, "de"), (3, "de")]
+
+
 def test_language_held_out_accuracy_and_odd_texts(spark):
     rows = [(1000 + i, prose(i, 40, lang), lang) for i in range(120) for lang in ("en", "de", "fr")] + [(9000, prose(3, 40), None)]
     docs = frame(spark, [*rows, *[(d, t, None) for d, t in ODD]]).withColumn("held_out", fold("doc_id", 4) == 2)
@@ -49,6 +82,21 @@ def test_trees_learn_an_interaction():
     assert ((forest.score(x[2000:]) > 0.5) == y[2000:]).mean() > 0.95
 
 
+def test_flat_traversal_against_a_recursive_walk():
+    rng = np.random.default_rng(8)
+    x = np.round(rng.random((500, 5)), 1)  # ties with the splits
+    forest = Forest(trees=12, depth=4).fit(x, (x[:, 0] + x[:, 3] > 1).astype(float))
+
+    def walk(t, row, level=0, at=0):
+        if level == forest.depth:
+            return forest.value[t, at]
+        k = (1 << level) - 1 + at
+        return walk(t, row, level + 1, 2 * at + int(row[forest.feature[t, k]] > forest.split[t, k]))
+
+    want = [1 / (1 + math.exp(-(forest.start + sum(walk(t, row) for t in range(forest.trees))))) for row in x]
+    assert np.allclose(forest.score(x), want, atol=1e-12) and len(set(np.round(want, 6))) > 20
+
+
 def test_quality_held_out_and_odd_texts(spark):
     good = [(2000 + i, prose(i, 80)) for i in range(150)]
     bad = [(4000 + i, prose(i, 80).upper().replace(" ", "!! ")) for i in range(60)] + [(5000 + i, prose(i, 40).replace(" ", " | ")) for i in range(60)]

@@ -31,11 +31,12 @@ _FOLD = np.full(256, 0x20, dtype=np.uint8)  # letters in lower case, bytes of ot
 _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
 _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
-_ASCII_LETTER, _LETTER = re.compile(rb"[A-Za-z]"), re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 
 def has_letter(text: bytes) -> bool:
-    return bool(_ASCII_LETTER.search(text)) or bool(_LETTER.search(text.decode("utf-8", "replace")))
+    """Whether a character of Unicode's category L is in the text (numbers such as a half are none)."""
+    return bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, set(text.decode("utf-8", "replace"))))
 
 
 def trigrams(text: bytes) -> np.ndarray:
@@ -88,7 +89,10 @@ class Decoder:
 
 
 def train(docs: DataFrame, use: Column, lang_col: str = "lang", text_col: str = "text") -> Decoder | None:
-    """Counts of all texts of rows for which ``use`` holds and that have a language and a letter."""
+    """Counts of all texts of rows for which ``use`` holds and that have a language; None if there are none.
+
+    Each row counts, also if rows repeat. A text of any length counts whole.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -114,8 +118,13 @@ def train(docs: DataFrame, use: Column, lang_col: str = "lang", text_col: str =
 def predict(docs: DataFrame, decoder: Decoder | None, keep: list[str], text_col: str = "text") -> DataFrame:
     """Columns ``keep`` of ``docs`` with lang_pred, score and ambiguous.
 
-    ``und`` with score 0 if the text is NULL or has no letter, or nothing was learnt.
+    ``und`` with score 0 if the text is NULL or has no letter, or nothing was
+    learnt. Of languages equally near, the first in order of name is taken,
+    and ambiguous holds as none has the better half. Each row is answered,
+    also if rows repeat; an empty table gives an empty result. Columns of
+    ``keep`` named like the new ones are left out.
     """
+    keep = [c for c in keep if c.lower() not in ("lang_pred", "score", "ambiguous")]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
     shared = docs.sparkSession.sparkContext.broadcast(decoder)  # languages x codeword bits x 16,384 floats at most
 
