@@ -31,7 +31,8 @@ def test_decoding_against_a_plain_one():
         for text in (b"the cat", "é ü 漢".encode(), prose(n, 200).encode(), b" x"):
             folded = [32] + [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text] + [32]
             grams = [(x << 16 | y << 8 | z) * 2654435761 % 2 ** 32 >> 18 for x, y, z in zip(folded, folded[1:], folded[2:]) if not (y == 32 and 32 in (x, z))]
-            share = [[(c + 0.5) / sum(k + 0.5 for k in row) for c in row] for row in counts.tolist()]
+            sums = [sum(row) + WIDTH / 2 for row in counts.tolist()]
+            share = [[(c + 0.5) / total for c in row] for row, total in zip(counts.tolist(), sums)]
             loss = [0.0] * n
             for bit in model.code.T.tolist():
                 sides = [[i for i in range(n) if bit[i] == side] for side in (1, -1)]
