@@ -3,17 +3,17 @@
 All columns filled in one call share one exchange (by entity) and one sort per
 direction. After de-duplication the key (entity, period) is unique, so one
 window partition holds at most one row per period; entities with very many
-periods are filled span by span (``interpolate_long``).
+periods are filled span by span (``forward_fill_long``, ``interpolate_long``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepanel.operators.scan import POS, carried
 from tidepanel.spec import PanelKey
 
 DEFAULT_KEY = PanelKey(("country_code",), "year")
@@ -70,35 +70,30 @@ def _between(v: Column, p: Column, n: Column, x: Column, extrapolate: bool) -> C
     return F.coalesce(v.cast("double"), F.when(p.isNull(), F.lit(None)).when(n.isNull(), p["v"] if extrapolate else F.lit(None)).otherwise(inner))
 
 
-def interpolate_long(df: DataFrame, cols: Iterable[str], span: int, key: PanelKey = DEFAULT_KEY, extrapolate: bool = True) -> DataFrame:
-    """``interpolate_linear(mode="time")`` for entities of any length.
+def forward_fill_long(df: DataFrame, cols: Iterable[str], span: int, key: PanelKey = DEFAULT_KEY) -> DataFrame:
+    """``forward_fill`` for entities of any length, span by span (see ``operators.scan``)."""
+    cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df
+    filled = carried(df, cols, span, key).withColumns({c: F.col(f"__p_{c}")["v"] for c in cols})
+    return filled.select(*df.columns)
+
+
+def interpolate_long(df: DataFrame, cols: Iterable[str], span: int, key: PanelKey = DEFAULT_KEY, extrapolate: bool = True, mode: str = "time") -> DataFrame:
+    """``interpolate_linear`` for entities of any length, span by span (see ``operators.scan``).
 
-    An entity's periods (integers) are cut in spans; a span is filled on its
-    own, with the last known value before it and the first after it, which
-    come from one row per (entity, span). So no task holds more of an entity
-    than one span and one row for each of the others.
+    Known values are carried into a span with their period and their place in
+    the entity, so both modes give what a window over the entity gives.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    ent, x = list(key.entity), F.col(key.period)
-    df = df.withColumn("__span", F.floor(x / F.lit(span)))
-    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), x.alias("x"))) for c in cols}
-    edges = df.groupBy(*ent, "__span").agg(*[f(known[c], F.when(F.col(c).isNotNull(), x)).alias(f"__{s}_{c}") for c in cols for s, f in (("first", F.min_by), ("last", F.max_by))])
-    spans = Window.partitionBy(*ent)
-    before = spans.orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
-    after = spans.orderBy(F.desc("__span")).rowsBetween(Window.unboundedPreceding, -1)
-    edges = edges.select(*ent, "__span", *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__before_{c}") for c in cols],
-                         *[F.last(f"__first_{c}", ignorenulls=True).over(after).alias(f"__after_{c}") for c in cols])
-    both = df.join(edges.withColumnsRenamed({e: f"__e_{e}" for e in [*ent, "__span"]}),
-                   reduce(lambda a, b: a & b, [F.col(e).eqNullSafe(F.col(f"__e_{e}")) for e in [*ent, "__span"]]))
-    until = (Window.unboundedPreceding, Window.currentRow)
-    own = Window.partitionBy(*ent, "__span")
-    back, ahead = own.orderBy(x).rowsBetween(*until), own.orderBy(x.desc()).rowsBetween(*until)
-    both = both.withColumns({f"__p_{c}": F.coalesce(F.last(known[c], ignorenulls=True).over(back), F.col(f"__before_{c}")) for c in cols})
-    both = both.withColumns({f"__n_{c}": F.coalesce(F.last(known[c], ignorenulls=True).over(ahead), F.col(f"__after_{c}")) for c in cols})
-    filled = {c: _between(F.col(c), F.col(f"__p_{c}"), F.col(f"__n_{c}"), x, extrapolate) for c in cols}
-    return both.withColumns(filled).select(*[c for c in df.columns if c != "__span"])
+    if mode not in ("position", "time"):
+        raise ValueError("mode must be 'position' or 'time'")
+    x, at = (F.col(POS), "r") if mode == "position" else (F.col(key.period), "x")
+    point = lambda s: F.when(F.col(s).isNotNull(), F.struct(F.col(s)["v"].cast("double").alias("v"), F.col(s)[at].alias("x")))
+    filled = {c: _between(F.col(c), point(f"__p_{c}"), point(f"__n_{c}"), x, extrapolate) for c in cols}
+    return carried(df, cols, span, key).withColumns(filled).select(*df.columns)
 
 
 def fill_gaps(df: DataFrame, fill_forward: Iterable[str] = (), interpolate: Iterable[str] = (),

@@ -561,21 +561,61 @@ _TB = "order by minute rows between unbounded preceding and current row"
 _TF = "order by minute rows between current row and unbounded following"
 
 
-@register("interpolate_timeline", f"""
+_TIMELINE = f"""
 with panel as (
   select cast({_MINUTE} as bigint) as minute, case when ({_MINUTE}) % 5 <> 0 then cast(sum(cast(value as decimal(18,2))) as double) end as value
-  from events group by 1, ({_MINUTE})),
+  from events group by 1, ({_MINUTE})), """
+_ALL = PanelKey(("entity",), "minute")
+
+
+def timeline(spark, d):
+    """One long entity: all events by minute, every fifth minute unknown."""
+    ts = F.col("ts")
+    minute = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return (panels.table(spark, d, "events").groupBy(minute.alias("minute")).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"))
+            .select(F.lit("all").alias("entity"), "minute", F.when(F.col("minute") % 5 != 0, F.col("value")).alias("value")))
+
+
+@register("interpolate_timeline", f"""{_TIMELINE}
 near as (
   select *, last_value(value ignore nulls) over ({_TB}) as p, last_value(case when value is not null then minute end ignore nulls) over ({_TB}) as pm,
          first_value(value ignore nulls) over ({_TF}) as n, first_value(case when value is not null then minute end ignore nulls) over ({_TF}) as nm from panel)
 select minute, cast(coalesce(value, case when p is null then null when n is null then p else (n - p) / (nm - pm) * (minute - pm) + p end) as double) as value from near""")
 def q_interpolate_timeline(spark, d):
-    """W4 on one long entity: all events by minute, every fifth minute unknown, filled day by day."""
-    ts = F.col("ts")
-    minute = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 1440 + F.hour(ts) * 60 + F.minute(ts)
-    panel = (panels.table(spark, d, "events").groupBy(minute.alias("minute")).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"))
-             .select(F.lit("all").alias("entity"), "minute", F.when(F.col("minute") % 5 != 0, F.col("value")).alias("value")))
-    return fill.interpolate_long(panel, ["value"], 1440, PanelKey(("entity",), "minute")).drop("entity")
+    """W4 on one long entity: by period, filled day by day."""
+    return fill.interpolate_long(timeline(spark, d), ["value"], 1440, _ALL).drop("entity")
+
+
+@register("interpolate_timeline_position", f"""{_TIMELINE}
+numbered as (select *, row_number() over (order by minute) as r from panel),
+near as (
+  select *, last_value(value ignore nulls) over ({_TB}) as p, last_value(case when value is not null then r end ignore nulls) over ({_TB}) as pm,
+         first_value(value ignore nulls) over ({_TF}) as n, first_value(case when value is not null then r end ignore nulls) over ({_TF}) as nm from numbered)
+select minute, cast(coalesce(value, case when p is null then null when n is null then p else (n - p) / (nm - pm) * (r - pm) + p end) as double) as value from near""")
+def q_interpolate_timeline_position(spark, d):
+    """W4 on one long entity: rows equally spaced, filled day by day with places carried between the days."""
+    return fill.interpolate_long(timeline(spark, d), ["value"], 1440, _ALL, mode="position").drop("entity")
+
+
+@register("forward_fill_timeline", f"""{_TIMELINE}
+filled as (select minute, last_value(value ignore nulls) over ({_TB}) as value from panel)
+select minute, value from filled""")
+def q_forward_fill_timeline(spark, d):
+    """W3 on one long entity: filled day by day."""
+    return fill.forward_fill_long(timeline(spark, d), ["value"], 1440, _ALL).drop("entity")
+
+
+@register("pct_change_timeline", f"""{_TIMELINE}
+padded as (select *, last_value(value ignore nulls) over ({_TB}) as pad from panel)
+select minute, {rnd("(pad / nullif(lag(pad) over (order by minute), 0) - 1.0) * 100.0", 2)} as growth,
+       {rnd("(pad / nullif(lag(pad, 7) over (order by minute), 0) - 1.0) * 100.0", 2)} as growth_7,
+       {rnd("(value / nullif(lag(value, 3) over (order by minute), 0) - 1.0) * 100.0", 2)} as growth_raw_3 from padded""")
+def q_pct_change_timeline(spark, d):
+    """W5 on one long entity: against the row before, the seventh before, and the third before without padding."""
+    line = checkpointed(timeline(spark, d))
+    line = growth.pct_change_long(line, "value", "growth", 1440, _ALL)
+    line = growth.pct_change_long(line, "value", "growth_7", 1440, _ALL, periods=7)
+    return growth.pct_change_long(line, "value", "growth_raw_3", 1440, _ALL, fill="none", periods=3).drop("entity", "value")
 
 
 @register("pct_change", with_ctes(f"""
