@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidepanel.sources import catalog, readers, sinks
@@ -110,6 +112,29 @@ def test_register_tables_in_catalog_database(spark, tmp_path):
     assert spark.sql("select sum(v) from panel_db.fact_t where year = 2020").collect()[0][0] == 3.0
 
 
+def test_catalog_table_is_updated_in_place(spark, tmp_path):
+    path = str(tmp_path / "grown")
+    full = "panel_db.grown"
+    spark.sql("select 'A' as k, cast(1 as int) as n, 2020 as year union all select 'B', 2, 2021").write.partitionBy("year").parquet(path)
+    first = catalog.update_table(spark, "panel_db", "grown", path)
+    assert first.created and first.partitions == 2
+    marked = spark.sql("ALTER TABLE panel_db.grown SET TBLPROPERTIES ('kept' = 'yes')") and None
+    spark.sql("select 'C' as k, cast(5000000000 as bigint) as n, 1.5D as extra, 2022 as year").write.mode("append").partitionBy("year").parquet(path)
+    second = catalog.update_table(spark, "panel_db", "grown", path)
+    assert marked is None and second == catalog.TableChange(False, ["extra"], ["n"], 1)
+    assert "kept" in {r.key for r in spark.sql("SHOW TBLPROPERTIES panel_db.grown").collect()}  # the same table, not a new one
+    assert sorted((r.k, r.n, r.extra, r.year) for r in spark.table(full).collect()) == [("A", 1, None, 2020), ("B", 2, None, 2021), ("C", 5_000_000_000, 1.5, 2022)]
+    assert catalog.update_table(spark, "panel_db", "grown", path) == catalog.TableChange(False, [], [], 0)
+    spark.sql("select 'D' as k, 'word' as n, 2023 as year").write.mode("append").partitionBy("year").parquet(path)
+    with pytest.raises(ValueError, match="n: bigint -> string"):
+        catalog.update_table(spark, "panel_db", "grown", path)
+    assert spark.table(full).where("year < 2023").count() == 3
+    other = str(tmp_path / "other")
+    spark.sql("select 'E' as k, cast(9 as bigint) as n, 2021 as year union all select 'F', 3, 2030").write.partitionBy("year").parquet(other)
+    assert catalog.update_table(spark, "panel_db", "grown", other).partitions == 1
+    assert sorted((r.k, r.year) for r in spark.table(full).collect()) == [("E", 2021), ("F", 2030)]
+
+
 def test_files_are_sorted_by_entity(spark, tmp_path):
     rows = [(2020 + i % 2, f"E{(i * 37) % 50:02d}", float(i)) for i in range(200)]
     sinks.write_bronze_partitioned(spark.createDataFrame(rows, "year bigint, country_code string, v double").repartition(4), str(tmp_path / "b"))

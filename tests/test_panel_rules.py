@@ -209,7 +209,7 @@ def test_landed_sheets_keep_and_flag_repeated_keys(spark):
     assert sorted((r.country_code, r.year, r.tourist_arrivals or 0, r.is_duplicate) for r in out.collect()) == [
         ("Q0", 2001, 4.0, True), ("Q0", 2001, 5.0, True), ("Q1", 2001, 6.0, False), ("Q1", 2030, 0, False)]
     with pytest.raises(ValueError, match="tourist_arrivals"):
-        bronze.gated(out.drop("tourist_arrivals"), "tourism_arrivals")
+        bronze.land(out.drop("tourist_arrivals"), "tourism_arrivals", "/nowhere")
     sheet = spark.createDataFrame([("Isle", "2001.0", "Inbound by air", "3"), ("Isle", "2044", "Inbound by land", "1"), ("Isle", "x", "Inbound by air", "9")],
                                   "reporter_area_label string, year string, indicator_label string, value string")
     wide = bronze.transport_from_sheet(sheet, {}, ["Isle"], {"Isle": "Q0"})

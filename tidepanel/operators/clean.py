@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.functions.numeric import to_numeric
 from tidepanel.functions.text import clean_code, clean_name
+from tidepanel.session import scratch_dir
 from tidepanel.spec import PanelKey, SchemaSpec
 
 DEFAULT_KEY = PanelKey(("country_code",), "year")
@@ -25,8 +27,15 @@ def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, n
 
     numerics -> double (unparsable -> NULL); period -> bigint; entity code
     -> upper(trim); entity name -> trim. A NULL period raises at run time
-    (``on_null_period="raise"``) or the row is dropped (``"drop"``).
+    (``on_null_period="raise"``), or the row is dropped (``"drop"``) or kept
+    (``"keep"``); ``quarantine`` keeps refused rows apart.
     """
+    out = df.select(*_typed(df, spec, key, name_col, on_null_period))
+    return out.where(F.col(key.period).isNotNull()) if on_null_period == "drop" else out
+
+
+def _typed(df: DataFrame, spec: SchemaSpec, key: PanelKey, name_col: str, on_null_period: str) -> list[Column]:
+    """The typed column for each column of ``df``."""
     missing = [c for c in spec.required if c not in df.columns]
     if missing:
         raise ValueError(f"missing required columns: {missing}")
@@ -47,10 +56,50 @@ def apply_schema(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, n
         else:
             e = F.col(c)
         exprs.append(e.alias(c))
-    out = df.select(*exprs)
-    if on_null_period == "drop":
-        out = out.where(F.col(key.period).isNotNull())
-    return out
+    return exprs
+
+
+class Quarantined(NamedTuple):
+    """A typed frame and what was refused: ``rejects`` has a row per refused row, ``reasons`` one per cell found wrong."""
+
+    accepted: DataFrame
+    rejects: DataFrame
+    reasons: DataFrame
+
+
+def quarantine(df: DataFrame, spec: SchemaSpec, key: PanelKey = DEFAULT_KEY, name_col: str = "country", strict: Sequence[str] = ()) -> Quarantined:
+    """``apply_schema`` that keeps what it refuses, split off in the same pass.
+
+    A row without a usable period is refused, and one with an unparsable value
+    in a column of ``strict``; other unparsable numbers become NULL and are
+    reported. ``accepted`` has the typed columns; ``rejects`` (row, source: the
+    row as JSON, n_reasons); ``reasons`` (row, column, value, reason,
+    rejected). Accepted and refused rows together are the rows of ``df``. The
+    source runs once, into the shared scratch folder, when this is called.
+    """
+    number = set(spec.numeric)
+
+    def problem(c: str, typed_value: Column, fatal: bool, what: str, null_too: bool) -> Column:
+        raw = F.col(f"__raw.`{c}`").cast("string")
+        missing = raw.isNull() | (F.lower(F.trim(raw)) == "nan")
+        cell = lambda reason: F.struct(F.lit(c).alias("column"), raw.alias("value"), F.lit(reason).alias("reason"), F.lit(fatal).alias("rejected"))
+        found = F.when(~missing & typed_value.isNull(), cell(what))
+        return F.when(missing, cell("is missing")).otherwise(found) if null_too else found
+
+    checks = [problem(key.period, F.col(f"__typed.`{key.period}`"), True, "not an integer", True)]
+    checks += [problem(c, F.col(f"__typed.`{c}`"), c in strict, "not a number", False) for c in df.columns if c in number]
+    cells = dict(zip(df.columns, _typed(df, spec, key, name_col, "keep")))
+    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(raw.alias("__raw"), F.struct(*[e.alias(c) for c, e in cells.items()]).alias("__typed"))
+    rows = rows.withColumn("__reasons", F.array_compact(F.array(*checks))).withColumn("__refused", F.exists("__reasons", lambda r: r["rejected"]))
+    rows = rows.select(F.monotonically_increasing_id().alias("__row"), "__typed", "__reasons", "__refused", F.when(F.col("__refused"), F.to_json("__raw", {"ignoreNullFields": "false"})).alias("__source"))
+    path = scratch_dir(df.sparkSession, "quarantine")
+    rows.write.partitionBy("__refused").parquet(path)
+    done = df.sparkSession.read.schema(rows.schema).parquet(path)
+    refused = done.where("__refused")
+    return Quarantined(done.where("not __refused").select("__typed.*"),
+                       refused.select(F.col("__row").alias("row"), F.col("__source").alias("source"), F.size("__reasons").alias("n_reasons")),
+                       done.select(F.col("__row").alias("row"), F.explode("__reasons").alias("r")).select("row", "r.*"))
 
 
 # ── W1 ──────────────────────────────────────────────────────────────────────

@@ -153,6 +153,19 @@ def ingest_gate(df: DataFrame, max_null_pct: Mapping[str, float]) -> DataFrame:
     return one.select(F.inline(F.array(*out)))
 
 
+def gate_metrics(cols: Sequence[str]) -> list[Column]:
+    """Aggregates that ``gate_violations`` judges: rows, and NULLs per column."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}") for c in cols]]
+
+
+def gate_violations(metrics: Mapping[str, int], max_null_pct: Mapping[str, float]) -> list[str]:
+    """Columns above their NULL % limit, or not measured; ``__rows`` if there are no rows."""
+    rows = int(metrics["rows"])
+    if not rows:
+        return ["__rows"]
+    return [c for c, limit in max_null_pct.items() if int(metrics.get(f"nulls_{c}", rows)) / rows * 100.0 > limit]
+
+
 def enforce_gate(gate: DataFrame) -> None:
     """Raise on the driver if any gate row failed (the gate frame has one row per column)."""
     bad = [r["column"] for r in gate.where(~F.coalesce("ok", F.lit(False))).select("column").collect()]

@@ -8,23 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepanel.functions.categorize import classify_keyword
-from tidepanel.functions.numeric import to_numeric
+from tidepanel.functions.numeric import safe_ratio, to_numeric
 from tidepanel.functions.text import alias_lookup
 from tidepanel.operators.assemble import pivot_modes, total_if_missing
 from tidepanel.operators.clean import filter_members, filter_period, flag_duplicates, map_code
-from tidepanel.operators.quality import enforce_gate, ingest_gate
 from tidepanel.plans.silver import MODES
-from tidepanel.functions.numeric import safe_ratio
+from tidepanel.sources.sinks import Landed, write_gated
 
 
 # The share of missing values at which a landed source is refused, per dataset.
 GATES = {"co2_emissions": {"co2": 30.0}, "tourism_arrivals": {"tourist_arrivals": 60.0}, "transport_mode": {"tourists_total": 95.0}}
 
 
-def gated(df: DataFrame, dataset: str) -> DataFrame:
-    """``df``, if it passes the gate of its dataset; else an error, before anything is written."""
-    enforce_gate(ingest_gate(df, GATES[dataset]))
-    return df
+def land(df: DataFrame, dataset: str, path: str) -> Landed:
+    """Write a bronze panel, if it passes the gate of its dataset; the source runs once."""
+    return write_gated(df.drop("is_duplicate"), path, GATES[dataset])
 
 
 def _in_window(df: DataFrame, start: int | None, end: int | None) -> DataFrame:

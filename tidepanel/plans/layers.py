@@ -60,8 +60,9 @@ def _digest(*parts: str) -> str:
 
 def _input_version(spark: SparkSession, d: str, table: str) -> str:
     fs, path = file_system(spark, f"{d.rstrip('/')}/{table}.parquet")
-    top = fs.getFileStatus(path)
-    files = [top] if top.isFile() else list(fs.listStatus(path))
+    files, found = [], fs.listFiles(path, True)  # also in folders below, as of a partitioned table
+    while found.hasNext():
+        files.append(found.next())
     return _digest(*sorted(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files))
 
 
@@ -69,13 +70,16 @@ def _stored(spark: SparkSession, folder: str, version: str, build: Callable[[],
     """Path of the table of this version, made if it is not there."""
     done = f"{folder}/{version}"
     fs, path = file_system(spark, done)
-    if not fs.exists(path):
+    # the writer's mark comes last; where a rename is a copy of files, a folder without it is not complete
+    whole = file_system(spark, f"{done}/_SUCCESS")[1]
+    if not fs.exists(whole):
         making = f"{folder}/.making-{uuid.uuid4().hex[:12]}"
         _, temp = file_system(spark, making)
         try:
             write_table(build(), making, sort)
             # another session may have been faster: then its table is the one
-            if not fs.exists(path):
+            if not fs.exists(whole):
+                fs.delete(path, True)
                 fs.rename(temp, path)
         finally:
             fs.delete(temp, True)

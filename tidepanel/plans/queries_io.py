@@ -321,7 +321,9 @@ def q_bronze_transport_roundtrip(spark, d):
     sheet = readers.read_long_indicators(spark, path)
     codes = panels.nation_codes(spark, d)
     wide = bronze.transport_from_sheet(sheet, panels.reporter_aliases(), codes.select("country"), codes)
-    return bronze.gated(wide, "transport_mode").drop("is_duplicate")
+    out = scratch_dir(spark, "bronze_transport")
+    bronze.land(wide, "transport_mode", out)
+    return readers.read_partitioned(spark, out).select(*[c for c in wide.columns if c != "is_duplicate"])
 
 
 
@@ -360,7 +362,7 @@ def q_bronze_co2_from_csv(spark, d):
     codes = panels.nation_codes(spark, d)
     df = bronze.co2_from_wide(readers.read_csv_wide(spark, landing), panels.reporter_aliases(),
                               codes.select("country"), codes, 1996, 2001)
-    sinks.write_bronze_partitioned(bronze.gated(df, "co2_emissions").drop("is_duplicate"), out)
+    bronze.land(df, "co2_emissions", out)
     return readers.read_partitioned(spark, out).select(*CO2_COLS)
 
 
@@ -385,7 +387,7 @@ def q_bronze_tourism_from_json(spark, d):
             F.col(col).alias("value")).write.mode("overwrite").json(path)
         frames.append(readers.read_json_indicator(spark, path, col, members))
     out = scratch_dir(spark, "tourism_bronze")
-    sinks.write_bronze_partitioned(bronze.gated(bronze.tourism_from_indicators(frames), "tourism_arrivals").drop("is_duplicate"), out)
+    bronze.land(bronze.tourism_from_indicators(frames), "tourism_arrivals", out)
     return readers.read_partitioned(spark, out).select("country", "country_code", "year", "tourist_arrivals",
                                                        "tourism_receipts_usd", "tourist_departures")
 

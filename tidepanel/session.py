@@ -88,6 +88,22 @@ def file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files below ``path`` that Spark's readers see (no hidden ones), in order; none if it does not exist."""
+    fs, top = file_system(spark, path)
+    if not fs.exists(top):
+        return []
+    top, out = fs.getFileStatus(top).getPath(), []
+    found = fs.listFiles(top, True)
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        below = name[len(top.toString()):]
+        # folders like year=1997 may begin with anything, files and other folders are hidden by _ or .
+        if below.strip("/") and not any(p.startswith((".", "_")) and "=" not in p for p in below.strip("/").split("/")):
+            out.append(name)
+    return sorted(out) or ([top.toString()] if fs.getFileStatus(top).isFile() else [])
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the scratch folders of this process. DataFrames that read them can no longer be used."""
     n = 0

@@ -8,14 +8,18 @@ columns are read.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepanel.functions.numeric import to_numeric
 from tidepanel.functions.text import alias_lookup
+from tidepanel.session import data_files
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -40,16 +44,65 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | str
 def read_tree(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """IO2: all Parquet files below one or more folders, unioned by column name.
 
-    Files of one folder are merged with ``mergeSchema``; separate folders
-    (different sources) are combined with ``unionByName(allowMissingColumns)``
-    so absent columns become NULL.
+    Columns absent from a file are NULL. Files whose schemas merge are one
+    scan. Where files type a column differently, those of one schema are
+    scanned with it and the column is widened: integers to the larger one,
+    numbers to double, all else to string.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    frames = [spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(p)
-              for p in paths]
+    groups = [g for p in paths for g in _alike(spark, [p])]
+    columns: dict[str, list[T.DataType]] = {}
+    for schema, _ in groups:
+        for f in schema.fields:
+            columns.setdefault(f.name, []).append(f.dataType)
+    wide = {c: reduce(wider, types) for c, types in columns.items()}
+    frames = [_below(spark, files, schema).select(*[F.col(f"`{f.name}`").cast(wide[f.name]).alias(f.name) for f in schema.fields]) for schema, files in groups]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _below(spark: SparkSession, files: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    r = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    return (r.schema(schema) if schema is not None else r).parquet(*files)
+
+
+def _alike(spark: SparkSession, paths: list[str], few: int = 64) -> list[tuple[T.StructType, list[str]]]:
+    """(schema, files) of groups whose schemas merge. Footers are read by Spark's own merge, of halves where it fails."""
+    try:
+        return [(_below(spark, paths).schema, paths)]
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    files = [f for p in paths for f in data_files(spark, p) if f.endswith(".parquet")]
+    if len(files) > few:
+        found = [g for half in (files[:len(files) // 2], files[len(files) // 2:]) for g in _alike(spark, half, few)]
+    else:
+        with ThreadPoolExecutor(8) as pool:
+            found = list(zip(pool.map(lambda f: _below(spark, [f]).schema, files), [[f] for f in files]))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, own in found:
+        groups.setdefault(schema.simpleString(), (schema, []))[1].extend(own)
+    return list(groups.values())
+
+
+_WHOLE = ["tinyint", "smallint", "int", "bigint"]
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both."""
+    x, y = a.simpleString(), b.simpleString()
+    if x == y:
+        return a
+    if x in _WHOLE and y in _WHOLE:
+        return max(a, b, key=lambda t: _WHOLE.index(t.simpleString()))
+    number = lambda t: t in _WHOLE or t in ("float", "double") or t.startswith("decimal")
+    return T.DoubleType() if number(x) and number(y) else T.StringType()
+
+
+def file_schemas(spark: SparkSession, path: str) -> list[tuple[T.StructType, list[str]]]:
+    """The schemas of the Parquet files below ``path``, without partition columns: groups of files whose schemas merge."""
+    return _alike(spark, [path])
+
+
 def read_single(spark: SparkSession, path: str, period: str = "year") -> DataFrame:
     """IO3: one Parquet table; the period coerced to a nullable bigint."""
     df = spark.read.parquet(path)

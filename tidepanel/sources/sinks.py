@@ -8,30 +8,94 @@ a large share of the data into several files while merging small ones.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidepanel.functions.numeric import np_round
-from tidepanel.operators.quality import null_profile
+from tidepanel.operators.quality import gate_metrics, gate_violations, null_profile
+from tidepanel.session import data_files, file_system
+
+
+def _laid_out(df: DataFrame, keys: list[str], sort_cols: Sequence[str]) -> DataFrame:
+    sort = [c for c in sort_cols if c in df.columns and c not in keys]
+    # the writer wants rows in the order of its folders and sorts anew, losing ours, unless that comes first
+    return df.sortWithinPartitions(*keys, *sort) if sort else df
 
 
 def write_bronze_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] = ("year",),
-                             sort_cols: Sequence[str] = ("country_code",), mode: str = "overwrite") -> None:
-    """IO8: Hive-partitioned Snappy Parquet, replacing only the partitions present.
+                             sort_cols: Sequence[str] = ("country_code",), mode: str = "overwrite") -> int:
+    """IO8: Hive-partitioned Snappy Parquet, replacing only the partitions present. Returns the number of files written.
 
     Default layout is ``year=`` with rows sorted by entity inside the files
     (entity × year directories make tiny files at scale).
     """
-    keys = list(partition_cols)
-    out = df.hint("rebalance", *keys)
-    sort = [c for c in sort_cols if c in df.columns and c not in keys]
-    if sort:
-        # the writer wants rows in the order of its folders and sorts anew, losing ours, unless that comes first
-        out = out.sortWithinPartitions(*keys, *sort)
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-     .partitionBy(*keys).parquet(path))
+    keys, spark = list(partition_cols), df.sparkSession
+    before = set(data_files(spark, path))
+    (_laid_out(df.hint("rebalance", *keys), keys, sort_cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .option("compression", "snappy").partitionBy(*keys).parquet(path))
+    return sum(f not in before for f in data_files(spark, path))  # a writer's file names are its own
+
+
+@dataclass(frozen=True)
+class Landed:
+    """What a gated write has done."""
+
+    rows: int
+    files: int
+    partitions: int
+
+
+class GateError(ValueError):
+    """A source that its gate refused; ``failed`` names its columns."""
+
+    def __init__(self, failed: list[str]):
+        super().__init__(f"ingest gate failed for: {failed}")
+        self.failed = failed
+
+
+def write_gated(df: DataFrame, path: str, max_null_pct: Mapping[str, float], partition_cols: Sequence[str] = ("year",),
+                sort_cols: Sequence[str] = ("country_code",)) -> Landed:
+    """DQ11 + IO8: judge ``df`` while it is written; what the gate refuses leaves nothing behind.
+
+    The source runs once: rows and NULLs are counted by the write itself, into
+    a hidden folder inside ``path`` that readers pass over. If all columns of
+    ``max_null_pct`` are there and below their limits, and there are rows, the
+    new partition folders replace those of the same keys, one rename each;
+    else the folder is removed and ``GateError`` raised. (Renames are atomic
+    on HDFS, not on object stores, where a reader may see a partition in
+    between.) Counts are taken behind the last shuffle, where the rows of a
+    repeated task count once.
+    """
+    keys, spark = list(partition_cols), df.sparkSession
+    absent = [c for c in max_null_pct if c not in df.columns]
+    if absent:
+        raise GateError(absent)
+    seen = Observation()
+    staged = f"{path.rstrip('/')}/.landing-{uuid.uuid4().hex[:12]}"
+    fs, folder = file_system(spark, staged)
+    try:
+        counted = df.hint("rebalance", *keys).observe(seen, *gate_metrics(list(max_null_pct)))
+        _laid_out(counted, keys, sort_cols).write.option("compression", "snappy").partitionBy(*keys).parquet(staged)
+        metrics = seen.get
+        failed = gate_violations(metrics, max_null_pct)
+        if failed:
+            raise GateError(failed)
+        files = data_files(spark, staged)
+        parts = sorted({f.rsplit("/", 1)[0] for f in files})
+        for part in parts:
+            _, own = file_system(spark, part)
+            _, target = file_system(spark, f"{path.rstrip('/')}/{part.split(staged.rsplit('/', 1)[1] + '/', 1)[1]}")
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(own, target):
+                raise OSError(f"cannot move {part} to its place")
+        return Landed(int(metrics["rows"]), len(files), len(parts))
+    finally:
+        fs.delete(folder, True)
 
 
 def write_table(df: DataFrame, path: str, sort_cols: Sequence[str] = ()) -> None:

@@ -17,20 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidepanel.operators.quality import gate_metrics, gate_violations
+from tidepanel.session import file_system
+
 
 class IngestResult(NamedTuple):
     rows: int
     violations: list  # [(batch_id, [column, ...]), ...]
 
 
-def gate_violations(metrics: Mapping[str, int], max_null_pct: Mapping[str, float]) -> list[str]:
-    """Columns whose NULL share in ``metrics`` exceeds the limit or that it lacks ("__rows" when empty)."""
-    rows = int(metrics.get("rows", 0))
-    if rows == 0:
-        return ["__rows"]
-    return [c for c, lim in max_null_pct.items() if int(metrics.get(f"nulls_{c}", rows)) / rows * 100.0 > lim]
-
-
 def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType | str, bronze_path: str,
                   checkpoint: str, fmt: str = "csv", transform: Callable[[DataFrame], DataFrame] | None = None,
                   partition_cols: Sequence[str] = ("year",), max_files_per_trigger: int | None = None,
@@ -59,11 +54,14 @@ def ingest_landed(spark: SparkSession, landing_dir: str, schema: T.StructType |
         batch.write.mode("overwrite").parquet(staged)
         rows = spark.read.schema(batch.schema).parquet(staged)
         cols = [c for c in gate or {} if c in batch.columns]
-        metrics = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{c}") for c in cols]).first().asDict()
+        metrics = rows.agg(*gate_metrics(cols)).first().asDict()
         bad = gate_violations(metrics, gate) if gate and metrics["rows"] else []
         if metrics["rows"] and not bad:
             (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id", *partition_cols).parquet(bronze_path))
+        if not bad:  # a batch that fails stays, to be looked at
+            fs, folder = file_system(spark, staged)
+            fs.delete(folder, True)
         results.append((batch_id, metrics["rows"], bad))
 
     out.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(commit).start().awaitTermination()
