@@ -9,6 +9,7 @@ data that was written.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -312,6 +313,51 @@ def q_register_tables(spark, d):
                      "JOIN g_dim d ON f.country_code = d.country_code")
 
 
+@register("read_tree_mixed_types", with_ctes("""
+select country_code, year, case when year % 3 = 0 then floor(co2) else co2 end as co2,
+       case when year % 3 = 2 then cast(population as bigint) end as population from panel_co2""", "panel_co2"))
+def q_read_tree_mixed_types(spark, d):
+    """IO2 over files that type a column differently: int and bigint, bigint and double, a column that only some have."""
+    base, p = scratch_dir(spark, "mixed"), panels.panel_co2(spark, d)
+    own = lambda k: p.where(F.col("year") % 3 == k)
+    own(0).select("country_code", F.col("year").cast("int").alias("year"), F.floor("co2").alias("co2")).write.parquet(f"{base}/a")
+    own(1).select("country_code", "year", "co2").write.parquet(f"{base}/b/c")
+    own(2).select("country_code", "year", "co2", F.col("population").cast("bigint").alias("population")).write.parquet(f"{base}/d")
+    return readers.read_tree(spark, base)
+
+
+@register("quarantine", with_ctes("""
+select 'year' as "column", case when year % 7 = 0 then 'not an integer' else 'is missing' end as reason, true as rejected, count(*) as n_rows
+from panel_co2 where year % 7 in (0, 1) group by 1, 2, 3
+union all select 'co2', 'not a number', false, count(*) from panel_co2 where year % 5 = 0
+union all select 'accepted', null, false, count(*) from panel_co2 where year % 7 not in (0, 1)
+union all select 'rejects', null, true, count(*) from panel_co2 where year % 7 in (0, 1)""", "panel_co2"))
+def q_quarantine(spark, d):
+    """PF7 with refused rows kept: why rows or cells were refused, and that all rows are on one side."""
+    from tidepanel.operators.clean import quarantine
+    from tidepanel.spec import CO2_SPEC
+
+    year, text = F.col("year"), F.col("year").cast("string")
+    raw = panels.panel_co2(spark, d).select("country", "country_code", F.when(year % 7 == 0, F.concat(text, F.lit("-ish"))).when(year % 7 != 1, text).alias("year"),
+                                            F.when(year % 5 == 0, "n/a").otherwise(F.col("co2").cast("string")).alias("co2"), "gdp")
+    got = quarantine(raw, CO2_SPEC)
+    side = lambda df, name, refused: df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("column"), F.lit(None).cast("string").alias("reason"), F.lit(refused).alias("rejected"), "n_rows")
+    why = got.reasons.groupBy("column", "reason", "rejected").agg(F.count(F.lit(1)).alias("n_rows"))
+    return why.unionByName(side(got.accepted, "accepted", False)).unionByName(side(got.rejects, "rejects", True))
+
+
+@register("catalog_update", with_ctes("""
+select country_code, year, case when year < 1996 then floor(co2) else co2 end as co2, case when year >= 1996 then population end as population from panel_co2""", "panel_co2"))
+def q_catalog_update(spark, d):
+    """IO14: a registered table gets wider and new columns and new partitions without being dropped."""
+    path, p, name = scratch_dir(spark, "catalog"), panels.panel_co2(spark, d), "grown_" + uuid.uuid4().hex[:8]
+    p.where("year < 1996").select("country_code", F.floor("co2").cast("int").alias("co2"), "year").write.partitionBy("year").parquet(path)
+    catalog.register_tables(spark, {name: path}, database="default")
+    p.where("year >= 1996").select("country_code", "co2", "population", "year").write.mode("append").partitionBy("year").parquet(path)
+    catalog.register_tables(spark, {name: path}, database="default")
+    return spark.table(f"default.{name}").select("country_code", F.col("year").cast("bigint").alias("year"), "co2", "population")
+
+
 @register("bronze_transport_roundtrip", with_ctes("select * from bronze_transport_wide", "bronze_transport_wide"))
 def q_bronze_transport_roundtrip(spark, d):
     """C6 end to end: sheet landed as CSV -> read -> bronze chain."""
