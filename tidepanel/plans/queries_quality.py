@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidepanel.operators import quality
+from tidepanel.operators import profile, quality
 from tidepanel.operators.outliers import iqr_outliers
 from tidepanel.plans import layers, panels
 from tidepanel.plans.oracle import rnd, with_ctes
@@ -449,3 +449,56 @@ def q_iqr_outliers_by_region(spark, d):
     from tidepanel.operators.outliers import iqr_outliers_by
     j = s_co2(spark, d).join(panels.dim_country(spark, d).select("country_code", "region"), "country_code")
     return iqr_outliers_by(j, "region", "co2", 1.5, digits=6)
+
+
+_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey", "l_returnflag"]
+
+
+def _line_by_year(spark, d):
+    return panels.table(spark, d, "lineitem").select(*_LINE, "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("ship_year"))
+
+
+def _exact_columns(numbers, texts):
+    n = lambda c: f"select '{c}' as \"column\", count(*) as n_rows, count(*) - count({c}) as n_nulls, cast(min({c}) as double) as least_number, cast(max({c}) as double) as most_number, count(distinct {c}) as exact from lineitem"
+    t = lambda c: f"select '{c}', count(*), count(*) - count({c}), null, null, count(distinct {c}) from lineitem"
+    return " union all ".join([*map(n, numbers), *map(t, texts)])
+
+
+@register("profile_merged", f"""
+select "column", n_rows, n_nulls, least_number, most_number, exact as n_distinct_exact, true as distinct_near, "column" <> 'l_returnflag' as quartiles_near
+from ({_exact_columns(_LINE[:4], _LINE[4:])})""")
+def q_profile_merged(spark, d):
+    """A6 / DQ2 / DQ13 from stored sketches, a profile row per ship year and column merged: within their error of the exact values."""
+    base = scratch_dir(spark, "profiled")
+    _line_by_year(spark, d).write.partitionBy("ship_year").parquet(f"{base}/t")
+    profile.refresh_profile(spark, f"{base}/t", f"{base}/p", _LINE, "ship_year")
+    done = profile.refresh_profile(spark, f"{base}/t", f"{base}/p", _LINE, "ship_year")
+    if done.read:
+        raise AssertionError(f"read again: {done.read}")
+    m = profile.merged_profile(done.profile)
+    rows = panels.table(spark, d, "lineitem")
+    exact = rows.agg(*[F.countDistinct(c).alias(f"d{i}") for i, c in enumerate(_LINE)]).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("n_distinct_exact")) for i, c in enumerate(_LINE)])))
+    est = {r["column"]: r for r in m.select("column", "q_0", "q_2").collect()}  # a row per column
+    up = lambda c, q: F.avg((F.col(c).cast("double") <= F.lit(est[c][q])).cast("double")).alias(f"up_{q}")
+    low = lambda c, q: F.avg((F.col(c).cast("double") < F.lit(est[c][q])).cast("double")).alias(f"low_{q}")
+    ranks = rows.agg(*[F.struct(*[f(c, q) for q in ("q_0", "q_2") for f in (up, low)]).alias(f"r_{i}") for i, c in enumerate(_LINE[:4])])
+    near = lambda r: ((r["low_q_0"] <= 0.25 + 3 * profile.RANK_ERROR) & (r["up_q_0"] >= 0.25 - 3 * profile.RANK_ERROR) & (r["low_q_2"] <= 0.75 + 3 * profile.RANK_ERROR) & (r["up_q_2"] >= 0.75 - 3 * profile.RANK_ERROR))
+    quartiles = ranks.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), near(F.col(f"r_{i}")).alias("quartiles_near")) for i, c in enumerate(_LINE[:4])])))
+    return (m.join(exact, "column").join(quartiles, "column", "left")
+            .select("column", "n_rows", "n_nulls", "least_number", "most_number", "n_distinct_exact",
+                    (F.abs(F.col("n_distinct") - F.col("n_distinct_exact")) <= 1 + 4 * profile.DISTINCT_ERROR * F.col("n_distinct_exact")).alias("distinct_near"), F.coalesce("quartiles_near", F.lit(False)).alias("quartiles_near")))
+
+
+@register("profile_refresh", """
+select cast(year(l_shipdate) as varchar) as partition, year(l_shipdate) = 1995 as read_again, case when year(l_shipdate) = 1995 then 2 else 1 end * count(*) as n_rows
+from lineitem group by 1, 2, year(l_shipdate)""")
+def q_profile_refresh(spark, d):
+    """After one ship year got its rows a second time, the profile is up to date and only that year was read."""
+    base = scratch_dir(spark, "refreshed")
+    rows = _line_by_year(spark, d)
+    rows.write.partitionBy("ship_year").parquet(f"{base}/t")
+    profile.refresh_profile(spark, f"{base}/t", f"{base}/p", ["l_quantity"], "ship_year")
+    rows.where("ship_year = 1995").write.mode("append").partitionBy("ship_year").parquet(f"{base}/t")
+    done = profile.refresh_profile(spark, f"{base}/t", f"{base}/p", ["l_quantity"], "ship_year")
+    by_part = done.profile.select(F.element_at(F.split(F.input_file_name(), "/"), -2).alias("of"), "n_rows").select(F.element_at(F.split("of", "-"), -1).alias("partition"), "n_rows")
+    return by_part.select("partition", F.col("partition").isin(done.read).alias("read_again"), "n_rows")
