@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.operators import profile as P
-from tidepanel.session import data_files
+from tidepanel.operators.deltas import stored_parts
 
 SCHEMA = "year bigint, k string, v double, n int, nothing double"
 
@@ -52,7 +52,7 @@ def test_a_refresh_reads_changed_partitions_only(spark, stored):
     assert second.read == ["2002"] and (got["v"].n_rows, got["v"].most_number, got["k"].most) == (20_001, 1e6, "new")
     spark.createDataFrame([("x", 1.0, 1, None)], "k string, v double, n int, nothing double").write.parquet(f"{path}/year=2010")
     assert P.refresh_profile(spark, path, store, COLS).read == ["2010"]
-    assert len([f for f in data_files(spark, store) if f.endswith(".parquet")]) == 6  # old versions are gone
+    assert len(stored_parts(spark, store)) == 6  # old versions are gone
     exact = merged(P.partial_profile(spark.read.parquet(path), COLS))
     again = merged(P.refresh_profile(spark, path, store, COLS).profile)
     assert {c: (r.n_rows, r.n_nulls, r.least, r.most_number) for c, r in again.items()} == {c: (r.n_rows, r.n_nulls, r.least, r.most_number) for c, r in exact.items()}

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions.numeric import to_numeric
-from tidepanel.session import data_files, file_system
+from tidepanel.operators.deltas import OF, add_parts, drop_parts, stored_parts
+from tidepanel.session import file_system
 
 LG_K, QUANTILES_K = 12, 800
 DISTINCT_ERROR, RANK_ERROR = 1.04 / 2 ** (LG_K / 2), 0.005
@@ -94,21 +95,17 @@ def refresh_profile(spark: SparkSession, path: str, store: str, cols: Sequence[s
     """
     now = _versions(spark, path, by)
     wanted = {f"{digest}-{_flat(v)}": v for v, digest in now.items()}
-    there = {f.rsplit("/", 2)[-2].split("=", 1)[1]: f.rsplit("/", 1)[0] for f in data_files(spark, store) if "/of=" in f}
+    there = stored_parts(spark, store)
     stale = {name: v for name, v in sorted(wanted.items(), key=lambda x: x[1]) if name not in there}
     if stale:
         # several folders at once, each read with its value: the scan has these files only
         rows = spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{by}={v}" for v in stale.values()])
         fresh = partial_profile(rows, cols, [by])
-        names = spark.createDataFrame([(None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v), name) for name, v in stale.items()], "v string, of string")
-        fresh = fresh.join(names, F.col(by).cast("string").eqNullSafe(F.col("v"))).drop(by, "v")
-        # a partition's rows are together after the aggregate, so its folder has one file or none
-        fresh.write.mode("append").partitionBy("of").parquet(store)
-    for name, folder in there.items():
-        if name not in wanted:
-            fs, old = file_system(spark, folder)
-            fs.delete(old, True)
-    kept = [f"{store.rstrip('/')}/of={name}" for name in sorted(wanted)]
+        names = spark.createDataFrame([(None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v), name) for name, v in stale.items()], f"v string, {OF} string")
+        add_parts(fresh.join(names, F.col(by).cast("string").eqNullSafe(F.col("v"))).drop(by, "v"), store)
+    there = stored_parts(spark, store)
+    drop_parts(spark, [f for name, f in there.items() if name not in wanted])
+    kept = [f for name, f in sorted(there.items()) if name in wanted]
     return Refreshed(spark.read.schema(PROFILE).parquet(*kept) if kept else spark.createDataFrame([], PROFILE), list(stale.values()))
 
 

@@ -16,10 +16,12 @@ import hashlib
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepanel.operators.deltas import merged, refresh_deltas
 from tidepanel.plans import gold, panels, silver
 from tidepanel.session import file_system, scratch_dir
 from tidepanel.sources.sinks import write_table
@@ -86,6 +88,19 @@ def _stored(spark: SparkSession, folder: str, version: str, build: Callable[[],
     return done
 
 
+def _once(make: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+    """``make``, run by the first of several threads that ask."""
+    lock, made = Lock(), []
+
+    def get() -> DataFrame:
+        with lock:
+            if not made:
+                made.append(make())
+            return made[0]
+
+    return get
+
+
 def lake(spark: SparkSession, d: str, base: str | None = None) -> dict[str, str]:
     """Paths of the stored tables for the inputs in ``d``, made where they are missing or out of date."""
     base = (base or store_dir(spark)).rstrip("/")
@@ -96,21 +111,24 @@ def lake(spark: SparkSession, d: str, base: str | None = None) -> dict[str, str]
         b = _stored(spark, f"{base}/bronze/{name}", version, lambda: bronze().withColumn(ROW, F.monotonically_increasing_id()))
         return {"bronze": b, "silver": _stored(spark, f"{base}/silver/{name}", _digest(version), lambda: to_silver(read(b), ROW))}
 
+    def added(name: str, as_name: str, partial, by: list[str], sums: list[str]) -> DataFrame:
+        """An aggregate of a raw table from its files' deltas: only files that are new are read."""
+        return merged(refresh_deltas(spark, f"{d.rstrip('/')}/{name}.parquet", f"{base}/deltas/{as_name}", partial).rows, by, sums)
+
     def supplier_side() -> dict[str, str]:
         # one lineitem scan feeds both supplier-side panels
-        by_line = _digest(v["lineitem"])
-        lines = _stored(spark, f"{base}/bronze/line_supplier_year_flag", by_line, lambda: panels.line_supplier_agg(spark, d), ())
-        version = _digest(by_line, v["supplier"], v["nation"])
+        version = _digest(_digest(v["lineitem"]), v["supplier"], v["nation"])
+        lines = _once(lambda: added("lineitem", "line_supplier_year_flag", panels.lines_agg, panels.LINES_BY, panels.LINES_SUMS))
         with ThreadPoolExecutor(2) as pool:
             t, m = pool.map(lambda f: f(), [
-                lambda: layer("tourism_arrivals", version, lambda: panels.panel_tourism(spark, d, read(lines)), silver.silver_tourism),
-                lambda: layer("transport_mode", version, lambda: silver.bronze_transport_wide(panels.panel_transport_long(spark, d, read(lines))), silver.silver_transport)])
-        return {"line_agg": lines, "bronze_tourism": t["bronze"], "silver_tourism": t["silver"], "bronze_transport": m["bronze"], "silver_transport": m["silver"]}
+                lambda: layer("tourism_arrivals", version, lambda: panels.panel_tourism(spark, d, lines()), silver.silver_tourism),
+                lambda: layer("transport_mode", version, lambda: silver.bronze_transport_wide(panels.panel_transport_long(spark, d, lines())), silver.silver_transport)])
+        return {"bronze_tourism": t["bronze"], "silver_tourism": t["silver"], "bronze_transport": m["bronze"], "silver_transport": m["silver"]}
 
     # independent branches run as concurrent Spark jobs (the scheduler shares the executors)
     with ThreadPoolExecutor(3) as pool:
         co2, sides, dim = pool.map(lambda f: f(), [
-            lambda: layer("co2_emissions", _digest(v["orders"], v["customer"], v["nation"]), lambda: panels.panel_co2(spark, d), silver.silver_co2),
+            lambda: layer("co2_emissions", _digest(v["orders"], v["customer"], v["nation"]), lambda: panels.panel_co2(spark, d, added("orders", "orders_customer_year", panels.orders_customer_agg, panels.ORDERS_BY, panels.ORDERS_SUMS)), silver.silver_co2),
             supplier_side,
             lambda: _stored(spark, f"{base}/gold/dim_country", _digest(v["nation"], v["region"]), lambda: panels.dim_country(spark, d), ["country_code"])])
     paths = {"bronze_co2": co2["bronze"], "silver_co2": co2["silver"], **sides, "dim": dim}

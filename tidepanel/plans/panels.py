@@ -36,14 +36,22 @@ def _nation(spark, sf_dir):
     )
 
 
-def panel_co2(spark: SparkSession, sf_dir: str) -> DataFrame:
+ORDERS_BY, ORDERS_SUMS = ["o_custkey", "y"], ["amt"]
+LINES_BY, LINES_SUMS = ["l_suppkey", "y", "l_returnflag"], ["qty", "amt", "n"]
+
+
+def orders_customer_agg(orders: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Orders pre-aggregated to (customer, order year); with ``by`` also per those columns."""
+    return orders.groupBy(*(by or []), "o_custkey", F.year("o_orderdate").alias("y")).agg(_dec_sum("o_totalprice").alias("amt"))
+
+
+def panel_co2(spark: SparkSession, sf_dir: str, orders_agg: DataFrame | None = None) -> DataFrame:
     """nation × order year: co2 = order value / 1e6, gdp = value × 10, population = distinct customers.
 
     Orders are aggregated per customer and year before they meet their
     customer; the plan does not depend on the years there are.
     """
-    orders = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("y"), "o_totalprice")
-    per = orders.groupBy("o_custkey", "y").agg(_dec_sum("o_totalprice").alias("amt"))
+    per = orders_agg if orders_agg is not None else orders_customer_agg(table(spark, sf_dir, "orders"))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = per.where(F.col("y").isNotNull()).join(cust, per.o_custkey == cust.c_custkey).join(_nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
     g = j.groupBy("country", "country_code", "n_nationkey", "y").agg(
@@ -64,8 +72,12 @@ def line_supplier_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     Both supplier-side panels derive from this one aggregate (sums and counts
     decompose exactly), so a pipeline that materializes it scans lineitem once.
     """
-    li = table(spark, sf_dir, "lineitem")
-    return li.groupBy("l_suppkey", F.year("l_shipdate").alias("y"), "l_returnflag").agg(
+    return lines_agg(table(spark, sf_dir, "lineitem"))
+
+
+def lines_agg(lines: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``line_supplier_agg`` of these rows; with ``by`` also per those columns."""
+    return lines.groupBy(*(by or []), "l_suppkey", F.year("l_shipdate").alias("y"), "l_returnflag").agg(
         F.sum("l_quantity").alias("qty"), _dec_sum("l_extendedprice").alias("amt"), F.count(F.lit(1)).alias("n"))
 
 
