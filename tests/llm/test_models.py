@@ -168,3 +168,17 @@ def test_rising_sequence_and_successors():
         assert (r.values() == v).all()
         wanted = np.sort(np.concatenate([v, v + np.uint64(1), rng.integers(0, 1 << 61, 50).astype(np.uint64)]))
         assert (r.successor(wanted) == np.searchsorted(v, wanted)).all()
+
+
+def test_rising_values_and_bounded_search_against_plain_lists():
+    rng = np.random.default_rng(6)
+    for n, most in ((1, 1 << 55), (63, 10), (64, 500), (5000, 300), (5000, 1 << 50), (20_000, 20_100)):
+        v = np.sort(rng.integers(0, most + 1, n).astype(np.uint64))
+        r = lm.Rising.of(v)
+        places = rng.integers(0, n, 500)
+        assert (r.at(places) == v[places]).all() and (r.values() == v).all()
+        first = rng.integers(0, n + 1, 500)
+        last = np.minimum(n, first + rng.integers(0, 40, 500))
+        wanted = np.where(rng.random(500) < 0.5, v[np.minimum(first, n - 1)] + rng.integers(0, 3, 500).astype(np.uint64), rng.integers(0, most + 2, 500).astype(np.uint64)).astype(np.uint64)
+        want = [next((i for i in range(a, b) if v[i] >= w), b) for w, a, b in zip(wanted.tolist(), first.tolist(), last.tolist())]
+        assert r.successor(wanted, first, last).tolist() == want

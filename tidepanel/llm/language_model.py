@@ -6,8 +6,10 @@ count and the sorted range of its successors. Pointers to the ranges and the
 successors (relative to their context, so that all of a part are one rising
 sequence) are Elias-Fano coded; the discounted log probabilities are 8-bit
 codes into a table of the part. Levels are written to a file that is mapped
-into memory; a query is a successor search for (context, word) in the part's
-whole sequence, the pointers give the number of distinct successors.
+into memory (a local one of the task, some 10 bytes for each distinct pair of
+a part, so at most about its share of the text); a query reads the range of
+its context from the pointers and searches its successors there, on the packed
+bits. The pointers also give the number of distinct successors.
 
 Probabilities. Seen after a context: (c(context, word) - D) / c(context). Not
 seen: D * distinct successors / c(context) times the word's own probability,
@@ -48,11 +50,28 @@ def _mark(name: bytes) -> int:
     return xxhash.xxh64_intdigest(b"\n" + name, 42)  # no word holds a line feed
 
 
+def _nth_one(words: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Place of the ``r``-th set bit (from 0) of each word: by halves, the lower first."""
+    place, r = np.zeros(len(words), dtype=np.uint64), r.astype(np.int64)
+    for width in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count((words >> place) & np.uint64((1 << width) - 1)).astype(np.int64)
+        beyond = r >= below
+        r -= np.where(beyond, below, 0)
+        place += np.where(beyond, np.uint64(width), np.uint64(0))
+    return place.astype(np.int64)
+
+
 class Rising:
-    """A rising sequence of unsigned integers, Elias-Fano coded: low bits packed, high bits in unary."""
+    """A rising sequence of unsigned integers, Elias-Fano coded: low bits packed, high bits in unary.
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
-        self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
+    The unary bits stay packed. A directory has the number of ones before each
+    64-bit word, so the i-th one, and with it a value, is found by a search in
+    the directory and by halving one word; likewise the i-th zero, which ends
+    the values with one high part.
+    """
+
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, words: np.ndarray, ones: np.ndarray):
+        self.n, self.low_bits, self.low, self.words, self.ones = n, low_bits, low, words, ones
 
     @classmethod
     def of(cls, values: np.ndarray) -> Rising:
@@ -62,39 +81,52 @@ class Rising:
         width = (bits + 7) // 8  # low parts are stored in whole bytes
         bits = min(8 * width, 56)
         low = (values & np.uint64((1 << bits) - 1)).astype("<u8").view(np.uint8).reshape(n, 8)[:, :width].copy()
-        unary = np.zeros(n + (most >> bits) + 1, dtype=np.uint8)
+        unary = np.zeros(-(-(n + (most >> bits) + 1) // 64) * 64, dtype=np.uint8)
         unary[(values >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = 1
-        return cls(n, bits, low, np.packbits(unary))
+        words = np.packbits(unary, bitorder="little").view("<u8")
+        return cls(n, bits, low, words, np.concatenate([[0], np.cumsum(np.bitwise_count(words), dtype=np.int64)])[:-1].astype(np.uint32))
+
+    def _one(self, i: np.ndarray) -> np.ndarray:
+        """Place of the i-th one."""
+        word = np.searchsorted(self.ones, i, side="right") - 1
+        return 64 * word + _nth_one(self.words[word], i - self.ones[word])
 
-    def _highs(self) -> np.ndarray:
-        return np.flatnonzero(np.unpackbits(self.high))[:self.n] - np.arange(self.n)
+    def _ones_before_zero(self, i: np.ndarray) -> np.ndarray:
+        """Number of ones before the i-th zero: of values whose high part is at most i."""
+        zeros = 64 * np.arange(len(self.ones), dtype=np.int64) - self.ones
+        word = np.searchsorted(zeros, i, side="right") - 1
+        return np.where(i < 64 * len(self.words) - self.n, 64 * word + _nth_one(~self.words[word], np.minimum(i - zeros[word], 63)) - i, self.n)
+
+    def _low(self, places: np.ndarray) -> np.ndarray:
+        wide = np.zeros((len(places), 8), dtype=np.uint8)
+        wide[:, :self.low.shape[1]] = self.low[places]
+        return wide.view("<u8").reshape(-1)
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return ((self._one(places) - places).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(places)
 
     def values(self) -> np.ndarray:
-        wide = np.zeros((self.n, 8), dtype=np.uint8)
-        wide[:, :self.low.shape[1]] = self.low
-        return (self._highs().astype(np.uint64) << np.uint64(self.low_bits)) | wide.view("<u8").reshape(-1)
+        """All, decoded in one go."""
+        highs = np.flatnonzero(np.unpackbits(np.ascontiguousarray(self.words).view(np.uint8), bitorder="little"))[:self.n] - np.arange(self.n)
+        return (highs.astype(np.uint64) << np.uint64(self.low_bits)) | self._low(np.arange(self.n))
 
-    def successor(self, wanted: np.ndarray) -> np.ndarray:
-        """Place of the first value at or above each of ``wanted`` (n if there is none)."""
-        highs = self._highs()
+    def successor(self, wanted: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | None = None) -> np.ndarray:
+        """Place of the first value at or above each of ``wanted``, among the places from ``first`` up to ``last`` (which it is if there is none)."""
+        last = np.full(len(wanted), self.n) if last is None else last
         h = (wanted >> np.uint64(self.low_bits)).astype(np.int64)
-        start, stop = np.searchsorted(highs, h, "left"), np.searchsorted(highs, h, "right")
-        want = (wanted & np.uint64((1 << self.low_bits) - 1)).astype(np.uint64)
-        width = self.low.shape[1]
+        start = np.where(h > 0, self._ones_before_zero(np.maximum(h, 1) - 1), 0) if self.n else np.zeros(len(h), dtype=np.int64)
+        stop = self._ones_before_zero(h) if self.n else start.copy()
+        start, stop = np.clip(start, first, last), np.clip(stop, first, last)
+        want = wanted & np.uint64((1 << self.low_bits) - 1)
         while True:  # binary search among the values with that high part, for all of ``wanted`` at once
             live = np.flatnonzero(start < stop)
             if not len(live):
                 return start
             mid = (start[live] + stop[live]) // 2
-            wide = np.zeros((len(live), 8), dtype=np.uint8)
-            wide[:, :width] = self.low[mid]
-            less = wide.view("<u8").reshape(-1) < want[live]
+            less = self._low(mid) < want[live]
             start[live] = np.where(less, mid + 1, start[live])
             stop[live] = np.where(less, stop[live], mid)
 
-    def at(self, places: np.ndarray) -> np.ndarray:
-        return self.values()[places]
-
 
 class Trie:
     """Contexts (hash, count) and their successors with quantised log10(count - D), in mapped memory."""
@@ -107,7 +139,7 @@ class Trie:
         codes = np.clip(np.searchsorted((self.table[1:] + self.table[:-1]) / 2, log), 0, 255).astype(np.uint8) if len(log) else np.zeros(0, np.uint8)
         successors = Rising.of((owner.astype(np.uint64) << np.uint64(40)) | keys)
         pointers = Rising.of(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(contexts)))]))
-        levels = [contexts, counts, codes, successors.low, successors.high, pointers.low, pointers.high]
+        levels = [contexts, counts, codes, successors.low, successors.words, successors.ones, pointers.low, pointers.words, pointers.ones]
         with tempfile.TemporaryFile() as f:  # unlinked: gone with the task, whatever ends it
             places = []
             for x in levels:
@@ -115,21 +147,23 @@ class Trie:
                 f.write(np.ascontiguousarray(x).tobytes() or b"\0")
                 f.write(b"\0" * (-f.tell() % 8))
             f.flush()
-            self.contexts, self.counts, self.codes, sl, sh, pl, ph = (
+            self.contexts, self.counts, self.codes, sl, sw, so, pl, pw, po = (
                 np.memmap(f, dtype=x.dtype, mode="r", offset=at, shape=x.shape) if x.size else x for x, at in zip(levels, places))
-        self.successors = Rising(successors.n, successors.low_bits, sl, sh)
-        self.pointers = Rising(pointers.n, pointers.low_bits, pl, ph)
+        self.successors = Rising(successors.n, successors.low_bits, sl, sw, so)
+        self.pointers = Rising(pointers.n, pointers.low_bits, pl, pw, po)
 
     def ranges(self) -> np.ndarray:
         """Number of distinct successors of each context."""
         return np.diff(self.pointers.values().astype(np.int64))
 
     def find(self, context: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """log10(count - D) of each (place of context, key), NaN where not seen. Sorted queries."""
+        """log10(count - D) of each (place of context, key), NaN where not seen: a search in the context's range of successors."""
         wanted = (context.astype(np.uint64) << np.uint64(40)) | keys
-        at = self.successors.successor(wanted)
+        asked, which = np.unique(context, return_inverse=True)
+        first, last = (self.pointers.at(p).astype(np.int64)[which] for p in (asked, asked + 1))
+        at = self.successors.successor(wanted, first, last)
         out = np.full(len(wanted), np.nan)
-        inside = np.flatnonzero(at < self.successors.n)
+        inside = np.flatnonzero(at < last)
         hit = inside[self.successors.at(at[inside]) == wanted[inside]]
         out[hit] = self.table[self.codes[at[hit]]]
         return out
