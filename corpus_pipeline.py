@@ -24,8 +24,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a decided language, which replaces ``lang``.
 
-    Rejected: texts that are NULL or have no letter, and ambiguous ones.
-    Learns from the rows that have a language.
+    Rejected: texts that are NULL or have no letter, and ambiguous ones
+    (languages equally near are). Learns from the rows that have a language;
+    if none has, all are rejected. Repeated rows get the same decision each.
+    An empty table gives an empty one.
     """
     own = docs.select(*COLUMNS)
     said = predict(own, train(own, F.lit(True)), COLUMNS)
@@ -33,7 +35,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines of many sites, but for their first occurrence. No document goes."""
+    """Texts without the lines of many sites, but for their first occurrence. No document goes.
+
+    NULL and empty texts stay as they are, repeated rows are documents of
+    their own. An empty table gives an empty one.
+    """
     cleaned = remove_shared_lines(docs.select(*COLUMNS))
     return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
@@ -41,7 +47,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: one of the smallest doc_id.
 
-    Documents without an id stay. Rows are told apart by id and text.
+    Documents without an id stay. Rows are told apart by id and text. An
+    empty table gives an empty one.
     """
     own, key = docs.select(*COLUMNS), row_key("doc_id", "text")
     groups = saved(simhash_components(docs.select("doc_id", "text"), width=3, most=3, keyed=True), "simhash-groups")
@@ -57,13 +64,21 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages."""
+    """Documents without benchmark passages.
+
+    NULL and empty texts stay; of repeated rows all stay or all go. An empty
+    table gives an empty one, an empty benchmark lets all stay.
+    """
     found = contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return without(docs.select(*COLUMNS), found.select("doc_key"), row_key("doc_id", "text"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens of all that is left."""
+    """Sequences of at most 2048 tokens of all that is left.
+
+    A NULL or empty text is its end id alone; repeated rows are packed as
+    often as they occur. An empty table gives no pieces.
+    """
     return pack_documents(docs.select("doc_id", "text"))
 
 
