@@ -876,3 +876,24 @@ def q_bronze_transport(spark, d):
     members = panels.nation_codes(spark, d).select("country")
     return bronze.transport_from_sheet(panels.long_indicator_sheet(spark, d), _ALIASES, members,
                                        panels.nation_codes(spark, d)).drop("is_duplicate")
+
+
+@register("null_ordering", with_ctes("""
+select country_code, year, gdp, row_number() over (order by gdp asc nulls last, country_code, year) as rising, row_number() over (order by gdp desc nulls last, country_code, year) as falling
+from panel_co2""", "panel_co2"))
+def q_null_ordering(spark, d):
+    """SL2: places in sorted outputs, NULL last in both directions. The order is that of the sorted frames themselves."""
+    rows = checkpointed(panels.panel_co2(spark, d).select("country_code", "year", "gdp"))
+
+    def placed(order, name):
+        # the rows of a global sort lie in its partitions one after the other
+        done = rows.orderBy(order, "country_code", "year").select("country_code", "year", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+        done = checkpointed(done)
+        sizes = {r["part"]: r["count"] for r in done.groupBy("part").count().collect()}  # a row per partition
+        before, total = {}, 0
+        for part in sorted(sizes):
+            before[part], total = total, total + sizes[part]
+        base = F.create_map(*[F.lit(x) for part, n in before.items() for x in (part, n)]) if before else F.create_map(F.lit(0), F.lit(0))
+        return done.select("country_code", "year", (F.element_at(base, F.col("part")) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("bigint").alias(name))
+
+    return rows.join(placed(F.col("gdp").asc_nulls_last(), "rising"), ["country_code", "year"]).join(placed(F.col("gdp").desc_nulls_last(), "falling"), ["country_code", "year"])
