@@ -107,6 +107,9 @@ def test_quality_held_out_and_odd_texts(spark):
     assert len(got) == len(good) + len(bad) + len(ODD) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
     held = [r for r in got if r.held_out and (r.doc_id or 0) >= 2000]
     assert len(held) > 30 and sum(r.predicted == int(r.doc_id < 4000) for r in held) >= 0.95 * len(held)
+    clash = docs.withColumns({"_learn": F.lit(False), "stats": F.lit(1), "predicted": F.lit("x")})
+    again = quality_scores(clash, labels, ~F.col("held_out"), keep=["doc_id", "_learn", "stats", "score", "predicted"])
+    assert again.columns == ["doc_id", "_learn", "score", "predicted"] and sorted((str(r.doc_id), r.score) for r in again.collect()) == sorted((str(r.doc_id), r.score) for r in got)
     none = quality_scores(docs, labels.limit(0), ~F.col("held_out")).collect()
     assert {r.score for r in none} == {0.5}
     assert quality_scores(docs.limit(0), labels, F.lit(True)).count() == 0

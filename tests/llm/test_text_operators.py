@@ -187,6 +187,26 @@ def test_pipeline_stages(spark, tmp_path):
     assert [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().orderBy("doc_id").collect()] == sorted(left["packing"])
 
 
+def test_pipeline_stages_on_an_empty_table_and_odd_rows(spark, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    odd = [r for r in ODD if r[0] not in (None, 11)] + [(70 + i, prose(700 + i, 80)) for i in range(4)] + [(70, prose(700, 80))]
+    for rows in ([], odd):
+        docs = frame(spark, rows)
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, docs, str(tmp_path))
+            assert name == "packing" or got.columns == corpus_pipeline.COLUMNS
+            docs = corpus_pipeline.saved(got, f"odd-{name}")
+            assert rows or docs.count() == 0
+    assert {70, 71, 72, 73} <= {r.doc_id for r in docs.collect()}
+
+
+def test_repetitive_items_and_texts(spark):
+    items = [(1, "la " * 12), (2, prose(61, 40))]
+    docs = [(10, "la " * 3000), (11, "la la la"), (12, prose(62, 200))]
+    assert set(found(spark, docs, items)) <= {(10, 1)}
+    assert found(spark, [], items) == {} and found(spark, docs, []) == {}
+
+
 def test_simhash_dedup_keeps_one_row_of_repeated_ids(spark):
     a, b, c, d = (prose(i, 200) for i in (71, 72, 73, 74))
     rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (3, c + " end"), (4, d), (None, a)]

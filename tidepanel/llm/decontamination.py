@@ -157,7 +157,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     consistent slots; ``verbatim`` tells that it has the item's own values.
     Items with too few literals are found verbatim only. NULL texts and texts
     without words match nothing. ``doc_key`` is ``row_key`` of the document;
-    rows that share it give one row per item.
+    rows that share it give one row per item. An empty table on either side
+    gives an empty result. An item of few different words has each of its
+    windows at many places of a repetitive text; a passage counts each window
+    and each place once.
     """
     items = benchmark.filter(F.col(item_text_col).isNotNull()).select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
     wanted = saved(_wanted(items), "benchmark-windows")

@@ -144,6 +144,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, recall:
     Vectors that are NULL, empty, zero or hold NULL or non-finite numbers link
     with nothing, nor do vectors of different length. Each row is a vector of
     its own, also if rows repeat; a component's id is its smallest non-NULL id.
+    An empty table gives an empty result; other columns are not read.
     """
     # floats travel as floats and are compared as doubles
     kind = "<f4" if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else "<f8"

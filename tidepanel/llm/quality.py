@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, saved
+from .common import free, map_arrow, saved
 
 STATISTICS = ("log_bytes", "log_words", "word_length", "distinct_words", "top_word", "repeated_neighbours", "upper", "digits", "blank", "line_feeds",
               "stops", "commas", "marks", "bars", "symbols", "other_ascii", "beyond_ascii", "distinct_lines", "sentence_words", "short_words", "capitalised", "odd_ends")
@@ -123,13 +123,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, label_col:
     ``docs``) holds: about ``sample`` of them, chosen by a hash of the id.
     Several labels of an id are averaged; NULL labels and ids teach nothing.
     Without labels the score is 0.5. The score of an empty text is that of a
-    text with all statistics zero.
+    text with all statistics zero. Each row is scored, also if rows repeat;
+    an empty table gives an empty result. Columns of ``keep`` named like the
+    new ones are left out.
     """
-    keep = keep or [id_col]
+    keep = [c for c in keep or [id_col] if c.lower() not in ("score", "predicted", "stats")]
     own = list(dict.fromkeys([id_col, *keep]))
-    stats = saved(document_statistics(docs.withColumn("_learn", learn), [*own, "_learn"], text_col), "quality-stats")
+    marker = free(docs, "_learn")
+    stats = saved(document_statistics(docs.withColumn(marker, learn), [*own, marker], text_col), "quality-stats")
     marked = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.avg(F.col(label_col).cast("double")).alias("_y"))
-    taught = saved(stats.filter("_learn").select(F.col(id_col).alias("_id"), F.col("stats").alias("_x")).join(marked, "_id"), "quality-taught")
+    taught = saved(stats.filter(F.col(marker)).select(F.col(id_col).alias("_id"), F.col("stats").alias("_x")).join(marked, "_id"), "quality-taught")
     total = taught.count()
     limit = 1 << 32
     rows = taught.filter(F.pmod(F.xxhash64("_id"), F.lit(limit)) < F.lit(int(limit * min(1.0, sample / max(1, total))))).select("_id", "_x", "_y").toArrow()
