@@ -76,3 +76,20 @@ def test_profile_of_nothing(spark, tmp_path):
     (tmp_path / "e").mkdir()
     done = P.refresh_profile(spark, str(tmp_path / "e"), str(tmp_path / "s"), COLS)
     assert done.read == [] and P.merged_profile(done.profile).count() == 0
+
+
+def test_metadata_and_null_shares_without_reading_the_table(spark, tmp_path):
+    from tidepanel.operators.quality import null_profile
+    from tidepanel.sources.sinks import table_metadata
+
+    path, store = str(tmp_path / "t"), str(tmp_path / "p")
+    df = spark.createDataFrame([(f"c{i % 7}", 1990 + i % 9, None if i % 4 else 1.0) for i in range(100)], "country_code string, year bigint, v double")
+    df.write.parquet(path)
+    done = P.refresh_profile(spark, path, store, df.columns, by=None)
+    assert done.read == ["whole"] and P.refresh_profile(spark, path, store, df.columns, by=None).read == []
+    got = P.profiled_metadata(done.profile, "t")
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in table_metadata(spark.read.parquet(path), "t").collect()]
+    assert {r["column"]: r.null_pct for r in P.profiled_nulls(done.profile).collect()} == {r["column"]: r.null_pct for r in null_profile(spark.read.parquet(path)).collect()}
+    assert all(path not in f for f in done.profile.inputFiles()) and f"{path}/" not in got._jdf.queryExecution().optimizedPlan().toString()
+    df.write.mode("append").parquet(path)
+    assert P.profiled_metadata(P.refresh_profile(spark, path, store, df.columns, by=None).profile, "t").first().n_rows == 200

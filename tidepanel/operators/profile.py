@@ -21,7 +21,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidepanel.functions.numeric import to_numeric
+from tidepanel.functions.numeric import np_round, to_numeric
 from tidepanel.operators.deltas import OF, add_parts, drop_parts, stored_parts
 from tidepanel.session import file_system
 
@@ -71,23 +71,28 @@ class Refreshed(NamedTuple):
     read: list[str]
 
 
-def _versions(spark: SparkSession, path: str, by: str) -> dict[str, str]:
-    """Partition folder value -> digest of its files."""
+_WHOLE = "whole"
+
+
+def _versions(spark: SparkSession, path: str, by: str | None) -> dict[str, str]:
+    """Partition folder value (without partitions: one name) -> digest of its files."""
     fs, top = file_system(spark, path)
-    out = {}
-    for part in fs.listStatus(top):
-        name = part.getPath().getName()
-        if part.isDirectory() and name.lower().startswith(by.lower() + "="):
-            files, found = [], fs.listFiles(part.getPath(), True)
-            while found.hasNext():
-                f = found.next()
-                files.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
-            out[name.split("=", 1)[1]] = hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:20]
-    return out
 
+    def digest(folder) -> str:
+        files, found = [], fs.listFiles(folder, True)
+        while found.hasNext():
+            f = found.next()
+            files.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        return hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:20]
+
+    if by is None:
+        return {_WHOLE: digest(top)}
+    parts = [p.getPath() for p in fs.listStatus(top) if p.isDirectory() and p.getPath().getName().lower().startswith(by.lower() + "=")]
+    return {p.getName().split("=", 1)[1]: digest(p) for p in parts}
 
-def refresh_profile(spark: SparkSession, path: str, store: str, cols: Sequence[str], by: str = "year") -> Refreshed:
-    """The profile of the table in ``path``, partitioned by ``by``, kept in ``store``.
+
+def refresh_profile(spark: SparkSession, path: str, store: str, cols: Sequence[str], by: str | None = "year") -> Refreshed:
+    """The profile of the table in ``path``, partitioned by ``by`` (None: not partitioned), kept in ``store``.
 
     A stored row belongs to a version of its partition, a digest of its files.
     Partitions without a row of their version are read, all in one job, and
@@ -97,7 +102,9 @@ def refresh_profile(spark: SparkSession, path: str, store: str, cols: Sequence[s
     wanted = {f"{digest}-{_flat(v)}": v for v, digest in now.items()}
     there = stored_parts(spark, store)
     stale = {name: v for name, v in sorted(wanted.items(), key=lambda x: x[1]) if name not in there}
-    if stale:
+    if stale and by is None:
+        add_parts(partial_profile(spark.read.parquet(path), cols).withColumn(OF, F.lit(next(iter(stale)))), store)
+    elif stale:
         # several folders at once, each read with its value: the scan has these files only
         rows = spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{by}={v}" for v in stale.values()])
         fresh = partial_profile(rows, cols, [by])
@@ -145,3 +152,22 @@ def profile_outliers(df: DataFrame, profile: DataFrame, multipliers: Mapping[str
     n = F.coalesce("outliers_count", F.lit(0))
     return bounds.join(counts, "column", "left").join(samples, "column", "left").select(
         "column", "q1", "q3", "lower_bound", "upper_bound", n.alias("outliers_count"), F.when(F.col("n_rows") > 0, n / F.col("n_rows") * 100.0).otherwise(0.0).alias("outlier_percentage"), *names)
+
+
+def _of(profile: DataFrame, column: str) -> DataFrame:
+    return merged_profile(profile.where(F.col("column") == column), ())
+
+
+def profiled_metadata(profile: DataFrame, table: str, entity: str = "country_code", period: str = "year") -> DataFrame:
+    """IO11 from a stored profile that has all columns: rows, columns, period range and number of members (estimated), without reading the table."""
+    kept = profile.agg(F.countDistinct("column").alias("n_columns"))
+    who = _of(profile, entity).select("n_rows", F.col("n_distinct").alias("n_members"))
+    when = _of(profile, period).select(F.col("least_number").cast("bigint").alias("period_min"), F.col("most_number").cast("bigint").alias("period_max"))
+    one = lambda df, c: df.select(c).scalar()
+    return profile.sparkSession.range(1).select(F.lit(table).alias("table"), one(who, "n_rows").alias("n_rows"), one(kept, "n_columns").alias("n_columns"),
+                                               one(when, "period_min").alias("period_min"), one(when, "period_max").alias("period_max"), one(who, "n_members").alias("n_members"))
+
+
+def profiled_nulls(profile: DataFrame, digits: int | None = 2) -> DataFrame:
+    """DQ2 from a stored profile: % NULL per column."""
+    return merged_profile(profile, ()).select("column", np_round(F.coalesce("null_pct", F.lit(0.0)), digits).alias("null_pct"))

@@ -502,3 +502,12 @@ def q_profile_refresh(spark, d):
     done = profile.refresh_profile(spark, f"{base}/t", f"{base}/p", ["l_quantity"], "ship_year")
     by_part = done.profile.select(F.element_at(F.split(F.input_file_name(), "/"), -2).alias("of"), "n_rows").select(F.element_at(F.split("of", "-"), -1).alias("partition"), "n_rows")
     return by_part.select("partition", F.col("partition").isin(done.read).alias("read_again"), "n_rows")
+
+
+@register("profile_metadata", with_ctes("""
+select 'co2_emissions' as "table", count(*) as n_rows, count(distinct country_code) as n_members, min(year) as period_min, max(year) as period_max from silver_co2""", "silver_co2"))
+def q_profile_metadata(spark, d):
+    """IO11 without a scan: rows, members and period range of a stored silver table from its stored profile."""
+    path, cols = layers.lake(spark, d)["silver_co2"], ["country_code", "year", "co2", "gdp"]
+    done = profile.refresh_profile(spark, path, f"{scratch_dir(spark, 'profiles')}/co2", cols, by=None)
+    return profile.profiled_metadata(done.profile, "co2_emissions").select("table", "n_rows", "n_members", "period_min", "period_max")
