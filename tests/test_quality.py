@@ -196,3 +196,46 @@ def test_pct_change_zero_base_inf(spark):
     from tidepanel.operators.growth import pct_change
     got = {(r.country_code, r.year): r.g for r in pct_change(df, "x", "g", zero_base="inf").collect()}
     assert got[("A", 2)] == float("inf") and got[("B", 2)] is None
+
+
+def test_suite_counts_and_keys_in_one_shuffle(spark):
+    rows = [("a", 1, 1.0, "x"), ("a", 1, None, "x"), (None, 1, 3.0, "y"), (None, 1, 4.0, "x"), ("b", None, 5.0, "z"), ("b", 2, 50.0, None)]
+    df = spark.createDataFrame(rows, "k string, p int, v double, w string").repartition(3)
+    checks = [{"type": "table_row_count", "expected_value": 6},
+              {"type": "no_duplicates", "columns": ["k", "p"]},
+              {"type": "column_values_to_not_be_null", "column": "k"},  # a key column: counted over all rows, not over groups
+              {"type": "no_duplicates", "columns": ["p", "v"]},
+              {"type": "no_duplicates", "subset": ["w"]},
+              {"type": "no_duplicates", "columns": ["p", "k"]},  # the first one's columns in another order
+              {"type": "column_values_to_be_between", "column": "v", "min_value": 0, "max_value": 10},
+              {"type": "no_duplicates", "columns": []}]
+    got = quality.run_suite(df, checks, "ds", "silver")
+    assert [r.reason for r in got.collect()] == [
+        None, "4 duplicate rows found", "2 nulls (33.3%) exceeds threshold 0.0%", None, "3 duplicate rows found", "4 duplicate rows found",
+        "1 values outside [0, 10]", "6 duplicate rows found"]
+    stats = quality._counts(df.coalesce(1), {"__rows": F.count(F.lit(1))}, {0: ["k", "p"], 1: ["w"]})
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange SinglePartition") == 1 and plan.count("Expand") == 1
+
+
+def test_suite_keys_of_empty_and_clashing_tables(spark):
+    checks = [{"type": "table_row_count", "min_value": 1}, {"type": "no_duplicates", "columns": ["k"]}, {"type": "no_duplicates", "columns": ["k", "v"]}]
+    empty = quality.run_suite(spark.createDataFrame([], "k string, v double"), checks, "ds", "silver").collect()
+    assert [(r.ok, r.reason) for r in empty] == [(False, "Expected min 1 rows, got 0"), (True, None), (True, None)]
+    one = quality.run_suite(spark.createDataFrame([(None, None)], "k string, v double"), checks, "ds", "silver").collect()
+    assert [r.ok for r in one] == [True, True, True]
+
+
+@pytest.mark.parametrize("n_keys", [1, 2, 3])
+def test_suite_keys_match_pandas(spark, n_keys):
+    import itertools
+
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(n_keys)
+    pdf = pd.DataFrame({c: rng.integers(0, 9, 60) for c in "abc"[:n_keys]})
+    subsets = [list(s) for k in range(1, n_keys + 1) for s in itertools.combinations(pdf.columns, k)]
+    got = quality.run_suite(spark.createDataFrame(pdf), [{"type": "no_duplicates", "columns": s} for s in subsets], "ds", "silver").collect()
+    want = [int(pdf.duplicated(s, keep=False).sum()) for s in subsets]
+    assert [r.reason for r in got] == [f"{n} duplicate rows found" if n else None for n in want]

@@ -1,8 +1,8 @@
 """Data-quality operators whose results are DataFrames (DQ1–DQ13).
 
-Aggregate-type checks of a suite compile into ONE ``df.agg`` (a single scan
-with map-side partial aggregation); duplicate and in-set checks add one
-grouped aggregation each. Lists in reports are bounded: missing members are
+Counts and duplicate checks of a suite compile into ONE aggregate over grouping
+sets (a single scan and shuffle, with map-side partial aggregation); an in-set
+check adds the distinct values outside its set. Lists in reports are bounded: missing members are
 limited by the expected set, periods by the calendar range, samples by ``k``.
 """
 
@@ -196,6 +196,7 @@ def run_suite(df: DataFrame, checks: Sequence[Mapping], dataset: str, layer: str
     aggs: dict[str, Column] = {"__rows": F.count(F.lit(1))}
     rows: list[Column] = []
     extra: list[DataFrame] = []
+    unique: dict[int, list[str]] = {}
 
     def const(i, t, c, ok, reason):
         rows.append(_result(dataset, layer, i, t, c, F.lit(ok), F.lit(reason)))
@@ -253,22 +254,42 @@ def run_suite(df: DataFrame, checks: Sequence[Mapping], dataset: str, layer: str
             if miss:
                 const(i, t, ",".join(subset), False, REASONS["dup_missing"].format(cols=miss))
             else:
-                extra.append(_no_dups(df, subset, dataset, layer, i))
+                unique[i] = subset
+                n = F.col(f"__dup{i}")
+                rows.append(_result(dataset, layer, i, t, ",".join(subset), n == 0, F.concat(n.cast("string"), F.lit(" duplicate rows found"))))
         else:
             const(i, t, c, False, REASONS["unknown"])
-    stats = df.agg(*[v.alias(k) for k, v in aggs.items()])
+    stats = _counts(df, aggs, unique) if rows else None
     out = stats.select(F.inline(F.array(*rows))) if rows else None
     for e in extra:
         out = e if out is None else out.unionByName(e)
     return out.orderBy("check_no") if out is not None else df.sparkSession.createDataFrame([], RESULT_SCHEMA)
 
 
-def _no_dups(df: DataFrame, subset: Sequence[str], dataset, layer, i) -> DataFrame:
-    """All rows in duplicated groups (NULL keys compare equal)."""
-    n = (df.groupBy(*subset).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
-    return n.select(F.inline(F.array(_result(dataset, layer, i, "no_duplicates", ",".join(subset), F.col("n") == 0,
-                                             F.concat(F.col("n").cast("string"), F.lit(" duplicate rows found"))))))
+def _counts(df: DataFrame, aggs: Mapping[str, Column], unique: Mapping[int, Sequence[str]]) -> DataFrame:
+    """One row: the counts ``aggs``, and per entry of ``unique`` all rows in duplicated groups (NULL keys compare equal).
+
+    All key sets, and the whole table as the empty one, are grouping sets of
+    one aggregate: one scan, one shuffle by key, one row per task after it.
+    """
+    if not unique:
+        return df.agg(*[v.alias(k) for k, v in aggs.items()])
+    keys = list(dict.fromkeys(c for subset in unique.values() for c in subset))
+    if not keys:  # a key without columns: all rows are one group
+        n = aggs["__rows"]
+        return df.agg(*[v.alias(k) for k, v in aggs.items()], *[F.when(n > 1, n).otherwise(F.lit(0)).alias(f"__dup{i}") for i in unique])
+
+    def number(subset: Sequence[str]) -> int:  # grouping_id: a bit for each key column that is not in the set
+        return sum(1 << (len(keys) - 1 - j) for j, c in enumerate(keys) if c not in subset)
+
+    sets = {number(s): [c for c in keys if c in s] for s in ([], *unique.values())}
+    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets.values()], *[F.col(c) for c in keys]).agg(
+        F.grouping_id().alias("__set"), *[v.alias(k) for k, v in aggs.items()])
+    of = lambda s, c: F.when(F.col("__set") == number(s), F.col(c))
+    # an empty table has no groups, not even the empty set's
+    total = [F.coalesce(F.max(of([], k)), F.lit(0)).alias(k) for k in aggs]
+    dups = [F.coalesce(F.sum(F.when(F.col("__rows") > 1, of(s, "__rows"))), F.lit(0)).alias(f"__dup{i}") for i, s in unique.items()]
+    return grouped.agg(*total, *dups)
 
 
 def _in_set(df: DataFrame, col: str, values, dataset, layer, i, k: int = 5) -> DataFrame:
