@@ -83,8 +83,8 @@ def outer_assemble(frames: Sequence[DataFrame], on: Sequence[str], method: str =
     g = u.groupBy(*on).agg(*[pick(c).alias(c) for c in vals], *seen)
     twice = reduce(lambda a, b: a | b, [F.col(f"__seen{i}") > 1 for i in range(len(frames))])
     fail = F.raise_error(F.concat(F.lit(f"a frame has several rows for one key of {on}: "), F.to_json(F.struct(*on))))
-    # on a key column, which no later projection of values can prune away
-    return g.withColumn(on[0], F.when(twice, fail.cast(types[on[0]])).otherwise(F.col(on[0]))).select(*order)
+    # as a filter: no later projection can prune it away, and the keys stay what the rows are partitioned by
+    return g.where(F.when(twice, fail.cast("boolean")).otherwise(F.lit(True))).select(*order)
 
 
 def assemble_indicators(frames: Sequence[DataFrame], on: Sequence[str] = ("country", "country_code", "year"),

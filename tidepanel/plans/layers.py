@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidepanel.operators.deltas import merged, refresh_deltas
 from tidepanel.plans import gold, panels, silver
 from tidepanel.session import file_system, scratch_dir
+from tidepanel.sources.colocated import is_colocated, read_colocated, write_colocated
 from tidepanel.sources.sinks import write_table
 
 SORT = ["country_code", "year"]
@@ -139,3 +140,29 @@ def lake(spark: SparkSession, d: str, base: str | None = None) -> dict[str, str]
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(lake(spark, d)[name])
+
+
+def colocated_silver(spark: SparkSession, d: str, base: str | None = None, buckets: int | None = None) -> dict[str, DataFrame]:
+    """The silver tables bucketed by entity and sorted by period, made where they are missing or out of date.
+
+    Their joins, groupings and windows by entity need no exchange, the fact among them. As many buckets as the
+    session has shuffle partitions, unless given: tables meet only with the same number.
+    """
+    base, buckets = (base or store_dir(spark)).rstrip("/"), buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths, out = lake(spark, d, base), {}
+    for name in ("silver_co2", "silver_tourism", "silver_transport"):
+        folder = f"{base}/colocated/{name}"
+        done = f"{folder}/{_digest(paths[name], str(buckets))}"
+        if not is_colocated(spark, done):
+            fs, path = file_system(spark, done)
+            making = f"{folder}/.making-{uuid.uuid4().hex[:12]}"
+            temp = file_system(spark, making)[1]
+            try:
+                write_colocated(spark.read.parquet(paths[name]), making, ["country_code"], ["year"], buckets)
+                if not is_colocated(spark, done):  # another session may have been faster
+                    fs.delete(path, True)
+                    fs.rename(temp, path)
+            finally:
+                fs.delete(temp, True)
+        out[name] = read_colocated(spark, done)
+    return out

@@ -90,6 +90,13 @@ def q_gold_fact(spark, d):
                           layers.build_silver_transport(spark, d, lines))
 
 
+@register("gold_fact_colocated", with_ctes("select * from fact", "fact"))
+def q_gold_fact_colocated(spark, d):
+    """C4 / J2 / W5 from co-located storage: silver tables bucketed by entity, so the fact, its backfill and its growth need no exchange."""
+    t = layers.colocated_silver(spark, d)
+    return gold.gold_fact(t["silver_co2"], t["silver_tourism"], t["silver_transport"])
+
+
 @register("gold_dim_country", with_ctes("select * from dim_country", "dim_country"))
 def q_gold_dim_country(spark, d):
     """Country dimension from nation ⋈ region."""
