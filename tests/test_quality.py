@@ -239,3 +239,13 @@ def test_suite_keys_match_pandas(spark, n_keys):
     got = quality.run_suite(spark.createDataFrame(pdf), [{"type": "no_duplicates", "columns": s} for s in subsets], "ds", "silver").collect()
     want = [int(pdf.duplicated(s, keep=False).sum()) for s in subsets]
     assert [r.reason for r in got] == [f"{n} duplicate rows found" if n else None for n in want]
+
+
+def test_iqr_outliers_ids_that_share_names(spark):
+    rows = [(i, float(i % 10), 0.0 if i else None) for i in range(200)] + [(-2, 900.0, 7.0), (-1, 800.0, None)]
+    df = spark.createDataFrame(rows, "value long, column double, v double")
+    r = {x.column: x for x in iqr_outliers(df, {"column": 1.5, "v": 1.5, "gone": 1.5}, ["value"]).collect()}
+    assert (r["column"].outliers_count, r["column"].sample_1, r["column"].sample_2) == (2, 900.0, 800.0)
+    assert (r["v"].outliers_count, r["v"].sample_1) == (1, 7.0) and r["v"].outlier_percentage == pytest.approx(100 / 202)
+    empty = iqr_outliers(df.where("false"), {"column": 1.5}, ["value"]).collect()[0]
+    assert (empty.outliers_count, empty.outlier_percentage, empty.q1) == (0, 0.0, None)

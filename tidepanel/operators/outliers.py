@@ -1,20 +1,21 @@
 """IQR outlier report (A16) — flags, never removes.
 
-Quartiles are exact at every size (``quantiles``). Counts come from one
-aggregate of conditions over the columns as they are; only values outside
-their bounds become rows, for the samples (the row_number limit is applied per
-map task before the shuffle). NULL and NaN are not values.
+Quartiles are exact at every size (``quantiles``). One more pass writes the
+values outside their bounds as rows; counts and samples are taken from these
+(the row_number limit is applied per map task before the shuffle). NULL and NaN are not values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepanel.functions.numeric import np_round, to_numeric
 from tidepanel.operators.quantiles import exact_quantiles, group_quantiles
+from tidepanel.session import checkpointed
 
 QUARTILES = [0.25, 0.75]
 BOUNDS_SCHEMA = "column string, q1 double, q3 double, multiplier double, outliers_count bigint, __rows bigint"
@@ -75,14 +76,16 @@ def iqr_outliers(df: DataFrame, multipliers: Mapping[str, float], order_by: Sequ
         v = to_numeric(F.col(c))
         return F.coalesce((v < q1 - m * (q3 - q1)) | (v > q3 + m * (q3 - q1)), F.lit(False))
 
-    n = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.when(outside(c), 1)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    stats = spark.createDataFrame([(c, *qs[c], float(multipliers[c]), n[f"n{i}"], n["rows"]) for i, c in enumerate(cols)], BOUNDS_SCHEMA)
+    found = F.filter(F.array(*[F.when(outside(c), F.struct(F.lit(c).alias("column"), to_numeric(F.col(c)).alias("value"))) for c in cols]), lambda x: x.isNotNull())
+    some = df.where(reduce(lambda x, y: x | y, [outside(c) for c in cols], F.lit(False)))  # few rows are outside anywhere
+    flagged = checkpointed(some.select(*ids, F.explode(found).alias("__f")).select(*[F.col(c).alias(f"__id{i}") for i, c in enumerate(ids)], "__f.*"))
+    counts = {r["column"]: r["n"] for r in flagged.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per column
+    rows = df.count()  # of a stored table, from its footers
+    stats = spark.createDataFrame([(c, *qs[c], float(multipliers[c]), counts.get(c, 0), rows) for c in cols], BOUNDS_SCHEMA)
     stats = (stats.withColumn("iqr", F.col("q3") - F.col("q1"))
              .withColumn("lower_bound", F.col("q1") - F.col("multiplier") * F.col("iqr"))
              .withColumn("upper_bound", F.col("q3") + F.col("multiplier") * F.col("iqr")))
-    found = F.filter(F.array(*[F.when(outside(c), F.struct(F.lit(c).alias("column"), to_numeric(F.col(c)).alias("value"))) for c in cols]), lambda x: x.isNotNull())
-    flagged = df.select(*ids, F.explode(found).alias("f")).select(*ids, "f.*")
-    w = Window.partitionBy("column").orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    w = Window.partitionBy("column").orderBy(*[F.col(f"__id{i}").asc_nulls_last() for i in range(len(ids))])
     firsts = flagged.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n_samples)
     samples = firsts.groupBy("column").agg(*[F.max(F.when(F.col("__rn") == i, F.col("value"))).alias(f"sample_{i}")
                                              for i in range(1, n_samples + 1)])

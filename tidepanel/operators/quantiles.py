@@ -100,8 +100,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             else:
                 lost.add(i)
     spark = df.sparkSession
-    inside = F.explode(F.array(*[F.when(F.col(f"c{i}").between(lo, hi), F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c{i}").alias("v"))) for i, j, lo, hi in brackets]))
-    counted = v.select(inside.alias("e")).where("e is not null").select("e.*").groupBy("i", "j", "v").agg(F.count(F.lit(1)).alias("n"))
+    hit = [F.col(f"c{i}").between(lo, hi) for i, _, lo, hi in brackets]
+    inside = F.explode(F.array(*[F.when(h, F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c{i}").alias("v"))) for h, (i, j, _, _) in zip(hit, brackets)]))
+    some = v.where(reduce(lambda x, y: x | y, hit))  # most rows are in no bracket and become no rows of their own
+    counted = some.select(inside.alias("e")).where("e is not null").select("e.*").groupBy("i", "j", "v").agg(F.count(F.lit(1)).alias("n"))
     found = {}
     if wanted:
         ranks = spark.createDataFrame(wanted, "i int, j int, slot int, k long")
