@@ -249,3 +249,19 @@ def test_iqr_outliers_ids_that_share_names(spark):
     assert (r["v"].outliers_count, r["v"].sample_1) == (1, 7.0) and r["v"].outlier_percentage == pytest.approx(100 / 202)
     empty = iqr_outliers(df.where("false"), {"column": 1.5}, ["value"]).collect()[0]
     assert (empty.outliers_count, empty.outlier_percentage, empty.q1) == (0, 0.0, None)
+
+
+def test_report_lists_no_more_members_than_expected(spark, sample):
+    rep = quality.quality_report(sample, sample, "ds", {}, ["BRA", "CHL"], members="expected").collect()[0]
+    assert (rep.members_covered, rep.missing_members, rep.entities_covered) == ("BRA", "CHL", 2)
+    assert quality.quality_report(sample, sample, "ds", {}, members="expected").collect()[0].members_covered == ""
+    assert quality.quality_report(sample, sample, "ds", {}).collect()[0].members_covered == "ARG,BRA"
+    with pytest.raises(ValueError, match="members"):
+        quality.quality_report(sample, sample, "ds", {}, members="some")
+
+
+def test_covered_members(spark, sample):
+    odd = sample.unionByName(spark.createDataFrame([(None, 2013, 1.0, 1.0), ("ARG", 2013, 1.0, 1.0), ("ARG", None, 1.0, 1.0)], sample.schema))
+    got = {r.member: (r.expected, r.n_rows, r.n_periods) for r in quality.covered_members(odd, ["BRA", "CHL", "CHL"]).collect()}
+    assert got == {"ARG": (False, 13, 11), "BRA": (True, 11, 11), "CHL": (True, 0, 0)}
+    assert quality.covered_members(sample.where("false")).count() == 0

@@ -67,20 +67,9 @@ def outer_assemble(frames: Sequence[DataFrame], on: Sequence[str], method: str =
     vals = [c for c in order if c not in on]
     frames = [f.withColumn("__frame", F.lit(i)) for i, f in enumerate(frames)]
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    types = dict(u.dtypes)
-
-    def pick(c):
-        # numbers: max (hash aggregate buffer). Strings and other variable-width
-        # values: max over collect_list — a group holds at most one row per
-        # frame, so the list is bounded by len(frames) and the whole aggregate
-        # stays hash-based (ObjectHashAggregate) instead of sort-based.
-        if types[c] in ("double", "float", "bigint", "int", "smallint", "tinyint", "boolean") \
-                or types[c].startswith("decimal"):
-            return F.max(c)
-        return F.array_max(F.collect_list(c))
 
     seen = [F.count(F.when(F.col("__frame") == i, 1)).alias(f"__seen{i}") for i in range(len(frames))]
-    g = u.groupBy(*on).agg(*[pick(c).alias(c) for c in vals], *seen)
+    g = u.groupBy(*on).agg(*[F.max(c).alias(c) for c in vals], *seen)  # one row per frame, and one value at a time also where keys repeat
     twice = reduce(lambda a, b: a | b, [F.col(f"__seen{i}") > 1 for i in range(len(frames))])
     fail = F.raise_error(F.concat(F.lit(f"a frame has several rows for one key of {on}: "), F.to_json(F.struct(*on))))
     # as a filter: no later projection can prune it away, and the keys stay what the rows are partitioned by

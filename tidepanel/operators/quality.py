@@ -49,16 +49,20 @@ def frame_summary(df: DataFrame, entity: str = "country_code", period: str = "ye
 # ── DQ1 ─────────────────────────────────────────────────────────────────────
 def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds: Mapping[str, float],
                    expected_members: Sequence[str] = (), start: int | None = None, end: int | None = None,
-                   entity: str = "country_code", period: str = "year") -> DataFrame:
+                   entity: str = "country_code", period: str = "year", members: str = "all") -> DataFrame:
     """One-row report: rows before/after/dropped, coverage, threshold flags, gaps.
 
     Flags: a column whose NULL % is strictly above its threshold, members of
     ``expected_members`` with no rows, periods of [start, end] with no rows;
-    "OK" when there are none. ``members_covered`` lists all members that have
-    rows, expected or not: the report is for panels whose entities fit a cell
-    (``coverage_report`` has a row per entity). ``periods_covered`` lists the
-    periods, those of [start, end] if given.
+    "OK" when there are none. ``members_covered`` lists the members that have
+    rows: ``members="all"`` of them, for panels whose entities fit a cell, or
+    those ``"expected"``, which never outgrow the list given; ``covered_members``
+    has a row per member of any panel. ``periods_covered`` lists the periods,
+    those of [start, end] if given.
     """
+    if members not in ("all", "expected"):
+        raise ValueError("members must be 'all' or 'expected'")
+    listed = F.col(entity) if members == "all" else F.when(F.col(entity).isin(list(expected_members)), F.col(entity))
     cols = after.columns
     a = after.agg(
         F.count(F.lit(1)).alias("rows_after"),
@@ -66,7 +70,7 @@ def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds
         F.array_sort(F.collect_set(F.when(F.col(period).between(start, end) if start is not None and end is not None else F.lit(True),
                                           F.col(period).cast("bigint")))).alias("__periods"),
         *[F.avg(F.col(c).isNull().cast("double")).alias(f"__n{i}") for i, c in enumerate(cols)],
-        F.collect_set(entity).alias("__present"),
+        F.collect_set(listed).alias("__present"),
     )
     r = a.withColumn("rows_before", before.select(F.count(F.lit(1))).scalar())
     flags = []
@@ -105,6 +109,15 @@ def quality_report(before: DataFrame, after: DataFrame, dataset: str, thresholds
     )
 
 
+def covered_members(df: DataFrame, expected_members: Sequence[str] = (), entity: str = "country_code", period: str = "year") -> DataFrame:
+    """DQ1 as rows: ``member``, whether it is ``expected``, its rows and periods. Expected members without rows have 0; NULL is no member."""
+    have = (df.where(F.col(entity).isNotNull()).groupBy(F.col(entity).cast("string").alias("member"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(period).alias("n_periods")))
+    expected = df.sparkSession.createDataFrame([(m,) for m in dict.fromkeys(expected_members)], "member string").withColumn("expected", F.lit(True))
+    return have.join(expected, "member", "full_outer").select(
+        "member", F.coalesce("expected", F.lit(False)).alias("expected"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_periods")])
+
+
 # ── DQ12 ────────────────────────────────────────────────────────────────────
 def coverage_report(df: DataFrame, start: int, end: int, expected_members: Sequence[str] = (),
                     entity: str = "country_code", period: str = "year") -> DataFrame:

@@ -100,14 +100,23 @@ def q_quality_report(spark, d):
     """DQ1: before/after rows, coverage, NULL-threshold flags, missing members/periods per silver dataset."""
     bronze = {k: bronze_table(spark, d, k) for k in ("bronze_co2", "bronze_tourism", "bronze_transport")}
     co2 = quality.quality_report(bronze["bronze_co2"], s_co2(spark, d), "co2_emissions",
-                                 CO2_SPEC.null_thresholds, EXPECTED, START, END)
+                                 CO2_SPEC.null_thresholds, EXPECTED, START, END, members="expected")
     tour = quality.quality_report(bronze["bronze_tourism"], s_tourism(spark, d), "tourism_arrivals",
-                                  TOURISM_SPEC.null_thresholds, EXPECTED, START, END)
+                                  TOURISM_SPEC.null_thresholds, EXPECTED, START, END, members="expected")
     tr = quality.quality_report(bronze["bronze_transport"], s_transport(spark, d), "transport_mode",
-                                TRANSPORT_SPEC.null_thresholds, EXPECTED, START, END)
+                                TRANSPORT_SPEC.null_thresholds, EXPECTED, START, END, members="expected")
     return co2.unionByName(tour).unionByName(tr)
 
 
+@register("quality_members", with_ctes(f"""
+select coalesce(h.country_code, e.country_code) as member, e.country_code is not null as expected, coalesce(h.n_rows, 0) as n_rows, coalesce(h.n_periods, 0) as n_periods
+from (select unnest([{_EXP_SQL}, 'N25']) as country_code) e
+full join (select country_code, count(*) as n_rows, count(distinct year) as n_periods from silver_tourism group by country_code) h on e.country_code = h.country_code""", "silver_tourism"))
+def q_quality_members(spark, d):
+    """DQ1 as rows: members of the silver arrivals with their rows and periods, and an expected one that has none."""
+    return quality.covered_members(s_tourism(spark, d), EXPECTED + ("N25",))
+
+
 # ── DQ12 / A17 ──────────────────────────────────────────────────────────────
 @register("coverage_report", with_ctes(f"""
 select e.country_code, coalesce(h.n_rows, 0) as n_rows,
