@@ -5,11 +5,12 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.llm import language_model as lm
-from tidepanel.llm.common import fold
+from tidepanel.llm.common import ARROW_BYTES, fold, map_arrow
 from tidepanel.llm.language import EVIDENCE, WIDTH, Decoder, codewords, has_letter, predict, train
 from tidepanel.llm.quality import Forest, quality_scores
 
@@ -76,6 +77,38 @@ def test_language_without_training_rows_or_rows(spark):
     assert predict(docs.limit(0), None, ["doc_id"]).count() == 0
 
 
+def test_language_keeps_a_text_it_is_sent_once(spark):
+    docs = frame(spark, [(1, prose(1, 40), "en"), (2, prose(2, 40, "de"), "de"), *ODD])
+    model = train(docs, F.col("doc_id") < 3)
+    whole = predict(docs, model, ["doc_id", "text", "lang"])
+    assert whole.columns == ["doc_id", "text", "lang", "lang_pred", "score", "ambiguous"]
+    assert whole._jdf.queryExecution().optimizedPlan().toString().count("cast(text") == 0
+    assert sorted(map(repr, whole.select("doc_id", "text").collect())) == sorted(map(repr, docs.select("doc_id", "text").collect()))
+    assert sorted(map(repr, whole.drop("text").collect())) == sorted(map(repr, predict(docs, model, ["doc_id", "lang"]).collect()))
+    raw = docs.withColumn("text", F.col("text").cast("binary"))
+    assert sorted(map(repr, predict(raw, model, ["doc_id", "text", "lang"]).drop("text").collect())) == sorted(map(repr, whole.drop("text").collect()))
+
+
+def test_batches_are_bounded_by_bytes_unless_the_session_says_otherwise(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    def most():
+        got = map_arrow(docs, sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 2000
+        return max(r.size for r in got)
+
+    docs, before = spark.range(0, 2000, 1, 1).select(F.expr("repeat('x', 10000)").alias("text")), spark.conf.get(ARROW_BYTES, None)
+    try:
+        spark.conf.unset(ARROW_BYTES)
+        assert most() < 5 << 20
+        spark.conf.set(ARROW_BYTES, "32m")
+        assert most() > 16 << 20
+    finally:
+        spark.conf.unset(ARROW_BYTES) if before is None else spark.conf.set(ARROW_BYTES, before)
+
+
 def test_trees_learn_an_interaction():
     x = np.random.default_rng(0).random((3000, 4))
     y = ((x[:, 0] > 0.5) ^ (x[:, 2] > 0.3)).astype(float)

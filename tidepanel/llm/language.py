@@ -122,19 +122,23 @@ def predict(docs: DataFrame, decoder: Decoder | None, keep: list[str], text_col:
     learnt. Of languages equally near, the first in order of name is taken,
     and ambiguous holds as none has the better half. Each row is answered,
     also if rows repeat; an empty table gives an empty result. Columns of
-    ``keep`` named like the new ones are left out.
+    ``keep`` named like the new ones are left out. A text of ``keep`` is sent
+    to the workers once.
     """
     keep = [c for c in keep if c.lower() not in ("lang_pred", "score", "ambiguous")]
+    sent = dict(docs.select(*keep).dtypes).get(text_col) == "string"
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
+    place = keep.index(text_col) if sent else len(keep)
     shared = docs.sparkSession.sparkContext.broadcast(decoder)  # languages x codeword bits x 16,384 floats at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            said = [model.decide(t) if model and t and has_letter(t) else ("und", 0.0) for t in (x.as_py() for x in batch.column(batch.num_columns - 1))]
+            texts = batch.column(place).cast(pa.large_binary())
+            said = [model.decide(t) if model and t and has_letter(t) else ("und", 0.0) for t in (x.as_py() for x in texts)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64()),
+                [*batch.columns[:len(keep)], pa.array([s[0] for s in said], pa.string()), pa.array([s[1] for s in said], pa.float64()),
                  pa.array([s[0] != "und" and s[1] < SURE for s in said], pa.bool_())], names=[*keep, "lang_pred", "score", "ambiguous"])
 
-    rows = docs.select(*keep, F.col(text_col).cast("string").cast("binary").alias("_text"))
-    return map_arrow(rows, run, kinds + ", lang_pred string, score double, ambiguous boolean")
+    own = [] if sent else [F.col(text_col).cast("string").cast("binary").alias("_text")]
+    return map_arrow(docs.select(*keep, *own), run, kinds + ", lang_pred string, score double, ambiguous boolean")
