@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.llm import language_model as lm
-from tidepanel.llm.common import ARROW_BYTES, fold, map_arrow
+from tidepanel.llm.common import ARROW_BYTES, fold, map_arrow, releasing
 from tidepanel.llm.language import EVIDENCE, WIDTH, Decoder, codewords, has_letter, predict, train
 from tidepanel.llm.quality import Forest, quality_scores
 
@@ -218,3 +219,25 @@ def test_rising_values_and_bounded_search_against_plain_lists():
         wanted = np.where(rng.random(500) < 0.5, v[np.minimum(first, n - 1)] + rng.integers(0, 3, 500).astype(np.uint64), rng.integers(0, most + 2, 500).astype(np.uint64)).astype(np.uint64)
         want = [next((i for i in range(a, b) if v[i] >= w), b) for w, a, b in zip(wanted.tolist(), first.tolist(), last.tolist())]
         assert r.successor(wanted, first, last).tolist() == want
+
+
+def test_workers_give_memory_back_between_batches(spark):
+    def taken():
+        return int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) >> 10
+
+    def run(batches):
+        for batch in batches:
+            seen.append(taken())
+            held = [pa.array(np.arange(4000)).cast(pa.string()) for _ in range(1500)]
+            del held  # some 45 MB, which the allocator keeps
+            yield batch
+
+    class Sent:
+        sparkSession, mapInArrow = spark, staticmethod(lambda fn, schema: fn)
+
+    batches, seen = [pa.RecordBatch.from_arrays([pa.array([i])], names=["a"]) for i in range(3)], []
+    assert list(run(iter(batches))) == batches
+    kept, seen = taken(), []
+    assert list(map_arrow(Sent(), run, "a long")(iter(batches))) == batches
+    assert max(seen[1:]) < kept - 20 and taken() < kept - 20
+    assert list(releasing(run)(iter([]))) == []

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tidepanel.llm import packing
 from tidepanel.llm import token_files as tf
 from tidepanel.llm.packing import Bins, cuts, pack, pack_documents, token_pieces
 from tidepanel.llm.tokens import Encoder, default_tokenizer
@@ -148,3 +149,20 @@ def test_empty_tables(spark, tmp_path):
     assert pack_documents(none).count() == 0 and token_pieces(none, with_ids=True).count() == 0
     tf.write_token_files(none, str(tmp_path / "e"))
     assert tf.read_token_files(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_pieces_of_a_batch_are_cut_a_few_texts_at_a_time(spark, monkeypatch, enc):
+    seen, texts = [], ["word " * 100_000, None, "", "more " * 60_000, "x y " * 400_000, *["some " * 20_000] * 12]
+
+    class Noted:
+        def encode(self, own):
+            seen.append((len(own), pa.compute.sum(pa.compute.binary_length(own)).as_py() or 0))
+            return enc.encode(own)
+
+    monkeypatch.setattr(packing, "encoder", lambda path: Noted())
+    monkeypatch.setattr(packing, "map_arrow", lambda docs, fn, schema: fn)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    rows = [r for out in token_pieces(frame(spark, [(1, "")]))(iter([batch])) for r in out.to_pylist()]
+    assert sum(n for n, _ in seen) == len(texts) and all(n == 1 or size <= 1 << 20 for n, size in seen)
+    flat, at = enc.encode(batch.column(1))
+    assert [sum(r["length"] for r in rows if r["doc_id"] == i) for i in range(len(texts))] == (np.diff(at) + 1).tolist()

@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,17 +52,44 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system: Arrow's and, through the pool of malloc, numpy's and the tokenizers'."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
+def releasing(fn):
+    """``fn`` of batches, with ``release`` after each batch it is done with and at the end.
+
+    Allocators keep what a batch's temporary arrays took, in every worker and
+    also between the stages of a job, as Spark's workers live on.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def passed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                release()
+
+        yield from fn(passed())
+        release()
+
+    return run
+
+
 def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` of a function of this package, 4 MB a batch unless the session says otherwise.
 
     Spark's own limits (10,000 rows, 64 MB) let the executor hold hundreds of
     megabytes outside its heap for texts of kilobytes, and keep them after.
+    Workers give back what they have freed after each batch.
     """
     spark = df.sparkSession
     ship(spark)
     if spark.conf.get(ARROW_BYTES, None) is None:
         spark.conf.set(ARROW_BYTES, "4m")  # read when the plan runs
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(releasing(fn), schema)
 
 
 def met_by_block(blocks: DataFrame, queries: DataFrame, n_blocks: int, fn, schema: str) -> DataFrame:

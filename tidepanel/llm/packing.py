@@ -29,6 +29,7 @@ from .tokens import default_tokenizer, encoder, with_end
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 FAN_IN = 16
+CHUNK = 1 << 20  # bytes of texts tokenised at once: their pieces take many times that
 
 
 def cuts(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -54,7 +55,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, max_tokens: int
         enc = encoder(path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for a, b in chunks(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist(), 4 << 20):
+            for a, b in chunks(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist(), CHUNK):
                 flat, at = with_end(*enc.encode(texts.slice(a, b - a)), end_id)
                 doc, piece, start, length = cuts(np.diff(at), max_tokens)
                 raw, begins = memoryview(flat).cast("B"), (at[doc] + start) * 4

@@ -34,7 +34,7 @@ from .components import connected_components
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
 GOLAY = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 BLOCK = 4096  # entries of a key that one task compares at once
-PAIRS = 1 << 20
+PAIRS = 1 << 18  # compared at once
 
 
 @functools.lru_cache(maxsize=1)
