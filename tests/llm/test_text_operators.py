@@ -7,9 +7,10 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidepanel.llm.decontamination import contaminated
+from tidepanel.llm.decontamination import _hashed, contaminated, template, windows
 from tidepanel.llm.lines import MIN_SITES, remove_shared_lines, remove_shared_lines_sql
 from tidepanel.llm.pii import digest, personal_data
 
@@ -252,6 +253,26 @@ def test_decontamination_counts_within_a_passage(spark):
     assert set(found(spark, docs, [(1, item), (2, slots)])) == {(2, 1), (3, 2), (5, 1)}
 
 
+def test_decontamination_hashes_windows_in_compiled_code(spark):
+    texts = [None, "", "?!", "one", "Two words", "The old Anna met Bob. Then 12 kg of 7 plums, and İstanbul. Her İda ate ½ of it", prose(50, 40), "So Carol ran. " * 9]
+    docs, forms = frame(spark, list(enumerate(texts))).select("doc_id", "text"), [(2, True), (3, False), (8, False), (8, True)]
+    cut = windows(docs, forms)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lambdafunction(xxhash64(") == 3 and "transform(sequence(" not in plan  # only each word's hash is left in a lambda, once a reading
+
+    split = docs.select("doc_id", template(F.col("text")).alias("t")).select("doc_id", "t.*", *[_hashed(F.col(c), c == "values").alias(f"h_{c}") for c in ("words", "names", "values")],
+                                                                             _hashed(F.col("words"), True).alias("plain"))
+    want = collections.Counter()
+    for r in split.collect():
+        for w, verbatim in forms:
+            for h in ([r.h_values or r.plain] if verbatim else [r.h_words, r.h_names]):
+                want.update((r.doc_id, i, tuple(h[i:i + w])) for i in range(len(h or []) - w + 1))
+    keys = list(want)
+    hashes = spark.createDataFrame([(k, list(ws)) for k, (_, _, ws) in enumerate(keys)], "k long, ws array<long>").select("k", F.xxhash64("ws").alias("hash")).collect()
+    by_key = {r.k: r.hash for r in hashes}
+    assert collections.Counter((r.doc_id, r.pos, r.hash) for r in cut.collect() if r.hash is not None) == collections.Counter({(d, i, by_key[k]): want[d, i, ws] for k, (d, i, ws) in enumerate(keys)})
+
+
 def test_decontamination_sends_only_hashes_of_large_benchmarks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -73,26 +73,34 @@ def _values() -> Column:
     return F.coalesce("t.values", "t.words")
 
 
+def _hashed(words: Column, verbatim: bool) -> Column:
+    """A hash of each word, another one where the words themselves are looked for; windows are hashed from these."""
+    salt = [F.lit(VERBATIM)] if verbatim else []
+    return F.transform(words, lambda w: F.xxhash64(*salt, w))
+
+
 def windows(rows: DataFrame, forms: list[tuple[int, bool]]) -> DataFrame:
-    """Columns of ``rows`` without ``text``; ``t`` (its template), ``pos`` and ``hash`` of each window.
+    """Columns of ``rows`` without ``text``; ``own`` (all words its template stands for), ``pos`` and ``hash`` of each window.
 
     ``forms``: widths, and whether the words themselves are hashed or the
     template in both readings. Hashes are NULL where a text has no such window.
     """
-    split = rows.select(*[c for c in rows.columns if c != "text"], template(F.col("text")).alias("t"))
-    ways = [(w, v, c) for w, v in forms for c in ((_values(),) if v else (F.col("t.words"), F.col("t.names")))]
+    kept = [c for c in rows.columns if c != "text"]
+    split = rows.select(*kept, template(F.col("text")).alias("t"))
+    readings = [(v, c) for v in sorted({v for _, v in forms}) for c in ((_values(),) if v else (F.col("t.words"), F.col("t.names")))]
+    none = F.array().cast("array<bigint>")
+    # each word is hashed once, in a lambda, which Spark interprets; windows of these hashes are compiled
+    split = split.select(*kept, _values().alias("own"), *[F.coalesce(_hashed(c, v), none).alias(f"h{k}") for k, (v, c) in enumerate(readings)])
+    ways = [(w, f"h{k}") for k, (r, _) in enumerate(readings) for w, v in forms if v == r]
+    last = F.greatest(*[F.size(h) - w for w, h in ways], F.lit(-1))
 
     # by get(), which ends in NULL beyond the text: slice() copies the whole array each time
-    def hashed(width: int, verbatim: bool, words: Column) -> Column:
-        salt = [F.lit(VERBATIM)] if verbatim else []
-        return let(words, lambda ws: F.transform(F.sequence(F.lit(0), F.size(ws) - width), lambda i: F.xxhash64(*salt, *[F.get(ws, i + j) for j in range(width)])))
+    def hashed(width: int, h: str) -> Column:
+        return F.when(F.col("pos") + width <= F.size(h), F.xxhash64(*[F.get(h, F.col("pos") + j) for j in range(width)]))
 
-    # a column of its own, so that exploding it compiles and passes ``t`` on by reference; "outer", as for a plain
-    # explode the optimizer puts a filter on the array's size below the scan, which computes it all twice
-    none = F.array().cast("array<bigint>")
-    out = [F.when(F.size(c) >= w, hashed(w, v, c)).otherwise(none) for w, v, c in ways]
-    return (split.withColumn("hashes", F.arrays_zip(*[h.alias(f"h{k}") for k, h in enumerate(out)])).select(*split.columns, F.posexplode_outer("hashes").alias("pos", "at"))
-            .select(*split.columns, "pos", F.explode(F.array(*[F.col(f"at.h{k}") for k in range(len(out))])).alias("hash")))
+    # "outer", as for a plain explode the optimizer puts a filter on the array's size below the scan, which computes it all twice
+    return (split.select(*split.columns, F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("pos"))
+            .select(*kept, "own", "pos", F.explode(F.array(*[hashed(w, h) for w, h in ways])).alias("hash")))
 
 
 def _wanted(items: DataFrame) -> DataFrame:
@@ -119,7 +127,7 @@ def _wanted(items: DataFrame) -> DataFrame:
 
     def way(words: str, verbatim: bool, kept: Column) -> Column:
         strong = F.lit(1) if verbatim else F.when(literals(F.col(words)) >= LITERAL, 2).otherwise(0)
-        return F.when(kept, F.struct(F.xxhash64(*([F.lit(VERBATIM)] if verbatim else []), words).alias("hash"), F.lit(verbatim).alias("verbatim"), strong.alias("strong")))
+        return F.when(kept, F.struct(F.xxhash64(_hashed(F.col(words), verbatim)).alias("hash"), F.lit(verbatim).alias("verbatim"), strong.alias("strong")))
 
     def template_way(words: str) -> Column:
         return literals(F.col(words)) >= F.when(few & (F.col("rich_n") > 0), F.lit(SUPPORT)).otherwise(LITERAL)
@@ -169,7 +177,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     blocks = max(1, -(-hashes.count() // (block * 4 // 5)))  # by hash, so a little uneven
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("doc_key"), F.col(text_col).alias("text"))
     cut = windows(rows, forms)
-    own = let(_values(), lambda vs: F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda j: F.hash(F.get(vs, F.col("pos") + j))))
+    own = F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda j: F.hash(F.get("own", F.col("pos") + j)))
     hits = [cut.join(F.broadcast(hashes.filter(F.pmod("hash", F.lit(blocks)) == b)), "hash").select("doc_id", "doc_key", "pos", "hash", own.alias("own")) for b in range(blocks)]
     many = wanted.count() > block
     met = (reduce(DataFrame.unionByName, hits).join(wanted if many else F.broadcast(wanted), "hash")
