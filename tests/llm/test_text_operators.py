@@ -273,6 +273,15 @@ def test_decontamination_hashes_windows_in_compiled_code(spark):
     assert collections.Counter((r.doc_id, r.pos, r.hash) for r in cut.collect() if r.hash is not None) == collections.Counter({(d, i, by_key[k]): want[d, i, ws] for k, (d, i, ws) in enumerate(keys)})
 
 
+def test_decontamination_hits_hold_their_windows_not_their_document(spark):
+    item = "they all went up the old hill in the rain before the sun came out"
+    docs = [(1, f"{item} and " * 2000), (2, prose(50, 300)), (3, item)]  # 16,000 hits in a text of 32,000 words: with all its words each, some 12 GB at once
+    got = found(spark, docs, [(7, item)])
+    assert {k: (r.windows, r.verbatim) for k, r in got.items()} == {(1, 7): (8, True), (3, 7): (8, True)}
+    plan = contaminated(frame(spark, docs), spark.createDataFrame([(7, item)], "item_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "transform(sequence(" not in plan  # a lambda over the document's words ends the compiled join, which then hands them out
+
+
 def test_decontamination_sends_only_hashes_of_large_benchmarks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -47,24 +47,30 @@ _UNIT = "0( ?)(?:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{
 VERBATIM = "verbatim"
 
 
-def template(text: Column) -> Column:
-    """struct<words, names, values>: template words; those with all capitalised words as names (NULL if alike);
-    the words they stand for (NULL if there is no placeholder)."""
+def _parts(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), _APART), "")
 
-    def parts(t: Column) -> Column:
-        return F.array_remove(F.split(t, _APART), "")
+
+def _typed(text: Column, body) -> Column:
+    """``body`` of the text with placeholders, with all capitalised words as names too, and without any (but numbers in one piece)."""
 
     def numbered(t: Column) -> Column:
         return F.regexp_replace(F.regexp_replace(t, "[0-9]+", NUMBER), _UNIT, "0$1" + UNIT)
 
-    def typed(whole: Column) -> Column:  # numbers are in one piece
+    def typed(whole: Column) -> Column:
         sure = F.regexp_replace(F.when(whole.rlike("[0-9]"), numbered(whole)).otherwise(whole), _NAME, NAME)
-        return let(sure, lambda s: let(F.regexp_replace(s, _CAPITAL, NAME), lambda a: F.struct(
-            parts(F.lower(s)).alias("words"), F.when(a != s, parts(F.lower(a))).alias("names"), F.when(a.rlike("[012]"), parts(F.lower(whole))).alias("values"))))
+        return let(sure, lambda s: let(F.regexp_replace(s, _CAPITAL, NAME), lambda a: body(s, a, whole)))
 
     return let(F.when(text.rlike("[0-9][.,:/][0-9]"), F.regexp_replace(text, "(?<=[0-9])[.,:/](?=[0-9])", "")).otherwise(text), typed)
 
 
+def template(text: Column) -> Column:
+    """struct<words, names, values>: template words; those with all capitalised words as names (NULL if alike);
+    the words they stand for (NULL if there is no placeholder)."""
+    return _typed(text, lambda s, a, whole: F.struct(
+        _parts(s).alias("words"), F.when(a != s, _parts(a)).alias("names"), F.when(a.rlike("[012]"), _parts(whole)).alias("values")))
+
+
 def _names() -> Column:
     return F.coalesce("t.names", "t.words")
 
@@ -80,17 +86,25 @@ def _hashed(words: Column, verbatim: bool) -> Column:
 
 
 def windows(rows: DataFrame, forms: list[tuple[int, bool]]) -> DataFrame:
-    """Columns of ``rows`` without ``text``; ``own`` (all words its template stands for), ``pos`` and ``hash`` of each window.
+    """Columns of ``rows`` without ``text``; ``own`` (hash of each word its template stands for), ``pos`` and ``hash`` of each window.
 
     ``forms``: widths, and whether the words themselves are hashed or the
     template in both readings. Hashes are NULL where a text has no such window.
+    A text's words are hashed as soon as they are cut: rows hold numbers.
     """
     kept = [c for c in rows.columns if c != "text"]
-    split = rows.select(*kept, template(F.col("text")).alias("t"))
-    readings = [(v, c) for v in sorted({v for _, v in forms}) for c in ((_values(),) if v else (F.col("t.words"), F.col("t.names")))]
+    kinds = sorted({v for _, v in forms})
+
+    # each word is hashed once a reading, in a lambda, which Spark interprets; windows of these hashes are compiled
+    def numbers(s: Column, a: Column, whole: Column) -> Column:
+        read = [] if False not in kinds else [_hashed(_parts(s), False).alias("words"), F.when(a != s, _hashed(_parts(a), False)).alias("names")]
+        plain = lambda w: [_hashed(w, True).alias("plain")] if True in kinds else []
+        return F.struct(*read, let(_parts(whole), lambda w: F.struct(F.transform(w, lambda x: F.hash(x)).alias("own"), *plain(w))).alias("values"))
+
+    split = rows.select(*kept, _typed(F.col("text"), numbers).alias("t"))
+    readings = [(v, c) for v in kinds for c in ((F.col("t.values.plain"),) if v else (F.col("t.words"), F.col("t.names")))]
     none = F.array().cast("array<bigint>")
-    # each word is hashed once, in a lambda, which Spark interprets; windows of these hashes are compiled
-    split = split.select(*kept, _values().alias("own"), *[F.coalesce(_hashed(c, v), none).alias(f"h{k}") for k, (v, c) in enumerate(readings)])
+    split = split.select(*kept, F.col("t.values.own").alias("own"), *[F.coalesce(c, none).alias(f"h{k}") for k, (v, c) in enumerate(readings)])
     ways = [(w, f"h{k}") for k, (r, _) in enumerate(readings) for w, v in forms if v == r]
     last = F.greatest(*[F.size(h) - w for w, h in ways], F.lit(-1))
 
@@ -177,7 +191,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     blocks = max(1, -(-hashes.count() // (block * 4 // 5)))  # by hash, so a little uneven
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("doc_key"), F.col(text_col).alias("text"))
     cut = windows(rows, forms)
-    own = F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda j: F.hash(F.get("own", F.col("pos") + j)))
+    # without a lambda, so compiled with the join: a hit that left it before this would take a copy of its whole document's words
+    own = F.array(*[F.get("own", F.col("pos") + j) for j in range(WIDTH)])
     hits = [cut.join(F.broadcast(hashes.filter(F.pmod("hash", F.lit(blocks)) == b)), "hash").select("doc_id", "doc_key", "pos", "hash", own.alias("own")) for b in range(blocks)]
     many = wanted.count() > block
     met = (reduce(DataFrame.unionByName, hits).join(wanted if many else F.broadcast(wanted), "hash")
