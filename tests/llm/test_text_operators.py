@@ -201,6 +201,14 @@ def test_pipeline_stages_on_an_empty_table_and_odd_rows(spark, tmp_path):
     assert {70, 71, 72, 73} <= {r.doc_id for r in docs.collect()}
 
 
+def test_pipeline_decontaminates_long_texts_of_many_hits(spark, tmp_path):
+    item = "they all went up the old hill in the rain before the sun came out"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, f"{item} and " * 2000), (2, f"{prose(80, 20_000)} {item} {prose(81, 9000)}"), (3, prose(82, 40_000)), (4, None), (5, f"{item} and " * 2000)]
+    left = corpus_pipeline.decontaminate(spark, frame(spark, rows), str(tmp_path))
+    assert left.columns == corpus_pipeline.COLUMNS and sorted((r.doc_id, r.text) for r in left.collect()) == [(3, rows[2][1]), (4, None)]
+
+
 def test_repetitive_items_and_texts(spark):
     items = [(1, "la " * 12), (2, prose(61, 40))]
     docs = [(10, "la " * 3000), (11, "la la la"), (12, prose(62, 200))]
